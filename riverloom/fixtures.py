@@ -263,14 +263,15 @@ def reaches(spark, sf_dir) -> DataFrame:
     """
     v = reach_vertices(spark, sf_dir)
     part = F.explode(
-        F.filter(
-            F.array(F.floor(F.col("seq") / 5.0), F.ceil(F.col("seq") / 5.0) - 1),
-            lambda k: (k >= 0) & (k <= 3),
+        F.array_distinct(
+            F.filter(
+                F.array(F.floor(F.col("seq") / 5.0), F.ceil(F.col("seq") / 5.0) - 1),
+                lambda k: (k >= 0) & (k <= 3),
+            )
         )
     )
     return (
         v.select("axis", "seq", "x", "y", part.alias("part"))
-        .distinct()
         .groupBy("axis", "part")
         .agg(F.sort_array(F.collect_list(F.struct("seq", "x", "y"))).alias("v"))
         .select(

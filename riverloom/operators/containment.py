@@ -15,6 +15,7 @@ row is joined once, and nothing is regrouped after the join.
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +26,6 @@ from riverloom.operators.grid import (
     _covered,
     cell_of,
     cell_start,
-    mean_length,
     row_extent,
     segment_cells,
 )
@@ -68,8 +68,21 @@ def _turn(e, x: Column, y: Column) -> Column:
     return (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
 
 
-def _grid_plan(edges: DataFrame, poly: list[str], cell: float | None) -> tuple[float, int, int]:
-    """Cell size, number of edges, and edge lists needed per cell."""
+class GridPlan(NamedTuple):
+    """Cell size, edges in all, edge lists needed per cell, total edge length."""
+
+    cell: float
+    edges: int
+    chunks: int
+    length: float
+
+
+def grid_plan(edges: DataFrame, poly: list[str], cell: float | None = None) -> GridPlan:
+    """Measure the polygons; about as many grid cells as edges are aimed at.
+
+    One pass over the edges, and a second one only if some polygon has more
+    edges than a list may hold.
+    """
     xs, ys = (F.least("x1", "x2"), F.greatest("x1", "x2")), (F.least("y1", "y2"), F.greatest("y1", "y2"))
     d = distance(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
     per_polygon = edges.groupBy(*poly).agg(
@@ -81,16 +94,17 @@ def _grid_plan(edges: DataFrame, poly: list[str], cell: float | None) -> tuple[f
         F.count(F.lit(1)), F.sum("n"), F.max("n"), F.sum("area"), F.sum("length")
     ).first()
     if not polygons:
-        return cell or 1.0, 0, 1
+        return GridPlan(cell or 1.0, 0, 1, 0.0)
     if cell is None:
         cells = max(n, 16 * polygons)
         cell = max(math.sqrt(area / cells), length / (8 * cells)) or 1.0
     if largest <= MAX_CELL_EDGES:
-        return cell, n, 1
+        return GridPlan(cell, n, 1, length)
     crowded = (
         segment_cells(edges, cell).groupBy(*poly, "cx", "cy").agg(F.count(F.lit(1)).alias("n"))
     )
-    return cell, n, math.ceil(crowded.agg(F.max("n")).first()[0] / MAX_CELL_EDGES)
+    chunks = math.ceil(crowded.agg(F.max("n")).first()[0] / MAX_CELL_EDGES)
+    return GridPlan(cell, n, chunks, length)
 
 
 def _polygon_cells(edges: DataFrame, poly: list[str], cell: float, chunks: int) -> DataFrame:
@@ -161,6 +175,7 @@ def points_in_polygons(
     y: str = "y",
     point_id: list[str] | None = None,
     cell: float | None = None,
+    plan: GridPlan | None = None,
 ) -> DataFrame:
     """Pair each point with the polygons that contain it; others are dropped.
 
@@ -169,13 +184,14 @@ def points_in_polygons(
     polygons gives two rows. A border belongs to at most one side: a point on
     a shared border is never in both neighbours by the same edge.
 
-    Edge lists per cell are bounded. Where a cell needs several, the parities
+    ``plan`` spares a pass over the edges where :func:`grid_plan` was called
+    before. Edge lists per cell are bounded. Where a cell needs several, the parities
     of a point are added up per ``point_id`` (default: all point columns).
     """
     by = list(by)
     keys = [*by, *[c for c in poly if c not in by]]
     edges = edges.select(*keys, "x1", "y1", "x2", "y2")
-    cell, n_edges, chunks = _grid_plan(edges, keys, cell)
+    cell, n_edges, chunks, _ = plan or grid_plan(edges, keys, cell)
     table = _polygon_cells(edges, keys, cell, chunks)
     if n_edges <= BROADCAST_EDGES:
         table = F.broadcast(table)
@@ -239,19 +255,20 @@ def lines_in_polygons(
     All vertices must be inside and no segment may cross an edge. Vertices are
     counted per line, which combines on the map side.
     """
+    borders = edges.select(poly, "x1", "y1", "x2", "y2")
+    plan = grid_plan(borders, [poly], cell)
     vertices = lines.select(line_id, F.size(geom).alias("n"), F.explode(geom).alias("v")).select(
         line_id, "n", "v.x", "v.y"
     )
     inside = (
-        points_in_polygons(vertices, edges, [poly], cell=cell)
+        points_in_polygons(vertices, borders, [poly], plan=plan)
         .groupBy(line_id, "n", poly)
         .agg(F.count(F.lit(1)).alias("m"))
         .filter(F.col("m") == F.col("n"))
         .select(line_id, poly)
     )
     segments = line_edges(lines, [line_id], geom)
-    borders = edges.select(poly, "x1", "y1", "x2", "y2")
-    size = cell or mean_length(borders)
+    size = cell or (plan.length / plan.edges if plan.length else 1.0)
     crossing = (
         crossing_pairs(segments, borders, [], size)
         .filter(proper_crossing())

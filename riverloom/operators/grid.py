@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riverloom.functions.geometry import distance
+
 # Grid lines are shifted by this share of a cell, away from round coordinates.
 SHIFT = 0.381966011250105
 # Cells are covered with this margin (share of a cell) against rounding.
@@ -57,21 +57,8 @@ def segment_cells(segments: DataFrame, size: float) -> DataFrame:
     return rows.withColumn("cx", F.explode(_covered(low, high, size)))
 
 
-class SegmentStats(NamedTuple):
-    n: int
-    total_length: float
-
-
-def segment_stats(segments: DataFrame) -> SegmentStats:
-    from riverloom.functions.geometry import distance
-
+def total_length(segments: DataFrame) -> tuple[int, float]:
+    """Number and total length of segments."""
     d = distance(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
     n, total = segments.agg(F.count(F.lit(1)), F.coalesce(F.sum(d), F.lit(0.0))).first()
-    return SegmentStats(n, total)
-
-
-def mean_length(*tables: DataFrame) -> float:
-    """Cell size at which segments fall into about two cells each."""
-    stats = [segment_stats(t) for t in tables]
-    n, total = sum(s.n for s in stats), sum(s.total_length for s in stats)
-    return total / n if n and total else 1.0
+    return n, total

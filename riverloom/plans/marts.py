@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverloom.functions.columns import confinement
-from riverloom.operators.link import LINK
-from riverloom.schemas import CONTINUITY_LABELS, LANDCOVER_LABELS
+from riverloom.operators.link import LINK, link_swaths
+from riverloom.schemas import CONTINUITY_LABELS, LANDCOVER_LABELS, METRIC_TABLES
+from riverloom.sources.tables import Builder, refresh
 
 GROUP = [LINK, "axis", "measure_medial_axis"]
 
@@ -117,3 +120,52 @@ def network_metrics(
         F.col("ca.sum_area").alias("sum_area"),
         *([F.col("s.geom").alias("geom")] if "geom" in swaths.columns else []),
     )
+
+
+# Order of rebuilding: the wide table reads the others, so it is last.
+MART_ORDER = [
+    "landcover_area_full_side",
+    "continuity_area_full_side",
+    "continuity_width_full_side",
+    "valley_bottom_full_side",
+    "network_axis",
+    "network_metrics",
+]
+
+
+def marts(tables: Mapping[str, DataFrame]) -> dict[str, Builder]:
+    """Builders of all serving tables, for :func:`riverloom.sources.tables.refresh`.
+
+    ``tables`` are the loaded tables; metric tables are linked to the swaths
+    here, whether or not they were on load.
+    """
+    swaths = tables["hydro_swaths"]
+    linked = {n: link_swaths(tables[n], swaths) for n in METRIC_TABLES if n in tables}
+    return {
+        "landcover_area_full_side": lambda read: full_side_area(
+            linked["landcover_area"], LANDCOVER_LABELS
+        ),
+        "continuity_area_full_side": lambda read: full_side_area(
+            linked["continuity_area"], CONTINUITY_LABELS
+        ),
+        "continuity_width_full_side": lambda read: full_side_width(
+            linked["continuity_width"], CONTINUITY_LABELS
+        ),
+        "valley_bottom_full_side": lambda read: full_side_valley_bottom(linked["valley_bottom"]),
+        "network_axis": lambda read: network_axis(
+            tables["hydro_axis"], tables.get("hydro_axis_lines")
+        ),
+        "network_metrics": lambda read: network_metrics(
+            swaths,
+            tables["hydro_axis"],
+            linked["talweg_metrics"],
+            read("continuity_width_full_side"),
+            read("landcover_area_full_side"),
+            read("continuity_area_full_side"),
+        ),
+    }
+
+
+def build_marts(spark, tables: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
+    """Write all serving tables in dependency order; returns their paths."""
+    return dict(zip(MART_ORDER, refresh(spark, MART_ORDER, marts(tables), folder)))

@@ -49,6 +49,17 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def saved(df, name: str):
+    """Write a table to the shared folder and read it back.
+
+    For tables used several times with different columns: computed once, cut
+    from their lineage, and pruned to the columns each use needs.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df):
     """Reliable checkpoint: cuts the lineage and survives lost executors."""
     shared_folder(df.sparkSession)
