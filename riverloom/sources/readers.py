@@ -78,9 +78,11 @@ def fold_vertices(df: DataFrame, keys: list[str], kind: str = "line") -> DataFra
     )
 
 
-def read_sites(spark: SparkSession, path: str, schema: T.StructType = SITE_RESPONSE) -> DataFrame:
-    """Saved registry responses, one JSON document per file."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_sites(
+    spark: SparkSession, path: str, schema: T.StructType = SITE_RESPONSE, lines: bool = False
+) -> DataFrame:
+    """Saved registry responses: one JSON document per file, or per line."""
+    return spark.read.schema(schema).option("multiLine", not lines).json(path)
 
 
 def import_sites(responses: DataFrame) -> DataFrame:
