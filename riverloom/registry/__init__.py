@@ -23,4 +23,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load() -> None:
-    from riverloom.registry import tables  # noqa: F401
+    from riverloom.registry import geometry, jobs, tables  # noqa: F401
