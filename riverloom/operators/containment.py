@@ -31,6 +31,8 @@ from riverloom.operators.grid import (
 )
 
 MAX_CELL_EDGES = 4096
+# A point this close to an edge (metres) lies on it, where borders count.
+TOUCH = 1e-6
 # A grid table built from so few edges has at most some 20 MB.
 BROADCAST_EDGES = 50_000
 
@@ -68,6 +70,14 @@ def _turn(e, x: Column, y: Column) -> Column:
     return (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
 
 
+def _on_edge(e, x: Column, y: Column) -> Column:
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    near = F.abs(_turn(e, x, y)) <= F.sqrt(dx * dx + dy * dy) * TOUCH
+    across = x.between(F.least(e["x1"], e["x2"]) - TOUCH, F.greatest(e["x1"], e["x2"]) + TOUCH)
+    along = y.between(F.least(e["y1"], e["y2"]) - TOUCH, F.greatest(e["y1"], e["y2"]) + TOUCH)
+    return near & across & along
+
+
 class GridPlan(NamedTuple):
     """Cell size, edges in all, edge lists needed per cell, total edge length."""
 
@@ -176,13 +186,15 @@ def points_in_polygons(
     point_id: list[str] | None = None,
     cell: float | None = None,
     plan: GridPlan | None = None,
+    border: bool = False,
 ) -> DataFrame:
     """Pair each point with the polygons that contain it; others are dropped.
 
     ``poly`` are the edge columns that identify a polygon, and ``by`` those
     among them that the points have too and that must agree. A point in two
     polygons gives two rows. A border belongs to at most one side: a point on
-    a shared border is never in both neighbours by the same edge.
+    a shared border is never in both neighbours by the same edge. With
+    ``border`` points on an edge (to a micrometre) count as inside, too.
 
     ``plan`` spares a pass over the edges where :func:`grid_plan` was called
     before. Edge lists per cell are bounded. Where a cell needs several, the parities
@@ -209,15 +221,19 @@ def points_in_polygons(
         return level.cast("int") + upright.cast("int")
 
     crossings = F.aggregate("edges", F.col("base"), lambda n, e: n + flips(e))
+    touches = F.exists("edges", lambda e: _on_edge(e, px, py)) if border else F.lit(False)
     own = [c for c in keys if c not in by]
     if chunks == 1:
-        return joined.filter(crossings % 2 == 1).select(*points.columns, *own)
+        return joined.filter((crossings % 2 == 1) | touches).select(*points.columns, *own)
     identity = point_id or points.columns
     rest = [c for c in points.columns if c not in identity]
     counted = joined.groupBy(*identity, *own).agg(
-        F.sum(crossings).alias("__n"), *[F.first(c).alias(c) for c in rest]
+        F.sum(crossings).alias("__n"),
+        F.max(touches).alias("__t"),
+        *[F.first(c).alias(c) for c in rest],
     )
-    return counted.filter(F.col("__n") % 2 == 1).select(*points.columns, *own)
+    inside = (F.col("__n") % 2 == 1) | F.col("__t")
+    return counted.filter(inside).select(*points.columns, *own)
 
 
 def crossing_pairs(
@@ -252,16 +268,23 @@ def lines_in_polygons(
 ) -> DataFrame:
     """Left join of lines to the polygon that wholly contains them, else null.
 
-    All vertices must be inside and no segment may cross an edge. Vertices are
-    counted per line, which combines on the map side.
+    All vertices and segment middles must be inside or on the border, and no
+    segment may cross an edge: a line may touch the border from within. The
+    probes are counted per line, which combines on the map side.
     """
     borders = edges.select(poly, "x1", "y1", "x2", "y2")
     plan = grid_plan(borders, [poly], cell)
-    vertices = lines.select(line_id, F.size(geom).alias("n"), F.explode(geom).alias("v")).select(
-        line_id, "n", "v.x", "v.y"
+    middles = F.transform(
+        line_segments(F.col(geom)),
+        lambda s: F.struct(
+            ((s["x1"] + s["x2"]) / 2).alias("x"), ((s["y1"] + s["y2"]) / 2).alias("y")
+        ),
     )
+    probes = lines.select(
+        line_id, (F.size(geom) * 2 - 1).alias("n"), F.explode(F.concat(F.col(geom), middles)).alias("v")
+    ).select(line_id, "n", "v.x", "v.y")
     inside = (
-        points_in_polygons(vertices, borders, [poly], plan=plan)
+        points_in_polygons(probes, borders, [poly], plan=plan, border=True)
         .groupBy(line_id, "n", poly)
         .agg(F.count(F.lit(1)).alias("m"))
         .filter(F.col("m") == F.col("n"))

@@ -158,7 +158,7 @@ def locate_points(
 
     ``segments`` come from :func:`measured_segments`. The nearest segment is
     looked for within one cell, and for points with none that near again in
-    cells four times as large, until every point whose axis exists is placed.
+    cells eight times as large, until every point whose axis exists is placed.
     Points are never paired with all segments of their axis. Points without an
     axis in ``segments`` keep null.
     """
@@ -177,12 +177,12 @@ def locate_points(
         near = _nearest(waiting, s, ["axis"], size, ["leng", "low"]).filter(
             F.col("distance") <= size
         )
-        placed = materialize(
-            near.select("pid", (F.col("low") + (1 - F.col("f")) * F.col("leng")).alias("distance_axis"))
-        )
+        place = (F.col("low") + (1 - F.col("f")) * F.col("leng")).alias("distance_axis")
+        state = materialize(waiting.join(near.select("pid", place), "pid", "left"))
+        placed = state.filter(F.col("distance_axis").isNotNull()).select("pid", "distance_axis")
         found = placed if found is None else found.unionByName(placed)
-        waiting = materialize(waiting.join(placed.select("pid"), "pid", "left_anti"))
+        waiting = state.filter(F.col("distance_axis").isNull()).drop("distance_axis")
         if waiting.isEmpty():
             break
-        size *= 4
+        size *= 8
     return points.join(found.withColumnRenamed("pid", point_id), point_id, "left")

@@ -16,6 +16,12 @@ from riverloom.registry.sql import ctes, fx
 REGION_EDGES = """SELECT a.gid AS gid_region, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
   FROM fx_region_rings a JOIN fx_region_rings b ON b.gid = a.gid AND b.seq = a.seq + 1"""
 
+# the same for points that may lie on an edge
+ON_EDGE = """ABS((e.x2 - e.x1) * (p.y - e.y1) - (e.y2 - e.y1) * (p.x - e.x1))
+      <= SQRT((e.x2 - e.x1) * (e.x2 - e.x1) + (e.y2 - e.y1) * (e.y2 - e.y1)) * 1e-6
+    AND p.x BETWEEN LEAST(e.x1, e.x2) - 1e-6 AND GREATEST(e.x1, e.x2) + 1e-6
+    AND p.y BETWEEN LEAST(e.y1, e.y2) - 1e-6 AND GREATEST(e.y1, e.y2) + 1e-6"""
+
 INSIDE = "(e.y1 <= p.y) <> (e.y2 <= p.y) AND p.x < e.x1 + (p.y - e.y1) / (e.y2 - e.y1) * (e.x2 - e.x1)"
 
 # segments of the axis lines, numbered downstream
@@ -248,15 +254,18 @@ def points_in_regions(spark, sf):
     )
 
 
-# two-vertex lines off the region corners
-SHORT_LINES = """SELECT axis * 100 + seg AS line_id, x1 + 1234.5 AS x1, y1 AS y1, x2 + 1234.5 AS x2, y2 AS y2
-  FROM segs"""
+# two-vertex lines, some of which end on a border
+SHORT_LINES = "SELECT axis * 100 + seg AS line_id, x1, y1, x2, y2 FROM segs"
+
+PROBES = """SELECT line_id, 0 AS k, x1 AS x, y1 AS y FROM {lines} UNION ALL SELECT line_id, 1, x2, y2 FROM {lines}
+  UNION ALL SELECT line_id, 2, (x1 + x2) / 2, (y1 + y2) / 2 FROM {lines}"""
 
 LINE_REGIONS = """SELECT l.line_id, r.gid_region FROM {lines} l JOIN (
     SELECT line_id, gid_region FROM (
-      SELECT p.line_id, p.k, e.gid_region FROM ends p JOIN region_edges e ON {inside}
-      GROUP BY p.line_id, p.k, e.gid_region HAVING COUNT(*) % 2 = 1) i
-    GROUP BY line_id, gid_region HAVING COUNT(*) = 2) r ON r.line_id = l.line_id
+      SELECT p.line_id, p.k, e.gid_region FROM probes p JOIN region_edges e ON ({inside}) OR ({on_edge})
+      GROUP BY p.line_id, p.k, e.gid_region
+      HAVING COUNT(*) FILTER ({inside}) % 2 = 1 OR COUNT(*) FILTER ({on_edge}) > 0) i
+    GROUP BY line_id, gid_region HAVING COUNT(*) = 3) r ON r.line_id = l.line_id
   WHERE NOT EXISTS (SELECT 1 FROM region_edges e WHERE e.gid_region = r.gid_region
     AND SIGN((e.x2 - e.x1) * (l.y1 - e.y1) - (e.y2 - e.y1) * (l.x1 - e.x1))
       * SIGN((e.x2 - e.x1) * (l.y2 - e.y1) - (e.y2 - e.y1) * (l.x2 - e.x1)) < 0
@@ -271,12 +280,11 @@ LINE_REGIONS = """SELECT l.line_id, r.gid_region FROM {lines} l JOIN (
         ("segs", SEGMENTS),
         ("short_lines", SHORT_LINES),
         (
-            "ends",
-            "SELECT line_id, 0 AS k, x1 AS x, y1 AS y FROM short_lines"
-            " UNION ALL SELECT line_id, 1, x2, y2 FROM short_lines",
+            "probes",
+            PROBES.format(lines="short_lines"),
         ),
         ("region_edges", REGION_EDGES),
-        ("within", LINE_REGIONS.format(lines="short_lines", inside=INSIDE)),
+        ("within", LINE_REGIONS.format(lines="short_lines", inside=INSIDE, on_edge=ON_EDGE)),
     )
     + """SELECT l.line_id, w.gid_region FROM short_lines l LEFT JOIN within w ON w.line_id = l.line_id""",
 )
@@ -285,7 +293,7 @@ def _(spark, sf):
     short = segs.select(
         (F.col("axis") * 100 + F.col("seg")).alias("line_id"),
         F.array(
-            g.xy(F.col("x1") + 1234.5, F.col("y1")), g.xy(F.col("x2") + 1234.5, F.col("y2"))
+            g.xy(F.col("x1"), F.col("y1")), g.xy(F.col("x2"), F.col("y2"))
         ).alias("geom"),
     )
     placed = containment.lines_in_polygons(short, region_edges(spark, sf), "line_id", "gid_region")

@@ -14,7 +14,9 @@ from riverloom.registry.geometry import (
     INSIDE,
     LINE_REGIONS,
     LOW,
+    ON_EDGE,
     PIECE_STRAHLER,
+    PROBES,
     REGION_EDGES,
     SEGMENTS,
     SPLIT,
@@ -294,11 +296,8 @@ PREPARED_SWATHS = (
     ("region_edges", REGION_EDGES),
     # stretches as lines: a piece is within a region if all its stretches are
     ("lines_", "SELECT axis * 1000 + piece AS piece_id, axis * 1000000 + ROW_NUMBER() OVER (PARTITION BY axis ORDER BY p0) AS line_id, xa AS x1, ya AS y1, xb AS x2, yb AS y2 FROM stretch_rows"),
-    (
-        "ends",
-        "SELECT line_id, 0 AS k, x1 AS x, y1 AS y FROM lines_ UNION ALL SELECT line_id, 1, x2, y2 FROM lines_",
-    ),
-    ("within", LINE_REGIONS.format(lines="lines_", inside=INSIDE)),
+    ("probes", PROBES.format(lines="lines_")),
+    ("within", LINE_REGIONS.format(lines="lines_", inside=INSIDE, on_edge=ON_EDGE)),
     (
         "piece_regions",
         """SELECT n.piece_id, r.gid_region FROM (SELECT piece_id, COUNT(*) AS n FROM lines_ GROUP BY piece_id) n
