@@ -7,7 +7,22 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverloom.session import materialize
+from riverloom.operators.joins import keyed_join
+from riverloom.session import saved
+
+# Joins between two writes; three of them multiply the hops covered by four.
+STEPS = 3
+
+
+def _step(rows: DataFrame, ahead: DataFrame) -> DataFrame:
+    """Move every pointer on by the hops that its target has covered."""
+    return keyed_join(rows, ahead, ["p"], "left").select(
+        "k",
+        F.col("p2").alias("p"),
+        F.coalesce("last2", "last").alias("last"),
+        (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
+        F.least("low", "low2").alias("low"),
+    )
 
 
 def follow_pointers(
@@ -16,37 +31,35 @@ def follow_pointers(
     """Follow ``to`` from every row to the end of its path.
 
     Returns ``(key, last, total)``: the last key of the path and the sum of
-    ``weight`` over the hops. A ``to`` that is null or names no row ends the
-    path. Each round doubles the hops covered, so a path of n rows takes
-    log2(n) rounds; rows that have arrived leave the join. The state is written
-    to the checkpoint folder once a round, or the plan would double with it.
+    ``weight`` over the hops. A path ends at a null ``to``, or at a ``to`` that
+    names no row. Each round joins the moving rows three times with the state
+    (whose shuffle is shared), so that all hops covered so far are covered four
+    times over and a path of n rows takes log4(n) rounds. The state is written
+    to the shared folder once a round, or the plan would grow with it; rows
+    that have arrived are not shuffled again. Where many rows point to one,
+    the state has one row for it and the moving side is split by the adaptive
+    skew join.
 
-    Rows that still move after log2(rows) rounds run into a cycle. That is an
-    error, or with ``break_cycles`` the smallest key of the cycle becomes its
-    end (for links where no two rows share a ``to``).
+    Rows that still move after the rounds a path of all rows would take run
+    into a cycle. That is an error, or with ``break_cycles`` the smallest key
+    of the cycle becomes its end (for links where no two rows share a ``to``).
     """
-    base = links.select(
-        F.col(key).alias("k"), F.col(to).alias("p"), F.col(weight).cast("double").alias("w")
-    )
-    known = base.select(F.col("k").alias("p"), F.lit(True).alias("known"))
-    ended = base.filter(F.col("p").isNull())
-    moving = base.filter(F.col("p").isNotNull()).join(known, "p", "left")
-    state = materialize(
-        ended.select("k", F.lit(None).cast(base.schema["p"].dataType).alias("p"),
-                     F.col("k").alias("last"), F.lit(0.0).alias("total"), F.col("k").alias("low"))
-        .unionByName(
-            moving.select(
-                "k",
-                F.when(F.col("known"), F.col("p")).alias("p"),
-                F.when(F.col("known"), F.col("p")).otherwise(F.col("k")).alias("last"),
-                F.when(F.col("known"), F.col("w")).otherwise(0.0).alias("total"),
-                F.col("k").alias("low"),
-            )
-        )
+    name, target = F.col(key).alias("k"), F.col(to).alias("p")
+    base = links.select(name, target, F.col(weight).cast("double").alias("w"))
+    state = saved(
+        base.select(
+            "k",
+            "p",
+            F.coalesce("p", "k").alias("last"),
+            F.when(F.col("p").isNotNull(), F.col("w")).otherwise(0.0).alias("total"),
+            F.col("k").alias("low"),
+        ),
+        "pointers",
     )
-    open_rows = state.filter(F.col("p").isNotNull()).count()
-    rounds = math.ceil(math.log2(open_rows + 2)) + 1
-    while open_rows and rounds:
+    moving = F.col("p").isNotNull()
+    n = state.filter(moving).count()
+    rounds = math.ceil(math.log2(n + 2) / 2) + 1
+    while n and rounds:
         ahead = state.select(
             F.col("k").alias("p"),
             F.col("p").alias("p2"),
@@ -54,24 +67,19 @@ def follow_pointers(
             F.col("total").alias("total2"),
             F.col("low").alias("low2"),
         )
-        moved = state.filter(F.col("p").isNotNull()).join(ahead, "p").select(
-            "k",
-            F.col("p2").alias("p"),
-            F.col("last2").alias("last"),
-            (F.col("total") + F.col("total2")).alias("total"),
-            F.least("low", "low2").alias("low"),
-        )
-        state = materialize(state.filter(F.col("p").isNull()).unionByName(moved))
-        open_rows = state.filter(F.col("p").isNotNull()).count()
+        moved = state.filter(moving)
+        for _ in range(STEPS):
+            moved = _step(moved, ahead)
+        state = saved(state.filter(~moving).unionByName(moved), "pointers")
+        n = state.filter(moving).count()
         rounds -= 1
-    result = state.filter(F.col("p").isNull()).select("k", "last", "total")
-    if open_rows:
+    result = state.filter(~moving).select("k", "last", "total")
+    if n:
         if not break_cycles:
-            raise ValueError(f"{open_rows} rows run into a cycle")
-        turning = state.filter(F.col("p").isNotNull()).select("k", "low")
+            raise ValueError(f"{n} rows run into a cycle")
+        turning = state.filter(moving).select("k", "low")
         opened = base.join(turning, "k").select(
             "k", F.when(F.col("k") != F.col("low"), F.col("p")).alias("p"), "w"
         )
-        again = follow_pointers(opened, "k", "p", "w")
-        result = result.unionByName(again)
+        result = result.unionByName(follow_pointers(opened, "k", "p", "w"))
     return result.withColumnRenamed("k", key)

@@ -63,13 +63,15 @@ def network_metrics(
 
     ``disconnected_pc`` holds the disconnected percentage; the source material
     fills it from the area column, which is a slip.
-    The four metric tables join on the swath id, so the swaths are shuffled
-    once for all of them; rows without a link drop out before their shuffle.
+    The four metric tables join on the swath id together with axis and measure,
+    which the link implies. That is how the bank sums are partitioned already,
+    so they are not shuffled again, and the swaths are shuffled once for all
+    of them. Rows without a link drop out early.
     """
     s, a = swaths.alias("s"), hydro_axis.select("axis", "toponyme").alias("a")
 
     def linked(df: DataFrame, columns: list[str], name: str) -> DataFrame:
-        return df.filter(F.col(LINK).isNotNull()).select(LINK, *columns).alias(name)
+        return df.filter(F.col(LINK).isNotNull()).select(*GROUP, *columns).alias(name)
 
     def pc(labels):
         return [f"{c}_pc" for c in labels]
@@ -82,7 +84,12 @@ def network_metrics(
 
     joined = s.join(a, F.col("s.axis") == F.col("a.axis"), "left")
     for name, side in (("t", t), ("w", w), ("lc", lc), ("ca", ca)):
-        joined = joined.join(side, F.col("s.gid") == F.col(f"{name}.{LINK}"), "left")
+        same = (
+            (F.col(f"{name}.{LINK}") == F.col("s.gid"))
+            & (F.col(f"{name}.axis") == F.col("s.axis"))
+            & (F.col(f"{name}.measure_medial_axis") == F.col("s.measure_medial_axis"))
+        )
+        joined = joined.join(side, same, "left")
 
     served = {
         "active_channel": "active_channel",
