@@ -171,7 +171,7 @@ def test_prepared_network(prepared, rows):
     )
     assert rows(prepared.hydro_axis, "axis", "toponyme", F.round("length", 3), "gid_region") == sorted(
         [(1, "Upper", 900.0, 4), (2, None, 5900.0, 4)], key=repr)
-    assert rows(prepared.lines.select("axis", F.size("geom"))) == [(1, 5), (2, 4)]
+    assert rows(prepared.lines.select("axis", F.size("geom"))) == [(1, 6), (2, 4)]
 
 
 def test_prepared_obstacles(spark, prepared, rows):
