@@ -33,8 +33,8 @@ from riverloom.operators.grid import (
 MAX_CELL_EDGES = 4096
 # A point this close to an edge (metres) lies on it, where borders count.
 TOUCH = 1e-6
-# A grid table built from so few edges has at most some 20 MB.
-BROADCAST_EDGES = 50_000
+# A grid table of at most so many rows and edge copies has some 20 MB.
+BROADCAST_ROWS = 200_000
 
 
 def ring_edges(polygons: DataFrame, keys: list[str], geom: str = "geom") -> DataFrame:
@@ -79,12 +79,18 @@ def _on_edge(e, x: Column, y: Column) -> Column:
 
 
 class GridPlan(NamedTuple):
-    """Cell size, edges in all, edge lists needed per cell, total edge length."""
+    """What is known of the polygons before the grid is built.
+
+    ``rows`` bounds the size of the grid table: an edge passes at most three
+    cells per cell length and three more, and no polygon has more cells than
+    its box.
+    """
 
     cell: float
     edges: int
     chunks: int
     length: float
+    rows: float
 
 
 def grid_plan(edges: DataFrame, poly: list[str], cell: float | None = None) -> GridPlan:
@@ -104,17 +110,18 @@ def grid_plan(edges: DataFrame, poly: list[str], cell: float | None = None) -> G
         F.count(F.lit(1)), F.sum("n"), F.max("n"), F.sum("area"), F.sum("length")
     ).first()
     if not polygons:
-        return GridPlan(cell or 1.0, 0, 1, 0.0)
+        return GridPlan(cell or 1.0, 0, 1, 0.0, 0)
     if cell is None:
         cells = max(n, 16 * polygons)
         cell = max(math.sqrt(area / cells), length / (8 * cells)) or 1.0
+    rows = 3 * n + 3 * length / cell + area / cell**2
     if largest <= MAX_CELL_EDGES:
-        return GridPlan(cell, n, 1, length)
+        return GridPlan(cell, n, 1, length, rows)
     crowded = (
         segment_cells(edges, cell).groupBy(*poly, "cx", "cy").agg(F.count(F.lit(1)).alias("n"))
     )
     chunks = math.ceil(crowded.agg(F.max("n")).first()[0] / MAX_CELL_EDGES)
-    return GridPlan(cell, n, chunks, length)
+    return GridPlan(cell, n, chunks, length, rows)
 
 
 def _polygon_cells(edges: DataFrame, poly: list[str], cell: float, chunks: int) -> DataFrame:
@@ -203,9 +210,10 @@ def points_in_polygons(
     by = list(by)
     keys = [*by, *[c for c in poly if c not in by]]
     edges = edges.select(*keys, "x1", "y1", "x2", "y2")
-    cell, n_edges, chunks, _ = plan or grid_plan(edges, keys, cell)
+    plan = plan or grid_plan(edges, keys, cell)
+    cell, chunks = plan.cell, plan.chunks
     table = _polygon_cells(edges, keys, cell, chunks)
-    if n_edges <= BROADCAST_EDGES:
+    if plan.rows <= BROADCAST_ROWS:
         table = F.broadcast(table)
     located = points.withColumns(
         {"cx": cell_of(F.col(x), cell), "cy": cell_of(F.col(y), cell)}

@@ -7,11 +7,12 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riverloom.operators.joins import keyed_join
 from riverloom.operators.link import link_swaths
 from riverloom.operators.profiles import rows_per_axis
-from riverloom.session import new_folder
+from riverloom.session import saved
 
 BUCKET = "key_bucket"
 
@@ -59,11 +60,21 @@ def create_table(df: DataFrame, path: str, key: str, buckets: int = 256) -> None
     _write(df.withColumn(BUCKET, _bucket(key, buckets)), path, "overwrite")
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BUCKET)
+def _read(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
+    if schema is None:
+        return spark.read.parquet(path)
+    stored = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    return spark.read.schema(stored).parquet(path)
 
 
-def upsert_table(new: DataFrame, path: str, key: str, buckets: int = 256) -> tuple[int, int]:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored table; the schema is needed as long as it may be empty."""
+    return _read(spark, path, schema).drop(BUCKET)
+
+
+def upsert_table(
+    new: DataFrame, path: str, key: str, buckets: int = 256, schema: T.StructType | None = None
+) -> tuple[int, int]:
     """Replace by key in a stored table; returns rows deleted and inserted.
 
     Only the buckets that hold one of the new keys are read and rewritten, in
@@ -72,15 +83,13 @@ def upsert_table(new: DataFrame, path: str, key: str, buckets: int = 256) -> tup
     after lost executors sees the same rows.
     """
     spark = new.sparkSession
-    staged = new_folder(spark, "staged")
-    new.withColumn(BUCKET, _bucket(key, buckets)).write.parquet(staged)
-    rows = spark.read.parquet(staged)
+    rows = saved(new.withColumn(BUCKET, _bucket(key, buckets)), "staged")
     inserted = rows.count()
     if not inserted:
         return 0, 0
     # at most ``buckets`` small numbers
     touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
-    table = spark.read.parquet(path)
+    table = _read(spark, path, schema)
     old = table.filter(F.col(BUCKET).isin(touched))
     rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in table.schema.fields])
     replaced = replace_by_key(old, rows, key)
@@ -89,6 +98,31 @@ def upsert_table(new: DataFrame, path: str, key: str, buckets: int = 256) -> tup
     return deleted, inserted
 
 
+def delete_matching(
+    keys: DataFrame, path: str, column: str, schema: T.StructType | None = None
+) -> int:
+    """Delete the rows of a stored table whose ``column`` is among the keys.
+
+    Rewrites the buckets that hold such rows, and removes those left empty.
+    """
+    spark = keys.sparkSession
+    table = _read(spark, path, schema)
+    doomed = table.join(keys.select(column).distinct(), column, "left_semi")
+    counts = {r[BUCKET]: r["count"] for r in doomed.groupBy(BUCKET).count().collect()}
+    if not counts:
+        return 0
+    held = table.filter(F.col(BUCKET).isin(list(counts)))
+    sizes = {r[BUCKET]: r["count"] for r in held.groupBy(BUCKET).count().collect()}
+    kept = keyed_join(held, keys.select(column).distinct(), [column], "left_anti")
+    _write(kept.select(*table.columns), path, "overwrite")
+    # a dynamic overwrite leaves a bucket alone for which it has no row
+    for bucket in (b for b in counts if counts[b] == sizes[b]):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{BUCKET}={bucket}")
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        folder.getFileSystem(conf).delete(folder, True)
+    return sum(counts.values())
+
+
 class Network(NamedTuple):
     axes: DataFrame
     swaths: DataFrame

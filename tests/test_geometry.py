@@ -136,7 +136,7 @@ def test_containment_with_shared_key(spark, monkeypatch, rows):
         "axis long, m long, x1 double, y1 double, x2 double, y2 double",
     )
     points = spark.createDataFrame([(1, 5.0, 5.0), (2, 5.0, 5.0), (3, 5.0, 5.0), (1, 15.0, 5.0)], "axis long, x double, y double")
-    monkeypatch.setattr(containment, "BROADCAST_EDGES", 0)
+    monkeypatch.setattr(containment, "BROADCAST_ROWS", 0)
     out = containment.points_in_polygons(points, edges, ["axis", "m"], by=["axis"])
     assert rows(out, "axis", "m") == [(1, 200), (2, 200), (2, 400)]
 
