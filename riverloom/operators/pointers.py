@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverloom.operators.joins import keyed_join
-from riverloom.session import saved
+from riverloom.session import saved_and_counted
 
 # Joins between two writes; three of them multiply the hops covered by four.
 STEPS = 3
@@ -46,7 +46,8 @@ def follow_pointers(
     """
     name, target = F.col(key).alias("k"), F.col(to).alias("p")
     base = links.select(name, target, F.col(weight).cast("double").alias("w"))
-    state = saved(
+    moving = F.col("p").isNotNull()
+    state, n = saved_and_counted(
         base.select(
             "k",
             "p",
@@ -55,9 +56,8 @@ def follow_pointers(
             F.col("k").alias("low"),
         ),
         "pointers",
+        moving,
     )
-    moving = F.col("p").isNotNull()
-    n = state.filter(moving).count()
     rounds = math.ceil(math.log2(n + 2) / 2) + 1
     while n and rounds:
         ahead = state.select(
@@ -70,8 +70,9 @@ def follow_pointers(
         moved = state.filter(moving)
         for _ in range(STEPS):
             moved = _step(moved, ahead)
-        state = saved(state.filter(~moving).unionByName(moved), "pointers")
-        n = state.filter(moving).count()
+        state, n = saved_and_counted(
+            state.filter(~moving).unionByName(moved), "pointers", moving
+        )
         rounds -= 1
     result = state.filter(~moving).select("k", "last", "total")
     if n:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(app: str = "riverloom", cores: str = "8", partitions: int = 8) -> SparkSession:
@@ -49,7 +50,7 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df, name: str):
+def saved(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     For tables used several times with different columns: computed once, cut
@@ -60,7 +61,20 @@ def saved(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def materialize(df):
+def saved_and_counted(
+    df: DataFrame, name: str, condition: Column
+) -> tuple[DataFrame, int]:
+    """Like :func:`saved`, with the number of rows that meet a condition.
+
+    The number is taken while writing. Re-run tasks may raise it, yet never
+    from zero, so it serves to tell whether there is more to do.
+    """
+    seen = Observation()
+    watched = df.observe(seen, F.count(F.when(condition, 1)).alias("n"))
+    return saved(watched, name), seen.get["n"]
+
+
+def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts the lineage and survives lost executors."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
