@@ -17,17 +17,17 @@ from __future__ import annotations
 import math
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverloom.functions.geometry import distance, line_segments
 from riverloom.operators.grid import (
-    SLACK,
-    _covered,
     cell_of,
-    cell_start,
-    row_extent,
+    cell_text,
+    extent_text,
+    rows_text,
     segment_cells,
+    start_text,
 )
 
 MAX_CELL_EDGES = 4096
@@ -65,17 +65,18 @@ def vertex_edges(vertices: DataFrame, keys: list[str], seq: str = "seq") -> Data
     return a.join(b, [*keys, "seg"]).select(*keys, "seg", "x1", "y1", "x2", "y2")
 
 
-def _turn(e, x: Column, y: Column) -> Column:
-    """Positive where (x, y) lies left of the directed edge."""
-    return (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
+def _turn(e: str, x: str, y: str) -> str:
+    """Positive where (x, y) lies left of the directed edge; SQL text like all below."""
+    return f"(({e}x2 - {e}x1) * ({y} - {e}y1) - ({e}y2 - {e}y1) * ({x} - {e}x1))"
 
 
-def _on_edge(e, x: Column, y: Column) -> Column:
-    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-    near = F.abs(_turn(e, x, y)) <= F.sqrt(dx * dx + dy * dy) * TOUCH
-    across = x.between(F.least(e["x1"], e["x2"]) - TOUCH, F.greatest(e["x1"], e["x2"]) + TOUCH)
-    along = y.between(F.least(e["y1"], e["y2"]) - TOUCH, F.greatest(e["y1"], e["y2"]) + TOUCH)
-    return near & across & along
+def _on_edge(x: str, y: str) -> str:
+    reach = "sqrt((e.x2 - e.x1) * (e.x2 - e.x1) + (e.y2 - e.y1) * (e.y2 - e.y1))"
+    spans = [
+        f"{v} BETWEEN least(e.{k}1, e.{k}2) - {TOUCH}D AND greatest(e.{k}1, e.{k}2) + {TOUCH}D"
+        for k, v in (("x", x), ("y", y))
+    ]
+    return f"abs({_turn('e.', x, y)}) <= {reach} * {TOUCH}D AND {' AND '.join(spans)}"
 
 
 class GridPlan(NamedTuple):
@@ -130,24 +131,18 @@ def _polygon_cells(edges: DataFrame, poly: list[str], cell: float, chunks: int)
     ``base`` is 1 if the reference point (left side, mid height) is inside.
     With several chunks the edges come in extra rows of base 0.
     """
-    rows = edges.withColumn(
-        "cy", F.explode(_covered(F.least("y1", "y2"), F.greatest("y1", "y2"), cell))
+    mid = start_text("cy + 0.5D", cell)
+    crosses = f"(y1 <= {mid}) != (y2 <= {mid})"
+    x_mid = f"CASE WHEN {crosses} THEN x1 + ({mid} - y1) / (y2 - y1) * (x2 - x1) END"
+    first, last = extent_text(cell)
+    cells = (
+        edges.selectExpr("*", f"explode({rows_text(cell)}) AS cy")
+        .selectExpr("*", f"{cell_text(x_mid, cell)} AS cm")
+        .selectExpr("*", f"explode(sequence(least({first}, cm), greatest({last}, cm))) AS cx")
     )
-    mid = cell_start(F.col("cy") + 0.5, cell)
-    y1, y2 = F.col("y1"), F.col("y2")
-    crosses = (y1 <= mid) != (y2 <= mid)
-    x_mid = F.when(
-        crosses, F.col("x1") + (mid - y1) / F.when(crosses, y2 - y1) * (F.col("x2") - F.col("x1"))
-    )
-    low, high = row_extent(F.col("cy"), cell)
-    margin = cell * SLACK
-    rows = rows.withColumn("cm", cell_of(x_mid, cell))
-    first = F.least(cell_of(low - margin, cell), F.col("cm"))
-    last = F.greatest(cell_of(high + margin, cell), F.col("cm"))
     edge = F.struct("x1", "y1", "x2", "y2")
-    cells = rows.withColumn("cx", F.explode(F.sequence(first, last)))
     key = [*poly, "cy", "cx"]
-    mids = F.sum(F.when(F.col("cm") == F.col("cx"), 1).otherwise(0)).alias("mids")
+    mids = F.expr("sum(CASE WHEN cm = cx THEN 1 ELSE 0 END) AS mids")
     if chunks == 1:
         marked = cells.groupBy(*key).agg(mids, F.collect_list(edge).alias("edges"))
     else:
@@ -211,7 +206,7 @@ def points_in_polygons(
     keys = [*by, *[c for c in poly if c not in by]]
     edges = edges.select(*keys, "x1", "y1", "x2", "y2")
     plan = plan or grid_plan(edges, keys, cell)
-    cell, chunks = plan.cell, plan.chunks
+    cell, chunks = float(plan.cell), plan.chunks
     table = _polygon_cells(edges, keys, cell, chunks)
     if plan.rows <= BROADCAST_ROWS:
         table = F.broadcast(table)
@@ -219,29 +214,24 @@ def points_in_polygons(
         {"cx": cell_of(F.col(x), cell), "cy": cell_of(F.col(y), cell)}
     )
     joined = located.join(table, [*by, "cx", "cy"])
-    px, py = F.col(x), F.col(y)
-    left, mid = cell_start(F.col("cx"), cell), cell_start(F.col("cy") + 0.5, cell)
-
-    def flips(e):
-        corner = _turn(e, left, py) > 0
-        level = ((e["y1"] <= py) != (e["y2"] <= py)) & (corner != (_turn(e, px, py) > 0))
-        upright = ((e["x1"] <= left) != (e["x2"] <= left)) & (corner != (_turn(e, left, mid) > 0))
-        return level.cast("int") + upright.cast("int")
-
-    crossings = F.aggregate("edges", F.col("base"), lambda n, e: n + flips(e))
-    touches = F.exists("edges", lambda e: _on_edge(e, px, py)) if border else F.lit(False)
+    px, py = f"`{x}`", f"`{y}`"
+    left, mid = start_text("cx", cell), start_text("cy + 0.5D", cell)
+    corner = f"{_turn('e.', left, py)} > 0"
+    level = f"(e.y1 <= {py}) != (e.y2 <= {py}) AND ({corner}) != ({_turn('e.', px, py)} > 0)"
+    upright = f"(e.x1 <= {left}) != (e.x2 <= {left}) AND ({corner}) != ({_turn('e.', left, mid)} > 0)"
+    crossings = f"aggregate(edges, base, (n, e) -> n + int({level}) + int({upright}))"
+    touches = f"exists(edges, e -> {_on_edge(px, py)})" if border else "false"
     own = [c for c in keys if c not in by]
     if chunks == 1:
-        return joined.filter((crossings % 2 == 1) | touches).select(*points.columns, *own)
+        inside = joined.filter(f"{crossings} % 2 = 1 OR {touches}")
+        return inside.select(*points.columns, *own)
     identity = point_id or points.columns
     rest = [c for c in points.columns if c not in identity]
     counted = joined.groupBy(*identity, *own).agg(
-        F.sum(crossings).alias("__n"),
-        F.max(touches).alias("__t"),
+        F.expr(f"sum({crossings}) % 2 = 1 OR max({touches}) AS __inside"),
         *[F.first(c).alias(c) for c in rest],
     )
-    inside = (F.col("__n") % 2 == 1) | F.col("__t")
-    return counted.filter(inside).select(*points.columns, *own)
+    return counted.filter("__inside").select(*points.columns, *own)
 
 
 def crossing_pairs(
@@ -257,13 +247,11 @@ def crossing_pairs(
     return segment_cells(segments, cell).join(e, [*by, "cx", "cy"])
 
 
-def proper_crossing() -> Column:
+def proper_crossing() -> str:
     """Whether segment and edge cross in the inside of both."""
-    s = {k: F.col(k) for k in ("x1", "y1", "x2", "y2")}
-    e = {k: F.col(f"e{k}") for k in ("x1", "y1", "x2", "y2")}
-    sides = F.signum(_turn(e, s["x1"], s["y1"])) * F.signum(_turn(e, s["x2"], s["y2"]))
-    other = F.signum(_turn(s, e["x1"], e["y1"])) * F.signum(_turn(s, e["x2"], e["y2"]))
-    return (sides < 0) & (other < 0)
+    sides = [f"signum({_turn('e', f'x{k}', f'y{k}')})" for k in (1, 2)]
+    other = [f"signum({_turn('', f'ex{k}', f'ey{k}')})" for k in (1, 2)]
+    return f"{' * '.join(sides)} < 0 AND {' * '.join(other)} < 0"
 
 
 def lines_in_polygons(

@@ -17,30 +17,34 @@ def cell_of(v: Column, size: float) -> Column:
     return F.floor(v / size - SHIFT).cast("long")
 
 
-def cell_start(cell: Column, size: float) -> Column:
-    return (cell + SHIFT) * size
+def cell_text(v: str, size: float) -> str:
+    """:func:`cell_of` as SQL text; long expressions are quicker to build that way."""
+    return f"bigint(floor(({v}) / {size!r}D - {SHIFT}D))"
 
 
-def _covered(low: Column, high: Column, size: float, pad: float = 0.0) -> Column:
-    margin = size * SLACK + pad
-    return F.sequence(cell_of(low - margin, size), cell_of(high + margin, size))
+def start_text(cell: str, size: float) -> str:
+    return f"(({cell}) + {SHIFT}D) * {size!r}D"
 
 
-def row_extent(row: Column, size: float) -> tuple[Column, Column]:
-    """x range of the segment x1..y2 within one grid row, ends included."""
-    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
-    low, high = cell_start(row, size), cell_start(row + 1, size)
+def rows_text(size: float) -> str:
+    """Grid rows that the segment x1..y2 passes."""
+    margin = f"{size * SLACK!r}D"
+    first = cell_text(f"least(y1, y2) - {margin}", size)
+    return f"sequence({first}, {cell_text(f'greatest(y1, y2) + {margin}', size)})"
 
-    def x_at(y: Column) -> Column:
-        f = F.when(y2 != y1, (y - y1) / F.when(y2 != y1, y2 - y1))
-        return x1 + F.least(F.greatest(f, F.lit(0.0)), F.lit(1.0)) * (x2 - x1)
 
-    xa, xb = x_at(low), x_at(high)
-    level = y1 == y2
-    return (
-        F.when(level, F.least(x1, x2)).otherwise(F.least(xa, xb)),
-        F.when(level, F.greatest(x1, x2)).otherwise(F.greatest(xa, xb)),
-    )
+def extent_text(size: float) -> tuple[str, str]:
+    """First and last cell that the segment x1..y2 passes in grid row ``cy``."""
+
+    def x_at(y: str) -> str:
+        share = f"CASE WHEN y2 != y1 THEN ({y} - y1) / (y2 - y1) END"
+        return f"(x1 + least(greatest({share}, 0D), 1D) * (x2 - x1))"
+
+    a, b = x_at(start_text("cy", size)), x_at(start_text("cy + 1", size))
+    low = f"CASE WHEN y1 = y2 THEN least(x1, x2) ELSE least({a}, {b}) END"
+    high = f"CASE WHEN y1 = y2 THEN greatest(x1, x2) ELSE greatest({a}, {b}) END"
+    margin = f"{size * SLACK!r}D"
+    return cell_text(f"{low} - {margin}", size), cell_text(f"{high} + {margin}", size)
 
 
 def segment_cells(segments: DataFrame, size: float) -> DataFrame:
@@ -49,12 +53,11 @@ def segment_cells(segments: DataFrame, size: float) -> DataFrame:
     Row by row of the grid, so the number of cells grows with the length of
     the segment, not with the area of its box.
     """
-    rows = segments.withColumn(
-        "cy",
-        F.explode(_covered(F.least("y1", "y2"), F.greatest("y1", "y2"), size)),
+    size = float(size)
+    first, last = extent_text(size)
+    return segments.selectExpr("*", f"explode({rows_text(size)}) AS cy").selectExpr(
+        "*", f"explode(sequence({first}, {last})) AS cx"
     )
-    low, high = row_extent(F.col("cy"), size)
-    return rows.withColumn("cx", F.explode(_covered(low, high, size)))
 
 
 def total_length(segments: DataFrame) -> tuple[int, float]:

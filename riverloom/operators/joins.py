@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPREAD = 512
 
@@ -17,16 +17,13 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
     complete keys are split by the adaptive skew join, as ``right`` holds each
     key once and only the left side is large.
     """
-    complete = F.lit(True)
-    for k in keys:
-        complete = complete & F.col(k).isNotNull()
-    others = [c for c in left.columns if left.schema[c].dataType.typeName() != "map"]
-    spread = F.when(complete, F.lit(0)).otherwise(
-        1 + F.pmod(F.xxhash64(*others), F.lit(SPREAD)).cast("int")
+    complete = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    hashed = ", ".join(f"`{f.name}`" for f in left.schema if not isinstance(f.dataType, T.MapType))
+    spread = (
+        f"CASE WHEN {complete} THEN 0 ELSE 1 + int(pmod(xxhash64({hashed}), {SPREAD})) END AS __spread"
     )
-    joined = left.withColumn("__spread", spread).join(
-        right.withColumn("__spread", F.lit(0)), [*keys, "__spread"], how
+    joined = left.selectExpr("*", spread).join(
+        right.selectExpr("*", "0 AS __spread"), [*keys, "__spread"], how
     )
-    return joined.select(*left.columns, *[c for c in right.columns if c not in keys]) if how == (
-        "left"
-    ) else joined.select(*left.columns)
+    added = [c for c in right.columns if c not in keys] if how == "left" else []
+    return joined.select(*left.columns, *added)

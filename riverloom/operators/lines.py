@@ -33,16 +33,12 @@ from riverloom.session import saved
 MAX_MEMBERS = 1000
 
 
-def _positions() -> Column:
+def _positions() -> str:
     """Position (vertex number plus share) at which an edge cuts its segment."""
-    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
-    a1, b1, a2, b2 = (F.col(c) for c in ("ex1", "ey1", "ex2", "ey2"))
-    dx, dy, ex, ey = x2 - x1, y2 - y1, a2 - a1, b2 - b1
-    det = dx * ey - dy * ex
-    det = F.when(det != 0, det)
-    t = ((a1 - x1) * ey - (b1 - y1) * ex) / det
-    u = ((a1 - x1) * dy - (b1 - y1) * dx) / det
-    return F.when(t.between(0, 1) & u.between(0, 1), F.col("seg") + F.round(t, 9))
+    det = "nullif((x2 - x1) * (ey2 - ey1) - (y2 - y1) * (ex2 - ex1), 0D)"
+    t = f"(((ex1 - x1) * (ey2 - ey1) - (ey1 - y1) * (ex2 - ex1)) / {det})"
+    u = f"(((ex1 - x1) * (y2 - y1) - (ey1 - y1) * (x2 - x1)) / {det})"
+    return f"CASE WHEN {t} BETWEEN 0 AND 1 AND {u} BETWEEN 0 AND 1 THEN seg + round({t}, 9) END"
 
 
 def cut_positions(
@@ -57,8 +53,8 @@ def cut_positions(
     edges = edges.select(*by, "x1", "y1", "x2", "y2")
     return (
         crossing_pairs(segs, edges, by, cell)
-        .select(line_id, _positions().alias("p"))
-        .filter(F.col("p").isNotNull())
+        .selectExpr(line_id, f"{_positions()} AS p")
+        .filter("p IS NOT NULL")
         .groupBy(line_id)
         .agg(F.sort_array(F.collect_set("p")).alias("cuts"))
     )

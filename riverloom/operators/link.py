@@ -17,15 +17,11 @@ def link_swaths(metric: DataFrame, swaths: DataFrame) -> DataFrame:
     The pair is unique among swaths, so rows are never multiplied; ids held
     from an earlier load are recomputed.
     """
-    by_position = swaths.filter(
-        F.col("axis").isNotNull() & F.col("measure_medial_axis").isNotNull()
-    ).select(
-        F.col("axis").cast("long").alias("axis"),
-        F.col("measure_medial_axis").cast("long").alias("measure_medial_axis"),
-        F.col("gid").alias(LINK),
+    by_position = swaths.filter("axis IS NOT NULL AND measure_medial_axis IS NOT NULL").selectExpr(
+        "bigint(axis) AS axis", "bigint(measure_medial_axis) AS measure_medial_axis", f"gid AS {LINK}"
     )
-    bare = metric.drop(LINK)
-    typed = bare.withColumns({k: F.col(k).cast("long") for k in POSITION})
+    bare = [c for c in metric.columns if c != LINK]
+    typed = metric.selectExpr(*[f"bigint({c}) AS {c}" if c in POSITION else f"`{c}`" for c in bare])
     return keyed_join(typed, by_position, POSITION, "left")
 
 

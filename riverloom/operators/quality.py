@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import dataclass
+from functools import cached_property
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -17,13 +18,24 @@ class Duplicates(NamedTuple):
     summary: DataFrame
 
 
-class SideCheck(NamedTuple):
+@dataclass(frozen=True)
+class SideCheck:
+    """A table, and the rows of it that share a position within one bank."""
+
     table: DataFrame
-    duplicates: DataFrame
+    checked: DataFrame
+    keys: list[str]
+
+    @cached_property
+    def duplicates(self) -> DataFrame:
+        banks = self.checked.filter(F.col("side").isin("left", "right"))
+        repeated = repeated_keys(banks, self.keys).select(*self.keys)
+        rows = banks.filter(_complete(self.keys)).join(repeated, self.keys, "left_semi")
+        return rows.select(*self.checked.columns)
 
 
-def _complete(keys):
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+def _complete(keys: list[str]) -> str:
+    return " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
 
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -80,12 +92,12 @@ def check_sides(
     They are reported and the table is left as it is; ``drop=True`` also takes
     their positions out, on both banks.
     """
-    banks = df.filter(F.col("side").isin("left", "right"))
-    repeated = repeated_keys(banks, ["side", axis, measure])
     keys = ["side", axis, measure]
-    rows = banks.filter(_complete(keys)).join(repeated.select(*keys), keys, "left_semi")
-    table = drop_duplicate_keys(df, repeated, axis, measure) if drop else df
-    return SideCheck(table, rows.select(*df.columns))
+    table = df
+    if drop:
+        banks = df.filter(F.col("side").isin("left", "right"))
+        table = drop_duplicate_keys(df, repeated_keys(banks, keys), axis, measure)
+    return SideCheck(table, df, keys)
 
 
 def fk_violations(

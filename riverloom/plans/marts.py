@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverloom.functions.columns import confinement
 from riverloom.operators.link import LINK, link_swaths
 from riverloom.schemas import CONTINUITY_LABELS, LANDCOVER_LABELS, METRIC_TABLES
 from riverloom.sources.tables import Builder, refresh
@@ -17,10 +16,9 @@ GROUP = [LINK, "axis", "measure_medial_axis"]
 
 def _full_side(df: DataFrame, labels: list[str], total: str) -> DataFrame:
     """Sums over the banks; percentages are halved even if one bank is absent."""
-    return df.groupBy(*GROUP).agg(
-        *[F.sum(c).alias(c) for c in [*labels, total]],
-        *[(F.sum(f"{c}_pc") / 2).alias(f"{c}_pc") for c in labels],
-    )
+    sums = [f"sum(`{c}`) AS `{c}`" for c in [*labels, total]]
+    shares = [f"sum(`{c}_pc`) / 2 AS `{c}_pc`" for c in labels]
+    return df.groupBy(*GROUP).agg(*map(F.expr, sums + shares))
 
 
 def full_side_area(df: DataFrame, labels: list[str]) -> DataFrame:
@@ -71,7 +69,7 @@ def network_metrics(
     s, a = swaths.alias("s"), hydro_axis.select("axis", "toponyme").alias("a")
 
     def linked(df: DataFrame, columns: list[str], name: str) -> DataFrame:
-        return df.filter(F.col(LINK).isNotNull()).select(*GROUP, *columns).alias(name)
+        return df.filter(f"{LINK} IS NOT NULL").select(*GROUP, *columns).alias(name)
 
     def pc(labels):
         return [f"{c}_pc" for c in labels]
@@ -84,12 +82,12 @@ def network_metrics(
 
     joined = s.join(a, F.col("s.axis") == F.col("a.axis"), "left")
     for name, side in (("t", t), ("w", w), ("lc", lc), ("ca", ca)):
-        same = (
-            (F.col(f"{name}.{LINK}") == F.col("s.gid"))
-            & (F.col(f"{name}.axis") == F.col("s.axis"))
-            & (F.col(f"{name}.measure_medial_axis") == F.col("s.measure_medial_axis"))
-        )
-        joined = joined.join(side, same, "left")
+        same = [
+            f"{name}.{LINK} = s.gid",
+            f"{name}.axis = s.axis",
+            f"{name}.measure_medial_axis = s.measure_medial_axis",
+        ]
+        joined = joined.join(side, F.expr(" AND ".join(same)), "left")
 
     served = {
         "active_channel": "active_channel",
@@ -99,33 +97,32 @@ def network_metrics(
         "disconnected": "disconnected",
         "built": "built_environment",
     }
-    water, active, total = (F.col(f"w.{c}") for c in ("water_channel", "active_channel", "sum_width"))
-    riparian = F.col("w.riparian_buffer")
-    return joined.select(
-        F.col("s.gid").alias("fid"),
-        F.col("s.axis").alias("axis"),
+    widths = {
+        "idx_confinement": "CASE WHEN w.sum_width != 0 THEN (w.water_channel + w.active_channel) / w.sum_width END",
+        "water_channel_width": "w.water_channel",
+        "active_channel_width": "w.water_channel + w.active_channel",
+        "natural_corridor_width": "w.riparian_buffer",
+        "connected_corridor_width": "w.riparian_buffer + w.connected_meadows + w.connected_cultivated",
+        "valley_bottom_width": "w.sum_width",
+    }
+    return joined.selectExpr(
+        "s.gid AS fid",
+        "s.axis",
         "s.gid_region",
         "s.measure_medial_axis",
-        F.col("s.measure_from_outlet").alias("measure"),
+        "s.measure_from_outlet AS measure",
         "a.toponyme",
         "s.strahler",
-        F.col("t.elevation_talweg").alias("talweg_elevation_min"),
-        confinement(water, active, total).alias("idx_confinement"),
-        water.alias("water_channel_width"),
-        (water + active).alias("active_channel_width"),
-        riparian.alias("natural_corridor_width"),
-        (riparian + F.col("w.connected_meadows") + F.col("w.connected_cultivated")).alias(
-            "connected_corridor_width"
-        ),
-        total.alias("valley_bottom_width"),
-        F.col("t.slope_talweg").alias("talweg_slope"),
-        F.col("t.slope_valley_bottom").alias("floodplain_slope"),
-        *[F.col(f"lc.{c}") for c in LANDCOVER_LABELS],
-        *[F.col(f"ca.{c}").alias(served[c]) for c in corridor],
-        *[F.col(f"lc.{c}_pc") for c in LANDCOVER_LABELS],
-        *[F.col(f"ca.{c}_pc").alias(f"{served[c]}_pc") for c in corridor],
-        F.col("ca.sum_area").alias("sum_area"),
-        *([F.col("s.geom").alias("geom")] if "geom" in swaths.columns else []),
+        "t.elevation_talweg AS talweg_elevation_min",
+        *[f"{text} AS {name}" for name, text in widths.items()],
+        "t.slope_talweg AS talweg_slope",
+        "t.slope_valley_bottom AS floodplain_slope",
+        *[f"lc.{c}" for c in LANDCOVER_LABELS],
+        *[f"ca.{c} AS {served[c]}" for c in corridor],
+        *[f"lc.{c}_pc" for c in LANDCOVER_LABELS],
+        *[f"ca.{c}_pc AS {served[c]}_pc" for c in corridor],
+        "ca.sum_area",
+        *(["s.geom"] if "geom" in swaths.columns else []),
     )
 
 

@@ -19,6 +19,8 @@ def local_session(app: str = "riverloom", cores: str = "8", partitions: int = 8)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        # call sites in error messages cost several gateway calls per expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
