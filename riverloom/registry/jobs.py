@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riverloom import fixtures as fixture
-from riverloom.functions.geometry import line_length
+from riverloom.functions.geometry import line_length, xy
+from riverloom.functions.projection import reproject
 from riverloom.operators.profiles import axis_summary
 from riverloom.plans import marts, prepare
 from riverloom.registry import query
@@ -266,6 +267,51 @@ def _(spark, sf):
     return tables.read_table(spark, path)
 
 
+# --- layers -----------------------------------------------------------------------------------------
+
+
+def _degree_layer(spark, sf, names: dict[str, str]):
+    """Swath polygons moved into the working area and written in degrees."""
+    metres = fixture.swath_polygons(spark, sf).withColumn(
+        "geom",
+        F.transform(
+            "geom",
+            lambda r: F.transform(r, lambda v: xy(v["x"] + 650000, v["y"] + 6550000)),
+        ),
+    )
+    return reproject(metres, ["geom"], 2154, 4326).withColumnsRenamed(names)
+
+
+def _corners(df):
+    key = [c for c in df.columns if c != "geom"]
+    flat = df.select(*key, F.explode(F.flatten("geom")).alias("v"))
+    return flat.select(*key, F.round("v.x", 3).alias("x"), F.round("v.y", 3).alias("y"))
+
+
+LAYER_CORNERS = "ROUND(x + 650000, 3) AS x, ROUND(y + 6550000, 3) AS y FROM fx_swath_rings"
+
+
+@query(
+    "prepare_regions",
+    ctes(*fx("swath_rings")) + "SELECT axis AS gid, measure AS cd_region_hy, " + LAYER_CORNERS,
+)
+def _(spark, sf):
+    names = {"axis": "GID", "m": "Cd.Region-Hy"}
+    layer = _degree_layer(spark, sf, names).drop("value", "drainage")
+    return _corners(prepare.prepare_regions(layer, srid=4326))
+
+
+@query(
+    "prepare_basins",
+    ctes(*fx("swath_rings"))
+    + "SELECT measure AS cdbh, CAST(axis + measure AS DOUBLE) AS lb_bh, " + LAYER_CORNERS,
+)
+def _(spark, sf):
+    names = {"axis": "gid", "m": "CdBH", "drainage": "Lb BH"}
+    layer = _degree_layer(spark, sf, names).drop("value")
+    return _corners(prepare.prepare_basins(layer, srid=4326))
+
+
 # --- sites, network and obstacles end to end ----------------------------------------------------------
 
 
