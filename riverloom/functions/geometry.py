@@ -5,7 +5,7 @@ All of them work inside one row, on the JVM side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -98,10 +98,3 @@ def cut_line(line: Column, start: Column, stop: Column) -> Column:
     last = F.ceil(stop).cast("int") - 1
     between = F.slice(line, first + 1, F.greatest(last - first + 1, F.lit(0)))
     return F.concat(F.array(point_at(line, start)), between, F.array(point_at(line, stop)))
-
-
-def ends(df: DataFrame, line: str = "geom") -> DataFrame:
-    """Add first and last vertex as columns ``start`` and ``stop``."""
-    return df.withColumns(
-        {"start": first_vertex(F.col(line)), "stop": last_vertex(F.col(line))}
-    )

@@ -26,7 +26,6 @@ from riverloom.operators.containment import (
 from riverloom.operators.grid import total_length
 from riverloom.operators.joins import keyed_join
 from riverloom.operators.pointers import follow_pointers
-from riverloom.operators.quality import repeated_keys
 from riverloom.session import saved
 
 # A merged line goes on in a further part after so many members.
@@ -299,8 +298,3 @@ def merge_lines(
             _joined(F.col("geoms")).alias("geom"),
         )
     )
-
-
-def with_repeats(df: DataFrame, axis: str = "axis", measure: str = "m") -> DataFrame:
-    """Positions still held by several pieces (ties), for the load report."""
-    return repeated_keys(df, [axis, measure])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,12 +70,5 @@ def axis_summary(swaths: DataFrame, reaches: DataFrame) -> DataFrame:
     )
 
 
-class Report(NamedTuple):
-    """Rows per key, for the log of a load."""
-
-    deleted: DataFrame
-    inserted: DataFrame
-
-
 def rows_per_axis(df: DataFrame, axis: str = "axis") -> DataFrame:
     return df.groupBy(axis).agg(F.count(F.lit(1)).alias("n"))

@@ -82,16 +82,17 @@ def upsert_table(
     shared folder, so that they are computed once and a re-run of the job
     after lost executors sees the same rows.
     """
-    spark = new.sparkSession
-    rows = saved(new.withColumn(BUCKET, _bucket(key, buckets)), "staged")
+    table = _read(new.sparkSession, path, schema)
+    fields = [f for f in table.schema.fields if f.name != BUCKET]
+    # the bucket depends on the key as the table types it
+    typed = new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    rows = saved(typed.withColumn(BUCKET, _bucket(key, buckets)), "staged")
     inserted = rows.count()
     if not inserted:
         return 0, 0
     # at most ``buckets`` small numbers
     touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
-    table = _read(spark, path, schema)
     old = table.filter(F.col(BUCKET).isin(touched))
-    rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in table.schema.fields])
     replaced = replace_by_key(old, rows, key)
     deleted = replaced.deleted.first()["n"]
     _write(replaced.table, path, "overwrite")

@@ -81,6 +81,9 @@ def test_stored_table(spark, tmp_path, rows):
     assert tables.upsert_table(new, path, "axis", 8) == (4, 2)
     assert tables.upsert_table(new, path, "axis", 8) == (2, 2)
     assert tables.upsert_table(spark.createDataFrame([], SCHEMA), path, "axis", 8) == (0, 0)
+    # a key of another type meets its rows all the same
+    typed = new.withColumn("axis", F.col("axis").cast("double"))
+    assert tables.upsert_table(typed, path, "axis", 8) == (2, 2)
     table = tables.read_table(spark, path)
     assert table.count() == 198
     assert rows(table.filter("axis in (3, 77)")) == [(3, "new"), (77, "first")]
