@@ -156,7 +156,8 @@ def locate_points(
 ) -> DataFrame:
     """Add ``distance_axis``: position of each point along its own axis.
 
-    ``segments`` come from :func:`measured_segments`. The nearest segment is
+    ``segments`` come from :func:`measured_segments`; they are read once per
+    round, so a computed table is better saved first. The nearest segment is
     looked for within one cell, and for points with none that near again in
     cells eight times as large, until every point whose axis exists is placed.
     Points are never paired with all segments of their axis. Points without an

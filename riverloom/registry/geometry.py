@@ -12,6 +12,7 @@ from riverloom.functions.simplify import simplify_lines
 from riverloom.operators import containment, lines, network
 from riverloom.registry import query
 from riverloom.registry.sql import ctes, fx
+from riverloom.session import saved
 
 REGION_EDGES = """SELECT a.gid AS gid_region, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
   FROM fx_region_rings a JOIN fx_region_rings b ON b.gid = a.gid AND b.seq = a.seq + 1"""
@@ -504,5 +505,6 @@ def _(spark, sf):
   SELECT *, ROW_NUMBER() OVER (PARTITION BY pid ORDER BY d, seg) AS k FROM feet) t WHERE k = 1""",
 )
 def _(spark, sf):
-    located = network.locate_points(network_points(spark, sf), network_segments(spark, sf))
+    segments = saved(network_segments(spark, sf), "segments")
+    located = network.locate_points(network_points(spark, sf), segments)
     return located.select("point_id", "axis", F.round("distance_axis", 2).alias("distance_axis"))
