@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riverloom.session import ship_package
+
 
 def kept_vertices(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
     """Indices kept; both ends always are."""
@@ -38,6 +40,8 @@ def simplify_lines(df: DataFrame, tolerance: float = 200.0, geom: str = "geom")
     only indices come back.
     """
 
+    ship_package(df.sparkSession)
+
     @F.pandas_udf("array<int>")
     def kept(xs: pd.Series, ys: pd.Series) -> pd.Series:
         return pd.Series(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -80,3 +82,30 @@ def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts the lineage and survives lost executors."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the workers, once per application.
+
+    Python tasks refer to functions by module; workers on other machines, or
+    started from another folder, need not have the package installed.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted(root.rglob("*.py")):
+            out.write(module, module.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
+
+
+def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with a function of this package."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
