@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverloom.llm import minhash, mixing
+from riverloom.llm import automata, minhash, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,10 @@ LEFT JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN cuts c ON d.sour
 def op10_minhash_near_duplicates(spark, sf_dir):
     """Classes of documents linked by 85 % of their five-word shingles or more."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_repeated_passages(spark, sf_dir):
+    """What is left of each document without words that 50-word windows of earlier ones hold."""
+    found = automata.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
