@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverloom.llm import automata, minhash, mixing
+from riverloom.llm import automata, language_model, minhash, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_kneser_ney_scores(spark, sf_dir):
+    """Every document under a model of the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    # a null id has no remainder: it is trained on
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
+    model = language_model.train(docs.where(~held_out))
+    scores = language_model.score(docs, model)
+    return scores.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score",
+    )
+
+
 @query
 def op8_source_mixing(spark, sf_dir):
     """What a mix of all documents takes of each, at sources' weights 5, 2, 1, 5, ..."""
