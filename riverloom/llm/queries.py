@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverloom.llm import automata, language_model, minhash, mixing
+from riverloom.llm import automata, language_model, minhash, mixing, records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,19 @@ def op1_kneser_ney_scores(spark, sf_dir):
     )
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op6_binary_records(spark, sf_dir):
+    """The records of all documents, as read back from the files."""
+    manifest = records.write_records(table(spark, sf_dir, "documents"), vocabulary(), end_id=1)
+    return records.checksums(records.read_records(manifest))
+
+
 @query
 def op8_source_mixing(spark, sf_dir):
     """What a mix of all documents takes of each, at sources' weights 5, 2, 1, 5, ..."""
