@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverloom.llm import automata, language_model, minhash, mixing, records
+from riverloom.llm import automata, cap_filters, language_model, minhash, mixing, records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,12 @@ def op1_kneser_ney_scores(spark, sf_dir):
     )
 
 
+@query
+def op4_cap_filter_links(spark, sf_dir):
+    """Links and components of vectors of a label at a cosine of 0.93 or more."""
+    return cap_filters.linked_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
