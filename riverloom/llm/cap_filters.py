@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverloom.llm.components import components
-from riverloom.llm.pairs import block_units, whole_runs
+from riverloom.llm.pairs import block_units, local_roots, whole_runs
 from riverloom.session import map_arrow, saved
 
 PARTS = 2
@@ -172,20 +172,6 @@ def _pass(codes: dict[int, Code]):
     return run
 
 
-def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest index in the component of each of n nodes under the links (a, b)."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, root[a], low)
-        np.minimum.at(new, root[b], low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _link(threshold: float):
     def run(batches):
         keys = ["label", "dim", "filter", "lo", "hi"]

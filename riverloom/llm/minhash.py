@@ -8,11 +8,12 @@ Signatures are cut into bands; documents that agree in a band share a bucket.
 A bucket proposes a star: its member with most bucket mates is the hub, and every
 other member a candidate with the hub, so a bucket of n members has n - 1 pairs.
 Candidates are confirmed on full shingle sets. Where a bucket still holds several
-components, its members are compared by signature in blocks of bounded size, and
-pairs of different components whose signatures agree in at least ``LEAST_AGREEING``
-bins (similarity 0.70, five deviations below 0.85) are confirmed too, so that a star
-around the wrong hub loses no link. A pair at 0.85 shares no band with a probability
-of 3e-7.
+components, its members are compared by signature in blocks of bounded size. Those with
+a partner in another component whose signature agrees in at least ``LEAST_AGREEING`` bins
+(similarity 0.70, five deviations below 0.85) meet again with their full sets, all
+intersections of a block are counted at once, and the links found leave the task as
+stars. So a star around the wrong hub loses no link, and no pair of a bucket is ever a
+row. A pair at 0.85 shares no band with a probability of 3e-7.
 
 Documents with equal sets are one class and compared once. A document's set holds its
 distinct shingles of five words; of fewer words, the whole sequence; of no words or a
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverloom.llm.components import components
-from riverloom.llm.pairs import block_units, whole_runs
+from riverloom.llm.pairs import block_units, local_roots, whole_runs
 from riverloom.llm.words import Texts, lists, mix, pieces, range_hashes, signed
 from riverloom.session import map_arrow, saved
 
@@ -40,6 +41,7 @@ BANDS, ROWS = 32, 6
 BINS = BANDS * ROWS
 LEAST_AGREEING = 134
 BLOCK = 512
+UNIT = ["key", "lo", "hi"]
 
 _rng = np.random.Generator(np.random.PCG64(5))
 _ORDER = np.array([_rng.permutation(BINS) for _ in range(BINS)])
@@ -136,12 +138,13 @@ def _confirm(percent: int):
     return run
 
 
-def _similar_in_blocks(batches):
-    for table, starts in whole_runs(batches, ["key", "lo", "hi"]):
-        rep, label = table["rep"].to_numpy(), table["label"].to_numpy()
+def _promising(batches):
+    """Members of a unit with a partner of another component and a like signature."""
+    for table, starts in whole_runs(batches, UNIT):
+        label = table["label"].to_numpy()
         lo, hi, block = (table[c].to_numpy() for c in ("lo", "hi", "block"))
         agree = np.frombuffer(b"".join(table["agree"].to_pylist()), np.uint8).reshape(-1, BINS)
-        left, right = [], []
+        keep = np.zeros(len(table), bool)
         for s, e in zip(starts[:-1], starts[1:]):
             cross = lo[s] != hi[s]
             for i in range(s, e - 1):
@@ -149,15 +152,59 @@ def _similar_in_blocks(batches):
                 others = others[label[others] != label[i]]
                 if cross:
                     others = others[block[others] != block[i]]
-                if len(others):
-                    alike = others[(agree[others] == agree[i]).sum(axis=1) >= LEAST_AGREEING]
-                    left.append(np.full(len(alike), rep[i]))
-                    right.append(rep[alike])
-        if left:
-            a, b = np.concatenate(left), np.concatenate(right)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
-            )
+                alike = others[(agree[others] == agree[i]).sum(axis=1) >= LEAST_AGREEING]
+                keep[alike] = True
+                keep[i] |= len(alike) > 0
+        yield from table.drop_columns(["agree"]).filter(pa.array(keep)).combine_chunks().to_batches()
+
+
+def shared_counts(values: np.ndarray, ends: np.ndarray, columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets; set i is values[ends[i-1]:ends[i]]."""
+    n = len(ends)
+    owner = np.repeat(np.arange(n), np.diff(ends, prepend=0))
+    _, number, times = np.unique(values, return_inverse=True, return_counts=True)
+    often = times > 1  # a shingle of one set is in no intersection
+    column = np.cumsum(often) - 1
+    shared = often[number]
+    owner, number = owner[shared], column[number[shared]]
+    order = np.argsort(number, kind="stable")
+    owner, number = owner[order], number[order]
+    out = np.zeros((n, n), np.float32)
+    for lo in range(0, int(often.sum()), columns):
+        a, b = np.searchsorted(number, [lo, lo + columns])
+        has = np.zeros((n, columns), np.float32)
+        has[owner[a:b], number[a:b] - lo] = 1
+        out += has @ has.T
+    return out
+
+
+def _link_in_blocks(percent: int):
+    def run(batches):
+        for table, starts in whole_runs(batches, UNIT):
+            rep, label = table["rep"].to_numpy(), table["label"].to_numpy()
+            lo, hi, block = (table[c].to_numpy() for c in ("lo", "hi", "block"))
+            sets = table["shingles"].combine_chunks()
+            offsets, values = sets.offsets.to_numpy().astype(np.int64), sets.values.to_numpy(zero_copy_only=False)
+            links = []
+            for s, e in zip(starts[:-1], starts[1:]):
+                own = values[offsets[s] : offsets[e]]
+                ends = offsets[s + 1 : e + 1] - offsets[s]
+                both = shared_counts(own, ends).astype(np.int64)
+                sizes = np.diff(ends, prepend=0)
+                linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+                linked &= label[s:e, None] != label[None, s:e]
+                if lo[s] != hi[s]:
+                    linked &= block[s:e, None] != block[None, s:e]
+                i, j = np.nonzero(np.triu(linked, 1))
+                if len(i):
+                    root = local_roots(e - s, i, j)
+                    members = np.flatnonzero(root != np.arange(e - s))
+                    links.append((rep[s:e][members], rep[s:e][root[members]]))
+            if links:
+                a, b = (np.concatenate(x) for x in zip(*links))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -211,12 +258,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     split = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
     open_rows = labelled.join(split.select("key"), "key").join(classes.select("rep", "agree"), "rep")
-    more = saved(
-        map_arrow(block_units(open_rows, ["key"], "rep", BLOCK), _similar_in_blocks, "a long, b long").distinct(),
-        "minhash-rest",
+    promising = map_arrow(
+        block_units(open_rows, ["key"], "rep", BLOCK),
+        _promising,
+        "key long, rep long, label long, block int, lo int, hi int",
+    )
+    again = saved(promising, "minhash-open").join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    more = map_arrow(
+        again.repartition(*UNIT).sortWithinPartitions(*UNIT), _link_in_blocks(percent), "a long, b long"
     )
-    if not more.isEmpty():
-        labels = components(links.unionByName(confirmed(more, "minhash-links")))
+    labels = components(links.unionByName(more))
 
     found = classes.select(*key, "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     found = found.select(*key, F.coalesce("component", "rep").alias("component_id"))

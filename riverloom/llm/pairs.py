@@ -60,3 +60,17 @@ def whole_runs(
     if kept:
         table = pa.Table.from_batches(kept)
         yield table, cuts(table)
+
+
+def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest index in the component of each of n nodes under the links (a, b)."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
