@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverloom.llm import automata, cap_filters, language_model, minhash, mixing, records
+from riverloom.llm import automata, cap_filters, language_model, minhash, mixing, records, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,8 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_kneser_ney_scores(spark, sf_dir):
     """Every document under a model of the documents that are not held out."""
     docs = table(spark, sf_dir, "documents")
-    # a null id has no remainder: it is trained on
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
+    held_out = every_nth("doc_id", 10)
     model = language_model.train(docs.where(~held_out))
     scores = language_model.score(docs, model)
     return scores.select(
@@ -42,6 +41,26 @@ def op4_cap_filter_links(spark, sf_dir):
     return cap_filters.linked_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def every_nth(column: str, n: int):
+    """Whether the id's checksum has remainder 0; a null id's has not."""
+    return F.coalesce(F.crc32(F.col(column).cast("string")) % n == 0, F.lit(False))
+
+
+def toxicity_model(spark, docs: DataFrame, sf_dir: str) -> toxicity.Classifier:
+    """Fitted on the labelled rows that are not held out."""
+    labels = table(spark, sf_dir, "labels").where(~every_nth("doc_id", 5))
+    return toxicity.fit(docs, labels)
+
+
+@query
+def op5_counterfactual_toxicity(spark, sf_dir):
+    """Toxicity of every document."""
+    docs = table(spark, sf_dir, "documents")
+    scores = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scores.select("doc_id", every_nth("doc_id", 5).alias("held_out"), "score", predicted)
+
+
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 

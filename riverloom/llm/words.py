@@ -76,10 +76,15 @@ class Texts:
         self.first = np.searchsorted(self.starts, offsets)
         self._hashes: np.ndarray | None = None
 
+    @property
+    def byte_values(self) -> np.ndarray:
+        """A random number for each byte, to be hashed by :func:`range_hashes`."""
+        return _BYTES[self.data]
+
     @property
     def hashes(self) -> np.ndarray:
         if self._hashes is None:
-            self._hashes = range_hashes(_BYTES[self.data], self.starts, self.ends)
+            self._hashes = range_hashes(self.byte_values, self.starts, self.ends)
         return self._hashes
 
     def rows(self) -> np.ndarray:
