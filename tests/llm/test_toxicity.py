@@ -90,4 +90,4 @@ def test_held_out_documents(spark):
     got = queries.QUERIES["op5_counterfactual_toxicity"](spark, sf).collect()
     held = [r for r in got if r.held_out and r.doc_id in toxic]
     wrong = [r for r in held if r.predicted != toxic[r.doc_id]]
-    assert len(got) == 10_000 and held and len(wrong) <= 0.01 * len(held)
+    assert len(got) == 10_000 and held and len(wrong) <= 0.02 * len(held)
