@@ -22,7 +22,8 @@ shares no anchor.
 
 Copies of a hot passage are one segment, and its contexts make many. An anchor with more
 than ``MOST_SEGMENTS`` of them would not fit an automaton of bounded size: the windows of
-these segments get their smallest id by an aggregate over window hashes instead.
+these segments are dealt out by their hashes instead, as packed arrays, and each bucket
+gives back the runs of windows that an earlier document holds too.
 
 Null texts have no words. Rows without an id are never removed from and remove
 nothing. Rows that repeat an id are one document's: they remove nothing from each
@@ -44,6 +45,7 @@ WINDOW = 50
 GRAM = 8
 SHARD_WORDS = 20_000
 MOST_SEGMENTS = 512
+SEGMENTS_PER_BUCKET = 20_000
 
 
 class SuffixAutomaton:
@@ -276,21 +278,94 @@ def _match(window: int, shard_words: int):
     return run
 
 
-def _window_hashes(window: int):
+ENTRY = np.dtype([("content", "i8"), ("anchor", "i8"), ("segment", "i8"), ("low", "i8"), ("start", "i4")])
+PACKED = "bucket int, entries binary"
+
+
+def _packed(entries: np.ndarray, bucket: np.ndarray):
+    """One row for each bucket that has entries."""
+    order = np.argsort(bucket, kind="stable")
+    numbers, cuts = np.unique(bucket[order], return_index=True)
+    if len(numbers):
+        parts = np.split(entries[order], cuts[1:])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(numbers, pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["bucket", "entries"]
+        )
+
+
+def _unpacked(batches):
+    """All entries of one bucket after the other; rows come sorted by bucket."""
+    for table, starts in whole_runs(batches, ["bucket"]):
+        blobs = table["entries"].to_pylist()
+        for s, e in zip(starts[:-1], starts[1:]):
+            yield np.frombuffer(b"".join(blobs[s:e]), ENTRY)
+
+
+def _deal_windows(window: int, buckets: int, most: int = 500_000):
+    """Every window of the segments, by content."""
+
     def run(batches):
+        kept: list[np.ndarray] = []
+
+        def flush():
+            entries = np.concatenate(kept) if kept else np.zeros(0, ENTRY)
+            kept.clear()
+            yield from _packed(entries, entries["content"].view(np.uint64) % np.uint64(buckets))
+
         for batch in batches:
-            for lo, hi, texts in pieces(batch["words"]):
+            own = {c: batch[c].to_numpy() for c in ("anchor", "segment", "low")}
+            for lo, _, texts in pieces(batch["words"]):
                 at, hashes = texts.windows(window)
                 row = np.searchsorted(texts.first, at, side="right") - 1
-                part = batch.slice(lo, hi - lo).select(["anchor", "segment", "low"]).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array((at - texts.first[row]).astype(np.int32)), pa.array(signed(hashes))],
-                    ["anchor", "segment", "low", "start", "content"],
-                )
+                entries = np.zeros(len(at), ENTRY)
+                for c in own:
+                    entries[c] = own[c][lo + row]
+                entries["content"], entries["start"] = signed(hashes), at - texts.first[row]
+                kept.append(entries)
+                if sum(map(len, kept)) >= most:
+                    yield from flush()
+        yield from flush()
 
     return run
 
 
+def _earlier(buckets: int):
+    """The windows that a smaller id holds too, with that id, by segment."""
+
+    def run(batches):
+        for entries in _unpacked(batches):
+            entries = entries[np.argsort(entries["content"], kind="stable")]
+            begin = np.flatnonzero(np.concatenate(([True], entries["content"][1:] != entries["content"][:-1])))
+            low = np.minimum.reduceat(entries["low"], begin)
+            low = np.repeat(low, np.diff(np.append(begin, len(entries))))
+            found = low < entries["low"]
+            entries = entries[found]
+            entries["low"] = low[found]
+            yield from _packed(entries, entries["segment"].view(np.uint64) % np.uint64(buckets))
+
+    return run
+
+
+def _runs(batches):
+    """One row for each segment: its runs of windows with one id."""
+    for e in _unpacked(batches):
+        e = e[np.lexsort((e["start"], e["segment"], e["anchor"]))]
+        same = (e["segment"][1:] == e["segment"][:-1]) & (e["anchor"][1:] == e["anchor"][:-1])
+        on = same & (e["low"][1:] == e["low"][:-1]) & (e["start"][1:] == e["start"][:-1] + 1)
+        begin = np.flatnonzero(np.concatenate(([True], ~on)))
+        stop = e["start"][np.append(begin[1:], len(e)) - 1] + 1
+        owner = np.flatnonzero(np.concatenate(([True], ~same)))
+        offsets = np.append(np.searchsorted(begin, owner), len(begin)).astype(np.int32)
+        spans = pa.StructArray.from_arrays(
+            [pa.array(e["start"][begin]), pa.array(stop.astype(np.int32)), pa.array(e["low"][begin])],
+            ["start", "stop", "low"],
+        )
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(e["anchor"][owner]), pa.array(e["segment"][owner]), pa.ListArray.from_arrays(pa.array(offsets), spans)],
+            ["anchor", "segment", "runs"],
+        )
+
+
 def _strip(batches):
     for batch in batches:
         cuts = batch["cuts"]
@@ -342,12 +417,20 @@ def removals(
     crowded = crowded.select("anchor")
     by_anchor = cut.join(crowded, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
     found = map_arrow(by_anchor, _match(window, shard_words), FOUND)
-    crowd = cut.join(crowded, "anchor", "left_semi")
-    windows = map_arrow(crowd, _window_hashes(window), SEGMENT.replace("words string", "start int, content long"))
-    lowest = windows.groupBy("content").agg(F.min("low").alias("lowest"))
-    run = F.struct("start", (F.col("start") + 1).alias("stop"), F.col("lowest").alias("low"))
-    rest = windows.join(lowest, "content").groupBy("anchor", "segment").agg(F.collect_list(run).alias("runs"))
-    found = found.unionByName(rest)
+    crowd = saved(cut.join(crowded, "anchor", "left_semi"), "crowded-segments")
+    buckets = max(1, -(-crowd.count() // SEGMENTS_PER_BUCKET))
+
+    def by_bucket(rows: DataFrame) -> DataFrame:
+        return rows.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+
+    dealt = map_arrow(crowd, _deal_windows(window, buckets), PACKED)
+    earlier = map_arrow(by_bucket(dealt), _earlier(buckets), PACKED)
+    # copies of a segment are removed as a whole, whatever else holds its windows
+    words = F.size(F.split("words", r"[\x20\x09-\x0D]+"))
+    whole = F.struct(F.lit(0).alias("start"), (words - (window - 1)).alias("stop"), "low")
+    found = found.unionByName(map_arrow(by_bucket(earlier), _runs, FOUND)).unionByName(
+        crowd.select("anchor", "segment", F.array(whole).cast("array<struct<start:int,stop:int,low:long>>").alias("runs"))
+    )
     spans = (
         shared.join(found, ["anchor", "segment"])
         .select("doc_id", "at", F.explode("runs").alias("r"))
