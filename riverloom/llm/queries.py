@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverloom.llm import automata, cap_filters, language_model, minhash, mixing, records, toxicity
+from riverloom.llm import automata, blocks, cap_filters, language_model, minhash, mixing, records, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,6 +74,13 @@ def op6_binary_records(spark, sf_dir):
     return records.checksums(records.read_records(manifest))
 
 
+@query
+def op7_block_rules(spark, sf_dir):
+    """Main text of every page."""
+    found = blocks.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @query
 def op8_source_mixing(spark, sf_dir):
     """What a mix of all documents takes of each, at sources' weights 5, 2, 1, 5, ..."""
