@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverloom.llm import automata, blocks, cap_filters, language_model, minhash, mixing, records, toxicity
+from riverloom.llm import automata, blocks, cap_filters, language_model, leaks, minhash, mixing, records, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,12 @@ def op1_kneser_ney_scores(spark, sf_dir):
     )
 
 
+@query
+def op3_latent_benchmark_leaks(spark, sf_dir):
+    """Documents that hold benchmark items, with the item and how it was recognised."""
+    return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op4_cap_filter_links(spark, sf_dir):
     """Links and components of vectors of a label at a cosine of 0.93 or more."""

@@ -1,6 +1,6 @@
 """Toxicity classifier whose scores change little when group names are swapped.
 
-Features are words (lower-cased A-Z, outer punctuation removed) and their first 4, 5 and
+Features are words (lower-cased, outer punctuation removed) and their first 4, 5 and
 6 bytes, by hash; only whether a text has them counts, so a long text is not diluted.
 The classifier is fitted on a sample of at most ``per_class`` labelled rows of each class,
 chosen by a hash of the id; its bound is a parameter, and all rows are scored. Features
@@ -64,18 +64,10 @@ GROUPS = (
     ("inmigrantes", "refugiados", "extranjeros", "ciudadanos", "residentes"),
 )
 
-_OUTER = np.zeros(256, bool)
-_OUTER[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
-
 
 def feature_hashes(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of every feature of every word; repeats are kept."""
-    starts, ends = texts.starts.copy(), texts.ends.copy()
-    if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    for _ in range(3):
-        starts += _OUTER[texts.data[starts]] & (starts < ends - 1)
-        ends -= _OUTER[texts.data[ends - 1]] & (starts < ends - 1)
+    starts, ends = texts.trimmed()
     row = texts.rows()
     values = texts.byte_values
     rows, hashes = [row], [range_hashes(values, starts, ends)]
@@ -89,7 +81,7 @@ def feature_hashes(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 def name_hashes(groups=GROUPS) -> np.ndarray:
     """Features of all group names."""
     names = pa.array(sorted({n for g in groups for n in g}))
-    return np.unique(np.concatenate([feature_hashes(t)[1] for _, _, t in pieces(names, lower=True)] or [np.zeros(0, np.uint64)]))
+    return np.unique(np.concatenate([feature_hashes(t)[1] for _, _, t in pieces(names, fold=True)] or [np.zeros(0, np.uint64)]))
 
 
 def swapped(text: str, groups=GROUPS, times: int = 3) -> list[str]:
@@ -141,7 +133,7 @@ def _count_features(batches):
     """Numbers of toxic and other texts of the sample with each feature."""
     for batch in batches:
         toxic = batch["toxic"].to_numpy()
-        for lo, hi, texts in pieces(batch["text"], lower=True):
+        for lo, hi, texts in pieces(batch["text"], fold=True):
             row, found = feature_hashes(texts)
             order = np.lexsort((found, row))
             row, found = row[order], found[order]
@@ -165,7 +157,7 @@ def _sample_features(hashes: np.ndarray, groups):
             forms = [[t or "", *swapped(t or "", groups)] for t in texts]
             flat = pa.array([f for fs in forms for f in fs], pa.string())
             found: list[np.ndarray] = []
-            for lo, hi, part in pieces(flat, lower=True):
+            for lo, hi, part in pieces(flat, fold=True):
                 row, values = feature_hashes(part)
                 at = np.searchsorted(hashes, values)
                 at[at == len(hashes)] = 0
@@ -273,7 +265,7 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for lo, hi, texts in pieces(batch["text"], lower=True):
+            for lo, hi, texts in pieces(batch["text"], fold=True):
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"].slice(lo, hi - lo).cast(pa.int64()), pa.array(model.scores(texts))], ["doc_id", "score"]
                 )

@@ -22,6 +22,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
+_OUTER = np.zeros(256, bool)
+_OUTER[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
 _BYTES = np.random.Generator(np.random.PCG64(20)).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 5
 _powers: dict[str, np.ndarray] = {}
@@ -87,6 +89,14 @@ class Texts:
             self._hashes = range_hashes(self.byte_values, self.starts, self.ends)
         return self._hashes
 
+    def trimmed(self) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends without up to three ASCII signs at either side; never empty."""
+        starts, ends = self.starts.copy(), self.ends.copy()
+        for _ in range(3 if len(starts) else 0):
+            starts += _OUTER[self.data[starts]] & (starts < ends - 1)
+            ends -= _OUTER[self.data[ends - 1]] & (starts < ends - 1)
+        return starts, ends
+
     def rows(self) -> np.ndarray:
         """Row number of each word."""
         return np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.first))
@@ -101,13 +111,18 @@ class Texts:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
 
-def pieces(column: pa.Array, lower: bool = False, limit: int = LIMIT) -> Iterator[tuple[int, int, Texts]]:
-    """Runs of rows ``(from, to, texts)`` of a string column."""
+def pieces(
+    column: pa.Array, lower: bool = False, limit: int = LIMIT, fold: bool = False
+) -> Iterator[tuple[int, int, Texts]]:
+    """Runs of rows ``(from, to, texts)`` of a string column. ``lower`` lower-cases A-Z,
+    ``fold`` the letters of all scripts."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column.cast(pa.large_string()), "")
     if not len(column):
         return
+    if fold:
+        column = pc.utf8_lower(column)
     _, places, chars = column.buffers()
     offsets = np.frombuffer(places, np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(chars, np.uint8) if chars is not None else np.zeros(0, np.uint8)

@@ -13,7 +13,7 @@ ROOT = "/root/testdata"
 
 
 def scores(model, texts):
-    return np.concatenate([model.scores(t) for _, _, t in pieces(pa.array(texts, pa.string()), lower=True)])
+    return np.concatenate([model.scores(t) for _, _, t in pieces(pa.array(texts, pa.string()), fold=True)])
 
 
 def biased_rows(rng, n=600):
@@ -61,13 +61,13 @@ def test_swapped_forms():
 
 def test_features_against_plain():
     text = "Vile, (nasty) émigré... --- a's \t x"
-    (_, _, texts), = pieces(pa.array([text, None, ""]), lower=True)
+    (_, _, texts), = pieces(pa.array([text, None, ""]), fold=True)
     row, found = toxicity.feature_hashes(texts)
     assert set(row) == {0}
     (_, _, single), = pieces(pa.array(["vile nasty émigré"]))
     whole = set(single.hashes)
     assert whole <= set(found)
-    (_, _, prefix), = pieces(pa.array(["nastier"]), lower=True)
+    (_, _, prefix), = pieces(pa.array(["nastier"]), fold=True)
     assert set(toxicity.feature_hashes(prefix)[1]) & set(found)  # "nast"
 
 
