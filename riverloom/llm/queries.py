@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverloom.llm import automata, blocks, cap_filters, language_model, leaks, minhash, mixing, records, toxicity
+from riverloom.llm import automata, blocks, cap_filters, language_model, leaks, minhash, mixing, records, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,19 @@ def op1_kneser_ney_scores(spark, sf_dir):
     )
 
 
+@query
+def op2_warc_derivatives(spark, sf_dir):
+    """Metadata and conversion records of all pages, as read back from their WARC files."""
+    derived = warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+    back = warc.read_warc(warc.write_warc(derived))
+    return back.select(
+        F.col("source").alias("page_id"), "type", "record_id", "refers_to", "uri", "content_type", "block_digest",
+        F.octet_length("block").cast("long").alias("content_length"),
+        F.col("headers")["WARC-Source-Payload-Digest"].alias("payload_digest"),
+        F.col("headers")["WARC-Concurrent-To"].alias("concurrent_to"),
+    )
+
+
 @query
 def op3_latent_benchmark_leaks(spark, sf_dir):
     """Documents that hold benchmark items, with the item and how it was recognised."""

@@ -271,3 +271,14 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
                 )
 
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, score double")
+
+
+def below(docs: DataFrame, model: Classifier, limit: float = 0.5) -> DataFrame:
+    """The rows of docs (text and any other columns) with a score below the limit."""
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi, texts in pieces(batch["text"], fold=True):
+                yield batch.slice(lo, hi - lo).filter(pa.array(model.scores(texts) < limit))
+
+    return map_arrow(docs, run, docs.schema)
