@@ -30,7 +30,6 @@ from riverloom.operators.grid import (
     start_text,
 )
 
-MAX_CELL_EDGES = 4096
 # A point this close to an edge (metres) lies on it, where borders count.
 TOUCH = 1e-6
 # A grid table of at most so many rows and edge copies has some 20 MB.
@@ -89,17 +88,12 @@ class GridPlan(NamedTuple):
 
     cell: float
     edges: int
-    chunks: int
     length: float
     rows: float
 
 
 def grid_plan(edges: DataFrame, poly: list[str], cell: float | None = None) -> GridPlan:
-    """Measure the polygons; about as many grid cells as edges are aimed at.
-
-    One pass over the edges, and a second one only if some polygon has more
-    edges than a list may hold.
-    """
+    """Measure the polygons in one pass; about as many grid cells as edges are aimed at."""
     xs, ys = (F.least("x1", "x2"), F.greatest("x1", "x2")), (F.least("y1", "y2"), F.greatest("y1", "y2"))
     d = distance(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
     per_polygon = edges.groupBy(*poly).agg(
@@ -107,29 +101,24 @@ def grid_plan(edges: DataFrame, poly: list[str], cell: float | None = None) -> G
         ((F.max(xs[1]) - F.min(xs[0])) * (F.max(ys[1]) - F.min(ys[0]))).alias("area"),
         F.sum(d).alias("length"),
     )
-    polygons, n, largest, area, length = per_polygon.agg(
-        F.count(F.lit(1)), F.sum("n"), F.max("n"), F.sum("area"), F.sum("length")
+    polygons, n, area, length = per_polygon.agg(
+        F.count(F.lit(1)), F.sum("n"), F.sum("area"), F.sum("length")
     ).first()
     if not polygons:
-        return GridPlan(cell or 1.0, 0, 1, 0.0, 0)
+        return GridPlan(cell or 1.0, 0, 0.0, 0)
     if cell is None:
         cells = max(n, 16 * polygons)
         cell = max(math.sqrt(area / cells), length / (8 * cells)) or 1.0
     rows = 3 * n + 3 * length / cell + area / cell**2
-    if largest <= MAX_CELL_EDGES:
-        return GridPlan(cell, n, 1, length, rows)
-    crowded = (
-        segment_cells(edges, cell).groupBy(*poly, "cx", "cy").agg(F.count(F.lit(1)).alias("n"))
-    )
-    chunks = math.ceil(crowded.agg(F.max("n")).first()[0] / MAX_CELL_EDGES)
-    return GridPlan(cell, n, chunks, length, rows)
+    return GridPlan(cell, n, length, rows)
 
 
-def _polygon_cells(edges: DataFrame, poly: list[str], cell: float, chunks: int) -> DataFrame:
+def _polygon_cells(edges: DataFrame, poly: list[str], cell: float) -> DataFrame:
     """Rows (poly, cx, cy, base, edges): all cells that are not fully outside.
 
-    ``base`` is 1 if the reference point (left side, mid height) is inside.
-    With several chunks the edges come in extra rows of base 0.
+    ``base`` is 1 if the reference point (left side, mid height) is inside. A
+    list holds the edges of one polygon within one cell, few on average; it is
+    as long as the polygon is detailed there.
     """
     mid = start_text("cy + 0.5D", cell)
     crosses = f"(y1 <= {mid}) != (y2 <= {mid})"
@@ -143,10 +132,7 @@ def _polygon_cells(edges: DataFrame, poly: list[str], cell: float, chunks: int)
     edge = F.struct("x1", "y1", "x2", "y2")
     key = [*poly, "cy", "cx"]
     mids = F.expr("sum(CASE WHEN cm = cx THEN 1 ELSE 0 END) AS mids")
-    if chunks == 1:
-        marked = cells.groupBy(*key).agg(mids, F.collect_list(edge).alias("edges"))
-    else:
-        marked = cells.groupBy(*key).agg(mids)
+    marked = cells.groupBy(*key).agg(mids, F.collect_list(edge).alias("edges"))
     # one grid row of one polygon at a time: at most one entry per column
     w = Window.partitionBy(*poly, "cy").orderBy("cx")
     before = F.coalesce(
@@ -156,26 +142,20 @@ def _polygon_cells(edges: DataFrame, poly: list[str], cell: float, chunks: int)
         {"base": (before % 2).cast("int"), "after": (before + F.col("mids")) % 2, "nxt": F.lead("cx").over(w)}
     )
     empty = F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
-    held = F.col("edges") if chunks == 1 else empty
 
     def entry(cx, base, held):
         return F.struct(cx.alias("cx"), base.alias("base"), held.alias("edges"))
 
-    own = F.array(entry(F.col("cx"), F.col("base"), held))
+    own = F.array(entry(F.col("cx"), F.col("base"), F.col("edges")))
     inner = F.when(
         (F.col("after") == 1) & (F.col("nxt") > F.col("cx") + 1),
         F.transform(
             F.sequence(F.col("cx") + 1, F.col("nxt") - 1), lambda c: entry(c, F.lit(1), empty)
         ),
     ).otherwise(F.slice(own, 1, 0))
-    table = scanned.select(*poly, "cy", F.explode(F.concat(own, inner)).alias("c")).select(
+    return scanned.select(*poly, "cy", F.explode(F.concat(own, inner)).alias("c")).select(
         *poly, "cy", "c.*"
     )
-    if chunks == 1:
-        return table
-    chunk = F.pmod(F.xxhash64("x1", "y1", "x2", "y2"), F.lit(chunks))
-    listed = cells.groupBy(*key, chunk.alias("chunk")).agg(F.collect_list(edge).alias("edges"))
-    return table.unionByName(listed.select(*key, F.lit(0).alias("base"), "edges"))
 
 
 def points_in_polygons(
@@ -185,7 +165,6 @@ def points_in_polygons(
     by: list[str] = (),
     x: str = "x",
     y: str = "y",
-    point_id: list[str] | None = None,
     cell: float | None = None,
     plan: GridPlan | None = None,
     border: bool = False,
@@ -199,15 +178,14 @@ def points_in_polygons(
     ``border`` points on an edge (to a micrometre) count as inside, too.
 
     ``plan`` spares a pass over the edges where :func:`grid_plan` was called
-    before. Edge lists per cell are bounded. Where a cell needs several, the parities
-    of a point are added up per ``point_id`` (default: all point columns).
+    before. Every point row is judged by itself, so equal rows stay as many.
     """
     by = list(by)
     keys = [*by, *[c for c in poly if c not in by]]
     edges = edges.select(*keys, "x1", "y1", "x2", "y2")
     plan = plan or grid_plan(edges, keys, cell)
-    cell, chunks = float(plan.cell), plan.chunks
-    table = _polygon_cells(edges, keys, cell, chunks)
+    cell = float(plan.cell)
+    table = _polygon_cells(edges, keys, cell)
     if plan.rows <= BROADCAST_ROWS:
         table = F.broadcast(table)
     located = points.withColumns(
@@ -222,16 +200,8 @@ def points_in_polygons(
     crossings = f"aggregate(edges, base, (n, e) -> n + int({level}) + int({upright}))"
     touches = f"exists(edges, e -> {_on_edge(px, py)})" if border else "false"
     own = [c for c in keys if c not in by]
-    if chunks == 1:
-        inside = joined.filter(f"{crossings} % 2 = 1 OR {touches}")
-        return inside.select(*points.columns, *own)
-    identity = point_id or points.columns
-    rest = [c for c in points.columns if c not in identity]
-    counted = joined.groupBy(*identity, *own).agg(
-        F.expr(f"sum({crossings}) % 2 = 1 OR max({touches}) AS __inside"),
-        *[F.first(c).alias(c) for c in rest],
-    )
-    return counted.filter("__inside").select(*points.columns, *own)
+    inside = joined.filter(f"{crossings} % 2 = 1 OR {touches}")
+    return inside.select(*points.columns, *own)
 
 
 def crossing_pairs(

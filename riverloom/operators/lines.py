@@ -28,9 +28,6 @@ from riverloom.operators.joins import keyed_join
 from riverloom.operators.pointers import follow_pointers
 from riverloom.session import saved
 
-# A merged line goes on in a further part after so many members.
-MAX_MEMBERS = 1000
-
 
 def _positions() -> str:
     """Position (vertex number plus share) at which an edge cuts its segment."""
@@ -85,7 +82,7 @@ def chain(ends: DataFrame, key: str, axis: str) -> DataFrame:
         .select(F.col("after").alias(key), "before")
     )
     links = ends.select(key).join(joints, key, "left").withColumn("__one", F.lit(1.0))
-    ranked = follow_pointers(links, key, "before", "__one", break_cycles=True)
+    ranked = follow_pointers(links, key, "before", "__one", cycles="break")
     return ranked.select(key, F.col("last").alias("head"), F.col("total").cast("long").alias("rank"))
 
 
@@ -126,7 +123,7 @@ def split_lines(
     parts = saved(_pieces_of_lines(lines.join(cuts, "fid", "left"), axis), "pieces")
 
     members = follow_pointers(
-        _links_over_joints(parts, axis), "key", "before", "one", break_cycles=True
+        _links_over_joints(parts, axis), "key", "before", "one", cycles="break"
     ).select("key", F.col("last").alias("piece"), F.col("total").cast("long").alias("rank"))
     at_end = (F.col("key.no") == 1) | (F.col("key.no") == F.col("n"))
     columns = ["piece", "rank", axis, "fid", "geom"]
@@ -134,17 +131,16 @@ def split_lines(
         F.col("key").alias("piece"), F.lit(0).cast("long").alias("rank"), axis, "fid", "geom"
     )
     chained = parts.filter(at_end).join(members, "key").select(*columns)
-    part = F.floor(F.col("rank") / MAX_MEMBERS).alias("part")
-
+    # a piece is bounded by its swath, or by the river where there are none
     merged = (
-        chained.groupBy("piece", part, axis)
+        chained.groupBy("piece", axis)
         .agg(F.sort_array(F.collect_list(F.struct("rank", "geom"))).alias("members"))
-        .select("piece", "part", axis, _joined(F.transform("members", lambda s: s["geom"])).alias("geom"))
+        .select("piece", axis, _joined(F.transform("members", lambda s: s["geom"])).alias("geom"))
     )
-    pieces = alone.select("piece", part, axis, "geom").unionByName(merged)
+    pieces = alone.select("piece", axis, "geom").unionByName(merged)
 
     every = alone.unionByName(chained)
-    shares = every.groupBy("piece", part, "fid").agg(
+    shares = every.groupBy("piece", "fid").agg(
         F.sum(line_length(F.col("geom"))).alias("length")
     )
     inside = point_at(F.col("geom"), F.lit(0.5))
@@ -152,10 +148,10 @@ def split_lines(
         "piece", axis, inside["x"].alias("x"), inside["y"].alias("y")
     )
     labels = points_in_polygons(
-        probes, edges, [axis, measure], by=[axis], point_id=["piece"], plan=plan
+        probes, edges, [axis, measure], by=[axis], plan=plan
     ).join(polygons.select(axis, measure, *carry), [axis, measure])
     labelled = pieces.join(labels.select("piece", measure, *carry), "piece", "left")
-    return Split(labelled.select("piece", "part", axis, measure, *carry, "geom"), shares)
+    return Split(labelled.select("piece", axis, measure, *carry, "geom"), shares)
 
 
 def _pieces_of_lines(lines: DataFrame, axis: str) -> DataFrame:
@@ -249,7 +245,7 @@ def largest_overlap(
     shares: DataFrame,
     reaches: DataFrame,
     value: str = "strahler",
-    piece: tuple[str, ...] = ("piece", "part"),
+    piece: tuple[str, ...] = ("piece",),
 ) -> DataFrame:
     """Value of the reach that makes up most of each piece; lowest ``fid`` on a tie."""
     weighed = (
@@ -267,10 +263,8 @@ def merge_lines(
 ) -> DataFrame:
     """Join the lines of an axis that touch head to tail, after snapping to a grid.
 
-    Returns ``(axis, line_no, part_no, geom)``. ``line_no`` numbers nothing in
-    order: it is derived from the head of the chain. A line of very many
-    members goes on in further parts that share their end vertex, so no row
-    grows with the axis.
+    Returns ``(axis, line_no, geom)``. ``line_no`` numbers nothing in order: it
+    is derived from the head of the chain. A row is as long as its river.
     """
     snapped = lines.select(key, axis, snap_grid(F.col(geom), size).alias("geom")).filter(
         F.size("geom") >= 2
@@ -284,8 +278,7 @@ def merge_lines(
     ranked = chain(ends, key, axis)
     return (
         snapped.join(ranked, key)
-        .withColumn("part_no", F.floor(F.col("rank") / MAX_MEMBERS))
-        .groupBy(axis, "head", "part_no")
+        .groupBy(axis, "head")
         .agg(
             F.transform(
                 F.sort_array(F.collect_list(F.struct("rank", "geom"))), lambda s: s["geom"]
@@ -294,7 +287,6 @@ def merge_lines(
         .select(
             axis,
             F.xxhash64(axis, "head").alias("line_no"),
-            "part_no",
             _joined(F.col("geoms")).alias("geom"),
         )
     )

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from riverloom.functions.geometry import distance, first_vertex, last_vertex
 from riverloom.operators.containment import line_edges
-from riverloom.operators.grid import cell_of, segment_cells
+from riverloom.operators.grid import SHIFT, SLACK, cell_of, segment_cells
 from riverloom.operators.pointers import follow_pointers
-from riverloom.session import materialize
+from riverloom.session import saved
 
 NODE_CELL = 1e-3
 
@@ -44,7 +44,8 @@ def measure_from_outlet(
 
     An edge goes on to the edge of the same axis that leaves its lower node;
     where several do, to the lowest id. The edge that ends at the outlet has
-    measure 0. An edge whose lower node no edge leaves is such an end.
+    measure 0. An edge whose lower node no edge leaves is such an end. Edges
+    that run into a cycle have no outlet and a null measure.
     """
     leaving = edges.groupBy(F.col(axis).alias("__x"), F.col("node_a").alias("__n")).agg(
         F.min(F.struct(F.col(edge_id).alias("id"), F.col(length).alias("length"))).alias("next")
@@ -55,7 +56,7 @@ def measure_from_outlet(
     links = onward.select(
         F.col(edge_id), F.col("next.id").alias("to"), F.col("next.length").alias("hop")
     )
-    ranked = follow_pointers(links, edge_id, "to", "hop")
+    ranked = follow_pointers(links, edge_id, "to", "hop", cycles="null")
     return edges.join(ranked.select(edge_id, F.col("total").alias("measure")), edge_id)
 
 
@@ -88,24 +89,11 @@ def _foot() -> Column:
     return F.least(F.greatest(F.coalesce(f, F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
 
 
-def _nearest(
-    points: DataFrame, segments: DataFrame, by: list[str], size: float, carry: list[str]
-) -> DataFrame:
-    """Nearest segment per point among those in the 3 x 3 cells around it.
-
-    It is the nearest of all if its distance is at most one cell. The points,
-    being few and narrow, are copied to the nine cells; each candidate is
-    reduced on the map side to the best so far.
-    """
-    around = points.withColumn(
-        "cx", F.explode(F.sequence(cell_of(F.col("px"), size) - 1, cell_of(F.col("px"), size) + 1))
-    ).withColumn(
-        "cy", F.explode(F.sequence(cell_of(F.col("py"), size) - 1, cell_of(F.col("py"), size) + 1))
-    )
-    pairs = around.join(segment_cells(segments, size), [*by, "cx", "cy"]).withColumn("f", _foot())
+def _feet(pairs: DataFrame, carry: list[str]) -> Column:
+    """What is known of a point's foot on a segment, nearest first."""
     foot_x = F.col("x1") + F.col("f") * (F.col("x2") - F.col("x1"))
     foot_y = F.col("y1") + F.col("f") * (F.col("y2") - F.col("y1"))
-    best = F.struct(
+    return F.struct(
         distance(F.col("px"), F.col("py"), foot_x, foot_y).alias("distance"),
         "line_id",
         "seg",
@@ -114,76 +102,147 @@ def _nearest(
         foot_y.alias("y"),
         *carry,
     )
-    return pairs.groupBy("pid").agg(F.min(best).alias("b")).select("pid", "b.*")
+
+
+def _nearer_end() -> Column:
+    ends = [
+        F.struct(
+            distance(F.col("px"), F.col("py"), F.col(f"x{k}"), F.col(f"y{k}")).alias("distance"),
+            F.col(f"x{k}").alias("x"),
+            F.col(f"y{k}").alias("y"),
+        )
+        for k in (1, 2)
+    ]
+    return F.least(*ends)
+
+
+def _finite(*columns: str) -> Column:
+    return F.expr(" AND ".join(f"{c} IS NOT NULL AND NOT isnan({c}) AND abs({c}) < 1e300" for c in columns))
 
 
 def snap_to_lines(
     points: DataFrame,
     segments: DataFrame,
     tolerance: float = 100.0,
-    point_id: str = "point_id",
     x: str = "x",
     y: str = "y",
+    prefer_vertices: bool = False,
 ) -> DataFrame:
     """Move points onto the nearest line; those beyond the tolerance go.
 
     ``segments`` has line_id, seg, x1..y2. The smallest line id decides ties.
+    With ``prefer_vertices`` a point goes to the nearest vertex of a line if one
+    lies within the tolerance. Points are looked up by position, once for equal
+    ones; rows keep their number. Points without finite coordinates go.
+
+    A point's candidates are the segments in the 3 x 3 cells around it. The
+    points, being few and narrow, are copied to the nine cells; each candidate
+    is reduced on the map side to the best so far.
     """
-    p = points.select(F.col(point_id).alias("pid"), F.col(x).alias("px"), F.col(y).alias("py"))
+    p = points.select(F.col(x).alias("px"), F.col(y).alias("py")).filter(_finite("px", "py")).distinct()
     s = segments.select("line_id", "seg", "x1", "y1", "x2", "y2")
-    near = _nearest(p, s, [], tolerance, []).filter(F.col("distance") <= tolerance)
-    moved = near.select(
-        F.col("pid").alias(point_id),
-        F.col("x").alias("__x"),
-        F.col("y").alias("__y"),
-        F.col("distance").alias("snap_distance"),
+
+    def around(value: str) -> Column:
+        c = cell_of(F.col(value), tolerance)
+        return F.explode(F.sequence(c - 1, c + 1))
+
+    copied = p.withColumn("cx", around("px")).withColumn("cy", around("py"))
+    pairs = copied.join(segment_cells(s, tolerance), ["cx", "cy"]).withColumn("f", _foot())
+    best = pairs.groupBy("px", "py").agg(
+        F.min(_feet(pairs, [])).alias("b"), F.min(_nearer_end()).alias("v")
+    )
+    near = best.filter(F.col("b.distance") <= tolerance)
+    at = F.col("b")
+    if prefer_vertices:
+        at = F.when(F.col("v.distance") <= tolerance, F.col("v")).otherwise(
+            F.struct("b.distance", "b.x", "b.y")
+        )
+    moved = near.select("px", "py", at.alias("to")).select(
+        "px", "py", F.col("to.x").alias("__x"), F.col("to.y").alias("__y"),
+        F.col("to.distance").alias("snap_distance"),
     )
     return (
-        points.join(moved, point_id)
+        points.join(moved, (F.col(x) == F.col("px")) & (F.col(y) == F.col("py")))
         .withColumns({x: F.col("__x"), y: F.col("__y")})
         .select(*points.columns, "snap_distance")
     )
 
 
+# Cells of a level lie in cells of this many times their size in the next.
+FANOUT = 8
+
+
+def _hopeful(candidates: DataFrame, cell: float, level: int) -> DataFrame:
+    """Of each point's candidate cells, those that may hold its nearest segment.
+
+    Every cell holds a piece of a segment, so the nearest one is at most as far
+    as the farthest corner of any candidate.
+    """
+    near, far = [], []
+    for p, c in (("px", "cx"), ("py", "cy")):
+        low, high = ((F.col(c) + k) * FANOUT**level * cell + SHIFT * cell for k in (0, 1))
+        near.append(F.greatest(low - F.col(p), F.col(p) - high, F.lit(0.0)))
+        far.append(F.greatest(high - F.col(p), F.col(p) - low))
+    slack = 4 * SLACK * cell
+    of_point = Window.partitionBy("axis", "px", "py")
+    return (
+        candidates.withColumn("__near", F.hypot(*near) - slack)
+        .withColumn("__least", F.min(F.hypot(*far) + slack).over(of_point))
+        .filter("__near <= __least")
+        .drop("__near", "__least")
+    )
+
+
 def locate_points(
     points: DataFrame,
     segments: DataFrame,
     cell: float = 100.0,
-    point_id: str = "point_id",
     axis: str = "axis",
     x: str = "x",
     y: str = "y",
 ) -> DataFrame:
     """Add ``distance_axis``: position of each point along its own axis.
 
-    ``segments`` come from :func:`measured_segments`; they are read once per
-    round, so a computed table is better saved first. The nearest segment is
-    looked for within one cell, and for points with none that near again in
-    cells eight times as large, until every point whose axis exists is placed.
-    Points are never paired with all segments of their axis. Points without an
-    axis in ``segments`` keep null.
+    ``segments`` come from :func:`measured_segments`; they are read several
+    times, so a computed table is better saved first. The cells that an axis
+    passes form a pyramid. A point starts with the few top cells of its axis and
+    goes down level by level; cells that are farther away than some other is at
+    most are left behind. So a point meets a few cells on each level, and the
+    segments of the last few only, however far it lies from its axis. Points
+    are looked up by position, once for equal ones; rows keep their number.
+    Points without finite coordinates, or without an axis in ``segments``, keep
+    null.
     """
-    p = points.select(
-        F.col(point_id).alias("pid"),
-        F.col(axis).alias("axis"),
-        F.col(x).alias("px"),
-        F.col(y).alias("py"),
-    )
     s = segments.withColumnRenamed(axis, "axis")
-    placeable = F.col("px").isNotNull() & F.col("py").isNotNull()
-    waiting = p.filter(placeable).join(s.select("axis").distinct(), "axis", "left_semi")
-    found = None
-    size = cell
-    while True:
-        near = _nearest(waiting, s, ["axis"], size, ["leng", "low"]).filter(
-            F.col("distance") <= size
+    p = points.select(F.col(axis).alias("axis"), F.col(x).alias("px"), F.col(y).alias("py"))
+    p = p.filter(_finite("px", "py")).distinct()
+    pieces = segment_cells(s, cell)
+    leaves = saved(pieces.select("axis", "cx", "cy").distinct(), "axis-cells")
+    spans = leaves.groupBy("axis").agg(
+        F.greatest(F.max("cx") - F.min("cx"), F.max("cy") - F.min("cy")).alias("span")
+    )
+    longest = spans.agg(F.max("span")).first()[0] or 0
+    levels = 0
+    while FANOUT**levels <= longest:
+        levels += 1
+
+    def upper(c: str, level: int) -> Column:
+        return F.floor(F.col(c) / FANOUT**level).alias(c)
+
+    top = leaves.select("axis", upper("cx", levels), upper("cy", levels)).distinct()
+    cells = _hopeful(p.join(top, "axis"), cell, levels)
+    for level in range(levels - 1, -1, -1):
+        below = leaves.select("axis", upper("cx", level), upper("cy", level)).distinct()
+        below = below.select(
+            "axis", upper("cx", 1).alias("ux"), upper("cy", 1).alias("uy"), "cx", "cy"
         )
-        place = (F.col("low") + (1 - F.col("f")) * F.col("leng")).alias("distance_axis")
-        state = materialize(waiting.join(near.select("pid", place), "pid", "left"))
-        placed = state.filter(F.col("distance_axis").isNotNull()).select("pid", "distance_axis")
-        found = placed if found is None else found.unionByName(placed)
-        waiting = state.filter(F.col("distance_axis").isNull()).drop("distance_axis")
-        if waiting.isEmpty():
-            break
-        size *= 8
-    return points.join(found.withColumnRenamed("pid", point_id), point_id, "left")
+        above = cells.withColumnsRenamed({"cx": "ux", "cy": "uy"})
+        cells = _hopeful(above.join(below, ["axis", "ux", "uy"]).drop("ux", "uy"), cell, level)
+    pairs = cells.join(pieces, ["axis", "cx", "cy"]).withColumn("f", _foot())
+    best = pairs.groupBy("axis", "px", "py").agg(F.min(_feet(pairs, ["leng", "low"])).alias("b"))
+    placed = best.select(
+        F.col("axis").alias("__axis"), "px", "py",
+        (F.col("b.low") + (1 - F.col("b.f")) * F.col("b.leng")).alias("distance_axis"),
+    )
+    same = (F.col(axis) == F.col("__axis")) & (F.col(x) == F.col("px")) & (F.col(y) == F.col("py"))
+    return points.join(placed, same, "left").drop("__axis", "px", "py")

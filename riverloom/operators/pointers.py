@@ -26,7 +26,7 @@ def _step(rows: DataFrame, ahead: DataFrame) -> DataFrame:
 
 
 def follow_pointers(
-    links: DataFrame, key: str, to: str, weight: str, break_cycles: bool = False
+    links: DataFrame, key: str, to: str, weight: str, cycles: str = "raise"
 ) -> DataFrame:
     """Follow ``to`` from every row to the end of its path.
 
@@ -41,8 +41,9 @@ def follow_pointers(
     skew join.
 
     Rows that still move after the rounds a path of all rows would take run
-    into a cycle. That is an error, or with ``break_cycles`` the smallest key
-    of the cycle becomes its end (for links where no two rows share a ``to``).
+    into a cycle. By ``cycles`` that is an error ("raise"), or they get a null
+    last and total ("null"), or the smallest key of the cycle becomes its end
+    ("break", for links where no two rows share a ``to``).
     """
     name, target = F.col(key).alias("k"), F.col(to).alias("p")
     base = links.select(name, target, F.col(weight).cast("double").alias("w"))
@@ -75,9 +76,12 @@ def follow_pointers(
         )
         rounds -= 1
     result = state.filter(~moving).select("k", "last", "total")
-    if n:
-        if not break_cycles:
-            raise ValueError(f"{n} rows run into a cycle")
+    if n and cycles == "raise":
+        raise ValueError(f"{n} rows run into a cycle")
+    if n and cycles == "null":
+        nothing = [F.lit(None).cast(result.schema[c].dataType).alias(c) for c in ("last", "total")]
+        result = result.unionByName(state.filter(moving).select("k", *nothing))
+    elif n:
         turning = state.filter(moving).select("k", "low")
         opened = base.join(turning, "k").select(
             "k", F.when(F.col("k") != F.col("low"), F.col("p")).alias("p"), "w"

@@ -36,8 +36,8 @@ def full_side_valley_bottom(df: DataFrame) -> DataFrame:
 def network_axis(hydro_axis: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """Axis serving table.
 
-    Geometry lives in ``hydro_axis_lines``, whose rows have a bounded number of
-    vertices; with ``lines`` there is one output row per line part.
+    One row per axis. With ``lines`` (axis, line_no, geom) the row has all lines
+    of its axis, as an array in the order of their numbers.
     """
     attributes = hydro_axis.select(
         "axis",
@@ -46,7 +46,11 @@ def network_axis(hydro_axis: DataFrame, lines: DataFrame | None = None) -> DataF
         "gid_region",
         *(["geom"] if "geom" in hydro_axis.columns else []),
     )
-    return attributes if lines is None else attributes.join(lines, "axis", "left")
+    if lines is None:
+        return attributes
+    numbered = F.sort_array(F.collect_list(F.struct("line_no", "geom")))
+    geoms = lines.groupBy("axis").agg(F.transform(numbered, lambda s: s["geom"]).alias("geom"))
+    return attributes.drop("geom").join(geoms, "axis", "left")
 
 
 def network_metrics(

@@ -101,7 +101,7 @@ def prepare_sites(sites: DataFrame, edges: DataFrame, srid: int = 4326) -> DataF
     """
     metric = reproject(clean_columns(sites), ["x", "y"], srid, WORK_SRID)
     placed = points_in_polygons(
-        metric.filter(F.col("code_site").isNotNull()), edges, ["gid_region"], point_id=["code_site"]
+        metric.filter(F.col("code_site").isNotNull()), edges, ["gid_region"]
     )
     paged = placed.withColumn("url_site", site_url(F.col("code_site")))
     return paged.select(*[c for c in SITE_OUTPUT if c in paged.columns])
@@ -137,35 +137,39 @@ def prepare_swaths_and_axis(
 ) -> NetworkTables:
     """River lines cut by swaths, measured from the outlet, and their axes.
 
-    ``edges`` are those of the regions. The cleaned swaths and the pieces are
-    written to the shared folder once, as several steps read them; the steps
-    after that work on narrow columns, and the geometry joins in at the end.
+    ``edges`` are those of the regions. Only axes with valid swaths are built,
+    so a delivery for some axes leaves the others alone. The cleaned swaths and
+    the pieces are written to the shared folder once, as several steps read
+    them; the steps after that work on narrow columns, and the geometry joins
+    in at the end. Rows are told apart by their piece and swath, whatever
+    measure they keep, and joined on that key; ``gid`` is derived from it.
+    Reaches that run into a cycle have no distance from the outlet.
     """
     swaths, reaches = clean_columns(swaths), clean_columns(reaches)
     valid = swaths.filter(F.col("value") == 2).select("axis", "m", "drainage", "geom")
     valid = saved(without_duplicates(valid, "axis", "m"), "swaths")
 
-    split = split_lines(reaches, valid)
-    pieces = split.pieces.withColumn("length", line_length(F.col("geom")))
+    on_axes = reaches.join(valid.select("axis").distinct(), "axis", "left_semi")
+    split = split_lines(on_axes, valid)
+    # a piece in two swaths gives two rows
+    row = F.struct("piece.fid", "piece.no", F.coalesce("m", F.lit(-1.0)).alias("m")).alias("row")
+    pieces = split.pieces.select("*", row).withColumn("length", line_length(F.col("geom")))
     pieces = drop_degenerate(identify_nodes(keep_longest(pieces, length="length")))
-    natural = F.when(F.col("m").isNotNull(), surrogate_key("axis", "m")).otherwise(
-        surrogate_key("axis", "piece.fid", "piece.no", "part")
-    )
-    pieces = saved(pieces.withColumn("gid", natural), "pieces")
+    pieces = saved(pieces, "pieces")
 
     measured = measure_from_outlet(
-        pieces.select("gid", "axis", "node_a", "node_b", "length"), "gid"
-    ).select("gid", F.col("measure").alias("measure_from_outlet"))
-    strahler = largest_overlap(split.shares, reaches)
-    regions = lines_in_polygons(pieces.select("gid", "geom"), edges, "gid", "gid_region")
+        pieces.select("row", "axis", "node_a", "node_b", "length"), "row"
+    ).select("row", F.col("measure").alias("measure_from_outlet"))
+    strahler = largest_overlap(split.shares, on_axes)
+    regions = lines_in_polygons(pieces.select("row", "geom"), edges, "row", "gid_region")
     attributes = (
-        pieces.select("gid", "piece", "part", "axis", "m", "drainage", "length")
-        .join(strahler, ["piece", "part"], "left")
-        .join(measured, "gid", "left")
-        .join(regions.select("gid", "gid_region"), "gid", "left")
+        pieces.select("row", "piece", "axis", "m", "drainage", "length")
+        .join(strahler, "piece", "left")
+        .join(measured, "row", "left")
+        .join(regions.select("row", "gid_region"), "row", "left")
     )
-    hydro_swaths = attributes.join(pieces.select("gid", "geom"), "gid").select(
-        "gid",
+    hydro_swaths = attributes.join(pieces.select("row", "geom"), "row").select(
+        surrogate_key("axis", "row.fid", "row.no", "row.m").alias("gid"),
         "axis",
         F.col("m").cast("long").alias("measure_medial_axis"),
         "measure_from_outlet",
@@ -182,7 +186,7 @@ def prepare_swaths_and_axis(
 
 def axis_segments(lines: DataFrame) -> DataFrame:
     """Segments of the axis lines with their distance from the outlet."""
-    named = lines.withColumn("line_id", surrogate_key("axis", "line_no", "part_no")).withColumn(
+    named = lines.withColumn("line_id", surrogate_key("axis", "line_no")).withColumn(
         "length", line_length(F.col("geom"))
     )
     network = drop_degenerate(identify_nodes(named))
@@ -200,31 +204,31 @@ def prepare_obstacles(
     lines: DataFrame,
     srid: int = WORK_SRID,
     tolerance: float = 100.0,
+    prefer_vertices: bool = True,
 ) -> DataFrame:
     """Obstacles with region, axis and position along the axis.
 
     Kept are those in a region, whose reach belongs to a known axis, and that
-    lie within the tolerance of a line; these are moved onto the line. ``gid``
-    is optional in the input and derived from the code if absent.
+    lie within the tolerance of a line; these are moved onto the line, to a
+    vertex of it if one lies within the tolerance. An obstacle listed for
+    several reaches of one axis gives one row for each listing. ``gid`` is
+    optional in the input and derived from the code if absent.
     """
     rows = reproject(clean_columns(obstacles), ["x", "y"], srid, WORK_SRID)
     rows = rows.filter(F.col("cdobstecou").isNotNull())
     if "gid" not in rows.columns:
         rows = rows.withColumn("gid", surrogate_key("cdobstecou"))
-    placed = points_in_polygons(rows, edges, ["gid_region"], point_id=["cdobstecou"])
+    placed = points_in_polygons(rows, edges, ["gid_region"])
     known = reach_ids.filter(F.col("axis").isNotNull()).withColumnRenamed(
         "id_troncon", "idtronco_1"
     )
     on_axis = placed.join(known, "idtronco_1").join(
         hydro_axis.select("axis").distinct(), "axis", "left_semi"
     )
-    # a code listed for several reaches or regions gives several rows
-    on_axis = saved(
-        on_axis.withColumn("__row", F.xxhash64("cdobstecou", "gid_region", "axis")), "obstacles"
-    )
+    on_axis = saved(on_axis, "obstacles")
     segments = saved(axis_segments(lines), "segments")
-    snapped = snap_to_lines(on_axis, segments, tolerance, point_id="__row")
-    located = locate_points(snapped, segments, tolerance, point_id="__row")
+    snapped = snap_to_lines(on_axis, segments, tolerance, prefer_vertices=prefer_vertices)
+    located = locate_points(snapped, segments, tolerance)
     columns = [c for c in placed.columns if c not in ("x", "y")]
     return located.select(*columns, "axis", "distance_axis", "x", "y")
 

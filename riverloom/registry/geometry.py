@@ -251,7 +251,7 @@ GROUP BY p.libelle_site, p.x, p.y, e.gid_region HAVING COUNT(*) % 2 = 1""",
 def points_in_regions(spark, sf):
     pts = fixture.sites(spark, sf).select("libelle_site", "x", "y")
     return containment.points_in_polygons(
-        pts, region_edges(spark, sf), ["gid_region"], point_id=["libelle_site"]
+        pts, region_edges(spark, sf), ["gid_region"]
     )
 
 
@@ -343,7 +343,7 @@ def _(spark, sf):
     reaches = fixture.reaches(spark, sf)
     split = lines.split_lines(reaches, fixture.swath_polygons(spark, sf))
     strahler = lines.largest_overlap(split.shares, reaches)
-    return split.pieces.join(strahler, ["piece", "part"]).select(
+    return split.pieces.join(strahler, "piece").select(
         "axis", F.round(g.line_length(F.col("geom")), 3).alias("length"), "strahler"
     )
 

@@ -144,7 +144,7 @@ TABLES = {
         "gid int, cdregionhy string, lbregionhy string, cdbh string, display boolean, geom rings"
     ),
     "hydro_axis": struct("gid long, axis long, toponyme string, length double, gid_region int"),
-    "hydro_axis_lines": struct("axis long, line_no long, part_no long, geom line"),
+    "hydro_axis_lines": struct("axis long, line_no long, geom line"),
     "hydro_swaths": struct(
         "gid long, axis long, measure_medial_axis long, measure_from_outlet double,"
         " drainage double, length double, strahler int, gid_region int, geom line"

@@ -78,12 +78,6 @@ def saved_and_counted(
     return saved(watched, name), seen.get["n"]
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: cuts the lineage and survives lost executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 _shipped: set[str] = set()
 
 

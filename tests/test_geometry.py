@@ -113,10 +113,8 @@ def contains(edges, x, y):
     return odd
 
 
-@pytest.mark.parametrize("cell,limit", [(None, 4096), (3.0, 4096), (40.0, 5)])
-def test_containment_equals_brute_force(spark, monkeypatch, cell, limit):
-    """Also with more edges in a cell than one list may hold."""
-    monkeypatch.setattr(containment, "MAX_CELL_EDGES", limit)
+@pytest.mark.parametrize("cell", [None, 3.0, 40.0])
+def test_containment_equals_brute_force(spark, cell):
     rows = ring_rows(11, 15)
     rng = random.Random(2)
     pts = [(i, rng.uniform(-5, 105), rng.uniform(-5, 105)) for i in range(1500)]
@@ -125,7 +123,7 @@ def test_containment_equals_brute_force(spark, monkeypatch, cell, limit):
     }
     edges = spark.createDataFrame(rows, "gid int, seg int, x1 double, y1 double, x2 double, y2 double")
     points = spark.createDataFrame(pts, "id int, x double, y double")
-    got = containment.points_in_polygons(points, edges, ["gid"], point_id=["id"], cell=cell).select("id", "gid").collect()
+    got = containment.points_in_polygons(points, edges, ["gid"], cell=cell).select("id", "gid").collect()
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
@@ -170,3 +168,18 @@ def test_line_containment(spark, rows):
     )
     out = containment.lines_in_polygons(lines, containment.vertex_edges(v, ["gid"]), "id", "gid")
     assert rows(out, "id", "gid") == [(0, 1), (1, None), (2, 1), (3, None), (4, 1), (5, None), (6, None)]
+
+
+def test_crowded_cells_and_repeated_rows(spark):
+    """A polygon with 6,000 edges in one cell, equal points, and a closed line."""
+    n = 6000
+    ring = [(math.cos(2 * math.pi * k / n), math.sin(2 * math.pi * k / n)) for k in range(n)]
+    rows = [(3, *ring[k], *ring[(k + 1) % n]) for k in range(n)]
+    edges = spark.createDataFrame(rows, "gid int, x1 double, y1 double, x2 double, y2 double")
+    points = spark.createDataFrame([(1, 0.1, 0.1), (1, 0.1, 0.1), (2, 0.5, -0.2), (3, 1.5, 0.0)], "id int, x double, y double")
+    got = containment.points_in_polygons(points, edges, ["gid"], cell=100.0).collect()
+    assert sorted(r.id for r in got) == [1, 1, 2]
+    line = [(0.0, 0.0), (0.5, 0.0), (0.5, 0.5), (0.0, 0.0)]
+    lines = spark.createDataFrame([(1, line), (2, [(0.0, 0.0), (2.0, 0.0)])], "fid int, geom array<struct<x:double,y:double>>")
+    out = containment.lines_in_polygons(lines, edges, "fid", "gid", cell=100.0)
+    assert {r.fid: r.gid for r in out.collect()} == {1: 3, 2: None}

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -42,7 +43,7 @@ def test_pointer_cycles(spark, rows):
     df = spark.createDataFrame([(1, 2, 1.0), (2, 3, 1.0), (3, 1, 1.0), (4, None, 1.0)], "k long, p long, w double")
     with pytest.raises(ValueError, match="cycle"):
         follow_pointers(df, "k", "p", "w")
-    out = follow_pointers(df, "k", "p", "w", break_cycles=True)
+    out = follow_pointers(df, "k", "p", "w", cycles="break")
     assert rows(out) == [(1, 1, 0.0), (2, 1, 2.0), (3, 1, 1.0), (4, 4, 0.0)]
 
 
@@ -70,17 +71,13 @@ def test_split_merges_across_reaches(spark, rows):
     assert split.shares.agg(F.sum("length")).first()[0] == pytest.approx(500, abs=1e-6)
 
 
-def test_split_without_swaths_and_in_parts(spark, monkeypatch):
-    n = 23
+def test_split_of_many_members(spark):
+    n = 2300
     reaches = spark.createDataFrame([reach(i, 1, (i * 10, 0), (i * 10 + 10, 0)) for i in range(n)], REACH)
     swaths = swath_rows(spark.createDataFrame([strip(2, 200, 0, 10)], SWATH))
     whole = lines.split_lines(reaches, swaths).pieces.collect()
     assert len(whole) == 1 and len(whole[0]["geom"]) == n + 1
-    # members of one piece go on in further rows, nothing is lost
-    monkeypatch.setattr(lines, "MAX_MEMBERS", 10)
-    parts = lines.split_lines(reaches, swaths).pieces.orderBy("part").collect()
-    assert [len(p["geom"]) for p in parts] == [11, 11, 4]
-    assert [p["geom"][0]["x"] for p in parts] == [0, 100, 200]
+    assert [whole[0]["geom"][i]["x"] for i in (0, -1)] == [0, 10 * n]
 
 
 def test_split_lengths_sum_up(spark):
@@ -196,3 +193,91 @@ def test_prepared_sites_and_basins(spark, rows):
     assert rows(out) == [("A", "https://www.hydro.eaufrance.fr/sitehydro/A/fiche", "a", 4, 300.0, 0.0)]
     basins = prepare.prepare_basins(region_rows(spark))
     assert basins.columns == ["cdregionhy", "geom"] and basins.schema["geom"].metadata["srid"] == 2154
+
+
+def test_reaches_into_a_cycle_have_no_measure(spark):
+    rows = [(1, 1, 0, 1), (2, 1, 1, 2), (3, 2, 0, 1), (4, 2, 1, 0), (5, 2, 7, 0)]
+    edges = spark.createDataFrame(rows, "edge_id long, axis long, a int, b int").selectExpr(
+        "edge_id", "axis", "struct(a AS qx, 0 AS qy) AS node_a", "struct(b AS qx, 0 AS qy) AS node_b", "10D AS length"
+    )
+    out = {r.edge_id: r.measure for r in network.measure_from_outlet(edges).collect()}
+    assert out == {1: 10.0, 2: 0.0, 3: None, 4: None, 5: None}
+
+
+def test_network_beyond_the_plain_case(spark):
+    """An axis without swaths, a swath crossed twice alike, a piece of many reaches, a cycle."""
+    reaches = [reach(1, 1, (0, 0), (100, 0)), reach(2, 2, (0, 500), (100, 500))]
+    # axis 3 runs through its swath, back, and through it again
+    reaches.append(reach(3, 3, (0, 0), (64, 0), (64, 32), (0, 32)))
+    reaches += [reach(1000 + i, 4, (i, 900), (i + 1, 900)) for i in range(1500)]
+    # two swaths cut the ring of axis 5 into halves that run into each other
+    reaches += [reach(5, 5, (0, 0), (100, 0), (100, 30)), reach(6, 5, (100, 30), (0, 30), (0, 0))]
+    swaths = swath_rows(
+        spark.createDataFrame(
+            [strip(1, 200, 0, 100), strip(3, 200, 16, 48, y0=-8, y1=40), strip(4, 200, -1, 1501, y0=890, y1=910), strip(5, 200, -10, 50), strip(5, 400, 50, 110)],
+            SWATH,
+        )
+    ).withColumn("value", F.lit(2))
+    regions = spark.createDataFrame([], "gid_region int, x1 double, y1 double, x2 double, y2 double")
+    frame = spark.createDataFrame(reaches, REACH).withColumns(
+        {"strahler": F.lit(1), "toponyme": F.lit("x"), "gid_region": F.lit(1)}
+    )
+    built = prepare.prepare_swaths_and_axis(swaths, frame, regions)
+    out = built.hydro_swaths.select("gid", "axis", "measure_medial_axis", "measure_from_outlet", F.round("length", 3).alias("n")).collect()
+    assert {r.axis for r in out} == {1, 3, 4, 5}
+    assert len({r.gid for r in out}) == len(out)
+    tied = [r for r in out if r.axis == 3 and r.measure_medial_axis == 200]
+    assert [r.n for r in tied] == [32.0, 32.0]
+    assert [(r.measure_medial_axis, r.n) for r in out if r.axis == 4] == [(200, 1500.0)]
+    assert [r.measure_from_outlet for r in out if r.axis == 5] == [None, None]
+    assert all(r.measure_from_outlet is not None for r in out if r.axis != 5)
+
+
+def test_locating_far_odd_and_repeated_points(spark):
+    rng = random.Random(8)
+    segs = []
+    for line in (1, 2):
+        x = y = low = 0.0
+        for k in range(60, 0, -1):  # upstream
+            ux, uy = x + rng.uniform(-40, 60), y + rng.uniform(-40, 60)
+            leng = math.hypot(ux - x, uy - y)
+            segs.append((line, line, k, ux, uy, x, y, leng, low))
+            x, y, low = ux, uy, low + leng
+    schema = "line_id long, axis long, seg int, x1 double, y1 double, x2 double, y2 double, leng double, low double"
+    pts = [(i, 1 + i % 2, rng.uniform(-500, 3000), rng.uniform(-500, 3000)) for i in range(120)]
+    pts += [(200, 1, 9e6, -4e6), (201, 2, -1e5, 3e4), (202, 1, float("nan"), 0.0), (203, 1, None, 0.0), (204, 9, 1.0, 1.0), (205, 1, float("inf"), 1.0)]
+    pts += [pts[0]] * 3
+    points = spark.createDataFrame(pts, "id long, axis long, x double, y double")
+    got = network.locate_points(points, spark.createDataFrame(segs, schema), 10.0).collect()
+    assert len(got) == len(pts)
+
+    def plain(axis, px, py):
+        best = None
+        for line, a, k, x1, y1, x2, y2, leng, low in segs:
+            if a == axis:
+                f = max(0.0, min(1.0, ((px - x1) * (x2 - x1) + (py - y1) * (y2 - y1)) / leng**2))
+                d = math.hypot(px - x1 - f * (x2 - x1), py - y1 - f * (y2 - y1))
+                best = min(best or (math.inf,), (d, low + (1 - f) * leng))
+        return best[1]
+
+    for r in got:
+        if r.id >= 202:
+            assert r.distance_axis is None
+        else:
+            assert r.distance_axis == pytest.approx(plain(r.axis, r.x, r.y), abs=1e-4)
+
+
+def test_snapping_to_vertices_first(spark):
+    segs = spark.createDataFrame(
+        [(1, 0, 0.0, 0.0, 100.0, 0.0), (1, 1, 100.0, 0.0, 100.0, 300.0)],
+        "line_id long, seg int, x1 double, y1 double, x2 double, y2 double",
+    )
+    pts = [(1, 95.0, 10.0), (2, 50.0, 8.0), (3, 50.0, 25.0), (4, 95.0, 10.0), (5, float("nan"), 1.0)]
+    points = spark.createDataFrame(pts, "id long, x double, y double")
+    first = network.snap_to_lines(points, segs, 20.0, prefer_vertices=True)
+    assert rows_of(first) == [(1, 100.0, 0.0), (2, 50.0, 0.0), (4, 100.0, 0.0)]
+    assert rows_of(network.snap_to_lines(points, segs, 20.0)) == [(1, 100.0, 10.0), (2, 50.0, 0.0), (4, 100.0, 10.0)]
+
+
+def rows_of(df):
+    return sorted((r.id, r.x, r.y) for r in df.collect())
