@@ -39,6 +39,7 @@ class Store(NamedTuple):
 
     spark: SparkSession
     folder: str
+    #: of the tables that are created; see buckets_for
     buckets: int = 256
 
     def path(self, name: str) -> str:
@@ -58,7 +59,7 @@ def create_tables(store: Store, names: list[str] | None = None) -> None:
 def replace_rows(store: Store, name: str, df: DataFrame) -> tuple[int, int]:
     """Replace by the table's key; returns rows deleted and inserted."""
     rows = conform(df, TABLES[name])
-    return upsert_table(rows, store.path(name), REPLACE_KEYS[name], store.buckets, TABLES[name])
+    return upsert_table(rows, store.path(name), REPLACE_KEYS[name], schema=TABLES[name])
 
 
 def _stored_rings(df: DataFrame, digits: int | None) -> DataFrame:
@@ -87,7 +88,7 @@ def load_regions(store: Store, regions: DataFrame, digits: int | None = None) ->
 def display(store: Store, name: str, codes: list[str]) -> None:
     """Show exactly the listed basins or regions."""
     rows = saved(set_displayed(store.read(name), REPLACE_KEYS[name], codes), name)
-    upsert_table(rows, store.path(name), REPLACE_KEYS[name], store.buckets, TABLES[name])
+    upsert_table(rows, store.path(name), REPLACE_KEYS[name], schema=TABLES[name])
 
 
 def load_sites(store: Store, sites: DataFrame) -> tuple[int, int]:

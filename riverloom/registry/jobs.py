@@ -76,10 +76,10 @@ def _(spark, sf):
         F.col("y").alias("latitude_site"),
         F.struct(F.lit("Point").alias("type")).alias("geometry"),
     )
-    # a response holds the sites of one square of 10 km
-    square = [F.floor(F.col(c) / 10000).alias(f"k{c}") for c in ("x", "y")]
+    # a response holds the sites of a range of codes
+    page = F.floor(F.regexp_extract("code_site", r"(\d+)", 1).cast("long") / 100).alias("page")
     rows = fixture.sites(spark, sf)
-    rows.groupBy(*square).agg(F.collect_list(site).alias("data")).write.json(path)
+    rows.groupBy(page).agg(F.collect_list(site).alias("data")).drop("page").write.json(path)
     responses = readers.read_sites(spark, path, SITE_RESPONSE, lines=True)
     imported = readers.import_sites(responses)
     return imported.select("code_site", "libelle_site", "statut_site", "x", "y")
@@ -124,8 +124,8 @@ def _(spark, sf):
 def _(spark, sf):
     path = new_folder(spark, "landcover")
     target = fixture.landcover(spark, sf)
-    tables.create_table(target, path, "axis", buckets=16)
-    tables.upsert_table(_new_rows(target), path, "axis", buckets=16)
+    tables.create_table(target, path, "axis")
+    tables.upsert_table(_new_rows(target), path, "axis")
     return tables.read_table(spark, path)
 
 
@@ -246,15 +246,14 @@ def _(spark, sf):
 def _(spark, sf):
     raw = fixture.landcover(spark, sf)
     swaths = fixture.swaths(spark, sf)
-    # every axis lies whole in one file, as a micro-batch takes whole files
+    # every axis is spread over many files, and so over the micro-batches
     source = new_folder(spark, "arriving")
-    raw.repartition(16, "axis").write.parquet(source)
-    # the stored table starts with outdated rows
+    raw.repartition(16, "axis", "measure").write.parquet(source)
+    # the stored table starts empty
     path = new_folder(spark, "landcover")
-    stale = prepare.prepare_landcover_area(_new_rows(raw)).table
-    tables.create_table(
-        stale.withColumn("hydro_swaths_gid", F.lit(None).cast("long")), path, "axis", buckets=16
-    )
+    none = prepare.prepare_landcover_area(raw.limit(0)).table
+    none = none.withColumn("hydro_swaths_gid", F.lit(None).cast("long"))
+    tables.create_table(none, path, "axis")
     stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 8).parquet(source)
     stream_metrics(
         stream,
@@ -262,9 +261,9 @@ def _(spark, sf):
         path,
         new_folder(spark, "progress"),
         prepare=lambda rows: prepare.prepare_landcover_area(rows).table,
-        buckets=16,
+        schema=none.schema,
     ).awaitTermination()
-    return tables.read_table(spark, path)
+    return tables.read_table(spark, path, none.schema)
 
 
 # --- layers -----------------------------------------------------------------------------------------

@@ -94,45 +94,43 @@ INPUTS = {
     "troncon_bdtopo_id": struct("id_troncon string, axis long"),
 }
 
-SITE_COLUMNS = (
-    "code_site string, libelle_site string, type_site string, altitude_site double,"
-    " code_systeme_alti_site int, surface_bv double, statut_site int,"
-    " code_entite_hydro_site string, code_troncon_hydro_site string,"
-    " code_zone_hydro_site string, code_cours_eau string, uri_cours_eau string,"
-    " grandeur_hydro string, date_maj_site string, libelle_cours_eau string"
-)
+# Columns of the gauging site register.
+SITE_COLUMNS = """
+code_site string, libelle_site string, type_site string, coordonnee_x_site double, coordonnee_y_site double,
+code_projection int, altitude_site double, code_systeme_alti_site int, surface_bv double, statut_site int,
+premier_mois_etiage_site int, premier_mois_annee_hydro_site int, influence_generale_site int,
+code_entite_hydro_site string, code_troncon_hydro_site string, code_commune_site strings,
+code_zone_hydro_site string, libelle_commune strings, code_departement strings, code_region strings,
+libelle_region strings, code_cours_eau string, uri_cours_eau string, grandeur_hydro string, date_maj_site string,
+libelle_departement strings, libelle_cours_eau string, commentaire_influence_generale_site string,
+commentaire_site string, type_contexte_loi_stat_site strings, type_loi_site strings,
+date_premiere_donnee_dispo_site string, longitude_site double, latitude_site double
+"""
 
 SITE_RESPONSE = T.StructType(
-    [
-        T.StructField(
-            "data",
-            T.ArrayType(
-                struct(
-                    SITE_COLUMNS
-                    + ", code_commune_site strings, libelle_commune strings,"
-                    " longitude_site double, latitude_site double"
-                )
-            ),
-        )
-    ]
+    [T.StructField("data", T.ArrayType(struct(" ".join(SITE_COLUMNS.split()))))]
 )
 
 # --- stored tables ------------------------------------------------------------
 
 # Attribute columns of the obstacle register.
-_OBSTACLE_TEXT = """
-cdobstecou stobstecou cdmodevali lbmodevali cdetouvrag lbetouvrag nomprincip nomseconda
-cdtypeouvr lbtypeouvr coordxpoin:double coordypoin:double typecoordp cdtypedisp lbtypedisp
-cdtypedi_1 lbtypedi_1 cdtypedi_2 lbtypedi_2 cdtypedi_3 lbtypedi_3 cdtypedi_4 lbtypedi_4
-cdtypeelmo lbtypeelmo cdtypeel_1 lbtypeel_1 cdtypeel_2 lbtypeel_2 cdtypedi_5 lbtypedi_5
-cdtypedi_6 lbtypedi_6 cdtypedi_7 lbtypedi_7 cdusageobs lbusageobs cdusageo_1 lbusageo_1
-cdusageo_2 lbusageo_2 cdusageo_3 lbusageo_3 hautmaxter hautchutet cdhautchut lbhautchut
-datemajobs:date datevalido:date grenobstec ouvragelie idtronconh nomentiteh cdtronconh
-cdentitehy cdzonehydr idtronco_1 cddepartem lbdepartem cdcommune lbcommune numcircadm
-nomcircadm cdeumassed altipointc:double nomlimiteh denmaxouvr:double pkobstecou:double
-"""
-_OBSTACLE_COLUMNS = ", ".join(
-    " ".join(w.split(":")) if ":" in w else f"{w} string" for w in _OBSTACLE_TEXT.split()
+_OBSTACLE_COLUMNS = " ".join(
+    """
+cdobstecou string, stobstecou string, cdmodevali string, lbmodevali string, cdetouvrag string,
+lbetouvrag string, nomprincip string, nomseconda string, cdtypeouvr string, lbtypeouvr string,
+coordxpoin double, coordypoin double, typecoordp string, cdtypedisp string, lbtypedisp string,
+cdtypedi_1 string, lbtypedi_1 string, cdtypedi_2 string, lbtypedi_2 string, cdtypedi_3 string,
+lbtypedi_3 string, cdtypedi_4 string, lbtypedi_4 string, cdtypeelmo string, lbtypeelmo string,
+cdtypeel_1 string, lbtypeel_1 string, cdtypeel_2 string, lbtypeel_2 string, cdtypedi_5 string,
+lbtypedi_5 string, cdtypedi_6 string, lbtypedi_6 string, cdtypedi_7 string, lbtypedi_7 string,
+cdusageobs string, lbusageobs string, cdusageo_1 string, lbusageo_1 string, cdusageo_2 string,
+lbusageo_2 string, cdusageo_3 string, lbusageo_3 string, hautmaxter string, hautchutet string,
+cdhautchut string, lbhautchut string, datemajobs date, datevalido date, grenobstec string,
+ouvragelie string, idtronconh string, nomentiteh string, cdtronconh string, cdentitehy string,
+cdzonehydr string, idtronco_1 string, cddepartem string, lbdepartem string, cdcommune string,
+lbcommune string, numcircadm string, nomcircadm string, cdeumassed string, altipointc double,
+nomlimiteh string, denmaxouvr double, pkobstecou double
+""".split()
 )
 
 TABLES = {

@@ -7,6 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,3 +104,15 @@ def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     """``df.mapInArrow`` with a function of this package."""
     ship_package(df.sparkSession)
     return df.mapInArrow(function, schema)
+
+
+def exists(path: str) -> bool:
+    store, place = fs.FileSystem.from_uri(path)
+    return store.get_file_info(place).type != fs.FileType.NotFound
+
+
+def drop_folder(path: str) -> None:
+    """Delete a folder that the library has written; nothing if it is gone."""
+    store, place = fs.FileSystem.from_uri(path)
+    if store.get_file_info(place).type == fs.FileType.Directory:
+        store.delete_dir(place)

@@ -15,7 +15,9 @@ def read_metrics(
     """Metric CSV with a header; ``schema`` is a struct or the name of an input.
 
     No inference pass is made. Columns are matched by name, in any order, and
-    a column of the schema that the file lacks is null.
+    a column of the schema that the file lacks is null. All files of the path
+    must have the same header: one that differs is an error, and so is a broken
+    number, or one with decimals where a whole number is due.
     """
     wanted = INPUTS[schema] if isinstance(schema, str) else schema
     if not header:
@@ -30,16 +32,26 @@ def read_metrics(
         return T.DecimalType(30, 6) if isinstance(kind, whole) else kind
 
     in_file = T.StructType([T.StructField(n, parsed(n)) for n in names])
-    df = spark.read.schema(in_file).option("header", True).option("mode", "FAILFAST").csv(path)
-    return df.select(
-        *[
-            (F.col(f"`{f.name}`") if f.name in names else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in wanted.fields
-        ]
+    # columns are not left out before the headers have been compared
+    df = (
+        spark.read.schema(in_file)
+        .option("header", True)
+        .option("mode", "FAILFAST")
+        .option("enforceSchema", False)
+        .csv(path)
     )
 
+    def typed(f: T.StructField):
+        if f.name not in names:
+            return F.lit(None).cast(f.dataType)
+        value = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, whole):
+            broken = F.raise_error(F.concat(F.lit(f"{f.name} is not a whole number: "), value.cast("string")))
+            value = F.when(value % 1 != 0, broken).otherwise(value)
+        return value.cast(f.dataType)
+
+    return df.select(*[typed(f).alias(f.name) for f in wanted.fields])
+
 
 def read_layer(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """Spatial layer stored as Parquet: ``point``, ``line`` or ``polygon``.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from typing import NamedTuple
 
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from riverloom.operators.joins import keyed_join
 from riverloom.operators.link import link_swaths
 from riverloom.operators.profiles import rows_per_axis
-from riverloom.session import saved
+from riverloom.session import drop_folder, exists, saved
 
 BUCKET = "key_bucket"
 
@@ -28,13 +29,14 @@ def replace_by_key(target: DataFrame, new: DataFrame, key: str) -> Replaced:
 
     This is not a row-level merge: an old row of a replaced key goes even if
     ``new`` has no successor for it. Empty ``new`` deletes nothing. A null key
-    matches nothing. ``deleted`` and ``inserted`` are one-row counts.
+    matches nothing. The table keeps its types. ``deleted`` and ``inserted`` are one-row counts.
     """
-    keys = new.select(F.col(key).cast(target.schema[key].dataType).alias(key)).distinct()
+    new = new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    keys = new.select(key).distinct()
     kept = keyed_join(target, keys.filter(F.col(key).isNotNull()), [key], "left_anti")
     gone = target.join(keys, key, "left_semi")
     return Replaced(
-        kept.unionByName(new.select(*target.columns)),
+        kept.unionByName(new),
         gone.agg(F.count(F.lit(1)).alias("n")),
         new.agg(F.count(F.lit(1)).alias("n")),
     )
@@ -44,20 +46,47 @@ def _bucket(key: str, buckets: int):
     return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
 
 
-def _write(df: DataFrame, path: str, mode: str) -> None:
+def _write(df: DataFrame, path: str, swap: str) -> None:
     # rebalance: one file set per bucket, and a bucket with a hot key is split
     (
         df.hint("rebalance", BUCKET)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", swap)
         .partitionBy(BUCKET)
         .parquet(path)
     )
 
 
-def create_table(df: DataFrame, path: str, key: str, buckets: int = 256) -> None:
-    """Write a table in key buckets, so that later loads rewrite only a few."""
-    _write(df.withColumn(BUCKET, _bucket(key, buckets)), path, "overwrite")
+ROWS_PER_BUCKET = 1_000_000
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets for a table that is to have so many rows."""
+    return max(16, -(-rows // ROWS_PER_BUCKET))
+
+
+def create_table(df: DataFrame, path: str, key: str, buckets: int | None = None) -> int:
+    """Write a table in key buckets, so that later loads rewrite only a few.
+
+    The number of buckets, by default from the number of rows, is kept beside
+    the table; a table that grows far beyond its first size is better created
+    anew. Returns it. A table of that path is replaced.
+    """
+    buckets = buckets or buckets_for(df.count())
+    _write(df.withColumn(BUCKET, _bucket(key, buckets)), path, "static")
+    layout = df.sparkSession.createDataFrame([(key, buckets)], "key string, buckets int")
+    layout.coalesce(1).write.mode("overwrite").parquet(f"{path}.layout")
+    return buckets
+
+
+def buckets_of(spark: SparkSession, path: str, key: str, buckets: int | None = None) -> int:
+    """Number of buckets of a stored table; an error if it has another key or number."""
+    stored = spark.read.parquet(f"{path}.layout").first()
+    if stored["key"] != key or buckets not in (None, stored["buckets"]):
+        raise ValueError(
+            f"{path} has {stored['buckets']} buckets by {stored['key']}, not {buckets or 'any'} by {key}"
+        )
+    return stored["buckets"]
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
@@ -73,15 +102,19 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def upsert_table(
-    new: DataFrame, path: str, key: str, buckets: int = 256, schema: T.StructType | None = None
+    new: DataFrame, path: str, key: str, buckets: int | None = None, schema: T.StructType | None = None
 ) -> tuple[int, int]:
     """Replace by key in a stored table; returns rows deleted and inserted.
 
+    ``buckets`` is only compared with the table's own number; ``schema`` is
+    needed as long as the table may be empty.
+
     Only the buckets that hold one of the new keys are read and rewritten, in
     one job whose commit swaps them. The new rows are first written to the
     shared folder, so that they are computed once and a re-run of the job
     after lost executors sees the same rows.
     """
+    buckets = buckets_of(new.sparkSession, path, key, buckets)
     table = _read(new.sparkSession, path, schema)
     fields = [f for f in table.schema.fields if f.name != BUCKET]
     # the bucket depends on the key as the table types it
@@ -95,7 +128,7 @@ def upsert_table(
     old = table.filter(F.col(BUCKET).isin(touched))
     replaced = replace_by_key(old, rows, key)
     deleted = replaced.deleted.first()["n"]
-    _write(replaced.table, path, "overwrite")
+    _write(replaced.table, path, "dynamic")
     return deleted, inserted
 
 
@@ -115,12 +148,10 @@ def delete_matching(
     held = table.filter(F.col(BUCKET).isin(list(counts)))
     sizes = {r[BUCKET]: r["count"] for r in held.groupBy(BUCKET).count().collect()}
     kept = keyed_join(held, keys.select(column).distinct(), [column], "left_anti")
-    _write(kept.select(*table.columns), path, "overwrite")
+    _write(kept.select(*table.columns), path, "dynamic")
     # a dynamic overwrite leaves a bucket alone for which it has no row
     for bucket in (b for b in counts if counts[b] == sizes[b]):
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{BUCKET}={bucket}")
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        folder.getFileSystem(conf).delete(folder, True)
+        drop_folder(f"{path}/{BUCKET}={bucket}")
     return sum(counts.values())
 
 
@@ -168,22 +199,49 @@ def refresh(
 ) -> list[str]:
     """Rebuild the named serving tables under ``folder``, in the given order.
 
-    A builder gets a function that reads a table of the folder, so a table
-    must come after those it reads. Rows are range-partitioned by axis and
-    position where the table has them, which also splits a long axis and lets
-    a reader skip files by axis.
+    Every table is written to a folder of its own run. Only when all are there
+    does one small append name them as those to be served, so readers, who use
+    :func:`served`, see either all old or all new tables, and a job that fails
+    changes nothing. Versions before the last one are dropped.
+
+    A builder gets a function that reads a served table, or one of this run, so
+    a table must come after those it reads. Rows are range-partitioned by axis
+    and position where the table has them, which also splits a long axis and
+    lets a reader skip files by axis.
     """
-    paths = []
+    run, written = uuid.uuid4().hex, {}
+    old = _versions(spark, folder)
 
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}")
+        return spark.read.parquet(written[name]) if name in written else served(spark, folder, name)
 
     for name in names:
         df = catalog[name](read)
         order = [c for c in ("axis", "measure_medial_axis") if c in df.columns]
         if order:
             df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-        path = f"{folder}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        paths.append(path)
-    return paths
+        written[name] = f"{folder}/{name}/{run}"
+        df.write.parquet(written[name])
+    number = 1 + max([n for _, n, _ in old], default=0)
+    rows = [(name, number, path) for name, path in written.items()]
+    spark.createDataFrame(rows, VERSION).coalesce(1).write.mode("append").parquet(f"{folder}/versions")
+    for name in names:
+        for _, _, path in sorted((v for v in old if v[0] == name), key=lambda v: v[1])[:-1]:
+            drop_folder(path)
+    return list(written.values())
+
+
+VERSION = "name string, number long, path string"
+
+
+def _versions(spark: SparkSession, folder: str) -> list[tuple]:
+    """(name, number, path) of every refresh; a few rows."""
+    if not exists(f"{folder}/versions"):
+        return []
+    return [tuple(r) for r in spark.read.schema(VERSION).parquet(f"{folder}/versions").collect()]
+
+
+def served(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A serving table as last refreshed."""
+    _, path = max((number, path) for n, number, path in _versions(spark, folder) if n == name)
+    return spark.read.parquet(path)

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from riverloom.operators.joins import keyed_join
 from riverloom.operators.link import link_swaths
 from riverloom.sources.tables import upsert_table
 
@@ -16,22 +21,36 @@ def stream_metrics(
     checkpoint: str,
     key: str = "axis",
     prepare=None,
-    buckets: int = 256,
+    schema: T.StructType | None = None,
+    load: str | None = None,
 ) -> StreamingQuery:
     """Link arriving metric rows to their swath and replace them by key.
 
-    ``prepare`` turns a raw batch into table rows first. A key must arrive
-    whole within one micro-batch, as its earlier rows are replaced. A batch
-    that is run again after a failure replaces its own rows, so the result is
-    the same.
+    ``prepare`` turns raw rows into table rows first. All that one load brings
+    for a key replaces what the table had of it before: a load keeps its raw
+    rows beside the checkpoint, and a batch is prepared together with the
+    rows of its keys that the load brought earlier, so a key may be spread
+    over any number of batches. A batch that is run again after a failure
+    writes its own rows again. A call is a load of its own; give it a name in
+    ``load`` to go on with it in a later call. ``schema`` is that of the table,
+    needed as long as it may be empty.
     """
-
-    def load(batch: DataFrame, _: int) -> None:
-        rows = prepare(batch) if prepare else batch
-        upsert_table(link_swaths(rows, swaths), path, key, buckets)
+    arrived = f"{checkpoint}-rows/{load or uuid.uuid4().hex}"
+
+    def replace(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{arrived}/batch={number}")
+        fields = T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])
+        every = spark.read.schema(fields).parquet(arrived).where(F.col("batch") <= number)
+        keys = every.where(F.col("batch") == number).select(key).distinct()
+        rows = keyed_join(every, keys, [key], "left_semi").drop("batch")
+        nameless = every.where((F.col("batch") == number) & F.col(key).isNull()).drop("batch")
+        rows = rows.unionByName(nameless)
+        rows = prepare(rows) if prepare else rows
+        upsert_table(link_swaths(rows, swaths), path, key, schema=schema)
 
     return (
-        stream.writeStream.foreachBatch(load)
+        stream.writeStream.foreachBatch(replace)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from riverloom.operators.link import LINK, link_swaths, unlink_deleted
 from riverloom.plans import marts
 from riverloom.schemas import CONTINUITY_LABELS, LANDCOVER_LABELS
+from riverloom.sources.tables import served
 
 
 def wide(spark, labels, total, table_rows):
@@ -117,7 +118,11 @@ def test_serving_tables_are_rebuilt_in_order(spark, tables, tmp_path):
     assert spark.read.parquet(paths["network_axis"]).columns == ["axis", "fid", "toponyme", "gid_region"]
     # a second run replaces the first
     marts.build_marts(spark, {**tables, "hydro_swaths": tables["hydro_swaths"].filter("gid = 7")}, str(tmp_path))
-    assert spark.read.parquet(paths["network_metrics"]).count() == 1
+    assert served(spark, str(tmp_path), "network_metrics").count() == 1
+    # one that fails changes nothing
+    with pytest.raises(Exception):
+        marts.build_marts(spark, {n: t for n, t in tables.items() if n != "hydro_axis"}, str(tmp_path))
+    assert served(spark, str(tmp_path), "network_metrics").count() == 1
 
 
 def test_axis_serving_table_with_lines(spark, tables, rows):

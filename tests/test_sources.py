@@ -81,6 +81,8 @@ def test_stored_table(spark, tmp_path, rows):
     assert tables.upsert_table(new, path, "axis", 8) == (4, 2)
     assert tables.upsert_table(new, path, "axis", 8) == (2, 2)
     assert tables.upsert_table(spark.createDataFrame([], SCHEMA), path, "axis", 8) == (0, 0)
+    with pytest.raises(ValueError, match="8 buckets by axis"):
+        tables.upsert_table(new, path, "axis", 16)
     # a key of another type meets its rows all the same
     typed = new.withColumn("axis", F.col("axis").cast("double"))
     assert tables.upsert_table(typed, path, "axis", 8) == (2, 2)
@@ -118,6 +120,7 @@ def test_stream_replaces_and_links(spark, tmp_path, rows):
     stale = spark.createDataFrame([("left", 9.0, 9.0, 1, 200, None), ("left", 8.0, 8.0, 5, 200, None)],
                                   f"side string, area double, width double, axis long, measure_medial_axis long, {LINK} long")
     tables.create_table(stale, path, "axis", 4)
+    schema = stale.schema
     source = tmp_path / "in"
 
     def arrive(table_rows):
@@ -126,7 +129,7 @@ def test_stream_replaces_and_links(spark, tmp_path, rows):
     def run():
         stream = spark.readStream.schema(raw).parquet(str(source))
         stream_metrics(stream, swaths, path, str(tmp_path / "progress"),
-                       prepare=lambda b: prepare.prepare_valley_bottom(b).table, buckets=4).awaitTermination()
+                       prepare=lambda b: prepare.prepare_valley_bottom(b).table, schema=schema).awaitTermination()
         return rows(tables.read_table(spark, path), "axis", "measure_medial_axis", "side", "area", LINK)
 
     arrive([(0.0, "left", 1.0, 1.0, 1.0, 1, 200), (0.0, "right", 2.0, 1.0, 1.0, 1, 400)])
@@ -140,3 +143,28 @@ def test_table_schemas_hold_their_keys():
         assert set(keys) <= set(TABLES[name].fieldNames())
     assert len(TABLES["roe"].fields) == 74
     assert struct("a rings")["a"].dataType.simpleString() == "array<array<struct<x:double,y:double>>>"
+
+
+def test_bucket_number_is_kept(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    assert tables.create_table(spark.createDataFrame([], SCHEMA), path, "axis") == 16
+    assert tables.upsert_table(spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA), path, "axis", schema=struct(SCHEMA)) == (0, 2)
+    assert tables.upsert_table(spark.createDataFrame([(1, "c")], SCHEMA), path, "axis") == (1, 1)
+    assert rows(tables.read_table(spark, path)) == [(1, "c"), (2, "b")]
+    # creating it again leaves nothing of the old rows
+    tables.create_table(spark.createDataFrame([(5, "n")], SCHEMA), path, "axis", 3)
+    assert rows(tables.read_table(spark, path)) == [(5, "n")]
+    assert tables.buckets_for(10**9) == 1000
+
+
+def test_csv_headers_must_agree(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("axis,measure\n1,200\n")
+    (tmp_path / "b.csv").write_text("axis,measure\n2,400.0\n")
+    schema = struct("measure long, axis long")
+    assert sorted(tuple(r) for r in readers.read_metrics(spark, str(tmp_path), schema).collect()) == [(200, 1), (400, 2)]
+    (tmp_path / "c.csv").write_text("axis,measure\n3,200.7\n")
+    with pytest.raises(Exception, match="not a whole number"):
+        readers.read_metrics(spark, str(tmp_path), schema).collect()
+    (tmp_path / "c.csv").write_text("measure,axis\n600,3\n")
+    with pytest.raises(Exception):
+        readers.read_metrics(spark, str(tmp_path), schema).collect()
