@@ -86,6 +86,60 @@ def chain(ends: DataFrame, key: str, axis: str) -> DataFrame:
     return ranked.select(key, F.col("last").alias("head"), F.col("total").cast("long").alias("rank"))
 
 
+def oriented(lines: DataFrame, key: str, axis: str = "axis", geom: str = "geom") -> DataFrame:
+    """Reverse lines so that those joined in a chain all run the same way.
+
+    Two lines are joined where they, and no third end of the axis, meet. The way
+    most lines of a chain are drawn is kept, on a tie the one that begins with
+    the smaller key. Each line is walked both ways, so a chain is two paths of
+    the same lines, and the better path tells which of its lines to turn. Where
+    all lines already run head to tail, which is usual, nothing but the ends is
+    looked at.
+    """
+    sides = F.explode(
+        F.array(
+            F.struct(first_vertex(F.col(geom)).alias("node"), F.lit(False).alias("at_end")),
+            F.struct(last_vertex(F.col(geom)).alias("node"), F.lit(True).alias("at_end")),
+        )
+    ).alias("side")
+    ends = lines.select(F.col(key).alias("k"), axis, sides).select("k", axis, "side.*")
+    joints = saved(
+        ends.groupBy(axis, "node")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(F.struct("k", "at_end")).alias("a"),
+            F.max(F.struct("k", "at_end")).alias("b"),
+        )
+        .filter((F.col("n") == 2) & (F.col("a.k") != F.col("b.k")))
+        .select("a", "b"),
+        "joints",
+    )
+    if joints.filter("a.at_end = b.at_end").isEmpty():
+        return lines
+    # (k, back): the line walked along, or against, its vertices
+    step = joints.select("a", "b").unionByName(joints.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    step = step.select(
+        F.struct(F.col("a.k").alias("k"), (~F.col("a.at_end")).alias("back")).alias("h"),
+        F.struct(F.col("b.k").alias("k"), F.col("b.at_end").alias("back")).alias("to"),
+    )
+    walks = lines.select(
+        F.explode(F.array(*[F.struct(F.col(key).alias("k"), F.lit(b).alias("back")) for b in (False, True)])).alias("h")
+    )
+    links = walks.join(step, "h", "left").withColumn("one", F.lit(1.0))
+    paths = follow_pointers(links, "h", "to", "one", cycles="break").select("h", "last")
+    votes = paths.groupBy("last").agg(F.count(F.when(~F.col("h.back"), 1)).alias("votes"))
+    paths = saved(paths.join(votes, "last"), "paths")
+    rank = F.struct(-F.col("votes"), "last")
+    along = paths.filter("NOT h.back").select(F.col("h.k").alias(key), rank.alias("along"))
+    against = paths.filter("h.back").select(F.col("h.k").alias(key), rank.alias("against"))
+    turned = along.join(against, key).filter("against < along").select(key, F.lit(True).alias("__turn"))
+    return (
+        lines.join(turned, key, "left")
+        .withColumn(geom, F.when(F.col("__turn"), F.reverse(geom)).otherwise(F.col(geom)))
+        .select(*lines.columns)
+    )
+
+
 def _joined(parts: Column) -> Column:
     """Concatenate lines that touch, each joint vertex once."""
     return F.flatten(
@@ -107,12 +161,14 @@ def split_lines(
     Every line is cut by itself: its cut positions come from an equi-join on
     (axis, grid cell), and the pieces are made inside its row. Pieces that meet
     at a joint of two lines, without a border there, are then joined into one,
-    so the result does not depend on how the axis was divided into lines. Only
+    so the result does not depend on how the axis was divided into lines, nor on
+    which way each was drawn. Only
     the pieces at line ends take part in that. A piece lies in one swath or in
     none, so one inner point tells which. Pieces outside keep the axis and have
     null swath columns; a piece in two swaths gives two rows.
     """
     lines = lines.select(F.col(line_id).alias("fid"), axis, "geom").filter(F.size("geom") >= 2)
+    lines = oriented(lines, "fid", axis)
     edges = ring_edges(polygons, [axis, measure])
     plan = grid_plan(edges, [axis, measure])
     if cell is None:
@@ -261,14 +317,15 @@ def largest_overlap(
 def merge_lines(
     lines: DataFrame, key: str, axis: str = "axis", geom: str = "geom", size: float = 1e-5
 ) -> DataFrame:
-    """Join the lines of an axis that touch head to tail, after snapping to a grid.
+    """Join the lines of an axis that touch at their ends, after snapping to a grid.
 
-    Returns ``(axis, line_no, geom)``. ``line_no`` numbers nothing in order: it
+    Which way a line was drawn does not matter, see :func:`oriented`. Returns ``(axis, line_no, geom)``. ``line_no`` numbers nothing in order: it
     is derived from the head of the chain. A row is as long as its river.
     """
     snapped = lines.select(key, axis, snap_grid(F.col(geom), size).alias("geom")).filter(
         F.size("geom") >= 2
     )
+    snapped = oriented(snapped, key, axis)
     ends = snapped.select(
         key,
         axis,

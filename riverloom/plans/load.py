@@ -15,11 +15,11 @@ from riverloom.functions.columns import set_displayed, surrogate_key
 from riverloom.functions.geometry import (
     drop_z_rings,
     round_coordinates,
-    snap_grid,
     snap_grid_rings,
 )
 from riverloom.functions.projection import reproject
 from riverloom.functions.simplify import simplify_lines
+from riverloom.operators.lines import merge_lines
 from riverloom.operators.link import link_swaths
 from riverloom.operators.profiles import rows_per_axis
 from riverloom.operators.quality import conform
@@ -127,9 +127,11 @@ def load_network(store: Store, network: NetworkTables) -> NetworkReport:
     deleted = saved(
         rows_per_axis(store.read("hydro_swaths").join(axes, "axis", "left_semi")), "deleted"
     )
+    # lines that meet only on the storage grid are joined, those that shrink to a point go
     thin = reproject(
         simplify_lines(network.lines, AXIS_TOLERANCE), ["geom"], WORK_SRID, STORE_SRID
-    ).withColumn("geom", snap_grid(F.col("geom"), AXIS_GRID))
+    )
+    thin = merge_lines(thin, "line_no", size=AXIS_GRID)
     obstacles = delete_matching(axes, store.path("roe"), "axis", TABLES["roe"])
     counts = {
         "hydro_axis": replace_rows(store, "hydro_axis", network.hydro_axis),

@@ -281,3 +281,24 @@ def test_snapping_to_vertices_first(spark):
 
 def rows_of(df):
     return sorted((r.id, r.x, r.y) for r in df.collect())
+
+
+def test_merging_whatever_way_lines_are_drawn(spark):
+    rng = random.Random(12)
+    rows = [reach(1, 1, (0, 0), (10, 0)), reach(2, 1, (20, 0), (10, 0))]
+    for axis in (2, 3, 4):  # chains of 20 lines, some turned round; axis 4 is a ring
+        n = 20
+        at = [(100.0 * math.cos(2 * math.pi * i / n), 100.0 * math.sin(2 * math.pi * i / n)) if axis == 4 else (i * 7.0, axis * 50.0 + i % 3) for i in range(n + 1)]
+        at[n] = at[0] if axis == 4 else at[n]
+        for i in range(n):
+            ends = [at[i], at[i + 1]]
+            rows.append(reach(100 * axis + i, axis, *(ends if axis == 3 or rng.random() < 0.7 else ends[::-1])))
+    # a fork is no joint
+    rows += [reach(900, 9, (0, 0), (1, 0)), reach(901, 9, (1, 0), (2, 1)), reach(902, 9, (2, -1), (1, 0))]
+    merged = lines.merge_lines(spark.createDataFrame(rows, REACH), "fid").collect()
+    sizes = {a: sorted(len(r.geom) for r in merged if r.axis == a) for a in (1, 2, 3, 4, 9)}
+    assert sizes == {1: [3], 2: [21], 3: [21], 4: [21], 9: [2, 2, 2]}
+    assert [v["x"] for r in merged if r.axis == 3 for v in r.geom] == pytest.approx([7.0 * i for i in range(21)], abs=1e-4)
+    swaths = swath_rows(spark.createDataFrame([strip(1, 200, 5, 15)], SWATH))
+    pieces = lines.split_lines(spark.createDataFrame(rows[:2], REACH), swaths).pieces.collect()
+    assert sorted((r.m or 0, round(abs(r.geom[-1]["x"] - r.geom[0]["x"]), 6)) for r in pieces) == [(0, 5.0), (0, 5.0), (200, 10.0)]
