@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -80,6 +83,7 @@ def saved_and_counted(
 
 
 _shipped: set[str] = set()
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -100,10 +104,31 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with a function of this package."""
-    ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow`` with a function of this package.
+
+    Batches are kept to a few MB, whatever the length of a row, and as workers
+    are reused, a task hands back the memory it has freed.
+    """
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.sparkContext.getConf().get(BATCH_BYTES) is None:  # else the application has set it
+        spark.conf.set(BATCH_BYTES, str(8 << 20))
+
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(run, schema)
+
+
+def release_memory() -> None:
+    """Return freed memory of this process to the system, where that is possible."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def exists(path: str) -> bool:
