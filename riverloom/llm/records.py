@@ -156,7 +156,7 @@ class WordEncoder:
     those of its words. Words are recognised by their hash.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
