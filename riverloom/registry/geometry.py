@@ -229,7 +229,35 @@ def _(spark, sf):
     )
 
 
-@query("simplify_lines")
+# chords that are still to be split: at the vertex farthest from the chord, if beyond 400 m
+CHORDS = """chords(axis, a, b) AS (
+  SELECT axis, MIN(seq), MAX(seq) FROM fx_reach_vertices GROUP BY axis
+  UNION ALL
+  SELECT axis, CASE WHEN h.half = 0 THEN a ELSE far END, CASE WHEN h.half = 0 THEN far ELSE b END FROM (
+    SELECT c.axis, c.a, c.b, p.seq AS far, d.d,
+      ROW_NUMBER() OVER (PARTITION BY c.axis, c.a, c.b ORDER BY d.d DESC, p.seq) AS k
+    FROM chords c
+    JOIN fx_reach_vertices u ON u.axis = c.axis AND u.seq = c.a
+    JOIN fx_reach_vertices v ON v.axis = c.axis AND v.seq = c.b
+    JOIN fx_reach_vertices p ON p.axis = c.axis AND p.seq > c.a AND p.seq < c.b,
+    LATERAL (SELECT LEAST(GREATEST(((p.x - u.x) * (v.x - u.x) + (p.y - u.y) * (v.y - u.y))
+      / ((v.x - u.x) * (v.x - u.x) + (v.y - u.y) * (v.y - u.y)), 0), 1) AS f) t,
+    LATERAL (SELECT SQRT(POW(p.x - u.x - t.f * (v.x - u.x), 2) + POW(p.y - u.y - t.f * (v.y - u.y), 2)) AS d) d
+  ) s, (VALUES (0), (1)) h(half) WHERE s.k = 1 AND s.d > 400)"""
+
+
+@query(
+    "simplify_lines",
+    ctes(*fx("reach_vertices"), recursive=True).rstrip()
+    + f""",
+{CHORDS},
+kept AS (
+  SELECT axis, seq, x, y, LEAD(x) OVER w AS nx, LEAD(y) OVER w AS ny FROM fx_reach_vertices v
+  WHERE EXISTS (SELECT 1 FROM chords c WHERE c.axis = v.axis AND v.seq IN (c.a, c.b))
+  WINDOW w AS (PARTITION BY axis ORDER BY seq))
+SELECT axis, CAST(COUNT(*) AS INT) AS vertices, ROUND(SUM(SQRT(POW(nx - x, 2) + POW(ny - y, 2))), 3) AS length
+FROM kept GROUP BY axis""",
+)
 def _(spark, sf):
     thin = simplify_lines(axis_lines(spark, sf), 400.0)
     return thin.select(
