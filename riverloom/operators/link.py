@@ -15,14 +15,16 @@ def link_swaths(metric: DataFrame, swaths: DataFrame) -> DataFrame:
     """Set the swath id by equal (axis, measure); null where there is none.
 
     The pair is unique among swaths, so rows are never multiplied; ids held
-    from an earlier load are recomputed.
+    from an earlier load are recomputed. The join is on the plain pair, so that
+    sums by position need no further shuffle; a hot position, or many rows
+    without one, are split by the adaptive skew join.
     """
     by_position = swaths.filter("axis IS NOT NULL AND measure_medial_axis IS NOT NULL").selectExpr(
         "bigint(axis) AS axis", "bigint(measure_medial_axis) AS measure_medial_axis", f"gid AS {LINK}"
     )
     bare = [c for c in metric.columns if c != LINK]
     typed = metric.selectExpr(*[f"bigint({c}) AS {c}" if c in POSITION else f"`{c}`" for c in bare])
-    return keyed_join(typed, by_position, POSITION, "left")
+    return typed.join(by_position, POSITION, "left").select(*bare, LINK)
 
 
 def unlink_deleted(metric: DataFrame, swaths: DataFrame) -> DataFrame:

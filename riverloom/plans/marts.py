@@ -144,11 +144,15 @@ MART_ORDER = [
 def marts(tables: Mapping[str, DataFrame]) -> dict[str, Builder]:
     """Builders of all serving tables, for :func:`riverloom.sources.tables.refresh`.
 
-    ``tables`` are the loaded tables; metric tables are linked to the swaths
-    here, whether or not they were on load.
+    ``tables`` are the loaded tables; metric tables that were not linked to the
+    swaths on load are linked here.
     """
     swaths = tables["hydro_swaths"]
-    linked = {n: link_swaths(tables[n], swaths) for n in METRIC_TABLES if n in tables}
+    linked = {
+        n: tables[n] if LINK in tables[n].columns else link_swaths(tables[n], swaths)
+        for n in METRIC_TABLES
+        if n in tables
+    }
     return {
         "landcover_area_full_side": lambda read: full_side_area(
             linked["landcover_area"], LANDCOVER_LABELS
