@@ -8,7 +8,7 @@ from riverloom import fixtures as fixture
 from riverloom.functions.geometry import line_length, xy
 from riverloom.functions.projection import reproject
 from riverloom.operators.profiles import axis_summary
-from riverloom.plans import marts, prepare
+from riverloom.plans import load, marts, prepare
 from riverloom.registry import query
 from riverloom.registry.geometry import (
     FEET,
@@ -33,7 +33,7 @@ from riverloom.registry.sql import (
     linked,
 )
 from riverloom.registry.tables import DISTINCT_SITES, POSITION
-from riverloom.schemas import SITE_RESPONSE, struct
+from riverloom.schemas import SITE_RESPONSE, TABLES, struct
 from riverloom.session import new_folder
 from riverloom.sources import readers, tables
 from riverloom.streaming.metrics import stream_metrics
@@ -266,6 +266,36 @@ def _(spark, sf):
     return tables.read_table(spark, path, none.schema)
 
 
+def _store(spark, *names):
+    store = load.Store(spark, new_folder(spark, "store"), 16)
+    load.create_tables(store, list(names))
+    return store
+
+
+@query(
+    "load_landcover",
+    ctes(*fx("landcover", "swaths"), ("wide", LANDCOVER_WIDE)) + linked("wide"),
+)
+def _(spark, sf):
+    store = _store(spark, "hydro_swaths", "landcover_area")
+    raw, swaths = fixture.landcover(spark, sf), fixture.swaths(spark, sf)
+    load.replace_rows(store, "hydro_swaths", swaths.select("gid", "axis", "measure_medial_axis"))
+    for delivery in (_new_rows(raw), raw):
+        load.load_metrics(store, "landcover_area", prepare.prepare_landcover_area(delivery).table)
+    return store.read("landcover_area")
+
+
+PLACED_SITES = ctes(
+    *fx("sites", "region_rings"),
+    ("d", DISTINCT_SITES),
+    ("e", REGION_EDGES),
+    (
+        "placed",
+        f"""SELECT p.code_site, e.gid_region FROM d p JOIN e ON {INSIDE}
+  GROUP BY p.code_site, e.gid_region HAVING COUNT(*) % 2 = 1""",
+    ),
+)
+
 # --- layers -----------------------------------------------------------------------------------------
 
 
@@ -316,16 +346,7 @@ def _(spark, sf):
 
 @query(
     "prepare_sites",
-    ctes(
-        *fx("sites", "region_rings"),
-        ("d", DISTINCT_SITES),
-        ("e", REGION_EDGES),
-        (
-            "placed",
-            f"""SELECT p.code_site, e.gid_region FROM d p JOIN e ON {INSIDE}
-  GROUP BY p.code_site, e.gid_region HAVING COUNT(*) % 2 = 1""",
-        ),
-    )
+    PLACED_SITES
     + """SELECT d.code_site, CONCAT('https://www.hydro.eaufrance.fr/sitehydro/', d.code_site, '/fiche') AS url_site,
   d.libelle_site, d.statut_site, p.gid_region, d.x, d.y FROM d JOIN placed p ON p.code_site = d.code_site""",
 )
@@ -334,6 +355,49 @@ def _(spark, sf):
     return prepare.prepare_sites(sites, region_edges(spark, sf), srid=2154)
 
 
+@query(
+    "load_sites",
+    PLACED_SITES
+    + """SELECT d.code_site, d.libelle_site, d.statut_site, p.gid_region, ROUND(d.x, 2) AS x, ROUND(d.y, 2) AS y
+FROM d JOIN placed p ON p.code_site = d.code_site""",
+)
+def _(spark, sf):
+    store = _store(spark, "hydro_sites")
+    sites = prepare.prepare_sites(
+        readers.distinct_sites(fixture.sites(spark, sf)), region_edges(spark, sf), srid=2154
+    )
+    # an earlier delivery of some of them, with other names
+    load.load_sites(store, sites.filter(F.col("code_site") < "S2").withColumn("libelle_site", F.lit("old")))
+    load.load_sites(store, sites)
+    metric = reproject(store.read("hydro_sites"), ["x", "y"], 4326, 2154)
+    return metric.select(
+        "code_site", "libelle_site", "statut_site", "gid_region",
+        F.round("x", 2).alias("x"), F.round("y", 2).alias("y"),
+    )
+
+
+@query(
+    "load_regions_and_display",
+    """SELECT CAST(n_nationkey AS INT) AS gid, CONCAT('NATION_', CAST(n_nationkey AS VARCHAR)) AS cdregionhy,
+  n_nationkey IN (3, 7) AS display, 7 AS vertices FROM nation""",
+)
+def _(spark, sf):
+    store = _store(spark, "region_hydrographique")
+    rings = fixture.region_rings(spark, sf).withColumn("ring", F.lit(0))
+    regions = readers.fold_vertices(
+        rings.select("gid", "ring", "seq", (F.col("x") + 650000).alias("x"), (F.col("y") + 6550000).alias("y")),
+        ["gid"],
+        "polygon",
+    ).withColumn("cdregionhy", F.concat(F.lit("NATION_"), F.col("gid").cast("string")))
+    load.load_regions(store, regions.filter("gid < 9"))
+    load.display(store, "region_hydrographique", ["NATION_1"])
+    load.load_regions(store, regions)
+    load.display(store, "region_hydrographique", ["NATION_3", "NATION_7", "NATION_99"])
+    return store.read("region_hydrographique").select(
+        "gid", "cdregionhy", "display", F.size(F.col("geom")[0]).alias("vertices")
+    )
+
+
 PREPARED_SWATHS = (
     *SPLIT,
     *fx("region_rings"),
@@ -387,6 +451,33 @@ def _(spark, sf):
     )
 
 
+@query(
+    "load_network",
+    ctes(*PREPARED_SWATHS)
+    + """SELECT axis, measure_medial_axis, ROUND(measure_from_outlet, 2) AS measure_from_outlet,
+  ROUND(length, 3) AS length, strahler, gid_region FROM swath_rows
+UNION ALL SELECT -1, 200, 5, 7, 1, NULL""",
+)
+def _(spark, sf):
+    store = _store(spark, *TABLES)
+    network = _network_tables(spark, sf)
+    # rows of an axis that is not delivered, and of one that is
+    old = spark.createDataFrame(
+        [(1, -1, 200, 5.0, 7.0, 1), (2, 0, 123456, 5.0, 7.0, 1)],
+        "gid long, axis long, measure_medial_axis long, measure_from_outlet double, length double, strahler int",
+    )
+    load.replace_rows(store, "hydro_swaths", old)
+    load.load_network(store, network)
+    return store.read("hydro_swaths").select(
+        "axis",
+        "measure_medial_axis",
+        F.round("measure_from_outlet", 2).alias("measure_from_outlet"),
+        F.round("length", 3).alias("length"),
+        "strahler",
+        "gid_region",
+    )
+
+
 @query(
     "prepare_axis",
     ctes(
