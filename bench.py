@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from riverloom import registry  # noqa: E402
-from riverloom.session import local_session  # noqa: E402
+from riverloom.session import drop_run_folder, local_session  # noqa: E402
 
 HEADLINE = [
     "prepare_landcover_area",
@@ -53,6 +53,7 @@ def main() -> None:
             registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             spent = time.perf_counter() - start
             best = spent if best is None else min(best, spent)
+            drop_run_folder(spark)
         seconds[name] = round(best, 3)
         print(name, seconds[name], file=sys.stderr, flush=True)
     spark.stop()

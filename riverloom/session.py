@@ -53,9 +53,23 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Where this application keeps its tables below the shared folder."""
+    return f"{shared_folder(spark)}/run-{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """Unused path below the shared folder, for one run's tables."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """Unused path for one run's tables."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_run_folder(spark: SparkSession) -> None:
+    """Free the space of all tables that this application has saved so far.
+
+    The last step of a job, once its output is committed elsewhere: frames,
+    models and manifests made before cannot be read any more.
+    """
+    drop_folder(run_folder(spark))
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

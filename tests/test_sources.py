@@ -168,3 +168,13 @@ def test_csv_headers_must_agree(spark, tmp_path):
     (tmp_path / "c.csv").write_text("measure,axis\n600,3\n")
     with pytest.raises(Exception):
         readers.read_metrics(spark, str(tmp_path), schema).collect()
+
+
+def test_run_folder_is_dropped(spark):
+    from riverloom import session
+
+    table = session.saved(spark.range(5), "five")
+    assert table.count() == 5 and session.exists(session.run_folder(spark))
+    session.drop_run_folder(spark)
+    assert not session.exists(session.run_folder(spark))
+    assert session.saved(spark.range(5), "five").count() == 5
