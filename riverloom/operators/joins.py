@@ -5,22 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-SPREAD = 512
-
-
 def keyed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Left, left-semi or left-anti equi-join that survives many null keys.
 
     A row with a null key can match nothing, yet a shuffle would send all such
     rows of a key prefix to one task. A third key, derived from the row itself,
-    is 0 on both sides for complete keys and spreads the incomplete ones. Hot
+    is 0 on both sides for complete keys and spreads the incomplete ones, over as
+    many values as there are shuffle partitions. Hot
     complete keys are split by the adaptive skew join, as ``right`` holds each
     key once and only the left side is large.
     """
+    width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     complete = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
     hashed = ", ".join(f"`{f.name}`" for f in left.schema if not isinstance(f.dataType, T.MapType))
     spread = (
-        f"CASE WHEN {complete} THEN 0 ELSE 1 + int(pmod(xxhash64({hashed}), {SPREAD})) END AS __spread"
+        f"CASE WHEN {complete} THEN 0 ELSE 1 + int(pmod(xxhash64({hashed}), {width})) END AS __spread"
     )
     joined = left.selectExpr("*", spread).join(
         right.selectExpr("*", "0 AS __spread"), [*keys, "__spread"], how
