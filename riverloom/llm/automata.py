@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverloom.llm.pairs import whole_runs
-from riverloom.llm.words import Texts, lists, pieces, range_hashes, signed
+from riverloom.llm.words import Texts, pieces, range_hashes, signed
 from riverloom.session import map_arrow, saved
 
 WINDOW = 50
