@@ -9,11 +9,12 @@ A bucket proposes a star: its member with most bucket mates is the hub, and ever
 other member a candidate with the hub, so a bucket of n members has n - 1 pairs.
 Candidates are confirmed on full shingle sets. Where a bucket still holds several
 components, its members are compared by signature in blocks of bounded size. Those with
-a partner in another component whose signature agrees in at least ``LEAST_AGREEING`` bins
-(similarity 0.70, five deviations below 0.85) meet again with their full sets, all
+a partner in another component whose signature agrees in at least :func:`least_agreeing`
+bins (``DEVIATIONS`` below the threshold) meet again with their full sets, all
 intersections of a block are counted at once, and the links found leave the task as
 stars. So a star around the wrong hub loses no link, and no pair of a bucket is ever a
-row. A pair at 0.85 shares no band with a probability of 3e-7.
+row. Bands are as wide as they can be so that a pair at the threshold shares none with a
+probability of ``MISSED`` at most (3e-7 at 0.85).
 
 Documents with equal sets are one class and compared once. A document's set holds its
 distinct shingles of five words; of fewer words, the whole sequence; of no words or a
@@ -37,15 +38,28 @@ from riverloom.llm.words import Texts, lists, mix, pieces, range_hashes, signed
 from riverloom.session import map_arrow, saved
 
 SHINGLE = 5
-BANDS, ROWS = 32, 6
-BINS = BANDS * ROWS
-LEAST_AGREEING = 134
+BINS = 192
+MISSED = 1e-6
+DEVIATIONS = 5.9
 BLOCK = 512
 UNIT = ["key", "lo", "hi"]
 
 _rng = np.random.Generator(np.random.PCG64(5))
 _ORDER = np.array([_rng.permutation(BINS) for _ in range(BINS)])
-_WEIGHTS = _rng.integers(1, 2**63, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
+_WEIGHTS = _rng.integers(1, 2**63, BINS, dtype=np.uint64) | np.uint64(1)
+
+
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, rows of a band): the widest bands that miss few enough pairs at the threshold."""
+    widths = (r for r in range(BINS, 1, -1) if (1 - (percent / 100) ** r) ** (BINS // r) <= MISSED)
+    rows = next(widths, 1)
+    return BINS // rows, rows
+
+
+def least_agreeing(percent: int) -> int:
+    """Bins in which signatures of a pair at the threshold agree at the least."""
+    share = percent / 100
+    return max(0, int(BINS * share - DEVIATIONS * (BINS * share * (1 - share)) ** 0.5))
 
 
 def shingle_sets(texts: Texts, size: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -75,35 +89,41 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return values
 
 
-def band_keys(values: np.ndarray) -> np.ndarray:
-    return mix((values.reshape(BANDS, ROWS) * _WEIGHTS).sum(axis=1, dtype=np.uint64))
+def band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    used = bands * rows
+    return mix((values[:used] * _WEIGHTS[:used]).reshape(bands, rows).sum(axis=1, dtype=np.uint64))
 
 
 SIGNED = "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>, agree binary"
 
 
-def _sign(batches):
-    for batch in batches:
-        for lo, hi, texts in pieces(batch["text"], lower=True):
-            sizes, fp1, fp2, bands, agree = [], [], [], [], []
-            for s in shingle_sets(texts):
-                sizes.append(len(s))
-                fp1.append(mix(s ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64))
-                fp2.append(mix(s + np.uint64(0xC2B2AE3D)).sum(dtype=np.uint64))
-                values = signature(s) if len(s) else None
-                bands.append(signed(band_keys(values)) if len(s) else np.zeros(0, np.int64))
-                agree.append(mix(values).astype(np.uint8).tobytes() if len(s) else b"")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["doc_id"].slice(lo, hi - lo).cast(pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(signed(np.array(fp1, np.uint64))),
-                    pa.array(signed(np.array(fp2, np.uint64))),
-                    lists(np.concatenate(bands), np.cumsum([len(b) for b in bands]), pa.int64()),
-                    pa.array(agree, pa.binary()),
-                ],
-                ["doc_id", "n_shingles", "fp1", "fp2", "bands", "agree"],
-            )
+def _sign(percent: int):
+    shape = banding(percent)
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi, texts in pieces(batch["text"], lower=True):
+                sizes, fp1, fp2, bands, agree = [], [], [], [], []
+                for s in shingle_sets(texts):
+                    sizes.append(len(s))
+                    fp1.append(mix(s ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64))
+                    fp2.append(mix(s + np.uint64(0xC2B2AE3D)).sum(dtype=np.uint64))
+                    values = signature(s) if len(s) else None
+                    bands.append(signed(band_keys(values, *shape)) if len(s) else np.zeros(0, np.int64))
+                    agree.append(mix(values).astype(np.uint8).tobytes() if len(s) else b"")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch["doc_id"].slice(lo, hi - lo).cast(pa.int64()),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(signed(np.array(fp1, np.uint64))),
+                        pa.array(signed(np.array(fp2, np.uint64))),
+                        lists(np.concatenate(bands), np.cumsum([len(b) for b in bands]), pa.int64()),
+                        pa.array(agree, pa.binary()),
+                    ],
+                    ["doc_id", "n_shingles", "fp1", "fp2", "bands", "agree"],
+                )
+
+    return run
 
 
 def _sets(batches):
@@ -138,24 +158,29 @@ def _confirm(percent: int):
     return run
 
 
-def _promising(batches):
+def _promising(percent: int):
     """Members of a unit with a partner of another component and a like signature."""
-    for table, starts in whole_runs(batches, UNIT):
-        label = table["label"].to_numpy()
-        lo, hi, block = (table[c].to_numpy() for c in ("lo", "hi", "block"))
-        agree = np.frombuffer(b"".join(table["agree"].to_pylist()), np.uint8).reshape(-1, BINS)
-        keep = np.zeros(len(table), bool)
-        for s, e in zip(starts[:-1], starts[1:]):
-            cross = lo[s] != hi[s]
-            for i in range(s, e - 1):
-                others = np.arange(i + 1, e)
-                others = others[label[others] != label[i]]
-                if cross:
-                    others = others[block[others] != block[i]]
-                alike = others[(agree[others] == agree[i]).sum(axis=1) >= LEAST_AGREEING]
-                keep[alike] = True
-                keep[i] |= len(alike) > 0
-        yield from table.drop_columns(["agree"]).filter(pa.array(keep)).combine_chunks().to_batches()
+    least = least_agreeing(percent)
+
+    def run(batches):
+        for table, starts in whole_runs(batches, UNIT):
+            label = table["label"].to_numpy()
+            lo, hi, block = (table[c].to_numpy() for c in ("lo", "hi", "block"))
+            agree = np.frombuffer(b"".join(table["agree"].to_pylist()), np.uint8).reshape(-1, BINS)
+            keep = np.zeros(len(table), bool)
+            for s, e in zip(starts[:-1], starts[1:]):
+                cross = lo[s] != hi[s]
+                for i in range(s, e - 1):
+                    others = np.arange(i + 1, e)
+                    others = others[label[others] != label[i]]
+                    if cross:
+                        others = others[block[others] != block[i]]
+                    alike = others[(agree[others] == agree[i]).sum(axis=1) >= least]
+                    keep[alike] = True
+                    keep[i] |= len(alike) > 0
+            yield from table.drop_columns(["agree"]).filter(pa.array(keep)).combine_chunks().to_batches()
+
+    return run
 
 
 def shared_counts(values: np.ndarray, ends: np.ndarray, columns: int = 4096) -> np.ndarray:
@@ -210,7 +235,7 @@ def _link_in_blocks(percent: int):
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signatures = saved(map_arrow(docs, _sign, SIGNED), "minhash-signatures")
+    signatures = saved(map_arrow(docs, _sign(percent), SIGNED), "minhash-signatures")
     key = ["n_shingles", "fp1", "fp2"]
     classes = saved(
         signatures.where("n_shingles > 0")
@@ -260,7 +285,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     open_rows = labelled.join(split.select("key"), "key").join(classes.select("rep", "agree"), "rep")
     promising = map_arrow(
         block_units(open_rows, ["key"], "rep", BLOCK),
-        _promising,
+        _promising(percent),
         "key long, rep long, label long, block int, lo int, hi int",
     )
     again = saved(promising, "minhash-open").join(sets.withColumnRenamed("doc_id", "rep"), "rep")

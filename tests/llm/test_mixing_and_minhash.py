@@ -166,3 +166,26 @@ def test_mixing_sql(spark):
     assert sorted(map(tuple, got)) == sorted(want)
     plan = queries.QUERIES["op8_source_mixing"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_bands_follow_the_threshold():
+    assert minhash.banding(85) == (32, 6) and minhash.least_agreeing(85) == 134
+    for percent in (70, 80, 85, 95):
+        bands, width = minhash.banding(percent)
+        assert bands * width <= minhash.BINS and (1 - (percent / 100) ** width) ** bands <= 1e-6
+        share = percent / 100
+        assert minhash.least_agreeing(percent) <= minhash.BINS * share - 5 * (minhash.BINS * share * (1 - share)) ** 0.5
+
+
+def test_lower_threshold_against_brute_force(spark):
+    """Planted pairs between 0.80 and 0.85 are linked at 80 percent, and not at 85."""
+    rng = random.Random(14)
+    rows = []
+    for k in range(60):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(204)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:186 - k % 3] + [f"x{rng.randrange(10**6)}" for _ in range(18 + k % 3)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for percent, kept in ((80, 60), (85, 120)):
+        want = brute_near(rows, percent)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs, percent).collect()}
+        assert got == want and sum(d == c for d, (_, c) in got.items()) == kept
