@@ -44,7 +44,7 @@ from riverloom.llm.pairs import whole_runs
 from riverloom.llm.words import Texts, mix, pieces
 from riverloom.session import map_arrow, new_folder, saved
 
-ORDER = 2
+ORDER = 3
 FLUSH = 2_000_000
 BUCKET_TOKENS = 2_000_000
 BUCKET_TEXT = 64 << 20
@@ -92,12 +92,12 @@ def tally(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarra
 
 
 def narrow(counts: np.ndarray) -> np.ndarray:
-    return counts.astype(np.uint32 if counts.max(initial=0) < 2**32 else np.uint64)
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
 
 
 def _unpack(blob: pa.Buffer, n: int, order: int) -> tuple[list[np.ndarray], np.ndarray]:
     columns = [np.frombuffer(blob, np.uint64, n, 8 * n * k) for k in range(order)]
-    kind = np.uint32 if blob.size == n * (8 * order + 4) else np.uint64
+    kind = np.dtype(f"u{blob.size // n - 8 * order}")
     return columns, np.frombuffer(blob, kind, n, 8 * n * order).astype(np.int64)
 
 

@@ -4,6 +4,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from riverloom.llm import language_model as lm
@@ -105,3 +107,21 @@ def test_documents(spark):
         assert got[d].score == pytest.approx(plain.score(t), rel=1e-9)
     unseen = [r for r in got.values() if r.held_out]
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
+
+
+def test_registered_model_has_three_orders(spark):
+    texts = some_texts()[:40]
+    df = spark.createDataFrame([(i, t, 1, 2, "k") for i, t in enumerate(texts)], SCHEMA)
+    plain = Plain(texts, 3)
+    model = lm.train(df)
+    assert model.order == 3
+    assert all(r.score == pytest.approx(plain.score(texts[r.doc_id]), rel=1e-9) for r in lm.score(df, model).collect())
+
+
+@pytest.mark.parametrize("most,size", [(255, 1), (256, 2), (2**16, 4), (2**32, 8)])
+def test_narrow_counts_come_back(most, size):
+    grams, counts = np.arange(3, dtype=np.uint64), np.array([1, most, 2])
+    blob = grams.tobytes() + lm.narrow(counts).tobytes()
+    assert len(blob) == 3 * (8 + size)
+    (column,), back = lm._unpack(pa.py_buffer(blob), 3, 1)
+    assert (column == grams).all() and (back == counts).all()
