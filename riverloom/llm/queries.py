@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverloom.llm import automata, blocks, cap_filters, language_model, leaks, minhash, mixing, records, toxicity, warc
+from riverloom.llm import (
+    automata, blocks, cap_filters, language_model, leaks, line_runs, minhash, mixing, records, toxicity, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -160,3 +162,25 @@ def op9_repeated_passages(spark, sf_dir):
     """What is left of each document without words that 50-word windows of earlier ones hold."""
     found = automata.without_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op11_line_runs(spark, sf_dir):
+    """What is left of each document without lines that an earlier one holds."""
+    found = line_runs.without_repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op11_line_runs"] = r"""
+WITH s AS (SELECT doc_id, STRING_SPLIT(COALESCE(text, ''), CHR(10)) AS lines FROM documents),
+l AS (SELECT doc_id, UNNEST(lines) AS line, GENERATE_SUBSCRIPTS(lines, 1) AS pos FROM s),
+k AS (
+  SELECT *, TRANSLATE(TRIM(line, CHR(32) || CHR(9) || CHR(10) || CHR(11) || CHR(12) || CHR(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (
+  SELECT key, MIN(doc_id) AS holder FROM k WHERE LENGTH(key) >= 10 GROUP BY key HAVING COUNT(DISTINCT doc_id) > 1),
+m AS (SELECT k.doc_id, pos, line, COALESCE(k.doc_id <> r.holder, FALSE) AS gone FROM k LEFT JOIN r USING (key))
+SELECT doc_id, COUNT(*) AS n_lines, COUNT(*) FILTER (gone) AS n_dropped,
+  SHA256(COALESCE(STRING_AGG(line, CHR(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
