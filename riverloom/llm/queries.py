@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverloom.llm import (
-    automata, blocks, cap_filters, language_model, leaks, line_runs, minhash, mixing, records, toxicity, warc,
+    alignment, automata, blocks, cap_filters, language_model, leaks, lexical, line_runs, minhash, mixing, records, toxicity, warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +184,43 @@ SELECT doc_id, COUNT(*) AS n_lines, COUNT(*) FILTER (gone) AS n_dropped,
   SHA256(COALESCE(STRING_AGG(line, CHR(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+
+@query
+def op12_hybrid_ranked_search(spark, sf_dir):
+    """The ten documents that rank highest for each benchmark item."""
+    shards = lexical.index(table(spark, sf_dir, "documents"))
+    return lexical.rank(shards, table(spark, sf_dir, "benchmark"), k=10)
+
+
+ORACLES["op12_hybrid_ranked_search"] = r"""
+WITH t AS (
+  SELECT doc_id, ROW_NUMBER() OVER () AS row, UNNEST(REGEXP_EXTRACT_ALL(
+    TRANSLATE(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+f AS (SELECT row, doc_id, term, COUNT(*) AS tf FROM t GROUP BY ALL),
+s AS (SELECT row, SUM(tf)::BIGINT AS n FROM f GROUP BY row),
+c AS (SELECT COUNT(*) AS n_docs, SUM(n)::BIGINT AS n_terms FROM s),
+w AS (
+  SELECT term, FLOOR(1000 * LN((2 * n_docs + 2)::DOUBLE / (2 * COUNT(*) + 1)))::BIGINT AS w FROM f, c GROUP BY term, n_docs),
+q AS (
+  SELECT item_id, UNNEST(REGEXP_EXTRACT_ALL(
+    TRANSLATE(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+x AS (SELECT item_id, term, COUNT(*) AS times FROM q GROUP BY ALL),
+scored AS (
+  SELECT item_id, row, doc_id,
+    SUM(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM x JOIN w USING (term) JOIN f USING (term) JOIN s USING (row), c GROUP BY ALL),
+ranked AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query
+def op13_token_alignment(spark, sf_dir):
+    """How the ids of two tokenizers align over every document."""
+    return alignment.aligned(
+        table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    )
