@@ -25,6 +25,7 @@ file and reads back as no rows.
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from functools import lru_cache
@@ -37,6 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riverloom.llm.units import UnitCache, distinct
 from riverloom.llm.words import pieces
 from riverloom.session import map_arrow, new_folder, saved
 
@@ -149,65 +151,124 @@ def unframed(data: np.ndarray, places: np.ndarray, counts: np.ndarray, width: in
     return np.ascontiguousarray(payload).view(f"<u{width}"), ends // width
 
 
-class WordEncoder:
-    """Encodes texts word by word, each distinct word once.
+#: The pattern of tokenizers whose words never hold white space, nor go on from a letter or
+#: digit to a sign (fixed value, to be found in the tokenizer's file).
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    For a tokenizer that drops white space and never looks across it, a text's ids are
-    those of its words. Words are recognised by their hash.
+#: classes of bytes: white space, letter, digit, apostrophe, other sign, beyond ASCII
+_CLASS = np.full(256, 4, np.uint8)
+_CLASS[[0x20, *range(0x09, 0x0E)]] = 0
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_CLASS[0x30:0x3A] = 2
+_CLASS[0x27] = 3
+_CLASS[0x80:] = 5
+#: whether a unit begins between bytes of these classes (the one before, the one after)
+_CUT = np.zeros((6, 6), bool)
+_CUT[0, 1:] = _CUT[1:, 0] = True
+_CUT[1:3, 3:5] = True  # a sign after a letter or digit
+_CUT[4, 1:3] = True  # a letter or digit after a sign other than the apostrophe
+_CUT[1, 2] = _CUT[2, 1] = _CUT[2, 2] = True
+
+
+#: units that are encoded as one text, bytes of texts that are encoded at a time
+JOINED, PIECE = 256, 4 << 20
+
+
+class UnitEncoder:
+    """Encodes texts unit by unit, each distinct unit once as long as it is in the cache.
+
+    A tokenizer that composes characters (NFC), lower-cases them, drops white space and finds
+    words by :data:`WORDS` can be given a text in units: no word goes over a cut of ``_CUT``, no
+    character is composed with one before it in ASCII, and no word looks back. That is read
+    from the tokenizer's file; the texts of any other are encoded whole. Units are compared
+    byte by byte; ASCII ones are lower-cased first, as lower-casing may keep others from being
+    composed alike.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.limit = limit
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known = np.zeros(0, np.uint64)  # sorted
-        self.begin = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def _learn(self, texts, new: np.ndarray, first: np.ndarray) -> None:
-        if len(self.known) + len(new) > self.limit:
-            self._clear()
-        words = [texts.word(i).decode() for i in first]
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        counts = np.array([len(c) for c in coded], np.int64)
-        flat = np.array([i for c in coded for i in c], np.uint32)
-        begin = len(self.ids) + np.cumsum(counts) - counts
-        self.ids = np.concatenate((self.ids, flat))
-        known = np.concatenate((self.known, new))
-        order = np.argsort(known)
-        self.known = known[order]
-        self.begin = np.concatenate((self.begin, begin))[order]
-        self.count = np.concatenate((self.count, counts))[order]
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        self.cuts = self._by_words(file)
+        added = file.get("added_tokens") or []
+        #: added tokens are found in a text before anything else, so no cut goes through one
+        self.added = [t["content"].encode() for t in added]
+        plain = [t for t in added if not (t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"])]
+        self.mark = (plain[0]["content"], plain[0]["id"]) if plain else None
+        self.cache = UnitCache(self._work, [(np.uint32,)], 300_000)
+
+    @staticmethod
+    def _by_words(file: dict) -> bool:
+        steps = (file.get("normalizer") or {}).get("normalizers", [])
+        first, *rest = (file.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        space = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+        split = {"type": "Split", "pattern": {"Regex": WORDS}, "behavior": "Removed", "invert": True}
+        bytes_only = [r.get("type") == "ByteLevel" and not r.get("use_regex") and not r.get("add_prefix_space") for r in rest]
+        normal = [{"type": "NFC"}, space, {"type": "Lowercase"}]
+        return steps == normal and first == split and bytes_only == [True] and not file.get("post_processor")
+
+    def _work(self, units: list[bytes]):
+        texts = [u.decode(errors="replace") for u in units]
+        if not self.mark or any(t in u for u in units for t in self.added if len(u) >= len(t)):
+            coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            counts = np.fromiter(map(len, coded), np.int64, len(coded))
+            return (counts, [np.fromiter((i for c in coded for i in c), np.uint32, int(counts.sum()))]), None
+        # an added token between units keeps them apart, and tells their ids apart
+        content, mark = self.mark
+        runs = [content.join([*texts[lo : lo + JOINED], ""]) for lo in range(0, len(texts), JOINED)]
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)])
+        ends = np.flatnonzero(ids == mark)
+        counts = np.diff(ends, prepend=-1) - 1
+        return (counts, [ids[ids != mark]]), None
+
+    def _units(self, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes, starts and ends of units."""
+        data, rows = texts.data, texts.offsets
+        if not self.cuts:
+            some = np.flatnonzero(np.diff(rows))
+            return data, rows[some], rows[some + 1]
+        kind = _CLASS[data]
+        begins = np.ones(len(data), bool)
+        begins[1:] = _CUT[kind[:-1], kind[1:]]
+        raw = data.tobytes() if self.added else b""
+        for content in self.added:
+            at = raw.find(content)
+            while at >= 0:
+                begins[at + 1 : at + len(content)] = False
+                at = raw.find(content, at + 1)
+        begins[rows[:-1][rows[:-1] < len(data)]] = True
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(data))
+        inside = kind[starts] > 0
+        starts, ends = starts[inside], ends[inside]
+        high = np.concatenate(([0], np.cumsum(data >= 0x80)))
+        plain = high[ends] == high[starts]
+        edge = np.zeros(len(data) + 1, np.int8)
+        edge[starts[plain]] += 1
+        edge[ends[plain]] -= 1
+        small = (np.cumsum(edge[:-1], dtype=np.int8) > 0) & (data >= 0x41) & (data <= 0x5A)
+        return data + (small * np.uint8(32)), starts, ends
 
     def __call__(self, texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, each with the end id, and where each row ends."""
-        hashes, at, which = np.unique(texts.hashes, return_index=True, return_inverse=True)
-        if len(self.known) + len(hashes) > self.limit:
-            self._clear()
-        new = np.flatnonzero(~np.isin(hashes, self.known, assume_unique=True))
-        if len(new):
-            self._learn(texts, hashes[new], at[new])
-        found = np.searchsorted(self.known, hashes)[which] if len(hashes) else which
-        counts = self.count[found]
-        begin = self.begin[found]
-        row_tokens = np.concatenate(([0], np.cumsum(counts)))[texts.first]
-        ends = row_tokens[1:] + np.arange(1, len(texts.first))
-        out = np.full(int(ends[-1]), end_id, np.uint32)
+        data, starts, ends = self._units(texts)
+        names, which = distinct(data, starts, ends)
+        slots = self.cache.slots(names)
+        count, (ids,) = self.cache.new.lists[0].take(slots[which])
+        upto = np.concatenate(([0], np.cumsum(count)))[np.searchsorted(starts, texts.offsets)]
+        stops = upto[1:] - upto[0] + np.arange(1, len(texts.offsets))
+        out = np.full(int(stops[-1]), end_id, np.uint32)
         inner = np.ones(len(out), bool)
-        inner[ends - 1] = False
-        total = np.cumsum(counts)
-        out[inner] = self.ids[np.arange(int(counts.sum())) + np.repeat(begin - (total - counts), counts)]
-        return out, ends
+        inner[stops - 1] = False
+        out[inner] = ids
+        return out, stops
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def encoder(path: str) -> UnitEncoder:
+    return UnitEncoder(path)
 
 
 MANIFEST = "file string, width int, documents long, n_tokens long, bytes long, first_id long"
@@ -222,7 +283,7 @@ def _write(folder: str, tokenizer: str, end_id: int, width: int):
         documents = tokens = place = 0
         encode = encoder(tokenizer)
         for batch in batches:
-            for lo, hi, texts in pieces(batch["text"]):
+            for lo, hi, texts in pieces(batch["text"], limit=PIECE):
                 if data is None:
                     store.create_dir(base, recursive=True)
                     data = store.open_output_stream(f"{base}/{name}.rec")

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
@@ -76,10 +77,14 @@ class Lists:
 
 class _Generation:
     def __init__(self, kinds: list[tuple]):
-        self.slot: dict[bytes, int] = {}
+        self.names = pa.array([], pa.large_binary())
         self.lists = [Lists(k) for k in kinds]
         self.texts: list[str] = []
 
+    def find(self, units: pa.Array) -> np.ndarray:
+        """Slot of each unit, -1 if there is none."""
+        return pc.fill_null(pc.index_in(units, value_set=self.names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
 
 class UnitCache:
     """``work(units)`` gives, for a list of distinct byte strings, a (count, columns) pair for
@@ -91,27 +96,23 @@ class UnitCache:
 
     def slots(self, units: pa.Array) -> np.ndarray:
         """Slot of each of the distinct units in ``new``."""
-        names = units.to_pylist()
-        if len(self.new.slot) >= self.limit:
+        if len(self.new.names) >= self.limit:
             self.old, self.new = self.new, _Generation(self.kinds)
-        young = self.new.slot
-        out = np.fromiter((young.get(u, -1) for u in names), np.int64, len(names))
+        out = self.new.find(units)
         missing = np.flatnonzero(out < 0)
         if len(missing):
-            before = self.old.slot
-            held = np.fromiter((before.get(names[i], -1) for i in missing), np.int64, len(missing))
+            held = self.old.find(units.take(pa.array(missing)))
             again, fresh = missing[held >= 0], missing[held < 0]
             for own, lists in zip(self.new.lists, self.old.lists):
                 own.add(*lists.take(held[held >= 0]))
             if self.old.texts:
                 self.new.texts += [self.old.texts[i] for i in held[held >= 0]]
             if len(fresh):
-                *found, texts = self.work([names[i] for i in fresh])
+                *found, texts = self.work(units.take(pa.array(fresh)).to_pylist())
                 for own, (count, columns) in zip(self.new.lists, found):
                     own.add(count, columns)
                 self.new.texts += texts or []
             order = np.concatenate((again, fresh))
-            first = len(young)
-            out[order] = first + np.arange(len(order))
-            young.update((names[i], first + k) for k, i in enumerate(order))
+            out[order] = len(self.new.names) + np.arange(len(order))
+            self.new.names = pa.concat_arrays([self.new.names, units.take(pa.array(order))])
         return out

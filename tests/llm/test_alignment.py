@@ -138,7 +138,7 @@ def test_unit_cache_generations():
         count, (values,) = cache.new.lists[0].take(slots)
         assert [cache.new.texts[s] for s in slots] == names
         assert bytes(values.astype(np.uint8)).decode() == "".join(names) and list(count) == [len(n.encode()) for n in names]
-        assert len(cache.new.slot) <= 6 + 4
+        assert len(cache.new.names) <= 6 + 4
     assert len(calls) < 60 * 4
 
 

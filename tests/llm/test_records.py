@@ -6,6 +6,7 @@ from urllib.parse import urlparse
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riverloom.llm import queries, records
@@ -102,3 +103,40 @@ def test_documents(spark):
         start += len(ids)
     got = queries.QUERIES["op6_binary_records"](spark, SF).collect()
     assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in got} == want and len(got) == len(rows)
+
+
+def test_units_against_whole_texts():
+    """Texts in units have the ids of whole texts, whatever meets at a cut."""
+    from riverloom.llm.words import pieces
+
+    rng = random.Random(4)
+    marks = ["\u0301", "\u0331", "\u0338", "\u00a0", "\u2003", "İ", "Σ", "ẞ", "ﬁ", "中文", "👍🏽", "é", "É", "½", "²", "\u0085"]
+    parts = [*"aAbBsStTdDhH", "'s", "'S", "'", "''", "re", "'RE", "\"", ".", ",", "=", "<", "1", "42", " ", "  ", "\n", "\t", *marks]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(30))) for _ in range(4000)]
+    texts += ["don't DON'T 'tis O'Neill's 'S", "H\u0331 h\u0331 A\u030a", "x'1'2's", "a'b'c'd", "<|endoftext|>", "3rd 1's 's3", "a" * 5000]
+    encode = records.UnitEncoder(queries.vocabulary())
+    assert encode.cuts
+    for cuts in (True, False):
+        encode.cuts = cuts
+        got = []
+        for _, _, t in pieces(pa.array(texts), limit=5000):
+            ids, ends = encode(t, 1)
+            got += [x.tolist() for x in np.split(ids, ends[:-1])]
+        assert got == encoded(texts)
+
+
+def test_words_of_equal_polynomials():
+    """Units are told apart by their bytes: hashes modulo a power of two cannot tell these."""
+    from riverloom.llm.words import pieces
+
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    texts = ["".join("ab"[b ^ flip] for b in bits) for flip in (0, 1)]
+    encode = records.UnitEncoder(queries.vocabulary())
+    ((_, _, t),) = pieces(pa.array(texts))
+    ids, ends = encode(t, 1)
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == encoded(texts)
+
+
+def test_other_tokenizers_get_whole_texts():
+    encode = records.UnitEncoder(queries.vocabulary("byte_bpe_50k.json"))
+    assert not encode.cuts
