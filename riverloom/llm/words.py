@@ -25,8 +25,11 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 _OUTER = np.zeros(256, bool)
 _OUTER[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
 _BYTES = np.random.Generator(np.random.PCG64(20)).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15 | 5
-_powers: dict[str, np.ndarray] = {}
+_PRIME, _BITS, _HIGH = np.uint64(2**31 - 1), np.uint64(31), np.uint64(33)
+#: two random points, and odd numbers that make two numbers of each value
+_BASES = [int(x) for x in np.random.Generator(np.random.PCG64(21)).integers(2**20, 2**31 - 2, 2)]
+_SCALES = np.random.Generator(np.random.PCG64(22)).integers(1, 2**63, 2, dtype=np.uint64) | np.uint64(1)
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -39,23 +42,48 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    if n > len(_powers.get("up", ())):
-        size = max(n, LIMIT)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 2**64))):
-            steps = np.full(size, np.uint64(base))
-            steps[0] = 1
-            _powers[name] = np.cumprod(steps, dtype=np.uint64)
-    return _powers["up"], _powers["down"]
-
-
-def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of values[start:end] for each pair; equal runs hash alike wherever they lie."""
-    up, down = _power(len(values) + 1)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=sums[1:], dtype=np.uint64)
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def _mod(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime, for x below 2**62."""
+    x = (x & _PRIME) + (x >> _BITS)
+    x = (x & _PRIME) + (x >> _BITS)
+    return x - _PRIME * (x >= _PRIME)
+
+
+def _power(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Powers of each base and of its inverse, modulo the prime."""
+    if n > len(_powers[0][0]) if _powers else True:
+        size = max(n, LIMIT + 1)
+        made = []
+        for base in _BASES:
+            pair = []
+            for b in (base, pow(base, -1, int(_PRIME))):
+                table = np.ones(size, np.uint64)
+                k = 1
+                while k < size:
+                    part = table[k : 2 * k]
+                    part[:] = _mod(table[: len(part)] * np.uint64(pow(b, k, int(_PRIME))))
+                    k *= 2
+                pair.append(table)
+            made.append(tuple(pair))
+        _powers[:] = made
+    return _powers
+
+
+def range_hashes(values: np.ndarray | list[np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of values[start:end] for each pair; equal runs hash alike wherever they lie.
+
+    Two polynomials at random points, modulo a prime: two different runs of n values
+    hash alike with a chance of (n / 2**31)**2 at most, whatever they are made of. ``values``
+    are 64 bits wide, or :attr:`Texts.byte_values`.
+    """
+    many = values if isinstance(values, list) else [(values * s) >> _HIGH for s in _SCALES]
+    out = []
+    for v, (up, down) in zip(many, _power(len(many[0]) + 1)):
+        v = v * up[: len(v)]
+        sums = np.zeros(len(v) + 1, np.uint64)
+        np.cumsum((v & _PRIME) + (v >> _BITS), out=sums[1:], dtype=np.uint64)
+        out.append(_mod(_mod(sums[ends] - sums[starts]) * down[starts]))
+    return mix((out[0] << _BITS) + out[1] + (ends - starts).astype(np.uint64) * _SCALES[1])
 
 
 class Texts:
@@ -79,9 +107,9 @@ class Texts:
         self._hashes: np.ndarray | None = None
 
     @property
-    def byte_values(self) -> np.ndarray:
-        """A random number for each byte, to be hashed by :func:`range_hashes`."""
-        return _BYTES[self.data]
+    def byte_values(self) -> list[np.ndarray]:
+        """Two random numbers for each byte, to be hashed by :func:`range_hashes`."""
+        return [((_BYTES * s) >> _HIGH)[self.data] for s in _SCALES]
 
     @property
     def hashes(self) -> np.ndarray:

@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 def test_entry_has_all_queries():
     names = entry_points.queries()
     assert "pipeline" in names and "pipeline" not in entry_points.oracle_sql()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
 
 
 def test_stages_against_brute_force(spark):
@@ -32,7 +32,7 @@ def test_stages_against_brute_force(spark):
     for lo, hi, texts in pieces(pa.array([r[1] for r in rows], pa.string()), fold=True):
         kept += [r for r, s in zip(rows[lo:hi], model.scores(texts)) if s < 0.5]
     assert 0 < len(rows) - len(kept) < 0.2 * len(rows)
-    near = brute_near([r[:2] for r in kept])
+    near = brute_near([r[:2] for r in kept], percent=80)
     kept = [r for r in kept if near[r[0]][1] == r[0]]
     held = {d for d, _ in brute_leaks([r[:2] for r in kept], items)}
     kept = [r for r in kept if r[0] not in held]
