@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverloom.functions.geometry import distance, first_vertex, last_vertex
+from riverloom.operators import graph
 from riverloom.operators.containment import line_edges
 from riverloom.operators.grid import SHIFT, SLACK, cell_of, segment_cells
+from riverloom.operators.joins import hot_join
 from riverloom.operators.pointers import follow_pointers
 from riverloom.session import saved
 
@@ -38,26 +40,128 @@ def drop_degenerate(edges: DataFrame) -> DataFrame:
 
 
 def measure_from_outlet(
-    edges: DataFrame, edge_id: str = "edge_id", axis: str = "axis", length: str = "length"
+    edges: DataFrame,
+    edge_id: str = "edge_id",
+    axis: str = "axis",
+    length: str = "length",
+    rising: str | None = None,
+    outlets: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``measure``: distance of an edge's lower end from the outlet.
-
-    An edge goes on to the edge of the same axis that leaves its lower node;
-    where several do, to the lowest id. The edge that ends at the outlet has
-    measure 0. An edge whose lower node no edge leaves is such an end. Edges
-    that run into a cycle have no outlet and a null measure.
+    """Add ``measure``: the shortest way from an edge's lower end to the nearest outlet of its
+    axis, and ``along``: whether ``node_b`` is the lower end.
+
+    Ways run over edges of the axis in either direction, so that neither depends on how a line
+    was drawn, through forks, braids and rings. The edge at an outlet has measure 0. Edges that
+    no way joins to an outlet, with a null axis or node, or degenerate, have a null measure.
+
+    ``outlets`` (axis, node) names the outlets. Without it they are found: ``rising`` is a column
+    that grows downstream, such as the drained area. Where the leaves of a connected part
+    differ in it (by the first edge with a value from the leaf on, or at the first fork), the
+    leaf with the largest value is the outlet. Elsewhere vertex order decides: an outlet is a node at which edges end and
+    none begins.
+    """
+    end = {n: F.struct(F.col(axis).alias("axis"), F.col(n).alias("node")) for n in ("node_a", "node_b")}
+    value = F.lit(None).cast("double") if rising is None else F.col(rising).cast("double")
+    net = edges.filter(" AND ".join(f"{c} IS NOT NULL" for c in (axis, "node_a", "node_b"))).select(
+        F.col(edge_id).alias("e"), end["node_a"].alias("a"), end["node_b"].alias("b"),
+        F.col(length).cast("double").alias("len"), value.alias("value"),
+    )
+    net = saved(net.filter("a != b"), "network")
+    if outlets is not None:
+        stops = outlets.select(F.struct(F.col(axis).alias("axis"), "node").alias("n")).distinct()
+        found = _undirected(net, stops, None)
+    else:
+        downstream, doubtful = _downstream(net, rising is not None)
+        found = downstream.select("e", "measure", F.lit(True).alias("along"))
+        if not doubtful.isEmpty():
+            rest = hot_join(net.withColumn("axis", F.col("a.axis")), doubtful, ["axis"], "left_semi").drop("axis")
+            begins = rest.select(F.col("a").alias("n"), F.lit(1).alias("out"))
+            sinks = rest.select(F.col("b").alias("n"), F.lit(0).alias("out")).unionByName(begins)
+            sinks = saved(sinks.groupBy("n").agg(F.max("out").alias("out")).filter("out = 0").select("n"), "sinks")
+            sure = found.join(net.select("e", F.col("a.axis").alias("axis")), "e").join(doubtful, "axis", "left_anti")
+            found = sure.drop("axis").unionByName(_undirected(rest, sinks, rising))
+    return edges.join(found.withColumnRenamed("e", edge_id), edge_id, "left")
+
+
+def _downstream(net: DataFrame, valued: bool) -> tuple[DataFrame, DataFrame]:
+    """Ways along vertex order (e, measure), and the axes where these may not be the shortest
+    to the right outlet: those with forks, and with ``valued`` those where a part has a higher
+    value anywhere than next to its outlet, or no outlet.
+
+    Where one edge at most leaves each node there is only one way. Edges that run into a ring
+    have a null measure.
     """
-    leaving = edges.groupBy(F.col(axis).alias("__x"), F.col("node_a").alias("__n")).agg(
-        F.min(F.struct(F.col(edge_id).alias("id"), F.col(length).alias("length"))).alias("next")
+    leaving = net.groupBy(F.col("a").alias("n")).agg(
+        F.min(F.struct("e", "len")).alias("next"), F.count(F.lit(1)).alias("k")
     )
-    onward = edges.select(edge_id, axis, "node_b").join(
-        leaving, (F.col(axis) == F.col("__x")) & (F.col("node_b") == F.col("__n")), "left"
+    leaving = saved(leaving, "leaving")
+    onward = net.select("e", F.col("b").alias("n")).join(leaving, "n", "left")
+    links = onward.select("e", F.col("next.e").alias("to"), F.col("next.len").alias("hop"))
+    ranked = follow_pointers(links, "e", "to", "hop", cycles="null").withColumnRenamed("total", "measure")
+    doubtful = leaving.filter("k > 1").select("n.axis")
+    if valued:
+        at = net.select("e", F.col("a.axis").alias("axis"), "value").join(ranked, "e")
+        parts = at.groupBy("axis", "last").agg(
+            F.min_by("value", F.when(F.col("value").isNotNull(), F.col("measure"))).alias("lowest"), F.max("value").alias("most")
+        )
+        doubtful = doubtful.unionByName(parts.filter("lowest < most OR last IS NULL").select("axis"))
+    return ranked.select("e", "measure"), saved(doubtful.distinct(), "doubtful-axes")
+
+
+def _undirected(net: DataFrame, stops: DataFrame, rising: str | None) -> DataFrame:
+    """(e, measure, along) by the shortest way to any of the stops, or to the outlets by value."""
+    chains = None
+    if rising is not None:
+        chains = graph.contract(net, stops.limit(0))
+        stops, usable = _outlets_by_value(chains, stops)
+        chains = chains if usable else None
+    found = graph.end_distances(net, stops, chains)
+    return found.select("e", F.least("d_a", "d_b").alias("measure"), (F.col("d_b") <= F.col("d_a")).alias("along"))
+
+
+def _outlets_by_value(chains: graph.Chains, sinks: DataFrame) -> tuple[DataFrame, bool]:
+    """Outlets (n) by the values of leaves, or the sinks where these do not tell; and whether
+    they all are ends of the chains."""
+    ends = chains.chains
+    # an alone chain is a part of its own
+    parts = ends.filter("leaf_a AND leaf_b").select(F.explode(F.array("a", "b")).alias("n"), F.least("a", "b").alias("component"))
+    joined = ends.filter("NOT (leaf_a AND leaf_b)").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    parts = saved(parts.unionByName(graph.components(joined)), "network-parts")
+    walked = F.explode(
+        F.array(
+            F.struct(F.col("to_b").alias("t"), F.col("past_b").alias("past")),
+            F.struct(F.col("to_a").alias("t"), F.col("past_a").alias("past")),
+        )
     )
-    links = onward.select(
-        F.col(edge_id), F.col("next.id").alias("to"), F.col("next.length").alias("hop")
+    first = (
+        chains.members.filter("value IS NOT NULL")
+        .select("value", walked.alias("w"))
+        .groupBy("w.t")
+        .agg(F.min_by("value", F.struct("w.past", "value")).alias("value"))
+    )
+    tips = ends.select(F.col("b").alias("n"), F.col("e").alias("t"), F.col("a").alias("far"), F.col("leaf_b").alias("leaf"))
+    tips = tips.unionByName(ends.select(F.col("a").alias("n"), F.col("other").alias("t"), F.col("b").alias("far"), F.col("leaf_a").alias("leaf")))
+    tips = saved(tips.join(first, "t", "left"), "network-tips")
+    # a chain without a value takes what is highest where it begins
+    beyond = tips.groupBy(F.col("n").alias("far")).agg(F.max("value").alias("beyond"))
+    leaves = tips.filter("leaf").join(beyond, "far").select("n", F.coalesce("value", "beyond").alias("value"))
+    valued = leaves.filter("value IS NOT NULL").join(parts, "n").join(sinks.withColumn("sink", F.lit(True)), "n", "left")
+    told = saved(
+        valued.groupBy("component")
+        .agg(
+            F.min("value").alias("least"), F.max("value").alias("most"),
+            F.max_by("n", F.struct("value", F.coalesce("sink", F.lit(False)), "n")).alias("n"),
+        )
+        .filter("least < most")
+        .select("component", "n"),
+        "network-outlets",
     )
-    ranked = follow_pointers(links, edge_id, "to", "hop", cycles="null")
-    return edges.join(ranked.select(edge_id, F.col("total").alias("measure")), edge_id)
+    # sinks lie on chains of a part that is told, or decide themselves
+    at_b = chains.members.select(F.col("b").alias("n"), F.least("to_a", "to_b").alias("e")).join(sinks, "n")
+    of_told = at_b.join(ends.select("e", "a"), "e").join(parts.withColumnRenamed("n", "a"), "a").join(told.select("component"), "component")
+    undecided = saved(sinks.join(of_told.select("n").distinct(), "n", "left_anti"), "network-sinks")
+    usable = undecided.join(parts, "n", "left_anti").isEmpty()
+    return told.select("n").unionByName(undecided), usable
 
 
 def measured_segments(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,11 +35,9 @@ def follow_pointers(
     ``weight`` over the hops. A path ends at a null ``to``, or at a ``to`` that
     names no row. Each round joins the moving rows three times with the state
     (whose shuffle is shared), so that all hops covered so far are covered four
-    times over and a path of n rows takes log4(n) rounds. The state is written
+    times over and a path of n rows takes log4(n) rounds. What has moved is written
     to the shared folder once a round, or the plan would grow with it; rows
-    that have arrived are not shuffled again. Where many rows point to one,
-    the state has one row for it and the moving side is split by the adaptive
-    skew join.
+    that have arrived are written once.
 
     Rows that still move after the rounds a path of all rows would take run
     into a cycle. By ``cycles`` that is an error ("raise"), or they get a null
@@ -60,8 +59,11 @@ def follow_pointers(
         moving,
     )
     rounds = math.ceil(math.log2(n + 2) / 2) + 1
+    arrived = []
     while n and rounds:
-        ahead = state.select(
+        # rows that have arrived are looked up, but neither shuffled as moving nor written again
+        arrived.append(state.filter(~moving))
+        ahead = reduce(DataFrame.unionByName, arrived, state.filter(moving)).select(
             F.col("k").alias("p"),
             F.col("p").alias("p2"),
             F.col("last").alias("last2"),
@@ -71,11 +73,9 @@ def follow_pointers(
         moved = state.filter(moving)
         for _ in range(STEPS):
             moved = _step(moved, ahead)
-        state, n = saved_and_counted(
-            state.filter(~moving).unionByName(moved), "pointers", moving
-        )
+        state, n = saved_and_counted(moved, "pointers", moving)
         rounds -= 1
-    result = state.filter(~moving).select("k", "last", "total")
+    result = reduce(DataFrame.unionByName, arrived, state.filter(~moving)).select("k", "last", "total")
     if n and cycles == "raise":
         raise ValueError(f"{n} rows run into a cycle")
     if n and cycles == "null":

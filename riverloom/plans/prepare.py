@@ -143,7 +143,9 @@ def prepare_swaths_and_axis(
     them; the steps after that work on narrow columns, and the geometry joins
     in at the end. Rows are told apart by their piece and swath, whatever
     measure they keep, and joined on that key; ``gid`` is derived from it.
-    Reaches that run into a cycle have no distance from the outlet.
+    Reaches may be drawn either way: the outlet of an axis is the end where most is
+    drained, as the swaths tell, and pieces are turned to run towards it (see
+    :func:`measure_from_outlet`).
     """
     swaths, reaches = clean_columns(swaths), clean_columns(reaches)
     valid = swaths.filter(F.col("value") == 2).select("axis", "m", "drainage", "geom")
@@ -158,8 +160,8 @@ def prepare_swaths_and_axis(
     pieces = saved(pieces, "pieces")
 
     measured = measure_from_outlet(
-        pieces.select("row", "axis", "node_a", "node_b", "length"), "row"
-    ).select("row", F.col("measure").alias("measure_from_outlet"))
+        pieces.select("row", "axis", "node_a", "node_b", "length", "drainage"), "row", rising="drainage"
+    ).select("row", F.col("measure").alias("measure_from_outlet"), "along")
     strahler = largest_overlap(split.shares, on_axes)
     regions = lines_in_polygons(pieces.select("row", "geom"), edges, "row", "gid_region")
     attributes = (
@@ -177,7 +179,8 @@ def prepare_swaths_and_axis(
         "length",
         F.col("strahler").cast("int").alias("strahler"),
         F.col("gid_region").cast("int").alias("gid_region"),
-        "geom",
+        # all lines run downstream
+        F.when(~F.col("along"), F.reverse("geom")).otherwise(F.col("geom")).alias("geom"),
     )
     hydro_swaths = saved(hydro_swaths, "hydro_swaths")
     axis = prepare_axis(reaches, hydro_swaths)

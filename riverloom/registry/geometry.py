@@ -45,6 +45,18 @@ CUTS = """SELECT DISTINCT axis, seg + ROUND(t, 9) AS p FROM (
     LATERAL (SELECT s.ex1 AS x1, s.ey1 AS y1, s.ex2 AS x2, s.ey2 AS y2) e) c
   WHERE t BETWEEN 0 AND 1 AND u BETWEEN 0 AND 1"""
 
+# vertices of the axis lines: those of the reaches, and where swath borders cut them
+VERTICES = """SELECT axis, x, y FROM fx_reach_vertices
+  UNION ALL SELECT c.axis, s.x1 + (c.p - s.seg) * (s.x2 - s.x1), s.y1 + (c.p - s.seg) * (s.y2 - s.y1)
+  FROM cuts c JOIN segs s ON s.axis = c.axis AND s.seg = FLOOR(c.p)"""
+
+# the nearest vertex within 100 m of each point of a table with pid, px and py
+CORNERS = """SELECT * FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY pid ORDER BY d, x, y) AS k FROM (
+      SELECT p.pid, v.x, v.y, SQRT((v.x - p.px) * (v.x - p.px) + (v.y - p.py) * (v.y - p.py)) AS d
+      FROM {points} p JOIN vertices v ON v.x BETWEEN p.px - 100 AND p.px + 100 AND v.y BETWEEN p.py - 100 AND p.py + 100) t) t
+  WHERE k = 1 AND d <= 100"""
+
 # stretches between neighbouring vertices or cuts, numbered into pieces
 STRETCHES = """SELECT axis, p AS p0, q AS p1,
     SUM(cut) OVER (PARTITION BY axis ORDER BY p) AS piece, FLOOR(p) AS seg

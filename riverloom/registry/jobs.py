@@ -11,6 +11,8 @@ from riverloom.operators.profiles import axis_summary
 from riverloom.plans import load, marts, prepare
 from riverloom.registry import query
 from riverloom.registry.geometry import (
+    CORNERS,
+    CUTS,
     FEET,
     INSIDE,
     LINE_REGIONS,
@@ -21,6 +23,8 @@ from riverloom.registry.geometry import (
     REGION_EDGES,
     SEGMENTS,
     SPLIT,
+    SWATH_EDGES,
+    VERTICES,
     region_edges,
 )
 from riverloom.registry.sql import (
@@ -503,8 +507,11 @@ OBSTACLES = """SELECT c_custkey AS pid, CONCAT('ROE', CAST(c_custkey AS VARCHAR)
 @query(
     "prepare_obstacles",
     ctes(
-        *fx("reach_vertices", "region_rings"),
+        *fx("reach_vertices", "swath_rings", "region_rings"),
         ("segs", SEGMENTS),
+        ("swath_edges", SWATH_EDGES),
+        ("cuts", CUTS),
+        ("vertices", VERTICES),
         ("low", LOW),
         ("e", REGION_EDGES),
         ("obstacles", OBSTACLES),
@@ -514,10 +521,12 @@ OBSTACLES = """SELECT c_custkey AS pid, CONCAT('ROE', CAST(c_custkey AS VARCHAR)
   GROUP BY p.pid, p.cdobstecou, p.axis, p.x, p.y, e.gid_region HAVING COUNT(*) % 2 = 1""",
         ),
         ("near", FEET.format(points="placed", condition="TRUE")),
+        ("corners", CORNERS.format(points="placed")),
         (
             "snapped",
-            """SELECT pid, fx AS px, fy AS py FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY pid ORDER BY d, axis, seg) AS k FROM near) t WHERE k = 1 AND d <= 100""",
+            """SELECT t.pid, COALESCE(c.x, fx) AS px, COALESCE(c.y, fy) AS py FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY pid ORDER BY d, axis, seg) AS k FROM near) t
+  LEFT JOIN corners c ON c.pid = t.pid WHERE t.k = 1 AND t.d <= 100""",
         ),
         ("on_line", "SELECT s.pid, p.axis, s.px, s.py FROM snapped s JOIN placed p ON p.pid = s.pid"),
         ("feet", FEET.format(points="on_line", condition="s.axis = p.axis")),
