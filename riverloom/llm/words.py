@@ -11,6 +11,7 @@ Hashes are 64 bits wide, equal on every machine, and depend on the bytes alone.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,6 @@ _PRIME, _BITS, _HIGH = np.uint64(2**31 - 1), np.uint64(31), np.uint64(33)
 #: two random points, and odd numbers that make two numbers of each value
 _BASES = [int(x) for x in np.random.Generator(np.random.PCG64(21)).integers(2**20, 2**31 - 2, 2)]
 _SCALES = np.random.Generator(np.random.PCG64(22)).integers(1, 2**63, 2, dtype=np.uint64) | np.uint64(1)
-_powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -49,40 +49,62 @@ def _mod(x: np.ndarray) -> np.ndarray:
     return x - _PRIME * (x >= _PRIME)
 
 
-def _power(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Powers of each base and of its inverse, modulo the prime."""
-    if n > len(_powers[0][0]) if _powers else True:
-        size = max(n, LIMIT + 1)
-        made = []
-        for base in _BASES:
-            pair = []
-            for b in (base, pow(base, -1, int(_PRIME))):
-                table = np.ones(size, np.uint64)
-                k = 1
-                while k < size:
-                    part = table[k : 2 * k]
-                    part[:] = _mod(table[: len(part)] * np.uint64(pow(b, k, int(_PRIME))))
-                    k *= 2
-                pair.append(table)
-            made.append(tuple(pair))
-        _powers[:] = made
-    return _powers
-
-
-def range_hashes(values: np.ndarray | list[np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _table(base: int) -> np.ndarray:
+    """The first LIMIT powers of a number modulo the prime."""
+    table = np.ones(LIMIT, np.uint64)
+    k = 1
+    while k < LIMIT:
+        part = table[k : 2 * k]
+        part[:] = _mod(table[: len(part)] * np.uint64(pow(base, k, int(_PRIME))))
+        k *= 2
+    return table
+
+
+@lru_cache(maxsize=None)
+def _powers(k: int) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """The k-th point, its inverse, and powers of both."""
+    base = _BASES[k]
+    inverse = pow(base, -1, int(_PRIME))
+    return base, inverse, _table(base), _table(inverse)
+
+
+class Bytes:
+    """Bytes as numbers to be hashed by :func:`range_hashes`."""
+
+    def __init__(self, data: np.ndarray):
+        self.data = data
+
+    def __len__(self) -> int:
+        return len(self.data)
+
+    def part(self, k: int, lo: int, hi: int) -> np.ndarray:
+        return ((_BYTES * _SCALES[k]) >> _HIGH)[self.data[lo:hi]]
+
+
+def range_hashes(values: np.ndarray | Bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of values[start:end] for each pair; equal runs hash alike wherever they lie.
 
     Two polynomials at random points, modulo a prime: two different runs of n values
     hash alike with a chance of (n / 2**31)**2 at most, whatever they are made of. ``values``
-    are 64 bits wide, or :attr:`Texts.byte_values`.
+    are 64 bits wide, or :attr:`Texts.byte_values`. They are worked on LIMIT at a time, so
+    what is held for each is a running sum.
     """
-    many = values if isinstance(values, list) else [(values * s) >> _HIGH for s in _SCALES]
-    out = []
-    for v, (up, down) in zip(many, _power(len(many[0]) + 1)):
-        v = v * up[: len(v)]
-        sums = np.zeros(len(v) + 1, np.uint64)
-        np.cumsum((v & _PRIME) + (v >> _BITS), out=sums[1:], dtype=np.uint64)
-        out.append(_mod(_mod(sums[ends] - sums[starts]) * down[starts]))
+    n, out = len(values), []
+    for k in range(2):
+        base, inverse, up, down = _powers(k)
+        sums = np.zeros(n + 1, np.uint64)
+        for lo in range(0, n, LIMIT):
+            hi = min(n, lo + LIMIT)
+            v = values.part(k, lo, hi) if isinstance(values, Bytes) else (values[lo:hi] * _SCALES[k]) >> _HIGH
+            v *= up[: hi - lo] if not lo else _mod(up[: hi - lo] * np.uint64(pow(base, lo, int(_PRIME))))
+            v = (v & _PRIME) + (v >> _BITS)
+            np.cumsum(v, out=sums[lo + 1 : hi + 1], dtype=np.uint64)
+            sums[lo + 1 : hi + 1] += sums[lo]
+        back = down[starts % LIMIT]
+        if n > LIMIT:
+            steps = [pow(inverse, lo, int(_PRIME)) for lo in range(0, n + 1, LIMIT)]
+            back = _mod(back * np.array(steps, np.uint64)[starts // LIMIT])
+        out.append(_mod(_mod(sums[ends] - sums[starts]) * back))
     return mix((out[0] << _BITS) + out[1] + (ends - starts).astype(np.uint64) * _SCALES[1])
 
 
@@ -107,9 +129,8 @@ class Texts:
         self._hashes: np.ndarray | None = None
 
     @property
-    def byte_values(self) -> list[np.ndarray]:
-        """Two random numbers for each byte, to be hashed by :func:`range_hashes`."""
-        return [((_BYTES * s) >> _HIGH)[self.data] for s in _SCALES]
+    def byte_values(self) -> Bytes:
+        return Bytes(self.data)
 
     @property
     def hashes(self) -> np.ndarray:

@@ -45,3 +45,14 @@ def test_hashes_against_bytes():
         for i, h in enumerate(t.hashes.tolist()):
             assert known.setdefault(t.word(i), h) == h
     assert len(set(known.values())) == len(known)
+
+
+def test_runs_beyond_a_block(monkeypatch):
+    """Hashes do not depend on where blocks end."""
+    values = np.random.default_rng(7).integers(0, 2**63, 3000, dtype=np.uint64)
+    starts, ends = np.array([0, 5, 100, 999, 1000, 2999, 3000]), np.array([3000, 2100, 101, 1001, 1000, 3000, 3000])
+    want = words.range_hashes(values, starts, ends)
+    words._powers.cache_clear()
+    monkeypatch.setattr(words, "LIMIT", 256)
+    assert words.range_hashes(values, starts, ends).tolist() == want.tolist()
+    words._powers.cache_clear()
