@@ -239,6 +239,29 @@ def edges(spark, sf_dir) -> DataFrame:
     )
 
 
+def braids(spark, sf_dir) -> DataFrame:
+    """One river an axis, from node 0 to its outlet 20, with arms, side branches and a ring of
+    its own; lines are drawn either way."""
+    v = reach_vertices(spark, sf_dir).select("axis", F.col("seq").cast("long").alias("s"))
+    a, s = F.col("axis"), F.col("s")
+
+    def lines(kind: int, where: Column, start: Column, stop: Column, length: Column) -> DataFrame:
+        flip = (a + s * 3 + kind) % 2 == 0
+        return v.filter(where).select(
+            (a * 1000 + kind * 100 + s).alias("edge_id"), "axis",
+            F.when(flip, stop).otherwise(start).cast("long").alias("node_a"),
+            F.when(flip, start).otherwise(stop).cast("long").alias("node_b"),
+            length.cast("double").alias("length"),
+        )
+
+    return (
+        lines(0, s < 20, s, s + 1, (a * 31 + s * 17) % 90 + 10)
+        .unionByName(lines(1, (s % 5 == 1) & (s <= 16), s, s + 3, (a * 13 + s * 7) % 190 + 20))
+        .unionByName(lines(2, s % 7 == 3, s, s + 50, (a + s) % 9 + 1))
+        .unionByName(lines(3, s < 3, s + 100, (s + 1) % 3 + 100, F.lit(5)))
+    )
+
+
 def links(spark, sf_dir) -> DataFrame:
     key = F.col("o_orderkey")
     course = F.lpad(F.col("o_custkey").cast("string"), 16, "0")
@@ -390,6 +413,18 @@ WHERE (s_suppkey + k.k) % 4 <> 0""",
        CAST(FLOOR(FLOOR(o_orderkey / 10e0) * 9 / 10e0) AS BIGINT) AS node_b,
        CAST(FLOOR(o_totalprice) AS DOUBLE) AS length
 FROM orders""",
+    "braids": " UNION ALL ".join(
+        f"""SELECT axis * 1000 + {kind * 100} + seq AS edge_id, axis,
+       CAST(CASE WHEN (axis + seq * 3 + {kind}) % 2 = 0 THEN {b} ELSE {a} END AS BIGINT) AS node_a,
+       CAST(CASE WHEN (axis + seq * 3 + {kind}) % 2 = 0 THEN {a} ELSE {b} END AS BIGINT) AS node_b,
+       CAST({length} AS DOUBLE) AS length FROM fx_reach_vertices WHERE {where}"""
+        for kind, where, a, b, length in (
+            (0, "seq < 20", "seq", "seq + 1", "(axis * 31 + seq * 17) % 90 + 10"),
+            (1, "seq % 5 = 1 AND seq <= 16", "seq", "seq + 3", "(axis * 13 + seq * 7) % 190 + 20"),
+            (2, "seq % 7 = 3", "seq", "seq + 50", "(axis + seq) % 9 + 1"),
+            (3, "seq < 3", "seq + 100", "(seq + 1) % 3 + 100", "5"),
+        )
+    ),
     "links": """SELECT CONCAT('T', CAST(o_orderkey AS VARCHAR(20))) AS id_troncon,
        CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN ''
             ELSE CONCAT('COURDEAU', LPAD(CAST(o_custkey AS VARCHAR(20)), 16, '0'),

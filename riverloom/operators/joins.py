@@ -57,16 +57,19 @@ def hot_keys(df: DataFrame, keys: list[str]) -> list[int]:
     return [r["item"] for r in top or [] if r["count"] * HOT > n]
 
 
-def hot_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+def hot_join(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, hot: list[int] | None = None
+) -> DataFrame:
     """Like :func:`keyed_join`, for a ``left`` of which a few keys may hold most rows.
 
     ``right`` has one row for a key (or few). The adaptive skew join does not help where
     ``right`` is an aggregate, so the rows of hot keys are spread by a hash of the row over as
     many values as there are shuffle partitions, and the rows of ``right`` with these keys, at
     most ``HOT`` keys, are copied to each of them. ``left`` is read once more for the sketch,
-    its keys only: best a stored or saved table.
+    its keys only: best a stored or saved table. ``hot`` are its :func:`hot_keys`, if known.
+    Rows of ``left`` that are equal in all columns stay together.
     """
-    hot = hot_keys(left, keys)
+    hot = hot_keys(left, keys) if hot is None else hot
     if not hot:
         return keyed_join(left, right, keys, how)
     width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riverloom.functions.geometry import distance, first_vertex, last_vertex
+from riverloom.functions.geometry import distance, first_vertex, last_vertex, line_length, line_segments
 from riverloom.operators import graph
-from riverloom.operators.containment import line_edges
 from riverloom.operators.grid import SHIFT, SLACK, cell_of, segment_cells
 from riverloom.operators.joins import hot_join
 from riverloom.operators.pointers import follow_pointers
@@ -164,23 +163,47 @@ def _outlets_by_value(chains: graph.Chains, sinks: DataFrame) -> tuple[DataFrame
     return told.select("n").unionByName(undecided), usable
 
 
+#: segments that are handled within one row
+CHUNK = 128
+
+
 def measured_segments(
     lines: DataFrame, line_id: str, axis: str = "axis", geom: str = "geom", measure: str = "measure"
 ) -> DataFrame:
     """Segments with ``low``, the measure at their lower (last) vertex.
 
-    Lines run downstream and ``measure`` is that of their lower end. The
-    running length is taken per line, which is one input row.
+    Lines run downstream and ``measure`` is that of their lower end. A line is taken apart
+    into chunks of ``CHUNK`` segments, and lengths are summed within the row of a chunk. The
+    lengths of whole chunks are summed over the chunks of a line, so no task holds a long line;
+    a line of one chunk needs no shuffle.
     """
-    segs = line_edges(lines, [line_id, axis, measure], geom)
-    d = distance(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
-    after = Window.partitionBy(line_id).orderBy(F.col("seg").desc()).rowsBetween(
-        Window.unboundedPreceding, -1
+    n = F.size(geom) - 1
+    parts = F.transform(
+        F.sequence(F.lit(0), F.floor((n - 1) / CHUNK).cast("int")),
+        lambda k: F.slice(F.col(geom), k * CHUNK + 1, CHUNK + 1),
     )
-    return (
-        segs.withColumn("leng", d)
-        .withColumn("low", F.col(measure) + F.coalesce(F.sum("leng").over(after), F.lit(0.0)))
-        .select(F.col(line_id).alias("line_id"), axis, "seg", "x1", "y1", "x2", "y2", "leng", "low")
+    chunks = lines.filter(n >= 1).select(
+        F.col(line_id).alias("line_id"), F.col(axis).alias(axis), F.col(measure).alias("__measure"),
+        n.alias("__n"), F.posexplode(parts).alias("__chunk", "__part"),
+    )
+    chunks = chunks.withColumn("__length", line_length(F.col("__part")))
+    short = chunks.filter(F.col("__n") <= CHUNK).withColumn("__below", F.lit(0.0))
+    long = chunks.filter(F.col("__n") > CHUNK)
+    after = Window.partitionBy("line_id").orderBy(F.col("__chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    below = long.select("line_id", "__chunk", F.coalesce(F.sum("__length").over(after), F.lit(0.0)).alias("__below"))
+    whole = short.unionByName(long.join(below, ["line_id", "__chunk"]))
+    # what is left of the chunk after each segment
+    lengths = F.transform(line_segments(F.col("__part")), lambda s: distance(s["x1"], s["y1"], s["x2"], s["y2"]))
+    rest = F.aggregate(
+        F.reverse(lengths), F.array(F.lit(0.0)), lambda acc, d: F.concat(F.array(acc[0] + d), acc)
+    )
+    rows = whole.select(
+        "line_id", axis, "__measure", "__below", "__chunk",
+        F.posexplode(F.arrays_zip(line_segments(F.col("__part")).alias("s"), lengths.alias("d"), F.slice(rest, F.lit(2), F.size(lengths)).alias("r"))).alias("__i", "__s"),
+    )
+    return rows.select(
+        "line_id", axis, (F.col("__chunk") * CHUNK + F.col("__i")).alias("seg"), "__s.s.x1", "__s.s.y1", "__s.s.x2", "__s.s.y2",
+        F.col("__s.d").alias("leng"), (F.col("__measure") + F.col("__below") + F.col("__s.r")).alias("low"),
     )
 
 

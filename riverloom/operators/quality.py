@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riverloom.operators.joins import keyed_join
+from riverloom.operators.joins import hot_join, keyed_join
 
 
 class Duplicates(NamedTuple):
@@ -72,7 +72,7 @@ def drop_duplicate_keys(
 ) -> DataFrame:
     """Remove every row whose key is among the duplicates; no copy survives."""
     keys = [axis, measure]
-    return keyed_join(df, duplicates.select(*keys).distinct(), keys, "left_anti")
+    return hot_join(df, duplicates.select(*keys).distinct(), keys, "left_anti")
 
 
 def without_duplicates(df: DataFrame, axis: str = "axis", measure: str = "measure") -> DataFrame:

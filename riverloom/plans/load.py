@@ -22,6 +22,7 @@ from riverloom.functions.simplify import simplify_lines
 from riverloom.operators.lines import merge_lines
 from riverloom.operators.link import link_swaths
 from riverloom.operators.profiles import rows_per_axis
+from riverloom.operators.joins import hot_join
 from riverloom.operators.quality import conform
 from riverloom.plans.prepare import NetworkTables
 from riverloom.schemas import METRIC_TABLES, REPLACE_KEYS, STORE_SRID, TABLES, WORK_SRID
@@ -125,7 +126,7 @@ def load_network(store: Store, network: NetworkTables) -> NetworkReport:
     """
     axes = saved(network.hydro_axis.select("axis").distinct(), "axes")
     deleted = saved(
-        rows_per_axis(store.read("hydro_swaths").join(axes, "axis", "left_semi")), "deleted"
+        rows_per_axis(hot_join(store.read("hydro_swaths"), axes, ["axis"], "left_semi")), "deleted"
     )
     # lines that meet only on the storage grid are joined, those that shrink to a point go
     thin = reproject(
@@ -140,8 +141,8 @@ def load_network(store: Store, network: NetworkTables) -> NetworkReport:
             store, "hydro_swaths", reproject(network.hydro_swaths, ["geom"], WORK_SRID, STORE_SRID)
         ),
     }
-    swaths = store.read("hydro_swaths").join(axes, "axis", "left_semi")
+    swaths = hot_join(store.read("hydro_swaths"), axes, ["axis"], "left_semi")
     for name in METRIC_TABLES:
-        rows = store.read(name).join(axes, "axis", "left_semi")
+        rows = hot_join(store.read(name), axes, ["axis"], "left_semi")
         replace_rows(store, name, link_swaths(rows, swaths))
     return NetworkReport(deleted, counts, obstacles)

@@ -15,6 +15,7 @@ from riverloom.operators.containment import (
     points_in_polygons,
     ring_edges,
 )
+from riverloom.operators.joins import hot_join
 from riverloom.operators.lines import keep_longest, largest_overlap, merge_lines, split_lines
 from riverloom.operators.network import (
     drop_degenerate,
@@ -151,7 +152,7 @@ def prepare_swaths_and_axis(
     valid = swaths.filter(F.col("value") == 2).select("axis", "m", "drainage", "geom")
     valid = saved(without_duplicates(valid, "axis", "m"), "swaths")
 
-    on_axes = reaches.join(valid.select("axis").distinct(), "axis", "left_semi")
+    on_axes = hot_join(reaches, valid.select("axis").distinct(), ["axis"], "left_semi")
     split = split_lines(on_axes, valid)
     # a piece in two swaths gives two rows
     row = F.struct("piece.fid", "piece.no", F.coalesce("m", F.lit(-1.0)).alias("m")).alias("row")
@@ -225,9 +226,8 @@ def prepare_obstacles(
     known = reach_ids.filter(F.col("axis").isNotNull()).withColumnRenamed(
         "id_troncon", "idtronco_1"
     )
-    on_axis = placed.join(known, "idtronco_1").join(
-        hydro_axis.select("axis").distinct(), "axis", "left_semi"
-    )
+    on_axis = saved(placed.join(known, "idtronco_1"), "obstacles")
+    on_axis = hot_join(on_axis, hydro_axis.select("axis").distinct(), ["axis"], "left_semi")
     on_axis = saved(on_axis, "obstacles")
     segments = saved(axis_segments(lines), "segments")
     snapped = snap_to_lines(on_axis, segments, tolerance, prefer_vertices=prefer_vertices)

@@ -470,6 +470,36 @@ def measure_from_outlet(spark, sf):
 
 
 # running distance to the lower end of each segment, counted from the outlet
+# ways no longer than that along the main river cannot be missed
+BRAID_WAYS = """SELECT axis, CAST(20 AS BIGINT) AS node, 0e0 AS d FROM fx_braids WHERE edge_id % 1000 = 0
+  UNION SELECT w.axis, r.v, w.d + r.length FROM ways w JOIN arcs r ON r.axis = w.axis AND r.u = w.node
+  JOIN stem s ON s.axis = r.axis AND s.node = r.v WHERE w.d + r.length <= s.d"""
+
+
+@query(
+    "measure_braided_network",
+    ctes(
+        *fx("reach_vertices", "braids"),
+        ("arcs", """SELECT axis, node_a AS u, node_b AS v, length FROM fx_braids
+  UNION ALL SELECT axis, node_b, node_a, length FROM fx_braids"""),
+        ("river", """SELECT axis, edge_id % 1000 AS node, SUM(length) OVER (PARTITION BY axis ORDER BY edge_id DESC) AS d
+  FROM fx_braids WHERE edge_id % 1000 < 100 UNION ALL SELECT DISTINCT axis, 20, 0e0 FROM fx_braids"""),
+        ("stem", """SELECT axis, node, d FROM river
+  UNION ALL SELECT b.axis, b.edge_id % 100 + 50, r.d + b.length FROM fx_braids b
+  JOIN river r ON r.axis = b.axis AND r.node = b.edge_id % 100 WHERE b.edge_id % 1000 BETWEEN 200 AND 299"""),
+        ("ways", BRAID_WAYS),
+        ("nearest", "SELECT axis, node, MIN(d) AS d FROM ways GROUP BY axis, node"),
+        recursive=True,
+    )
+    + """SELECT b.edge_id, b.axis, CASE WHEN x.d <= y.d THEN x.d ELSE y.d END AS measure, y.d <= x.d AS along FROM fx_braids b
+LEFT JOIN nearest x ON x.axis = b.axis AND x.node = b.node_a LEFT JOIN nearest y ON y.axis = b.axis AND y.node = b.node_b""",
+)
+def _(spark, sf):
+    edges = fixture.braids(spark, sf)
+    outlets = edges.select("axis").distinct().withColumn("node", F.lit(20).cast("long"))
+    return network.measure_from_outlet(edges, outlets=outlets).select("edge_id", "axis", "measure", "along")
+
+
 LOW = """SELECT axis, seg, x1, y1, x2, y2, leng, COALESCE(SUM(leng) OVER (PARTITION BY axis ORDER BY seg DESC
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS low FROM segs"""
 
@@ -532,6 +562,33 @@ def _(spark, sf):
     )
 
 
+@query(
+    "snap_to_vertices",
+    ctes(
+        *fx("reach_vertices"),
+        ("segs", SEGMENTS),
+        ("low", LOW),
+        ("pts", POINTS),
+        ("feet", FEET.format(points="pts", condition="TRUE")),
+        ("vertices", "SELECT axis, x, y FROM fx_reach_vertices"),
+        ("corners", CORNERS.format(points="pts")),
+    )
+    + """SELECT t.pid AS point_id, ROUND(COALESCE(c.x, fx), 3) AS x, ROUND(COALESCE(c.y, fy), 3) AS y,
+  ROUND(COALESCE(c.d, t.d), 3) AS snap_distance FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY pid ORDER BY d, axis, seg) AS k FROM feet) t
+LEFT JOIN corners c ON c.pid = t.pid WHERE t.k = 1 AND t.d <= 100""",
+)
+def _(spark, sf):
+    segs = containment.line_edges(axis_lines(spark, sf), ["axis"]).withColumnRenamed("axis", "line_id")
+    snapped = network.snap_to_lines(network_points(spark, sf), segs, 100.0, prefer_vertices=True)
+    return snapped.select(
+        "point_id",
+        F.round("x", 3).alias("x"),
+        F.round("y", 3).alias("y"),
+        F.round("snap_distance", 3).alias("snap_distance"),
+    )
+
+
 @query(
     "locate_points_on_axis",
     ctes(

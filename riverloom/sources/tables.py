@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riverloom.operators.joins import keyed_join
+from riverloom.operators.joins import hot_join, hot_keys
 from riverloom.operators.link import link_swaths
 from riverloom.operators.profiles import rows_per_axis
 from riverloom.session import drop_folder, exists, saved
@@ -32,9 +32,10 @@ def replace_by_key(target: DataFrame, new: DataFrame, key: str) -> Replaced:
     matches nothing. The table keeps its types. ``deleted`` and ``inserted`` are one-row counts.
     """
     new = new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
-    keys = new.select(key).distinct()
-    kept = keyed_join(target, keys.filter(F.col(key).isNotNull()), [key], "left_anti")
-    gone = target.join(keys, key, "left_semi")
+    keys = new.select(key).filter(F.col(key).isNotNull()).distinct()
+    hot = hot_keys(target, [key])
+    kept = hot_join(target, keys, [key], "left_anti", hot)
+    gone = hot_join(target, keys, [key], "left_semi", hot)
     return Replaced(
         kept.unionByName(new),
         gone.agg(F.count(F.lit(1)).alias("n")),
@@ -42,7 +43,7 @@ def replace_by_key(target: DataFrame, new: DataFrame, key: str) -> Replaced:
     )
 
 
-def _bucket(key: str, buckets: int):
+def bucket_of(key: str, buckets: int):
     return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
 
 
@@ -73,7 +74,7 @@ def create_table(df: DataFrame, path: str, key: str, buckets: int | None = None)
     anew. Returns it. A table of that path is replaced.
     """
     buckets = buckets or buckets_for(df.count())
-    _write(df.withColumn(BUCKET, _bucket(key, buckets)), path, "static")
+    _write(df.withColumn(BUCKET, bucket_of(key, buckets)), path, "static")
     layout = df.sparkSession.createDataFrame([(key, buckets)], "key string, buckets int")
     layout.coalesce(1).write.mode("overwrite").parquet(f"{path}.layout")
     return buckets
@@ -119,7 +120,7 @@ def upsert_table(
     fields = [f for f in table.schema.fields if f.name != BUCKET]
     # the bucket depends on the key as the table types it
     typed = new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
-    rows = saved(typed.withColumn(BUCKET, _bucket(key, buckets)), "staged")
+    rows = saved(typed.withColumn(BUCKET, bucket_of(key, buckets)), "staged")
     inserted = rows.count()
     if not inserted:
         return 0, 0
@@ -141,13 +142,15 @@ def delete_matching(
     """
     spark = keys.sparkSession
     table = _read(spark, path, schema)
-    doomed = table.join(keys.select(column).distinct(), column, "left_semi")
+    keys = keys.select(column).distinct()
+    hot = hot_keys(table, [column])
+    doomed = hot_join(table, keys, [column], "left_semi", hot)
     counts = {r[BUCKET]: r["count"] for r in doomed.groupBy(BUCKET).count().collect()}
     if not counts:
         return 0
     held = table.filter(F.col(BUCKET).isin(list(counts)))
     sizes = {r[BUCKET]: r["count"] for r in held.groupBy(BUCKET).count().collect()}
-    kept = keyed_join(held, keys.select(column).distinct(), [column], "left_anti")
+    kept = hot_join(held, keys, [column], "left_anti", hot)
     _write(kept.select(*table.columns), path, "dynamic")
     # a dynamic overwrite leaves a bucket alone for which it has no row
     for bucket in (b for b in counts if counts[b] == sizes[b]):
@@ -175,19 +178,20 @@ def replace_network(
     """
     replaced = new_axes.select("axis").filter(F.col("axis").isNotNull()).distinct()
     old_swaths = tables["hydro_swaths"]
-    swaths = keyed_join(old_swaths, replaced, ["axis"], "left_anti").unionByName(
+    hot = hot_keys(old_swaths, ["axis"])
+    swaths = hot_join(old_swaths, replaced, ["axis"], "left_anti", hot).unionByName(
         new_swaths.select(*old_swaths.columns)
     )
     obstacles = tables.get("roe")
     if obstacles is not None:
-        obstacles = keyed_join(obstacles, replaced, ["axis"], "left_anti")
+        obstacles = hot_join(obstacles, replaced, ["axis"], "left_anti")
     fixed = ("hydro_axis", "hydro_swaths", "roe")
     return Network(
         replace_by_key(tables["hydro_axis"], new_axes, "axis").table,
         swaths,
         obstacles,
         {n: link_swaths(t, swaths) for n, t in tables.items() if n not in fixed},
-        rows_per_axis(old_swaths.join(replaced, "axis", "left_semi")),
+        rows_per_axis(hot_join(old_swaths, replaced, ["axis"], "left_semi", hot)),
     )
 
 

@@ -9,9 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from riverloom.operators.joins import keyed_join
+from riverloom.operators.joins import hot_join
 from riverloom.operators.link import link_swaths
-from riverloom.sources.tables import upsert_table
+from riverloom.session import drop_folder
+from riverloom.sources.tables import bucket_of, buckets_of, upsert_table
+
+
+def _rows_folder(checkpoint: str, load: str) -> str:
+    return f"{checkpoint}-rows/{load}"
+
+
+def close_load(checkpoint: str, load: str) -> None:
+    """Free the raw rows of a load that is not to be continued."""
+    drop_folder(_rows_folder(checkpoint, load))
 
 
 def stream_metrics(
@@ -32,19 +42,28 @@ def stream_metrics(
     rows of its keys that the load brought earlier, so a key may be spread
     over any number of batches. A batch that is run again after a failure
     writes its own rows again. A call is a load of its own; give it a name in
-    ``load`` to go on with it in a later call. ``schema`` is that of the table,
-    needed as long as it may be empty.
+    ``load`` to go on with it in a later call, until :func:`close_load` frees its
+    rows. ``schema`` is that of the table, needed as long as it may be empty.
+
+    The raw rows are kept in as many buckets by key as the stored table, so a
+    batch reads those of its own keys, not all that have arrived.
     """
-    arrived = f"{checkpoint}-rows/{load or uuid.uuid4().hex}"
+    arrived = _rows_folder(checkpoint, load or uuid.uuid4().hex)
 
     def replace(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{arrived}/batch={number}")
-        fields = T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])
+        buckets = buckets_of(spark, path, key)
+        bucketed = batch.withColumn("bucket", bucket_of(key, buckets))
+        bucketed.write.mode("overwrite").partitionBy("bucket").parquet(f"{arrived}/batch={number}")
+        extra = [T.StructField("batch", T.LongType()), T.StructField("bucket", T.IntegerType())]
+        fields = T.StructType([*batch.schema.fields, *extra])
         every = spark.read.schema(fields).parquet(arrived).where(F.col("batch") <= number)
-        keys = every.where(F.col("batch") == number).select(key).distinct()
-        rows = keyed_join(every, keys, [key], "left_semi").drop("batch")
-        nameless = every.where((F.col("batch") == number) & F.col(key).isNull()).drop("batch")
+        own = every.where(F.col("batch") == number)
+        # at most as many small numbers as the table has buckets
+        touched = [r[0] for r in own.select("bucket").distinct().collect()]
+        every = every.where(F.col("bucket").isin(touched))
+        rows = hot_join(every, own.select(key).distinct(), [key], "left_semi").drop("batch", "bucket")
+        nameless = own.where(F.col(key).isNull()).drop("batch", "bucket")
         rows = rows.unionByName(nameless)
         rows = prepare(rows) if prepare else rows
         upsert_table(link_swaths(rows, swaths), path, key, schema=schema)
