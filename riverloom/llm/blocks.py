@@ -5,10 +5,15 @@ A page is cut into blocks at block-level tags. The first pass labels blocks by r
 * inside menus, headers and footers of the page, sidebars, notices, adverts, forms,
   comments or hidden parts (by tag, role, class or id): bad;
 * outside of ``article`` or ``main`` where the page has one with text: bad;
-* more than ``MAX_LINKS`` of the characters in links: bad;
-* at least ``MIN_LENGTH`` characters, with a share of stop words of ``MIN_STOPS`` (inside
-  an article, ``ARTICLE_STOPS``) or more: good; as long, with fewer, outside: bad;
-* all others - short blocks, headings - are left open.
+* more than ``MAX_LINKS`` of the characters in links, but for paragraphs and headings of an
+  article: bad;
+* at least ``MIN_LENGTH`` characters, with a share of stop words of ``MIN_STOPS`` (from
+  ``LONG_LENGTH`` on ``LONG_STOPS``, inside an article ``ARTICLE_STOPS``) or more: good; as
+  long, with fewer and with links, outside: bad;
+* all others - short blocks, headings, plain ones with few stop words - are left open.
+
+A class or id tells what an element is only if it is not that of a layout (``has-sidebar``); an
+article around which all is named otherwise is the page's article nevertheless.
 
 The second pass gives open blocks the label of the nearest decided block before or after;
 if both are as near, the good one; where no block is decided, bad. Inside an article only
@@ -24,6 +29,7 @@ from __future__ import annotations
 
 import html as html_module
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -34,6 +40,8 @@ from riverloom.session import map_arrow
 
 MIN_LENGTH = 70
 MIN_STOPS = 0.2
+#: a long block without links needs fewer stop words
+LONG_LENGTH, LONG_STOPS = 200, 0.1
 ARTICLE_STOPS = 0.05
 MAX_LINKS = 0.5
 
@@ -76,6 +84,12 @@ _BAD_NAMES = re.compile(
     r"sharing|social|login|signup|search|pagination|pager|toolbar|skip|hidden|legal|copyright)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: names that tell how a page is laid out, not what the element is
+_MODIFIER = re.compile(r"^(?:has|no|with|without)[_-]|[_-](?:enabled|disabled|fixed|open|closed|on|off)$", re.IGNORECASE)
+#: an article's own head is part of it
+_HEAD = re.compile(r"(?:^|(?<=[_-]))(?:header|masthead)(?=$|[_-])", re.IGNORECASE)
+_PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dt dd".split())
+_LETTERS = re.compile(r"[^\W\d_]+")
 _COMMENT = re.compile(r"(?:^|[\s_-])(?:comments?|repl(?:y|ies))(?:$|[\s_-])", re.IGNORECASE)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
@@ -88,34 +102,53 @@ class Block:
     bad: bool
     #: number of the article it lies in, 0 for none
     article: int
+    #: whether it is a paragraph or heading, not a list entry or the like
+    paragraph: bool = False
+
 
+#: what an element is by its attributes or tag: part of the text, named otherwise, surely otherwise
+FINE, NAMED, WRONG = 0, 1, 2
 
-def _boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+
+def _boilerplate(tag: str, attributes: str, in_article: bool) -> int:
     if tag in _BAD_TAGS or tag == "header" and not in_article:
-        return True
+        return WRONG
     if not attributes or attributes.isspace():
-        return False
+        return FINE
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(found.get("style", "")):
-        return True
+        return WRONG
     if found.get("role", "").lower() in _BAD_ROLES:
-        return True
-    names = f"{found.get('class', '')} {found.get('id', '')}"
+        return WRONG
+    names = f"{found.get('class', '')} {found.get('id', '')}".split()
     if tag in ("article", "main"):
-        return bool(_COMMENT.search(names)) and tag == "article"
+        return WRONG if tag == "article" and any(map(_COMMENT.search, names)) else FINE
     if tag == "header":  # of an article
-        return False
-    return bool(_BAD_NAMES.search(names))
+        return FINE
+    names = [_HEAD.sub("", n) if in_article else n for n in names if not _MODIFIER.search(n)]
+    return NAMED if any(map(_BAD_NAMES.search, names)) else FINE
 
 
 def cut_blocks(page: str) -> list[Block]:
-    """Blocks with text, in page order."""
+    """Blocks with text, in page order.
+
+    An article that only stands in elements that are named otherwise (and of which there is no
+    other) is the page's article: such a name is that of a layout.
+    """
+    blocks, hidden = _cut_blocks(page, False)
+    return _cut_blocks(page, True)[0] if hidden and not any(b.article and not b.bad for b in blocks) else blocks
+
+
+def _cut_blocks(page: str, forgiving: bool) -> tuple[list[Block], bool]:
+    """The blocks, and whether an article stands in elements that are only named otherwise."""
     blocks: list[Block] = []
     parts: list[str] = []
     link_chars = 0
     in_link = heading = False
-    stack: list[tuple[str, bool, int]] = []  # tag, bad, article
-    bad, article, articles = False, 0, 0
+    stack: list[tuple[str, int, int]] = []  # tag, bad, article
+    open_tags: Counter = Counter()
+    bad, article, articles = FINE, 0, 0
+    paragraph = hidden = False
     own_bad = False  # of a paragraph or the like
     skip = None
 
@@ -123,7 +156,7 @@ def cut_blocks(page: str) -> list[Block]:
         nonlocal link_chars
         text = " ".join("".join(parts).split())
         if text:
-            blocks.append(Block(text, link_chars, heading, bad or own_bad, article))
+            blocks.append(Block(text, link_chars, heading, bool(bad or own_bad), article, paragraph))
         parts.clear()
         link_chars = 0
 
@@ -161,6 +194,7 @@ def cut_blocks(page: str) -> list[Block]:
         if tag in _BLOCK:
             close()
             heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6") and not closing
+            paragraph = tag in _PARAGRAPHS and not closing
             own_bad = tag not in _HOLDS and not closing and _boilerplate(tag, m["attributes"] or "", article > 0)
             if not closing and tag in ("p", "li", "div", "section", "article", "td"):
                 in_link = False  # a link that was never closed
@@ -173,20 +207,26 @@ def cut_blocks(page: str) -> list[Block]:
             if tag == "span" and wrong:
                 close()
             stack.append((tag, bad, article))
-            if tag in ("article", "main") and not wrong and not bad and not article:
-                articles += 1
-                article = articles
-            bad = bad or wrong
-        else:
+            open_tags[tag] += 1
+            if tag in ("article", "main") and not wrong and not article:
+                hidden |= bad == NAMED
+                if bad == NAMED and forgiving and not articles:
+                    bad = FINE
+                if not bad:
+                    articles += 1
+                    article = articles
+            bad = max(bad, wrong)
+        elif open_tags[tag]:  # else nothing to be closed
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
                     if tag == "span" and bad != stack[i][1]:
                         close()
                     _, bad, article = stack[i]
+                    open_tags.subtract(t for t, _, _ in stack[i:])
                     del stack[i:]
                     break
     close()
-    return blocks
+    return blocks, hidden
 
 
 def classify(blocks: list[Block]) -> list[bool]:
@@ -195,18 +235,20 @@ def classify(blocks: list[Block]) -> list[bool]:
     labels: list[bool | None] = []
     for b in blocks:
         length = len(b.text)
-        if b.bad or framed and not b.article or b.link_chars > MAX_LINKS * length:
+        linked = b.link_chars > MAX_LINKS * length and not (b.article and b.paragraph)
+        if b.bad or framed and not b.article or linked:
             labels.append(False)
             continue
         if length < MIN_LENGTH or b.heading:
             labels.append(None)
             continue
-        words = b.text.lower().split()
-        stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
-        if stops >= (ARTICLE_STOPS if b.article else MIN_STOPS):
+        words = _LETTERS.findall(b.text.lower())
+        stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+        least = ARTICLE_STOPS if b.article else LONG_STOPS if length >= LONG_LENGTH else MIN_STOPS
+        if stops >= least:
             labels.append(True)
         else:
-            labels.append(None if b.article else False)
+            labels.append(None if b.article or not b.link_chars else False)
 
     def decides(i: int, article: int) -> bool:
         return labels[i] is not None and (not article or blocks[i].article == article and not blocks[i].bad)

@@ -66,3 +66,32 @@ def test_pages(spark):
         lines = [" ".join(html.unescape(re.sub(r"<[^>]+>", "", p)).split()) for p in parts]
         assert got[page_id].text == "\n".join(x for x in lines if x)
         assert got[page_id].n_chars == len(got[page_id].text)
+
+
+def test_names_of_layouts():
+    """Names of elements around the article, or of its head, take nothing from it."""
+    inner = f"<article><h1>Title</h1><p>{LONG}</p></article><section id='comments'><article><p>{LONG} no</p></article></section>"
+    for name in ("has-sidebar", "no-sidebar", "content-comments-enabled", "page-header-fixed", "sidebar", "widget related", "menu-open"):
+        assert blocks.main_text(f"<body><div class='{name}'>{inner}</div></body>") == f"Title\n{LONG}", name
+    assert blocks.main_text(f"<div class='sidebar'><article><p>{LONG} card</p></article></div>{inner}") == f"Title\n{LONG}"
+    assert blocks.main_text(f"<nav><article><p>{LONG}</p></article></nav>") == ""
+    head = f"<article><div class='article-header'><h1>Title</h1></div><p>{LONG}</p></article>"
+    assert blocks.main_text(head) == f"Title\n{LONG}"
+    assert blocks.main_text(f"<div class='with-sidebar'><p>{LONG}</p><div class='sidebar'><p>{LONG} no</p></div></div>") == LONG
+
+
+def test_linked_paragraphs_of_an_article():
+    page = f"<article><h2><a href='/'>Linked title</a></h2><p><a href='/a'>{LONG}</a></p><p>{LONG}</p><ul><li><a href='/b'>Elsewhere</a></li></ul></article>"
+    assert blocks.main_text(page) == f"Linked title\n{LONG}\n{LONG}"
+
+
+def test_unmatched_tags_take_linear_time():
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        blocks.main_text("<article><p>One" + "<div>" * n + "</span>" * n)
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(40_000) < 8 * max(seconds(10_000), 0.05)
