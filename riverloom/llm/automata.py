@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from riverloom.llm.pairs import whole_runs
 from riverloom.llm.words import Texts, pieces, range_hashes, signed
+from riverloom.operators.joins import hot_join
 from riverloom.session import map_arrow, saved
 
 WINDOW = 50
@@ -407,7 +408,7 @@ def removals(
     repeated = (
         seen.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y")
     )
-    shared = saved(seen.join(repeated.select("anchor"), "anchor", "left_semi"), "shared-segments")
+    shared = saved(hot_join(seen, repeated.select("anchor"), ["anchor"], "left_semi"), "shared-segments")
     holders = shared.groupBy("anchor", "segment").agg(F.min(F.struct("doc_id", "at", "windows")).alias("h"))
     held = holders.groupBy(F.col("h.doc_id").alias("doc_id")).agg(
         F.collect_list(F.struct("anchor", "segment", "h.at", "h.windows")).alias("held")
@@ -432,7 +433,8 @@ def removals(
         crowd.select("anchor", "segment", F.array(whole).cast("array<struct<start:int,stop:int,low:long>>").alias("runs"))
     )
     spans = (
-        shared.join(found, ["anchor", "segment"])
+        # a passage may be in a third of all documents
+        hot_join(shared, found, ["anchor", "segment"], "left")
         .select("doc_id", "at", F.explode("runs").alias("r"))
         .where("r.low < doc_id")
         .select(
