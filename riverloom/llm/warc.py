@@ -5,8 +5,10 @@ store records of any kind as WARC 1.1 files with one gzip member a record, and
 ``derive`` turns each response into two records that refer to it:
 
 * a metadata record (JSON): the response's own WARC headers, HTTP status and headers, the
-  payload's length and digest, title, language, description and links with their text;
-* a conversion record (text/plain): the visible text, one block a line.
+  payload's length and digest, title, language, description and links with their text; HTTP
+  headers are a list in their order, as names may repeat;
+* a conversion record (text/plain): the visible text, one block a line, of the payload
+  without its transfer and content encodings (chunked, gzip, deflate).
 
 Both have WARC-Refers-To (the response's id), its target URI and date, and
 WARC-Refers-To-Target-URI and -Date; the metadata record names the conversion by
@@ -14,7 +16,7 @@ WARC-Concurrent-To. Record ids are made from the response's id and the kind, so
 that runs again makes the same records. Digests are SHA-1 in base 32.
 
 Records are rows: record_id, type, refers_to, uri, date, content_type, headers (a map of
-further WARC headers), block (bytes), block_digest, and ``source``, the id of the page a
+further WARC headers; one that repeats has its values in lines), block (bytes), block_digest, and ``source``, the id of the page a
 record comes from, kept as the header X-Source-Id. Files are written per task under a name
 of the attempt; the index that is returned names those of successful attempts, with each
 record's file, place and length, and ``read_warc`` takes an index. Folders may be in any
@@ -34,6 +36,7 @@ import hashlib
 import json
 import re
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyarrow import fs
@@ -94,16 +97,54 @@ def response(page_id: int | None, url: str | None, html: str | None, date: str =
     )
 
 
-def split_http(block: bytes) -> tuple[str | None, dict[str, str], bytes]:
-    """Status line, headers and payload of an HTTP response."""
+def split_http(block: bytes) -> tuple[str | None, list[tuple[str, str]], bytes]:
+    """Status line, headers in their order (names may repeat) and payload of an HTTP response."""
     if not block.startswith(b"HTTP/"):
-        return None, {}, block
-    head, _, payload = block.partition(b"\r\n\r\n")
-    lines = head.decode("latin-1").split("\r\n")
-    headers = dict((a.strip(), b.strip()) for a, _, b in (x.partition(":") for x in lines[1:]))
+        return None, [], block
+    end = re.search(rb"\r?\n\r?\n", block)
+    head, payload = (block[: end.start()], block[end.end() :]) if end else (block, b"")
+    lines = re.split(r"\r?\n", head.decode("latin-1"))
+    headers = [(a.strip(), b.strip()) for a, _, b in (x.partition(":") for x in lines[1:])]
     return lines[0], headers, payload
 
 
+def values(headers: list[tuple[str, str]], name: str) -> list[str]:
+    """What a header says, over all its lines and commas."""
+    return [v.strip() for a, b in headers if a.lower() == name for v in b.split(",") if v.strip()]
+
+
+def _unchunked(data: bytes) -> bytes:
+    out, at = [], 0
+    while True:
+        end = data.index(b"\n", at)
+        size = int(data[at:end].split(b";")[0].strip(), 16)
+        if not size:
+            return b"".join(out)
+        if end + 1 + size > len(data):
+            raise ValueError("a chunk ends early")
+        out.append(data[end + 1 : end + 1 + size])
+        at = data.index(b"\n", end + 1 + size) + 1
+
+
+def decoded(headers: list[tuple[str, str]], payload: bytes) -> bytes:
+    """The payload without transfer and content encodings; as it is where they do not hold."""
+    coded = [v.lower() for n in ("content-encoding", "transfer-encoding") for v in values(headers, n)]
+    out = payload
+    try:
+        for name in reversed(coded):
+            if name == "chunked":
+                out = _unchunked(out)
+            elif name in ("gzip", "x-gzip"):
+                out = gzip.decompress(out)
+            elif name == "deflate":  # with the wrapper of zlib or without
+                out = zlib.decompress(out) if out[:1] == b"\x78" else zlib.decompress(out, -15)
+            elif name != "identity":
+                return payload
+    except (ValueError, OSError, EOFError, zlib.error):
+        return payload
+    return out
+
+
 _TITLE = re.compile(r"<title[^>]*>(.*?)(?:</title|\Z)", re.IGNORECASE | re.DOTALL)
 _LANG = re.compile(r"<html[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.IGNORECASE)
 _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))[^>]*>(.*?)(?=</a|<a\b|\Z)", re.IGNORECASE | re.DOTALL)
@@ -117,21 +158,22 @@ def _plain(markup: str) -> str:
 def derive_record(r: dict) -> list[dict]:
     """Metadata and conversion of a response."""
     status, headers, payload = split_http(r["block"])
-    charset = re.search(r"charset=([\w-]+)", headers.get("Content-Type", ""))
+    charset = re.search(r"charset=\"?([\w-]+)", " ".join(values(headers, "content-type")), re.IGNORECASE)
+    plain = decoded(headers, payload)
     try:
-        page = payload.decode(charset[1] if charset else "utf-8", "replace")
+        page = plain.decode(charset[1] if charset else "utf-8", "replace")
     except LookupError:
-        page = payload.decode("utf-8", "replace")
+        page = plain.decode("utf-8", "replace")
     text = "\n".join(b.text for b in cut_blocks(page))
     conversion, metadata = (made_id(r["record_id"], kind) for kind in ("conversion", "metadata"))
     refers = {"WARC-Refers-To-Date": r["date"]}
     if r["uri"] is not None:
-        refers["WARC-Refers-To-Target-URI"] = r["uri"]
+        refers["WARC-Refers-To-Target-URI"] = _escaped(r["uri"])
     title, lang, about = _TITLE.search(page), _LANG.search(page), _DESCRIPTION.search(page)
     found = {
         "source-headers": {_HEADERS[k]: r[k] for k in ("record_id", "type", "uri", "date", "content_type", "block_digest") if r[k] is not None}
         | (r["headers"] or {}),
-        "http": {"status": status, "headers": headers},
+        "http": {"status": status, "headers": [list(h) for h in headers]},
         "payload": {"length": len(payload), "digest": digest(payload)},
         "html": {
             "title": _plain(title[1]) if title else None,
@@ -155,11 +197,15 @@ def derive_record(r: dict) -> list[dict]:
     ]
 
 
+def _escaped(value) -> str:
+    """A line break would end the header."""
+    return str(value).replace("\r", "%0D").replace("\n", "%0A")
+
+
 def member(r: dict) -> bytes:
-    """The record as a gzip member."""
-    found = {h: r[c] for c, h in _HEADERS.items() if r[c] is not None} | (r["headers"] or {})
-    # a line break would end the header
-    lines = ["WARC/1.1"] + [f"{k}: {v}".replace("\r", "%0D").replace("\n", "%0A") for k, v in found.items()]
+    """The record as a gzip member. A header that repeats has its values in lines."""
+    lines = ["WARC/1.1"] + [f"{h}: {_escaped(r[c])}" for c, h in _HEADERS.items() if r[c] is not None]
+    lines += [f"{k}: {_escaped(v)}" for k, many in (r["headers"] or {}).items() for v in many.split("\n")]
     lines.append(f"Content-Length: {len(r['block'])}")
     return gzip.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + r["block"] + b"\r\n\r\n", 3, mtime=0)
 
@@ -171,7 +217,9 @@ def parse(raw: bytes) -> dict:
     lines = head.decode().split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError("not a WARC record")
-    found = dict((a, b.strip()) for a, _, b in (x.partition(":") for x in lines[1:]))
+    found: dict[str, str] = {}
+    for name, _, value in (x.partition(":") for x in lines[1:]):
+        found[name] = f"{found[name]}\n{value.strip()}" if name in found else value.strip()
     size = int(found.pop("Content-Length"))
     block = rest[:size]
     out = {c: found.pop(h, None) for c, h in _HEADERS.items()}

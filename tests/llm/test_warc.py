@@ -85,3 +85,82 @@ def test_pages(spark):
         assert text.payload_digest == plain_digest(page.encode()) and meta.concurrent_to == text.record_id
         want = "\n".join(b.text for b in warc.cut_blocks(page)).encode()
         assert (text.block_digest, text.content_length) == (plain_digest(want), len(want))
+
+
+def test_headers_repeat_and_payloads_are_coded():
+    import zlib
+
+    page = b"<html><p>Caf\xe9 one</p>"
+    raw = zlib.compressobj(wbits=-15)
+    deflated = raw.compress(page) + raw.flush()
+    chunked = lambda x: b"5;a=b\r\n" + x[:5] + b"\r\n" + f"{len(x) - 5:X}".encode() + b"\r\n" + x[5:] + b"\r\n0\r\n\r\n"
+    cases = [
+        ("", page), ("Content-Encoding: gzip", gzip.compress(page)), ("Transfer-Encoding: chunked", chunked(page)),
+        ("content-encoding: gzip\r\ntransfer-encoding: Chunked", chunked(gzip.compress(page))),
+        ("Content-Encoding: deflate", zlib.compress(page)), ("Content-Encoding: deflate", deflated),
+        ("Content-Encoding: gzip", page), ("Transfer-Encoding: chunked", page),
+    ]
+    for line in ("\r\n", "\n"):
+        for head, payload in cases:
+            lines = ["HTTP/1.1 200 OK", "Set-Cookie: a=1", "Content-Type: text/html; charset=\"latin-1\"", "Set-Cookie: b=2; x"]
+            block = line.join([*lines, *filter(None, head.split("\r\n")), "", ""]).encode() + payload
+            source = warc._record(source=1, record_id="<r>", type="response", uri="u\r\nv", date="d", content_type="x", headers={"WARC-Concurrent-To": "<a>\n<b>"}, block=block)
+            back = warc.parse(warc.member(source))
+            assert back["headers"]["WARC-Concurrent-To"] == "<a>\n<b>" and back["uri"] == "u%0D%0Av"
+            meta, text = warc.derive_record(source)
+            assert text["block"].decode() == "Café one", head
+            found = json.loads(meta["block"])
+            assert [h for h in found["http"]["headers"] if h[0] == "Set-Cookie"] == [["Set-Cookie", "a=1"], ["Set-Cookie", "b=2; x"]]
+            assert found["payload"] == {"length": len(payload), "digest": plain_digest(payload)}
+            assert found["source-headers"]["WARC-Concurrent-To"] == "<a>\n<b>"
+            again = warc.parse(warc.member(meta))
+            assert again["headers"]["WARC-Refers-To-Target-URI"] == "u%0D%0Av" and again["block"] == meta["block"]
+
+
+def visible(page):
+    """Text of block elements by the standard parser, for pages without odd markup."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.lines, self.parts, self.skip = [], [], 0
+
+        def end(self):
+            if text := " ".join("".join(self.parts).split()):
+                self.lines.append(text)
+            self.parts = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag in ("script", "style", "title"):
+                self.end()
+                self.skip += 1
+            elif tag == "br":
+                self.parts.append(" ")
+            elif tag not in ("a", "b", "i", "em", "strong", "span", "code", "input", "img"):
+                self.end()
+
+        def handle_endtag(self, tag):
+            if tag in ("script", "style", "title"):
+                self.skip -= 1
+            elif tag not in ("a", "b", "i", "em", "strong", "span", "code"):
+                self.end()
+
+        def handle_data(self, data):
+            if not self.skip:
+                self.parts.append(data)
+
+    reader = Reader()
+    reader.feed(page)
+    reader.close()
+    reader.end()
+    return "\n".join(reader.lines)
+
+
+def test_conversion_against_the_standard_parser():
+    rows = duckdb.execute(f"SELECT html FROM '{SF}/pages.parquet'").fetchall()
+    whole = [page for (page,) in rows if page.rstrip().endswith("</html>")]
+    assert len(whole) > 10
+    for page in whole:
+        _, text = warc.derive_record(warc.response(1, "u", page))
+        assert text["block"].decode() == visible(page)
