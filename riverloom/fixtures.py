@@ -190,6 +190,48 @@ def region_rings(spark, sf_dir) -> DataFrame:
     )
 
 
+# rings 1 to 6 beside the region's own: a hole, an island in it, a lake on that, an island
+# there, a part of its own and its hole
+SQUARES = [
+    (1, 1000, 1000, 9000, 9000),
+    (2, 2000, 2000, 8000, 8000),
+    (3, 3000, 3000, 5000, 7000),
+    (4, 3500, 3500, 4500, 4500),
+    (5, 12000, 12000, 18000, 18000),
+    (6, 13000, 13000, 17000, 14000),
+]
+
+
+def _square_corners() -> list[tuple]:
+    rows = []
+    for ring, x0, y0, x1, y1 in SQUARES:
+        corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+        rows += [(ring, seq, x, y) for seq, (x, y) in enumerate(corners)]
+    return rows
+
+
+def nested_rings(spark, sf_dir) -> DataFrame:
+    """Regions with holes and islands, rings in any order and drawn either way."""
+    key, ring, seq = F.col("n_nationkey"), F.col("t.ring"), F.col("t.seq")
+    gid = key.cast("long")
+    flip = (key + ring) % 2 == 0
+    squares = (
+        table(spark, sf_dir, "nation")
+        .select("n_nationkey", _each(_square_corners(), ["ring", "seq", "dx", "dy"]).alias("t"))
+        .select(
+            gid.alias("gid"),
+            ((ring * 3 + key) % 7).cast("int").alias("ring"),
+            F.when(flip, 4 - seq).otherwise(seq).cast("int").alias("seq"),
+            ((key % 5) * 20000 + F.col("t.dx")).cast("double").alias("x"),
+            (F.floor(key / 5.0) * 20000 + F.col("t.dy")).cast("double").alias("y"),
+        )
+    )
+    own = region_rings(spark, sf_dir).select(
+        F.col("gid").cast("long").alias("gid"), (F.col("gid") % 7).cast("int").alias("ring"), F.col("seq").cast("int").alias("seq"), "x", "y"
+    )
+    return own.unionByName(squares)
+
+
 def reach_vertices(spark, sf_dir) -> DataFrame:
     """One 21-vertex line per axis."""
     key, i = F.col("s_suppkey"), F.col("i")
@@ -399,6 +441,11 @@ FROM customer""",
        CAST(FLOOR(n_nationkey / 5e0) * 20000 + t.dy AS DOUBLE) AS y
 FROM nation CROSS JOIN (VALUES (0,0,0),(1,20000,0),(2,20000,10000),(3,10000,10000),
                                (4,10000,20000),(5,0,20000),(6,0,0)) AS t(seq, dx, dy)""",
+    "nested_rings": f"""SELECT CAST(gid AS BIGINT) AS gid, CAST(gid % 7 AS INT) AS ring, seq, x, y FROM fx_region_rings
+UNION ALL SELECT CAST(n_nationkey AS BIGINT), CAST((t.ring * 3 + n_nationkey) % 7 AS INT),
+       CAST(CASE WHEN (n_nationkey + t.ring) % 2 = 0 THEN 4 - t.seq ELSE t.seq END AS INT),
+       CAST((n_nationkey % 5) * 20000 + t.dx AS DOUBLE), CAST(FLOOR(n_nationkey / 5e0) * 20000 + t.dy AS DOUBLE)
+FROM nation CROSS JOIN (VALUES {', '.join(map(str, _square_corners()))}) AS t(ring, seq, dx, dy)""",
     "reach_vertices": """SELECT CAST(s_suppkey AS BIGINT) AS axis, CAST(t.i AS INT) AS seq,
        CAST(t.i * 5000 AS DOUBLE) AS x,
        CAST((s_suppkey * 977) % 90000 + 5000 + ((t.i * t.i * 37 + s_suppkey * 13) % 11) * 100 AS DOUBLE) + 2.5e-1 AS y

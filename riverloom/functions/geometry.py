@@ -41,6 +41,26 @@ def line_length(line: Column) -> Column:
     )
 
 
+def ring_area(ring: Column) -> Column:
+    """Area of a closed ring, below 0 if it runs clockwise."""
+    # from the first vertex, so that far coordinates keep their digits
+    o = F.get(ring, 0)
+    twice = F.aggregate(
+        line_segments(ring),
+        F.lit(0.0),
+        lambda acc, s: acc
+        + (s["x1"] - o["x"]) * (s["y2"] - o["y"])
+        - (s["x2"] - o["x"]) * (s["y1"] - o["y"]),
+    )
+    return twice / 2
+
+
+def parts_area(parts: Column) -> Column:
+    """Area of a list of parts, holes taken off."""
+    rings = F.transform(F.flatten(parts), ring_area)
+    return F.aggregate(rings, F.lit(0.0), lambda acc, a: acc + a)
+
+
 def first_vertex(line: Column) -> Column:
     return F.get(line, 0)
 

@@ -9,10 +9,11 @@ from riverloom.functions import geometry as g
 from riverloom.functions import projection
 from riverloom.functions.columns import tag_srid
 from riverloom.functions.simplify import simplify_lines
-from riverloom.operators import containment, lines, network
+from riverloom.operators import containment, lines, network, rings
 from riverloom.registry import query
 from riverloom.registry.sql import ctes, fx
 from riverloom.session import saved
+from riverloom.sources import readers
 
 REGION_EDGES = """SELECT a.gid AS gid_region, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
   FROM fx_region_rings a JOIN fx_region_rings b ON b.gid = a.gid AND b.seq = a.seq + 1"""
@@ -476,6 +477,33 @@ BRAID_WAYS = """SELECT axis, CAST(20 AS BIGINT) AS node, 0e0 AS d FROM fx_braids
   JOIN stem s ON s.axis = r.axis AND s.node = r.v WHERE w.d + r.length <= s.d"""
 
 
+@query(
+    "multipolygon_parts",
+    ctes(
+        *fx("region_rings", "nested_rings"),
+        ("e", """SELECT a.gid, a.ring, a.seq, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
+  FROM fx_nested_rings a JOIN fx_nested_rings b ON b.gid = a.gid AND b.ring = a.ring AND b.seq = a.seq + 1"""),
+        ("p", "SELECT gid, ring, (x1 + x2) / 2 AS x, (y1 + y2) / 2 AS y FROM e WHERE seq = 0"),
+        ("around", f"""SELECT p.gid, p.ring, e.ring AS other FROM p JOIN e ON e.gid = p.gid AND e.ring <> p.ring AND {INSIDE}
+  GROUP BY p.gid, p.ring, e.ring HAVING COUNT(*) % 2 = 1"""),
+        ("depths", """SELECT p.gid, p.ring, COUNT(a.other) AS depth FROM p LEFT JOIN around a ON a.gid = p.gid AND a.ring = p.ring
+  GROUP BY p.gid, p.ring"""),
+        ("areas", "SELECT gid, ring, ABS(SUM(x1 * y2 - x2 * y1)) / 2 AS area FROM e GROUP BY gid, ring"),
+    )
+    + """SELECT gid, COUNT(*) FILTER (depth % 2 = 0) AS parts, COUNT(*) FILTER (depth % 2 = 1) AS holes,
+  ROUND(SUM(CASE WHEN depth % 2 = 0 THEN area ELSE -area END), 3) AS area
+FROM depths JOIN areas USING (gid, ring) GROUP BY gid""",
+)
+def _(spark, sf):
+    layer = readers.fold_vertices(fixture.nested_rings(spark, sf), ["gid"], "polygon")
+    parts = rings.to_multipolygons(layer, "gid")
+    n = F.size("parts")
+    return parts.select(
+        "gid", n.cast("long").alias("parts"), (F.size(F.flatten("parts")) - n).cast("long").alias("holes"),
+        F.round(g.parts_area(F.col("parts")), 3).alias("area"),
+    )
+
+
 @query(
     "measure_braided_network",
     ctes(
