@@ -40,8 +40,8 @@ class Store(NamedTuple):
 
     spark: SparkSession
     folder: str
-    #: of the tables that are created; see buckets_for
-    buckets: int = 256
+    #: of the tables that are created; by default from the rows of their first load
+    buckets: int | None = None
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"

@@ -9,7 +9,7 @@ from riverloom.functions.geometry import line_length, xy
 from riverloom.functions.projection import reproject
 from riverloom.operators.profiles import axis_summary
 from riverloom.plans import load, marts, prepare
-from riverloom.registry import query
+from riverloom.registry import ORACLES, query
 from riverloom.registry.geometry import (
     CORNERS,
     CUTS,
@@ -221,8 +221,8 @@ def _(spark, sf):
 # --- serving tables -------------------------------------------------------------------------------
 
 
-@query("refresh_serving_tables", NETWORK_METRICS)
-def _(spark, sf):
+def _served(spark, sf, name: str):
+    """One of the serving tables after all have been rebuilt."""
     swaths = fixture.swaths(spark, sf)
     continuity = fixture.continuity(spark, sf)
     held = {
@@ -237,7 +237,23 @@ def _(spark, sf):
         "valley_bottom": prepare.prepare_valley_bottom(fixture.valley_bottom(spark, sf)).table,
     }
     paths = marts.build_marts(spark, held, new_folder(spark, "marts"))
-    return spark.read.parquet(paths["network_metrics"])
+    return spark.read.parquet(paths[name])
+
+
+@query("refresh_serving_tables", NETWORK_METRICS)
+def _(spark, sf):
+    return _served(spark, sf, "network_metrics")
+
+
+# the other serving tables have the rows of the views they come from
+for _name, _view in {
+    "landcover_area_full_side": "landcover_full_side",
+    "continuity_area_full_side": "continuity_full_side",
+    "continuity_width_full_side": "continuity_width_full_side",
+    "valley_bottom_full_side": "valley_bottom_full_side",
+    "network_axis": "network_axis",
+}.items():
+    query(f"refresh_{_name}", ORACLES[_view])(lambda spark, sf, name=_name: _served(spark, sf, name))
 
 
 # --- streaming ------------------------------------------------------------------------------------
@@ -498,6 +514,34 @@ def _(spark, sf):
     )
 
 
+@query(
+    "prepare_axis_lines",
+    ctes(
+        *fx("reach_vertices", "swath_rings"),
+        ("segs", SEGMENTS),
+        ("swath_edges", SWATH_EDGES),
+        ("cuts", CUTS),
+        ("vertices", VERTICES),
+    )
+    + """SELECT axis, CAST(1 AS BIGINT) AS n_lines, COUNT(*) AS n_vertices, ROUND(SUM(x), 2) AS x, ROUND(SUM(y), 2) AS y,
+  MIN(x) AS first_x, MAX(x) AS last_x FROM vertices GROUP BY axis""",
+)
+def _(spark, sf):
+    network = _network_tables(spark, sf)
+    served = marts.network_axis(network.hydro_axis, network.lines).filter("geom IS NOT NULL")
+    line = F.col("geom")[0]
+
+    def total(c: str):
+        return F.aggregate(line, F.lit(0.0), lambda acc, v: acc + v[c])
+
+    return served.select(
+        "axis", F.size("geom").cast("long").alias("n_lines"), F.size(line).cast("long").alias("n_vertices"),
+        F.round(total("x"), 2).alias("x"), F.round(total("y"), 2).alias("y"),
+        # lines run downstream
+        F.round(line[0]["x"], 3).alias("first_x"), F.round(F.element_at(line, -1)["x"], 3).alias("last_x"),
+    )
+
+
 OBSTACLES = """SELECT c_custkey AS pid, CONCAT('ROE', CAST(c_custkey AS VARCHAR)) AS cdobstecou,
   CAST(FLOOR(c_custkey / 15e0) AS BIGINT) AS axis,
   (c_custkey * 7919) % 100000 + 5e-1 AS x, (c_custkey * 104729) % 100000 + 5e-1 AS y

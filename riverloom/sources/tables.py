@@ -66,16 +66,21 @@ def buckets_for(rows: int) -> int:
     return max(16, -(-rows // ROWS_PER_BUCKET))
 
 
+LAYOUT = "key string, buckets int, sized boolean"
+
+
 def create_table(df: DataFrame, path: str, key: str, buckets: int | None = None) -> int:
     """Write a table in key buckets, so that later loads rewrite only a few.
 
     The number of buckets, by default from the number of rows, is kept beside
     the table; a table that grows far beyond its first size is better created
-    anew. Returns it. A table of that path is replaced.
+    anew. Returns it. A table of that path is replaced. An empty table for which
+    no number is given gets one from the rows of its first load.
     """
-    buckets = buckets or buckets_for(df.count())
+    rows = None if buckets else df.count()
+    buckets = buckets or buckets_for(rows)
     _write(df.withColumn(BUCKET, bucket_of(key, buckets)), path, "static")
-    layout = df.sparkSession.createDataFrame([(key, buckets)], "key string, buckets int")
+    layout = df.sparkSession.createDataFrame([(key, buckets, rows != 0)], LAYOUT)
     layout.coalesce(1).write.mode("overwrite").parquet(f"{path}.layout")
     return buckets
 
@@ -117,6 +122,7 @@ def upsert_table(
     """
     buckets = buckets_of(new.sparkSession, path, key, buckets)
     table = _read(new.sparkSession, path, schema)
+    sized = new.sparkSession.read.schema(LAYOUT).parquet(f"{path}.layout").first()["sized"]
     fields = [f for f in table.schema.fields if f.name != BUCKET]
     # the bucket depends on the key as the table types it
     typed = new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
@@ -124,6 +130,9 @@ def upsert_table(
     inserted = rows.count()
     if not inserted:
         return 0, 0
+    if sized is False:  # null in tables of before
+        create_table(rows.drop(BUCKET), path, key, buckets_for(inserted))
+        return 0, inserted
     # at most ``buckets`` small numbers
     touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
     old = table.filter(F.col(BUCKET).isin(touched))

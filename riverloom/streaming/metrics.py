@@ -12,7 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 from riverloom.operators.joins import hot_join
 from riverloom.operators.link import link_swaths
 from riverloom.session import drop_folder
-from riverloom.sources.tables import bucket_of, buckets_of, upsert_table
+from riverloom.sources.tables import bucket_of, upsert_table
+
+BUCKETS = 256
 
 
 def _rows_folder(checkpoint: str, load: str) -> str:
@@ -45,21 +47,20 @@ def stream_metrics(
     ``load`` to go on with it in a later call, until :func:`close_load` frees its
     rows. ``schema`` is that of the table, needed as long as it may be empty.
 
-    The raw rows are kept in as many buckets by key as the stored table, so a
-    batch reads those of its own keys, not all that have arrived.
+    The raw rows are kept in ``BUCKETS`` buckets by key, so a batch reads those of
+    its own keys, not all that have arrived.
     """
     arrived = _rows_folder(checkpoint, load or uuid.uuid4().hex)
 
     def replace(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        buckets = buckets_of(spark, path, key)
-        bucketed = batch.withColumn("bucket", bucket_of(key, buckets))
+        bucketed = batch.withColumn("bucket", bucket_of(key, BUCKETS))
         bucketed.write.mode("overwrite").partitionBy("bucket").parquet(f"{arrived}/batch={number}")
         extra = [T.StructField("batch", T.LongType()), T.StructField("bucket", T.IntegerType())]
         fields = T.StructType([*batch.schema.fields, *extra])
         every = spark.read.schema(fields).parquet(arrived).where(F.col("batch") <= number)
         own = every.where(F.col("batch") == number)
-        # at most as many small numbers as the table has buckets
+        # at most BUCKETS small numbers
         touched = [r[0] for r in own.select("bucket").distinct().collect()]
         every = every.where(F.col("bucket").isin(touched))
         rows = hot_join(every, own.select(key).distinct(), [key], "left_semi").drop("batch", "bucket")

@@ -178,3 +178,20 @@ def test_run_folder_is_dropped(spark):
     session.drop_run_folder(spark)
     assert not session.exists(session.run_folder(spark))
     assert session.saved(spark.range(5), "five").count() == 5
+
+
+def test_first_load_sizes_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 4)
+    path = f"file:{tmp_path}/sized"
+    schema = struct("axis long, v long")
+    tables.create_table(spark.createDataFrame([], schema), path, "axis")
+    assert tables.buckets_of(spark, path, "axis") == 16
+    assert tables.delete_matching(spark.createDataFrame([(1,)], "axis long"), path, "axis", schema) == 0
+    assert tables.upsert_table(spark.createDataFrame([], schema), path, "axis", schema=schema) == (0, 0)
+    rows = spark.range(200).selectExpr("id % 30 AS axis", "id AS v")
+    assert tables.upsert_table(rows, path, "axis", schema=schema) == (0, 200)
+    assert tables.buckets_of(spark, path, "axis") == 50
+    again = spark.createDataFrame([(3, -1), (77, -2)], schema)
+    assert tables.upsert_table(again, path, "axis", schema=schema) == (7, 2)
+    got = sorted(tuple(r) for r in tables.read_table(spark, path, schema).collect())
+    assert got == sorted([(i % 30, i) for i in range(200) if i % 30 != 3] + [(3, -1), (77, -2)])
