@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverloom.operators.link import LINK, link_swaths
-from riverloom.schemas import CONTINUITY_LABELS, LANDCOVER_LABELS, METRIC_TABLES
+from riverloom.schemas import CONTINUITY_LABELS, LANDCOVER_LABELS, METRIC_TABLES, SERVED_CORRIDOR
 from riverloom.sources.tables import Builder, refresh
 
 GROUP = [LINK, "axis", "measure_medial_axis"]
@@ -93,14 +93,7 @@ def network_metrics(
         ]
         joined = joined.join(side, F.expr(" AND ".join(same)), "left")
 
-    served = {
-        "active_channel": "active_channel",
-        "riparian_buffer": "riparian_corridor",
-        "connected_meadows": "semi_natural",
-        "connected_cultivated": "reversible",
-        "disconnected": "disconnected",
-        "built": "built_environment",
-    }
+    served = SERVED_CORRIDOR
     widths = {
         "idx_confinement": "CASE WHEN w.sum_width != 0 THEN (w.water_channel + w.active_channel) / w.sum_width END",
         "water_channel_width": "w.water_channel",

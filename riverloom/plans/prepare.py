@@ -87,11 +87,13 @@ def region_edges(regions: DataFrame) -> DataFrame:
     return ring_edges(regions.select(F.col("gid").alias("gid_region"), "geom"), ["gid_region"])
 
 
-SITE_OUTPUT = (
-    "code_site url_site libelle_site type_site altitude_site code_systeme_alti_site surface_bv"
-    " statut_site code_entite_hydro_site code_troncon_hydro_site code_zone_hydro_site"
-    " code_cours_eau uri_cours_eau grandeur_hydro date_maj_site libelle_cours_eau gid_region x y"
-).split()
+# Columns of prepared sites.
+SITE_OUTPUT = [
+    "code_site", "url_site", "libelle_site", "type_site", "altitude_site", "code_systeme_alti_site",
+    "surface_bv", "statut_site", "code_entite_hydro_site", "code_troncon_hydro_site",
+    "code_zone_hydro_site", "code_cours_eau", "uri_cours_eau", "grandeur_hydro", "date_maj_site",
+    "libelle_cours_eau", "gid_region", "x", "y",
+]
 
 
 def prepare_sites(sites: DataFrame, edges: DataFrame, srid: int = 4326) -> DataFrame:

@@ -95,43 +95,47 @@ INPUTS = {
 }
 
 # Columns of the gauging site register.
-SITE_COLUMNS = """
-code_site string, libelle_site string, type_site string, coordonnee_x_site double, coordonnee_y_site double,
-code_projection int, altitude_site double, code_systeme_alti_site int, surface_bv double, statut_site int,
-premier_mois_etiage_site int, premier_mois_annee_hydro_site int, influence_generale_site int,
-code_entite_hydro_site string, code_troncon_hydro_site string, code_commune_site strings,
-code_zone_hydro_site string, libelle_commune strings, code_departement strings, code_region strings,
-libelle_region strings, code_cours_eau string, uri_cours_eau string, grandeur_hydro string, date_maj_site string,
-libelle_departement strings, libelle_cours_eau string, commentaire_influence_generale_site string,
-commentaire_site string, type_contexte_loi_stat_site strings, type_loi_site strings,
-date_premiere_donnee_dispo_site string, longitude_site double, latitude_site double
-"""
+SITE_COLUMNS = [
+    "code_site string", "libelle_site string", "type_site string", "coordonnee_x_site double",
+    "coordonnee_y_site double", "code_projection int", "altitude_site double",
+    "code_systeme_alti_site int", "surface_bv double", "statut_site int",
+    "premier_mois_etiage_site int", "premier_mois_annee_hydro_site int",
+    "influence_generale_site int", "code_entite_hydro_site string",
+    "code_troncon_hydro_site string", "code_commune_site strings", "code_zone_hydro_site string",
+    "libelle_commune strings", "code_departement strings", "code_region strings",
+    "libelle_region strings", "code_cours_eau string", "uri_cours_eau string",
+    "grandeur_hydro string", "date_maj_site string", "libelle_departement strings",
+    "libelle_cours_eau string", "commentaire_influence_generale_site string",
+    "commentaire_site string", "type_contexte_loi_stat_site strings", "type_loi_site strings",
+    "date_premiere_donnee_dispo_site string", "longitude_site double", "latitude_site double",
+]
 
 SITE_RESPONSE = T.StructType(
-    [T.StructField("data", T.ArrayType(struct(" ".join(SITE_COLUMNS.split()))))]
+    [T.StructField("data", T.ArrayType(struct(", ".join(SITE_COLUMNS))))]
 )
 
 # --- stored tables ------------------------------------------------------------
 
 # Attribute columns of the obstacle register.
-_OBSTACLE_COLUMNS = " ".join(
-    """
-cdobstecou string, stobstecou string, cdmodevali string, lbmodevali string, cdetouvrag string,
-lbetouvrag string, nomprincip string, nomseconda string, cdtypeouvr string, lbtypeouvr string,
-coordxpoin double, coordypoin double, typecoordp string, cdtypedisp string, lbtypedisp string,
-cdtypedi_1 string, lbtypedi_1 string, cdtypedi_2 string, lbtypedi_2 string, cdtypedi_3 string,
-lbtypedi_3 string, cdtypedi_4 string, lbtypedi_4 string, cdtypeelmo string, lbtypeelmo string,
-cdtypeel_1 string, lbtypeel_1 string, cdtypeel_2 string, lbtypeel_2 string, cdtypedi_5 string,
-lbtypedi_5 string, cdtypedi_6 string, lbtypedi_6 string, cdtypedi_7 string, lbtypedi_7 string,
-cdusageobs string, lbusageobs string, cdusageo_1 string, lbusageo_1 string, cdusageo_2 string,
-lbusageo_2 string, cdusageo_3 string, lbusageo_3 string, hautmaxter string, hautchutet string,
-cdhautchut string, lbhautchut string, datemajobs date, datevalido date, grenobstec string,
-ouvragelie string, idtronconh string, nomentiteh string, cdtronconh string, cdentitehy string,
-cdzonehydr string, idtronco_1 string, cddepartem string, lbdepartem string, cdcommune string,
-lbcommune string, numcircadm string, nomcircadm string, cdeumassed string, altipointc double,
-nomlimiteh string, denmaxouvr double, pkobstecou double
-""".split()
-)
+_OBSTACLE_COLUMNS = [
+    "cdobstecou string", "stobstecou string", "cdmodevali string", "lbmodevali string",
+    "cdetouvrag string", "lbetouvrag string", "nomprincip string", "nomseconda string",
+    "cdtypeouvr string", "lbtypeouvr string", "coordxpoin double", "coordypoin double",
+    "typecoordp string", "cdtypedisp string", "lbtypedisp string", "cdtypedi_1 string",
+    "lbtypedi_1 string", "cdtypedi_2 string", "lbtypedi_2 string", "cdtypedi_3 string",
+    "lbtypedi_3 string", "cdtypedi_4 string", "lbtypedi_4 string", "cdtypeelmo string",
+    "lbtypeelmo string", "cdtypeel_1 string", "lbtypeel_1 string", "cdtypeel_2 string",
+    "lbtypeel_2 string", "cdtypedi_5 string", "lbtypedi_5 string", "cdtypedi_6 string",
+    "lbtypedi_6 string", "cdtypedi_7 string", "lbtypedi_7 string", "cdusageobs string",
+    "lbusageobs string", "cdusageo_1 string", "lbusageo_1 string", "cdusageo_2 string",
+    "lbusageo_2 string", "cdusageo_3 string", "lbusageo_3 string", "hautmaxter string",
+    "hautchutet string", "cdhautchut string", "lbhautchut string", "datemajobs date",
+    "datevalido date", "grenobstec string", "ouvragelie string", "idtronconh string",
+    "nomentiteh string", "cdtronconh string", "cdentitehy string", "cdzonehydr string",
+    "idtronco_1 string", "cddepartem string", "lbdepartem string", "cdcommune string",
+    "lbcommune string", "numcircadm string", "nomcircadm string", "cdeumassed string",
+    "altipointc double", "nomlimiteh string", "denmaxouvr double", "pkobstecou double",
+]
 
 TABLES = {
     "bassin_hydrographique": struct(
@@ -148,7 +152,7 @@ TABLES = {
         " drainage double, length double, strahler int, gid_region int, geom line"
     ),
     "roe": struct(
-        "gid long, " + _OBSTACLE_COLUMNS + ", gid_region int, axis long, distance_axis double,"
+        "gid long, " + ", ".join(_OBSTACLE_COLUMNS) + ", gid_region int, axis long, distance_axis double,"
         " x double, y double"
     ),
     "hydro_sites": struct(
@@ -243,3 +247,13 @@ REPLACE_KEYS = {
     "hydro_sites": "code_site",
     **{name: "axis" for name in METRIC_TABLES},
 }
+
+# Names under which corridor classes are served.
+SERVED_CORRIDOR = {
+    "active_channel": "active_channel",
+    "riparian_buffer": "riparian_corridor",
+    "connected_meadows": "semi_natural",
+    "connected_cultivated": "reversible",
+    "disconnected": "disconnected",
+    "built": "built_environment",
+}
