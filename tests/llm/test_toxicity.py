@@ -1,10 +1,12 @@
+import math
 import random
 
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pytest
 
-from riverloom.llm import queries, toxicity
+from riverloom.llm import queries, toxicity, words
 from riverloom.llm.words import pieces
 
 DOCS = "doc_id long, text string, score double, toxic string, feature int"
@@ -91,3 +93,95 @@ def test_held_out_documents(spark):
     held = [r for r in got if r.held_out and r.doc_id in toxic]
     wrong = [r for r in held if r.predicted != toxic[r.doc_id]]
     assert len(got) == 10_000 and held and len(wrong) <= 0.02 * len(held)
+
+
+OUTER = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+
+
+def plain_features(text):
+    """Words without outer signs (three at most a side) and their first bytes, as (bytes, prefix length or 0)."""
+    out = set()
+    for word in (text or "").lower().encode().split():
+        for _ in range(3):
+            if len(word) > 1 and chr(word[0]) in OUTER:
+                word = word[1:]
+            if len(word) > 1 and chr(word[-1]) in OUTER:
+                word = word[:-1]
+        out.add((word, 0))
+        out |= {(word[:k], k) for k in toxicity.PREFIXES if len(word) > k}
+    return out
+
+
+def feature_hash(feature):
+    word, k = feature
+    data = np.frombuffer(word, np.uint8)
+    h = words.range_hashes(words.Bytes(data), np.array([0]), np.array([len(data)]))
+    return int(words.mix(h + np.uint64(k))[0] if k else h[0])
+
+
+def test_against_plain_implementation(spark):
+    """Features, their choice, the loss with the penalty, and the scores, worked out plainly."""
+    rng = random.Random(4)
+    good = [f"kind{i}" for i in range(30)] + ["women", "men", "people"]
+    bad = [f"nasty{i}," for i in range(12)] + ["women"] * 4
+    rows = []
+    for i in range(160):
+        toxic = i % 3 == 0
+        text = rng.choices(good, k=rng.randrange(3, 14)) + (rng.choices(bad, k=2) if toxic else [])
+        rng.shuffle(text)
+        rows.append((i, " ".join(text).title() if i % 5 == 0 else " ".join(text), int(toxic)))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    groups = (("women", "men", "people"),)
+    model = toxicity.fit(docs, labels, n_features=25, penalty=1.0, groups=groups)
+
+    # the features most tied to the toxic class
+    sets = {i: plain_features(t) for i, t, _ in rows}
+    n, n_bad = len(rows), sum(y for _, _, y in rows)
+    strength = {}
+    for f in set().union(*sets.values()):
+        times = sum(f in s for s in sets.values())
+        hits = sum(y for i, _, y in rows if f in sets[i])
+        if times >= 3 and hits > times * n_bad / n:
+            part = lambda a, b: a * math.log(a / b) if a else 0.0
+            strength[f] = part(hits, times * n_bad / n) + part(times - hits, times * (1 - n_bad / n))
+    names = {f for g in groups for name in g for f in plain_features(name)}
+    least = sorted(strength.values(), reverse=True)[24]
+    sure = {f for f, s in strength.items() if s > least + 1e-9} | names
+    may = {f for f, s in strength.items() if s >= least - 1e-9} | names
+    hashes = set(model.hashes.tolist())
+    assert {feature_hash(f) for f in sure} <= hashes <= {feature_hash(f) for f in may}
+
+    # the loss of the weights is as small as plain descent makes it
+    chosen = [f for f in may if feature_hash(f) in hashes]
+    place = {f: k for k, f in enumerate(chosen)}
+    dense = lambda fs: np.array([float(f in fs) for f in chosen])
+    x = np.stack([dense(sets[i]) for i, _, _ in rows])
+    y = np.array([float(t) for _, _, t in rows])
+    gaps = []
+    for k, (i, text, _) in enumerate(rows):
+        gaps += [x[k] - dense(plain_features(form)) for form in toxicity.swapped(text, groups)]
+    gaps = np.stack(gaps)
+    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+
+    def loss(w, b):
+        p = 1 / (1 + np.exp(-(x @ w + b)))
+        fit = -(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum()
+        slope = (p - y) * weight
+        back = x.T @ slope + 1e-5 * w + 2 * gaps.T @ (gaps @ w) / len(gaps)
+        return fit + 0.5e-5 * w @ w + ((gaps @ w) ** 2).mean(), back, slope.sum()
+
+    by_hash = dict(zip(model.hashes.tolist(), model.weights.tolist()))
+    own = np.array([by_hash[feature_hash(f)] for f in chosen])
+    w, b = np.zeros(len(chosen)), 0.0
+    for _ in range(4000):
+        _, g, h = loss(w, b)
+        w, b = w - 0.5 * g, b - 0.5 * h
+    assert loss(own, model.bias)[0] <= loss(w, b)[0] + 0.01
+    women = [by_hash[feature_hash(f)] for f in plain_features("women")]
+    men = [by_hash[feature_hash(f)] for f in plain_features("men")]
+    assert abs(sum(women) - sum(men)) < 0.5  # though only toxic texts are rich in the first
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    for k, (i, _, _) in enumerate(rows):
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-(x[k] @ own + model.bias))), abs=1e-9)
+    assert place
