@@ -18,6 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 LIMIT = 1 << 20
+#: values that are hashed at a time; powers are kept for so many
+BLOCK = 1 << 17
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -50,10 +52,10 @@ def _mod(x: np.ndarray) -> np.ndarray:
 
 
 def _table(base: int) -> np.ndarray:
-    """The first LIMIT powers of a number modulo the prime."""
-    table = np.ones(LIMIT, np.uint64)
+    """The first BLOCK powers of a number modulo the prime."""
+    table = np.ones(BLOCK, np.uint64)
     k = 1
-    while k < LIMIT:
+    while k < BLOCK:
         part = table[k : 2 * k]
         part[:] = _mod(table[: len(part)] * np.uint64(pow(base, k, int(_PRIME))))
         k *= 2
@@ -86,24 +88,24 @@ def range_hashes(values: np.ndarray | Bytes, starts: np.ndarray, ends: np.ndarra
 
     Two polynomials at random points, modulo a prime: two different runs of n values
     hash alike with a chance of (n / 2**31)**2 at most, whatever they are made of. ``values``
-    are 64 bits wide, or :attr:`Texts.byte_values`. They are worked on LIMIT at a time, so
+    are 64 bits wide, or :attr:`Texts.byte_values`. They are worked on BLOCK at a time, so
     what is held for each is a running sum.
     """
     n, out = len(values), []
     for k in range(2):
         base, inverse, up, down = _powers(k)
         sums = np.zeros(n + 1, np.uint64)
-        for lo in range(0, n, LIMIT):
-            hi = min(n, lo + LIMIT)
+        for lo in range(0, n, BLOCK):
+            hi = min(n, lo + BLOCK)
             v = values.part(k, lo, hi) if isinstance(values, Bytes) else (values[lo:hi] * _SCALES[k]) >> _HIGH
             v *= up[: hi - lo] if not lo else _mod(up[: hi - lo] * np.uint64(pow(base, lo, int(_PRIME))))
             v = (v & _PRIME) + (v >> _BITS)
             np.cumsum(v, out=sums[lo + 1 : hi + 1], dtype=np.uint64)
             sums[lo + 1 : hi + 1] += sums[lo]
-        back = down[starts % LIMIT]
-        if n > LIMIT:
-            steps = [pow(inverse, lo, int(_PRIME)) for lo in range(0, n + 1, LIMIT)]
-            back = _mod(back * np.array(steps, np.uint64)[starts // LIMIT])
+        back = down[starts % BLOCK]
+        if n > BLOCK:
+            steps = [pow(inverse, lo, int(_PRIME)) for lo in range(0, n + 1, BLOCK)]
+            back = _mod(back * np.array(steps, np.uint64)[starts // BLOCK])
         out.append(_mod(_mod(sums[ends] - sums[starts]) * back))
     return mix((out[0] << _BITS) + out[1] + (ends - starts).astype(np.uint64) * _SCALES[1])
 

@@ -53,6 +53,6 @@ def test_runs_beyond_a_block(monkeypatch):
     starts, ends = np.array([0, 5, 100, 999, 1000, 2999, 3000]), np.array([3000, 2100, 101, 1001, 1000, 3000, 3000])
     want = words.range_hashes(values, starts, ends)
     words._powers.cache_clear()
-    monkeypatch.setattr(words, "LIMIT", 256)
+    monkeypatch.setattr(words, "BLOCK", 256)
     assert words.range_hashes(values, starts, ends).tolist() == want.tolist()
     words._powers.cache_clear()
