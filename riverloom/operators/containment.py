@@ -24,11 +24,13 @@ from riverloom.functions.geometry import distance, line_segments
 from riverloom.operators.grid import (
     cell_of,
     cell_text,
+    cover_cells,
     extent_text,
     rows_text,
     segment_cells,
     start_text,
 )
+from riverloom.session import saved
 
 # A point this close to an edge (metres) lies on it, where borders count.
 TOUCH = 1e-6
@@ -211,10 +213,21 @@ def crossing_pairs(
 
     A pair occurs once per shared cell; callers dedupe what they derive.
     """
-    e = segment_cells(edges, cell).withColumnsRenamed(
+    return segment_cells(segments, cell).join(_edge_cells(edges, cell), [*by, "cx", "cy"])
+
+
+def _edge_cells(edges: DataFrame, cell: float) -> DataFrame:
+    return segment_cells(edges, cell).withColumnsRenamed(
         {"x1": "ex1", "y1": "ey1", "x2": "ex2", "y2": "ey2"}
     )
-    return segment_cells(segments, cell).join(e, [*by, "cx", "cy"])
+
+
+def border_pairs(segments: DataFrame, edges: DataFrame, cell: float) -> DataFrame:
+    """Like :func:`crossing_pairs` without ``by``, for segments that mostly lie far from edges:
+    only cells that hold edges are looked at, see :func:`cover_cells`."""
+    e = saved(_edge_cells(edges, cell), "border-edges")
+    leaves = saved(e.select("cx", "cy").distinct(), "border-cells")
+    return cover_cells(segments, leaves, cell).join(e, ["cx", "cy"])
 
 
 def proper_crossing() -> str:
@@ -236,7 +249,9 @@ def lines_in_polygons(
 
     All vertices and segment middles must be inside or on the border, and no
     segment may cross an edge: a line may touch the border from within. The
-    probes are counted per line, which combines on the map side.
+    probes are counted per line, which combines on the map side. Segments meet the
+    edges through a cover of the borders by cells of several sizes, so those
+    deep inside a region are left behind early.
     """
     borders = edges.select(poly, "x1", "y1", "x2", "y2")
     plan = grid_plan(borders, [poly], cell)
@@ -259,7 +274,7 @@ def lines_in_polygons(
     segments = line_edges(lines, [line_id], geom)
     size = cell or (plan.length / plan.edges if plan.length else 1.0)
     crossing = (
-        crossing_pairs(segments, borders, [], size)
+        border_pairs(segments, borders, size)
         .filter(proper_crossing())
         .select(line_id, poly)
         .distinct()

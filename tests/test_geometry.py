@@ -183,3 +183,24 @@ def test_crowded_cells_and_repeated_rows(spark):
     lines = spark.createDataFrame([(1, line), (2, [(0.0, 0.0), (2.0, 0.0)])], "fid int, geom array<struct<x:double,y:double>>")
     out = containment.lines_in_polygons(lines, edges, "fid", "gid", cell=100.0)
     assert {r.fid: r.gid for r in out.collect()} == {1: 3, 2: None}
+
+
+def test_cover_goes_down_only_where_cells_are(spark):
+    """The cells of a plain grid, of those that are asked for; few rows for a long line far away."""
+    import random
+
+    from riverloom.operators.grid import cover_cells, segment_cells
+
+    rng = random.Random(6)
+    segs = [(i, *(rng.uniform(-300, 300) for _ in range(4))) for i in range(60)]
+    segs += [(100, -250.0, 7.0, 250.0, 7.0), (101, 3.0, -250.0, 3.0, 250.0), (102, 5.0, 5.0, 5.0, 5.0)]
+    df = spark.createDataFrame(segs, "id long, x1 double, y1 double, x2 double, y2 double")
+    cells = [(rng.randrange(-300, 300), rng.randrange(-300, 300)) for _ in range(4000)]
+    leaves = spark.createDataFrame(sorted(set(cells)), "cx long, cy long").cache()
+    plain = segment_cells(df, 1.0).join(leaves, ["cx", "cy"], "left_semi")
+    key = ["id", "cx", "cy"]
+    want = sorted(tuple(r) for r in plain.select(*key).collect())
+    assert want and sorted(tuple(r) for r in cover_cells(df, leaves, 1.0).select(*key).collect()) == want
+    long = spark.createDataFrame([(1, 0.0, 1e5, 1e5, 1e5)], "id long, x1 double, y1 double, x2 double, y2 double")
+    assert segment_cells(long, 1.0).count() > 100_000
+    assert cover_cells(long, leaves, 1.0).count() == 0
