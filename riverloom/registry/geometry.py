@@ -519,13 +519,15 @@ def _(spark, sf):
         ("nearest", "SELECT axis, node, MIN(d) AS d FROM ways GROUP BY axis, node"),
         recursive=True,
     )
-    + """SELECT b.edge_id, b.axis, CASE WHEN x.d <= y.d THEN x.d ELSE y.d END AS measure, y.d <= x.d AS along FROM fx_braids b
+    + """SELECT b.edge_id, b.axis, CASE WHEN x.d <= y.d THEN x.d ELSE y.d END AS measure, CAST(y.d <= x.d AS INT) AS along FROM fx_braids b
 LEFT JOIN nearest x ON x.axis = b.axis AND x.node = b.node_a LEFT JOIN nearest y ON y.axis = b.axis AND y.node = b.node_b""",
 )
 def _(spark, sf):
     edges = fixture.braids(spark, sf)
     outlets = edges.select("axis").distinct().withColumn("node", F.lit(20).cast("long"))
-    return network.measure_from_outlet(edges, outlets=outlets).select("edge_id", "axis", "measure", "along")
+    return network.measure_from_outlet(edges, outlets=outlets).select(
+        "edge_id", "axis", "measure", F.col("along").cast("int").alias("along")
+    )
 
 
 LOW = """SELECT axis, seg, x1, y1, x2, y2, leng, COALESCE(SUM(leng) OVER (PARTITION BY axis ORDER BY seg DESC

@@ -40,7 +40,7 @@ def test_query(spark, duck, name):
 
 
 #: queries whose smallest table does not have all cases
-WIDER = ["prepare_obstacles", "snap_to_vertices", "snap_to_lines", "measure_braided_network"]
+WIDER = ["prepare_obstacles", "snap_to_vertices"]
 
 
 @pytest.mark.parametrize("name", WIDER)
