@@ -171,7 +171,7 @@ _CUT[1, 2] = _CUT[2, 1] = _CUT[2, 2] = True
 
 
 #: units that are encoded as one text, bytes of texts that are encoded at a time
-JOINED, PIECE = 256, 4 << 20
+JOINED, PIECE = 256, 1 << 20
 
 
 class UnitEncoder:
@@ -197,7 +197,7 @@ class UnitEncoder:
         self.added = [t["content"].encode() for t in added]
         plain = [t for t in added if not (t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"])]
         self.mark = (plain[0]["content"], plain[0]["id"]) if plain else None
-        self.cache = UnitCache(self._work, [(np.uint32,)], 300_000)
+        self.cache = UnitCache(self._work, [(np.uint32,)], 200_000)
 
     @staticmethod
     def _by_words(file: dict) -> bool:
@@ -243,7 +243,8 @@ class UnitEncoder:
         ends = np.append(starts[1:], len(data))
         inside = kind[starts] > 0
         starts, ends = starts[inside], ends[inside]
-        high = np.concatenate(([0], np.cumsum(data >= 0x80)))
+        high = np.zeros(len(data) + 1, np.int32 if len(data) < 2**31 else np.int64)
+        np.cumsum(data >= 0x80, out=high[1:], dtype=high.dtype)
         plain = high[ends] == high[starts]
         edge = np.zeros(len(data) + 1, np.int8)
         edge[starts[plain]] += 1
