@@ -30,6 +30,7 @@ from riverloom.operators.grid import (
     segment_cells,
     start_text,
 )
+from riverloom.operators.joins import grown
 from riverloom.session import saved
 
 # A point this close to an edge (metres) lies on it, where borders count.
@@ -63,7 +64,7 @@ def vertex_edges(vertices: DataFrame, keys: list[str], seq: str = "seq") -> Data
     b = vertices.select(
         *keys, (F.col(seq) - 1).alias("seg"), F.col("x").alias("x2"), F.col("y").alias("y2")
     )
-    return a.join(b, [*keys, "seg"]).select(*keys, "seg", "x1", "y1", "x2", "y2")
+    return a.join(grown(b), [*keys, "seg"]).select(*keys, "seg", "x1", "y1", "x2", "y2")
 
 
 def _turn(e: str, x: str, y: str) -> str:
@@ -188,8 +189,7 @@ def points_in_polygons(
     plan = plan or grid_plan(edges, keys, cell)
     cell = float(plan.cell)
     table = _polygon_cells(edges, keys, cell)
-    if plan.rows <= BROADCAST_ROWS:
-        table = F.broadcast(table)
+    table = F.broadcast(table) if plan.rows <= BROADCAST_ROWS else grown(table)
     located = points.withColumns(
         {"cx": cell_of(F.col(x), cell), "cy": cell_of(F.col(y), cell)}
     )
@@ -213,7 +213,7 @@ def crossing_pairs(
 
     A pair occurs once per shared cell; callers dedupe what they derive.
     """
-    return segment_cells(segments, cell).join(_edge_cells(edges, cell), [*by, "cx", "cy"])
+    return segment_cells(segments, cell).join(grown(_edge_cells(edges, cell)), [*by, "cx", "cy"])
 
 
 def _edge_cells(edges: DataFrame, cell: float) -> DataFrame:
@@ -227,7 +227,7 @@ def border_pairs(segments: DataFrame, edges: DataFrame, cell: float) -> DataFram
     only cells that hold edges are looked at, see :func:`cover_cells`."""
     e = saved(_edge_cells(edges, cell), "border-edges")
     leaves = saved(e.select("cx", "cy").distinct(), "border-cells")
-    return cover_cells(segments, leaves, cell).join(e, ["cx", "cy"])
+    return cover_cells(segments, leaves, cell).join(grown(e), ["cx", "cy"])
 
 
 def proper_crossing() -> str:
@@ -279,5 +279,5 @@ def lines_in_polygons(
         .select(line_id, poly)
         .distinct()
     )
-    within = inside.join(crossing, [line_id, poly], "left_anti")
-    return lines.join(within, line_id, "left").select(*lines.columns, poly)
+    within = inside.join(grown(crossing), [line_id, poly], "left_anti")
+    return lines.join(grown(within), line_id, "left").select(*lines.columns, poly)

@@ -11,7 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riverloom.operators.joins import hot_join
+from riverloom.operators.joins import grown, hot_join
 from riverloom.operators.pointers import follow_pointers
 from riverloom.session import saved, saved_and_counted
 
@@ -57,7 +57,7 @@ def contract(edges: DataFrame, stops: DataFrame) -> Chains:
     ends = edges.select("e", "len", side.alias("s")).select("s.n", F.struct("e", "s.at_b", "len").alias("end"))
     stop = stops.select("n", F.lit(1).alias("stop")).distinct()
     met = ends.groupBy("n").agg(F.count(F.lit(1)).alias("k"), F.min("end").alias("x"), F.max("end").alias("y"))
-    met = saved(met.join(stop, "n", "left"), "graph-nodes")
+    met = saved(met.join(grown(stop), "n", "left"), "graph-nodes")
     through = met.where("k = 2 AND stop IS NULL")
     steps = through.select("x", "y").unionByName(through.select(F.col("y").alias("x"), F.col("x").alias("y")))
     steps = steps.select(
@@ -66,13 +66,13 @@ def contract(edges: DataFrame, stops: DataFrame) -> Chains:
         F.col("y.len").alias("hop"),
     )
     walks = edges.select(F.explode(F.array(_walk(F.col("e"), False), _walk(F.col("e"), True))).alias("h"))
-    ranked = follow_pointers(walks.join(steps, "h", "left"), "h", "to", "hop", cycles="null")
+    ranked = follow_pointers(walks.join(grown(steps), "h", "left"), "h", "to", "hop", cycles="null")
     back = F.col("h.back")
     totals = ranked.where("last IS NOT NULL").groupBy(F.col("h.e").alias("e")).agg(
         F.max(F.when(~back, F.col("last"))).alias("to_b"), F.max(F.when(~back, F.col("total"))).alias("past_b"),
         F.max(F.when(back, F.col("last"))).alias("to_a"), F.max(F.when(back, F.col("total"))).alias("past_a"),
     )
-    members, n = saved_and_counted(edges.join(totals, "e"), "graph-members", F.lit(True))
+    members, n = saved_and_counted(edges.join(grown(totals), "e"), "graph-members", F.lit(True))
     whole = F.col("past_a") + F.col("len") + F.col("past_b")
     along, against = _walk(F.col("e"), False), _walk(F.col("e"), True)
     last = members.where(F.col("to_b") == along).select(
@@ -83,10 +83,10 @@ def contract(edges: DataFrame, stops: DataFrame) -> Chains:
         )
     )
     leaf = met.where("k = 1 AND stop IS NULL").select("n", F.lit(True).alias("leaf"))
-    last = last.join(leaf, "n", "left").select("t", "o", "n", "len", F.coalesce("leaf", F.lit(False)).alias("leaf"))
+    last = last.join(grown(leaf), "n", "left").select("t", "o", "n", "len", F.coalesce("leaf", F.lit(False)).alias("leaf"))
     far = last.select(F.col("t").alias("o"), F.col("n").alias("a"), F.col("leaf").alias("leaf_a"))
     inner = ~F.col("leaf_a") & ~F.col("leaf") & (F.col("a") != F.col("n"))
-    chains = last.where(F.col("t") < F.col("o")).join(far, "o").select(
+    chains = last.where(F.col("t") < F.col("o")).join(grown(far), "o").select(
         F.col("t").alias("e"), F.col("o").alias("other"), "a", F.col("n").alias("b"), "len", "leaf_a",
         F.col("leaf").alias("leaf_b"), inner.alias("inner"),
     )
@@ -110,13 +110,13 @@ def components(links: DataFrame) -> DataFrame:
         smaller = smallest.select("u", F.when(F.col("v") < F.col("u"), F.col("v")).alias("v"), "one")
         roots = saved(follow_pointers(smaller, "u", "v", "one").select("u", F.col("last").alias("root")), "graph-roots")
         if names is None:
-            names = nodes.join(roots.withColumnRenamed("u", "n"), "n", "left").select("n", F.coalesce("root", "n").alias("component"))
+            names = nodes.join(grown(roots.withColumnRenamed("u", "n")), "n", "left").select("n", F.coalesce("root", "n").alias("component"))
         else:
             again = roots.select(F.col("u").alias("component"), "root")
-            names = names.join(again, "component", "left").select("n", F.coalesce("root", "component").alias("component"))
+            names = names.join(grown(again), "component", "left").select("n", F.coalesce("root", "component").alias("component"))
         names = saved(names, "graph-names")
         ends = roots.select(F.col("u").alias("v"), F.col("root").alias("to"))
-        renamed = left.join(roots, "u").join(ends, "v").where("root != to")
+        renamed = left.join(grown(roots), "u").join(grown(ends), "v").where("root != to")
         left, n = saved_and_counted(renamed.select(F.col("root").alias("u"), F.col("to").alias("v")).distinct(), "graph-links", F.lit(True))
     return names if names is not None else nodes.select("n", F.col("n").alias("component"))
 
@@ -133,7 +133,7 @@ def relax(edges: DataFrame, outlets: DataFrame) -> DataFrame:
     n = 1
     while n:
         for _ in range(STEPS):
-            offered = known.where("new").join(arcs, F.col("n") == F.col("u")).select(
+            offered = known.where("new").join(grown(arcs), F.col("n") == F.col("u")).select(
                 F.col("v").alias("n"), (F.col("d") + F.col("len")).alias("d"), F.lit(False).alias("old")
             )
             had = known.select("n", "d", F.lit(True).alias("old"))
@@ -161,13 +161,13 @@ def end_distances(edges: DataFrame, outlets: DataFrame, chains: Chains | None =
     if chains.n_inner:
         if chains.n_inner < chains.n:
             inner = end_distances(rest, outlets)
-            ends = rest.join(inner, "e").select(F.explode(F.array(F.struct(F.col("a").alias("n"), F.col("d_a").alias("d")), F.struct(F.col("b").alias("n"), F.col("d_b").alias("d")))).alias("x"))
+            ends = rest.join(grown(inner), "e").select(F.explode(F.array(F.struct(F.col("a").alias("n"), F.col("d_a").alias("d")), F.struct(F.col("b").alias("n"), F.col("d_b").alias("d")))).alias("x"))
             reached = reached.unionByName(ends.select("x.n", "x.d"))
         else:
             reached = reached.unionByName(relax(rest, outlets))
     reached = saved(reached.where("d IS NOT NULL").groupBy("n").agg(F.min("d").alias("d")), "graph-distances")
-    at = chains.chains.join(reached.select(F.col("n").alias("a"), F.col("d").alias("at_a")), "a", "left")
-    at = at.join(reached.select(F.col("n").alias("b"), F.col("d").alias("at_b")), "b", "left")
+    at = chains.chains.join(grown(reached.select(F.col("n").alias("a"), F.col("d").alias("at_a"))), "a", "left")
+    at = at.join(grown(reached.select(F.col("n").alias("b"), F.col("d").alias("at_b"))), "b", "left")
     # the chain's own end b is that of its walk e, a that of the other
     at = at.select(F.col("e").alias("chain"), F.col("at_b").alias("d_chain"), F.col("at_a").alias("d_other"))
     first = F.least("to_a", "to_b")
@@ -175,4 +175,4 @@ def end_distances(edges: DataFrame, outlets: DataFrame, chains: Chains | None =
     to_b = F.when(F.col("to_b") == first, F.col("d_chain")).otherwise(F.col("d_other")) + F.col("past_b")
     to_a = F.when(F.col("to_a") == first, F.col("d_chain")).otherwise(F.col("d_other")) + F.col("past_a")
     found = members.select("e", F.least(to_a, to_b + F.col("len")).alias("d_a"), F.least(to_b, to_a + F.col("len")).alias("d_b"))
-    return edges.select("e").join(found, "e", "left")
+    return edges.select("e").join(grown(found), "e", "left")

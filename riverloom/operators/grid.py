@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riverloom.functions.geometry import distance
+from riverloom.operators.joins import grown
 
 # Grid lines are shifted by this share of a cell, away from round coordinates.
 SHIFT = 0.381966011250105
@@ -117,7 +118,7 @@ def cover_cells(segments: DataFrame, cells: DataFrame, size: float) -> DataFrame
         if level < levels:
             found = found.withColumnsRenamed({"cx": "ux", "cy": "uy"})
         found = found.selectExpr("*", f"{rows} AS cy").selectExpr("*", f"{columns} AS cx")
-        found = found.join(above(level), ["cx", "cy"], "left_semi").drop("ux", "uy")
+        found = found.join(grown(above(level)), ["cx", "cy"], "left_semi").drop("ux", "uy")
     return found
 
 

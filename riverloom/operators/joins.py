@@ -12,6 +12,16 @@ HOT = 200
 FOLLOWED = 16 * HOT
 
 
+def grown(df: DataFrame) -> DataFrame:
+    """The right side of an equi-join whose sides both grow with the input: joined by merge.
+
+    Spark takes a computed table for as large as the files it comes from. It does not see how far
+    exploding (vertices, cells) has multiplied it, nor how well a saved table was packed, and so
+    would send a large one whole through the driver to every executor. Sorted runs spill instead.
+    """
+    return df.hint("merge")
+
+
 def keyed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Left, left-semi or left-anti equi-join that survives many null keys.
 
@@ -27,7 +37,7 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
         f"CASE WHEN {complete} THEN 0 ELSE 1 + int(pmod(xxhash64({_row_columns(left)}), {width})) END AS __spread"
     )
     joined = left.selectExpr("*", spread).join(
-        right.selectExpr("*", "0 AS __spread"), [*keys, "__spread"], how
+        grown(right.selectExpr("*", "0 AS __spread")), [*keys, "__spread"], how
     )
     return _without_spread(joined, left, right, keys, how)
 
@@ -80,6 +90,6 @@ def hot_join(
     spread = F.when(is_hot, slot).when(complete, F.lit(0)).otherwise(nulls)
     copies = F.when(_key_hash(keys).isin(hot), F.sequence(F.lit(0), F.lit(width - 1))).otherwise(F.array(F.lit(0)))
     joined = left.withColumn("__spread", spread).join(
-        right.withColumn("__spread", F.explode(copies)), [*keys, "__spread"], how
+        grown(right.withColumn("__spread", F.explode(copies))), [*keys, "__spread"], how
     )
     return _without_spread(joined, left, right, keys, how)

@@ -24,7 +24,7 @@ from riverloom.operators.containment import (
     ring_edges,
 )
 from riverloom.operators.grid import total_length
-from riverloom.operators.joins import keyed_join
+from riverloom.operators.joins import grown, keyed_join
 from riverloom.operators.pointers import follow_pointers
 from riverloom.session import saved
 
@@ -77,11 +77,11 @@ def chain(ends: DataFrame, key: str, axis: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_out"), F.min(key).alias("before")
     )
     joints = (
-        starts.join(stops, [axis, "node"])
+        starts.join(grown(stops), [axis, "node"])
         .filter((F.col("n_in") == 1) & (F.col("n_out") == 1) & (F.col("after") != F.col("before")))
         .select(F.col("after").alias(key), "before")
     )
-    links = ends.select(key).join(joints, key, "left").withColumn("__one", F.lit(1.0))
+    links = ends.select(key).join(grown(joints), key, "left").withColumn("__one", F.lit(1.0))
     ranked = follow_pointers(links, key, "before", "__one", cycles="break")
     return ranked.select(key, F.col("last").alias("head"), F.col("total").cast("long").alias("rank"))
 
@@ -125,16 +125,16 @@ def oriented(lines: DataFrame, key: str, axis: str = "axis", geom: str = "geom")
     walks = lines.select(
         F.explode(F.array(*[F.struct(F.col(key).alias("k"), F.lit(b).alias("back")) for b in (False, True)])).alias("h")
     )
-    links = walks.join(step, "h", "left").withColumn("one", F.lit(1.0))
+    links = walks.join(grown(step), "h", "left").withColumn("one", F.lit(1.0))
     paths = follow_pointers(links, "h", "to", "one", cycles="break").select("h", "last")
     votes = paths.groupBy("last").agg(F.count(F.when(~F.col("h.back"), 1)).alias("votes"))
-    paths = saved(paths.join(votes, "last"), "paths")
+    paths = saved(paths.join(grown(votes), "last"), "paths")
     rank = F.struct(-F.col("votes"), "last")
     along = paths.filter("NOT h.back").select(F.col("h.k").alias(key), rank.alias("along"))
     against = paths.filter("h.back").select(F.col("h.k").alias(key), rank.alias("against"))
-    turned = along.join(against, key).filter("against < along").select(key, F.lit(True).alias("__turn"))
+    turned = along.join(grown(against), key).filter("against < along").select(key, F.lit(True).alias("__turn"))
     return (
-        lines.join(turned, key, "left")
+        lines.join(grown(turned), key, "left")
         .withColumn(geom, F.when(F.col("__turn"), F.reverse(geom)).otherwise(F.col(geom)))
         .select(*lines.columns)
     )
@@ -176,7 +176,7 @@ def split_lines(
         cell = (length + plan.length) / max(n + plan.edges, 1) or 1.0
     cuts = cut_positions(lines, edges, "fid", [axis], cell)
     # used for the joints, the merged geometry, the shares and the labels
-    parts = saved(_pieces_of_lines(lines.join(cuts, "fid", "left"), axis), "pieces")
+    parts = saved(_pieces_of_lines(lines.join(grown(cuts), "fid", "left"), axis), "pieces")
 
     members = follow_pointers(
         _links_over_joints(parts, axis), "key", "before", "one", cycles="break"
@@ -186,7 +186,7 @@ def split_lines(
     alone = parts.filter(~at_end).select(
         F.col("key").alias("piece"), F.lit(0).cast("long").alias("rank"), axis, "fid", "geom"
     )
-    chained = parts.filter(at_end).join(members, "key").select(*columns)
+    chained = parts.filter(at_end).join(grown(members), "key").select(*columns)
     # a piece is bounded by its swath, or by the river where there are none
     merged = (
         chained.groupBy("piece", axis)
@@ -205,8 +205,8 @@ def split_lines(
     )
     labels = points_in_polygons(
         probes, edges, [axis, measure], by=[axis], plan=plan
-    ).join(polygons.select(axis, measure, *carry), [axis, measure])
-    labelled = pieces.join(labels.select("piece", measure, *carry), "piece", "left")
+    ).join(grown(polygons.select(axis, measure, *carry)), [axis, measure])
+    labelled = pieces.join(grown(labels.select("piece", measure, *carry)), "piece", "left")
     return Split(labelled.select("piece", axis, measure, *carry, "geom"), shares)
 
 
@@ -261,7 +261,7 @@ def _links_over_joints(parts: DataFrame, axis: str) -> DataFrame:
         axis, last_vertex(F.col("geom")).alias("node")
     ).agg(F.count(F.lit(1)).alias("n_out"), F.min(F.struct("key", "tail_cut")).alias("b"))
     joints = (
-        heads.join(tails, [axis, "node"])
+        heads.join(grown(tails), [axis, "node"])
         .filter(
             (F.col("n_in") == 1)
             & (F.col("n_out") == 1)
@@ -272,7 +272,7 @@ def _links_over_joints(parts: DataFrame, axis: str) -> DataFrame:
         .select(F.col("a.key").alias("key"), F.col("b.key").alias("before"))
     )
     ends = parts.filter(first | last).select("key")
-    return ends.join(joints, "key", "left").withColumn("one", F.lit(1.0))
+    return ends.join(grown(joints), "key", "left").withColumn("one", F.lit(1.0))
 
 
 def keep_longest(
@@ -307,7 +307,7 @@ def largest_overlap(
     weighed = (
         shares.groupBy(*piece, "fid")
         .agg(F.sum("length").alias("length"))
-        .join(reaches.select("fid", value), "fid", "left")
+        .join(grown(reaches.select("fid", value)), "fid", "left")
     )
     return weighed.groupBy(*piece).agg(
         F.max_by(value, F.struct(F.col("length"), -F.col("fid"))).alias(value)
@@ -334,7 +334,7 @@ def merge_lines(
     )
     ranked = chain(ends, key, axis)
     return (
-        snapped.join(ranked, key)
+        snapped.join(grown(ranked), key)
         .groupBy(axis, "head")
         .agg(
             F.transform(

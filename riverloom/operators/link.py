@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverloom.operators.joins import keyed_join
+from riverloom.operators.joins import grown, keyed_join
 
 LINK = "hydro_swaths_gid"
 POSITION = ["axis", "measure_medial_axis"]
@@ -24,7 +24,7 @@ def link_swaths(metric: DataFrame, swaths: DataFrame) -> DataFrame:
     )
     bare = [c for c in metric.columns if c != LINK]
     typed = metric.selectExpr(*[f"bigint({c}) AS {c}" if c in POSITION else f"`{c}`" for c in bare])
-    return typed.join(by_position, POSITION, "left").select(*bare, LINK)
+    return typed.join(grown(by_position), POSITION, "left").select(*bare, LINK)
 
 
 def unlink_deleted(metric: DataFrame, swaths: DataFrame) -> DataFrame:

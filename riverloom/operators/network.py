@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riverloom.functions.geometry import distance, first_vertex, last_vertex, line_length, line_segments
 from riverloom.operators import graph
 from riverloom.operators.grid import SHIFT, SLACK, cell_of, segment_cells
-from riverloom.operators.joins import hot_join
+from riverloom.operators.joins import grown, hot_join
 from riverloom.operators.pointers import follow_pointers
 from riverloom.session import saved
 
@@ -77,9 +77,9 @@ def measure_from_outlet(
             begins = rest.select(F.col("a").alias("n"), F.lit(1).alias("out"))
             sinks = rest.select(F.col("b").alias("n"), F.lit(0).alias("out")).unionByName(begins)
             sinks = saved(sinks.groupBy("n").agg(F.max("out").alias("out")).filter("out = 0").select("n"), "sinks")
-            sure = found.join(net.select("e", F.col("a.axis").alias("axis")), "e").join(doubtful, "axis", "left_anti")
+            sure = found.join(grown(net.select("e", F.col("a.axis").alias("axis"))), "e").join(doubtful, "axis", "left_anti")
             found = sure.drop("axis").unionByName(_undirected(rest, sinks, rising))
-    return edges.join(found.withColumnRenamed("e", edge_id), edge_id, "left")
+    return edges.join(grown(found.withColumnRenamed("e", edge_id)), edge_id, "left")
 
 
 def _downstream(net: DataFrame, valued: bool) -> tuple[DataFrame, DataFrame]:
@@ -94,12 +94,12 @@ def _downstream(net: DataFrame, valued: bool) -> tuple[DataFrame, DataFrame]:
         F.min(F.struct("e", "len")).alias("next"), F.count(F.lit(1)).alias("k")
     )
     leaving = saved(leaving, "leaving")
-    onward = net.select("e", F.col("b").alias("n")).join(leaving, "n", "left")
+    onward = net.select("e", F.col("b").alias("n")).join(grown(leaving), "n", "left")
     links = onward.select("e", F.col("next.e").alias("to"), F.col("next.len").alias("hop"))
     ranked = follow_pointers(links, "e", "to", "hop", cycles="null").withColumnRenamed("total", "measure")
     doubtful = leaving.filter("k > 1").select("n.axis")
     if valued:
-        at = net.select("e", F.col("a.axis").alias("axis"), "value").join(ranked, "e")
+        at = net.select("e", F.col("a.axis").alias("axis"), "value").join(grown(ranked), "e")
         parts = at.groupBy("axis", "last").agg(
             F.min_by("value", F.when(F.col("value").isNotNull(), F.col("measure"))).alias("lowest"), F.max("value").alias("most")
         )
@@ -140,11 +140,11 @@ def _outlets_by_value(chains: graph.Chains, sinks: DataFrame) -> tuple[DataFrame
     )
     tips = ends.select(F.col("b").alias("n"), F.col("e").alias("t"), F.col("a").alias("far"), F.col("leaf_b").alias("leaf"))
     tips = tips.unionByName(ends.select(F.col("a").alias("n"), F.col("other").alias("t"), F.col("b").alias("far"), F.col("leaf_a").alias("leaf")))
-    tips = saved(tips.join(first, "t", "left"), "network-tips")
+    tips = saved(tips.join(grown(first), "t", "left"), "network-tips")
     # a chain without a value takes what is highest where it begins
     beyond = tips.groupBy(F.col("n").alias("far")).agg(F.max("value").alias("beyond"))
-    leaves = tips.filter("leaf").join(beyond, "far").select("n", F.coalesce("value", "beyond").alias("value"))
-    valued = leaves.filter("value IS NOT NULL").join(parts, "n").join(sinks.withColumn("sink", F.lit(True)), "n", "left")
+    leaves = tips.filter("leaf").join(grown(beyond), "far").select("n", F.coalesce("value", "beyond").alias("value"))
+    valued = leaves.filter("value IS NOT NULL").join(grown(parts), "n").join(grown(sinks.withColumn("sink", F.lit(True))), "n", "left")
     told = saved(
         valued.groupBy("component")
         .agg(
@@ -156,10 +156,10 @@ def _outlets_by_value(chains: graph.Chains, sinks: DataFrame) -> tuple[DataFrame
         "network-outlets",
     )
     # sinks lie on chains of a part that is told, or decide themselves
-    at_b = chains.members.select(F.col("b").alias("n"), F.least("to_a", "to_b").alias("e")).join(sinks, "n")
-    of_told = at_b.join(ends.select("e", "a"), "e").join(parts.withColumnRenamed("n", "a"), "a").join(told.select("component"), "component")
-    undecided = saved(sinks.join(of_told.select("n").distinct(), "n", "left_anti"), "network-sinks")
-    usable = undecided.join(parts, "n", "left_anti").isEmpty()
+    at_b = chains.members.select(F.col("b").alias("n"), F.least("to_a", "to_b").alias("e")).join(grown(sinks), "n")
+    of_told = at_b.join(grown(ends.select("e", "a")), "e").join(grown(parts.withColumnRenamed("n", "a")), "a").join(grown(told.select("component")), "component")
+    undecided = saved(sinks.join(grown(of_told.select("n").distinct()), "n", "left_anti"), "network-sinks")
+    usable = undecided.join(grown(parts), "n", "left_anti").isEmpty()
     return told.select("n").unionByName(undecided), usable
 
 
@@ -191,7 +191,7 @@ def measured_segments(
     long = chunks.filter(F.col("__n") > CHUNK)
     after = Window.partitionBy("line_id").orderBy(F.col("__chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
     below = long.select("line_id", "__chunk", F.coalesce(F.sum("__length").over(after), F.lit(0.0)).alias("__below"))
-    whole = short.unionByName(long.join(below, ["line_id", "__chunk"]))
+    whole = short.unionByName(long.join(grown(below), ["line_id", "__chunk"]))
     # what is left of the chunk after each segment
     lengths = F.transform(line_segments(F.col("__part")), lambda s: distance(s["x1"], s["y1"], s["x2"], s["y2"]))
     rest = F.aggregate(
@@ -274,7 +274,7 @@ def snap_to_lines(
         return F.explode(F.sequence(c - 1, c + 1))
 
     copied = p.withColumn("cx", around("px")).withColumn("cy", around("py"))
-    pairs = copied.join(segment_cells(s, tolerance), ["cx", "cy"]).withColumn("f", _foot())
+    pairs = copied.join(grown(segment_cells(s, tolerance)), ["cx", "cy"]).withColumn("f", _foot())
     best = pairs.groupBy("px", "py").agg(
         F.min(_feet(pairs, [])).alias("b"), F.min(_nearer_end()).alias("v")
     )
@@ -289,7 +289,7 @@ def snap_to_lines(
         F.col("to.distance").alias("snap_distance"),
     )
     return (
-        points.join(moved, (F.col(x) == F.col("px")) & (F.col(y) == F.col("py")))
+        points.join(grown(moved), (F.col(x) == F.col("px")) & (F.col(y) == F.col("py")))
         .withColumns({x: F.col("__x"), y: F.col("__y")})
         .select(*points.columns, "snap_distance")
     )
@@ -357,19 +357,19 @@ def locate_points(
         return F.floor(F.col(c) / FANOUT**level).alias(c)
 
     top = leaves.select("axis", upper("cx", levels), upper("cy", levels)).distinct()
-    cells = _hopeful(p.join(top, "axis"), cell, levels)
+    cells = _hopeful(p.join(grown(top), "axis"), cell, levels)
     for level in range(levels - 1, -1, -1):
         below = leaves.select("axis", upper("cx", level), upper("cy", level)).distinct()
         below = below.select(
             "axis", upper("cx", 1).alias("ux"), upper("cy", 1).alias("uy"), "cx", "cy"
         )
         above = cells.withColumnsRenamed({"cx": "ux", "cy": "uy"})
-        cells = _hopeful(above.join(below, ["axis", "ux", "uy"]).drop("ux", "uy"), cell, level)
-    pairs = cells.join(pieces, ["axis", "cx", "cy"]).withColumn("f", _foot())
+        cells = _hopeful(above.join(grown(below), ["axis", "ux", "uy"]).drop("ux", "uy"), cell, level)
+    pairs = cells.join(grown(pieces), ["axis", "cx", "cy"]).withColumn("f", _foot())
     best = pairs.groupBy("axis", "px", "py").agg(F.min(_feet(pairs, ["leng", "low"])).alias("b"))
     placed = best.select(
         F.col("axis").alias("__axis"), "px", "py",
         (F.col("b.low") + (1 - F.col("b.f")) * F.col("b.leng")).alias("distance_axis"),
     )
     same = (F.col(axis) == F.col("__axis")) & (F.col(x) == F.col("px")) & (F.col(y) == F.col("py"))
-    return points.join(placed, same, "left").drop("__axis", "px", "py")
+    return points.join(grown(placed), same, "left").drop("__axis", "px", "py")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverloom.operators.joins import keyed_join
+from riverloom.operators.joins import grown, keyed_join
 from riverloom.session import saved_and_counted
 
 # Joins between two writes; three of them multiply the hops covered by four.
@@ -83,7 +83,7 @@ def follow_pointers(
         result = result.unionByName(state.filter(moving).select("k", *nothing))
     elif n:
         turning = state.filter(moving).select("k", "low")
-        opened = base.join(turning, "k").select(
+        opened = base.join(grown(turning), "k").select(
             "k", F.when(F.col("k") != F.col("low"), F.col("p")).alias("p"), "w"
         )
         result = result.unionByName(follow_pointers(opened, "k", "p", "w"))

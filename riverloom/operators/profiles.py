@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverloom.functions.columns import flip_sign, strict_sum
+from riverloom.operators.joins import grown
 
 
 def elevation_profile(df: DataFrame) -> DataFrame:
@@ -65,7 +66,7 @@ def axis_summary(swaths: DataFrame, reaches: DataFrame) -> DataFrame:
         F.when(F.sum("known") == F.sum("n"), F.sum("length")).alias("length"),
         F.max_by("gid_region", rank).alias("gid_region"),
     )
-    return attributes.join(first_toponyme(reaches), "axis", "left").select(
+    return attributes.join(grown(first_toponyme(reaches)), "axis", "left").select(
         "axis", "toponyme", "length", "gid_region"
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riverloom.functions.geometry import ring_area
 from riverloom.operators.containment import points_in_polygons, ring_edges
+from riverloom.operators.joins import grown
 from riverloom.session import saved
 
 
@@ -31,11 +32,11 @@ def nest_rings(polygons: DataFrame, key: str, geom: str = "geom") -> DataFrame:
     around = saved(around.select(key, "own", "ring"), "rings-around")
     depth = around.groupBy(key, F.col("own").alias("ring")).agg(F.count(F.lit(1)).alias("depth"))
     # the innermost ring around is the one that itself has most around it
-    inner = around.join(depth.withColumnRenamed("depth", "of"), [key, "ring"], "left")
+    inner = around.join(grown(depth.withColumnRenamed("depth", "of")), [key, "ring"], "left")
     innermost = inner.groupBy(key, F.col("own").alias("ring")).agg(
         F.max_by("ring", F.coalesce("of", F.lit(0))).alias("within")
     )
-    nested = rings.join(depth, [key, "ring"], "left").join(innermost, [key, "ring"], "left")
+    nested = rings.join(grown(depth), [key, "ring"], "left").join(grown(innermost), [key, "ring"], "left")
     return nested.select(key, "ring", F.coalesce("depth", F.lit(0)).alias("depth"), "within", "line")
 
 

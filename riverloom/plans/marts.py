@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riverloom.operators.joins import grown
 from riverloom.operators.link import LINK, link_swaths
 from riverloom.schemas import CONTINUITY_LABELS, LANDCOVER_LABELS, METRIC_TABLES, SERVED_CORRIDOR
 from riverloom.sources.tables import Builder, refresh
@@ -50,7 +51,7 @@ def network_axis(hydro_axis: DataFrame, lines: DataFrame | None = None) -> DataF
         return attributes
     numbered = F.sort_array(F.collect_list(F.struct("line_no", "geom")))
     geoms = lines.groupBy("axis").agg(F.transform(numbered, lambda s: s["geom"]).alias("geom"))
-    return attributes.drop("geom").join(geoms, "axis", "left")
+    return attributes.drop("geom").join(grown(geoms), "axis", "left")
 
 
 def network_metrics(

@@ -15,7 +15,7 @@ from riverloom.operators.containment import (
     points_in_polygons,
     ring_edges,
 )
-from riverloom.operators.joins import hot_join
+from riverloom.operators.joins import grown, hot_join
 from riverloom.operators.lines import keep_longest, largest_overlap, merge_lines, split_lines
 from riverloom.operators.network import (
     drop_degenerate,
@@ -169,11 +169,11 @@ def prepare_swaths_and_axis(
     regions = lines_in_polygons(pieces.select("row", "geom"), edges, "row", "gid_region")
     attributes = (
         pieces.select("row", "piece", "axis", "m", "drainage", "length")
-        .join(strahler, "piece", "left")
-        .join(measured, "row", "left")
-        .join(regions.select("row", "gid_region"), "row", "left")
+        .join(grown(strahler), "piece", "left")
+        .join(grown(measured), "row", "left")
+        .join(grown(regions.select("row", "gid_region")), "row", "left")
     )
-    hydro_swaths = attributes.join(pieces.select("row", "geom"), "row").select(
+    hydro_swaths = attributes.join(grown(pieces.select("row", "geom")), "row").select(
         surrogate_key("axis", "row.fid", "row.no", "row.m").alias("gid"),
         "axis",
         F.col("m").cast("long").alias("measure_medial_axis"),
@@ -199,7 +199,7 @@ def axis_segments(lines: DataFrame) -> DataFrame:
     measured = measure_from_outlet(
         network.select("line_id", "axis", "node_a", "node_b", "length"), "line_id"
     ).select("line_id", "measure")
-    return measured_segments(network.join(measured, "line_id"), "line_id")
+    return measured_segments(network.join(grown(measured), "line_id"), "line_id")
 
 
 def prepare_obstacles(
@@ -228,7 +228,7 @@ def prepare_obstacles(
     known = reach_ids.filter(F.col("axis").isNotNull()).withColumnRenamed(
         "id_troncon", "idtronco_1"
     )
-    on_axis = saved(placed.join(known, "idtronco_1"), "obstacles")
+    on_axis = saved(placed.join(grown(known), "idtronco_1"), "obstacles")
     on_axis = hot_join(on_axis, hydro_axis.select("axis").distinct(), ["axis"], "left_semi")
     on_axis = saved(on_axis, "obstacles")
     segments = saved(axis_segments(lines), "segments")

@@ -10,6 +10,7 @@ from riverloom.functions import projection
 from riverloom.functions.columns import tag_srid
 from riverloom.functions.simplify import simplify_lines
 from riverloom.operators import containment, lines, network, rings
+from riverloom.operators.joins import grown
 from riverloom.registry import query
 from riverloom.registry.sql import ctes, fx
 from riverloom.session import saved
@@ -384,7 +385,7 @@ def _(spark, sf):
     reaches = fixture.reaches(spark, sf)
     split = lines.split_lines(reaches, fixture.swath_polygons(spark, sf))
     strahler = lines.largest_overlap(split.shares, reaches)
-    return split.pieces.join(strahler, "piece").select(
+    return split.pieces.join(grown(strahler), "piece").select(
         "axis", F.round(g.line_length(F.col("geom")), 3).alias("length"), "strahler"
     )
 
@@ -438,7 +439,7 @@ def _(spark, sf):
     degree = every.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
     a = degree.select(F.col("node").alias("node_a"), F.col("n").alias("degree_a"))
     b = degree.select(F.col("node").alias("node_b"), F.col("n").alias("degree_b"))
-    return drawn.join(a, "node_a").join(b, "node_b").select("fid", "degree_a", "degree_b")
+    return drawn.join(grown(a), "node_a").join(grown(b), "node_b").select("fid", "degree_a", "degree_b")
 
 
 @query(
@@ -563,7 +564,7 @@ def network_segments(spark, sf):
         reaches.select("fid", "axis", "node_a", "node_b", "length"), "fid"
     )
     return network.measured_segments(
-        reaches.select("fid", "axis", "geom").join(measured.select("fid", "measure"), "fid"), "fid"
+        reaches.select("fid", "axis", "geom").join(grown(measured.select("fid", "measure")), "fid"), "fid"
     )
 
 

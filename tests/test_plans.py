@@ -116,3 +116,27 @@ def test_polygon_table_is_broadcast_only_when_small(spark, monkeypatch):
         assert "BroadcastHashJoin" not in plan(query(spark, SF))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_exploded_sides_are_never_broadcast(spark, tmp_path):
+    """Spark takes cells for as small as the segments they come from."""
+    from riverloom.operators import containment, lines, network, pointers
+
+    def table(name, select):
+        spark.range(1).selectExpr(*select).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    segs = table("segs", ["1L AS axis", "1L AS line_id", "0 AS seg", "0D AS x1", "0D AS y1", "900D AS x2", "0D AS y2"])
+    points = table("points", ["1L AS point_id", "1L AS axis", "5D AS x", "5D AS y"])
+    shares = table("shares", ["1L AS piece", "1L AS fid", "2D AS length"])
+    reaches = table("reaches", ["1L AS fid", "3 AS strahler"])
+    links = table("links", ["1L AS k", "2L AS p", "2L AS last", "1D AS total", "1L AS low"])
+    ahead = links.selectExpr("k AS p", "p AS p2", "last AS last2", "total AS total2", "low AS low2")
+    for df in (
+        containment.crossing_pairs(segs, segs.select("axis", "x1", "y1", "x2", "y2"), ["axis"], 10.0),
+        network.snap_to_lines(points, segs, 100.0),
+        lines.largest_overlap(shares, reaches),
+        pointers._step(links, ahead),
+    ):
+        text = plan(df)
+        assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
