@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riverloom.functions.geometry import distance, first_vertex, last_vertex, line_length, line_segments
 from riverloom.operators import graph
-from riverloom.operators.grid import SHIFT, SLACK, cell_of, segment_cells
+from riverloom.operators.grid import SHIFT, SLACK, cell_of, segment_cells, total_length
 from riverloom.operators.joins import grown, hot_join
 from riverloom.operators.pointers import follow_pointers
 from riverloom.session import saved
@@ -335,7 +335,9 @@ def locate_points(
     passes form a pyramid. A point starts with the few top cells of its axis and
     goes down level by level; cells that are farther away than some other is at
     most are left behind. So a point meets a few cells on each level, and the
-    segments of the last few only, however far it lies from its axis. Points
+    segments of the last few only, however far it lies from its axis. Cells are
+    ``cell`` wide at least, and half a segment of mean length, so that there are
+    a few for each segment, however long they are. Points
     are looked up by position, once for equal ones; rows keep their number.
     Points without finite coordinates, or without an axis in ``segments``, keep
     null.
@@ -343,6 +345,8 @@ def locate_points(
     s = segments.withColumnRenamed(axis, "axis")
     p = points.select(F.col(axis).alias("axis"), F.col(x).alias("px"), F.col(y).alias("py"))
     p = p.filter(_finite("px", "py")).distinct()
+    n, length = total_length(s)
+    cell = max(cell, length / (2 * max(n, 1)))
     pieces = segment_cells(s, cell)
     leaves = saved(pieces.select("axis", "cx", "cy").distinct(), "axis-cells")
     spans = leaves.groupBy("axis").agg(

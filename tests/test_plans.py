@@ -140,3 +140,22 @@ def test_exploded_sides_are_never_broadcast(spark, tmp_path):
     ):
         text = plan(df)
         assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+
+
+def test_far_segments_make_few_cells(spark):
+    """Cells grow with the segments: ten of 50 km pass a few each, not 500."""
+    from unittest import mock
+
+    from riverloom.operators import network
+
+    segs = spark.createDataFrame(
+        [(1, 1, i, i * 5e4, 0.0, (i + 1) * 5e4, 3e3, 5e4, 0.0) for i in range(10)],
+        "line_id long, axis long, seg int, x1 double, y1 double, x2 double, y2 double, leng double, low double",
+    )
+    points = spark.createDataFrame([(1, 1, 130000.0, 900.0)], "point_id long, axis long, x double, y double")
+    leaves = []
+    kept = lambda df, name: leaves.append(df.count()) or df
+    with mock.patch.object(network, "saved", kept):
+        (found,) = network.locate_points(points, segs).collect()
+    assert leaves[0] <= 60
+    assert found.distance_axis == pytest.approx((1 - (30000 * 5e4 + 900 * 3e3) / (5e4**2 + 3e3**2)) * 5e4)
