@@ -15,12 +15,14 @@ def pivot_labels(df: DataFrame, value: Column, labels: list[str], total: str) ->
 
     Expressions are SQL text, as building them one by one takes longer than
     running them on small data. The listed labels are conditional aggregates of a single group-by: one
-    shuffle, combined on the map side. A label outside the list, or two rows
+    shuffle, by position, so that links to swaths and sums over the banks need no other. A position
+    has one row a bank and label, so none is large. A label outside the list, or two rows
     for one cell, raises: the rows of a group must be as many as its distinct
     listed labels.
     """
     arms = " ".join(f"WHEN {_text(label)} THEN {i}" for i, label in enumerate(labels))
     rows = df.select(*KEYS, F.expr(f"CASE label {arms} END AS __i"), value.alias("__v"))
+    rows = rows.repartition("axis", "measure")
     cells = [f"max(CASE WHEN __i = {i} THEN __v END) AS `{c}`" for i, c in enumerate(labels)]
     checks = [
         "count(1) AS __rows",

@@ -38,7 +38,7 @@ from riverloom.registry.sql import (
 )
 from riverloom.registry.tables import DISTINCT_SITES, POSITION
 from riverloom.schemas import SITE_RESPONSE, TABLES, struct
-from riverloom.session import new_folder
+from riverloom.session import new_folder, saved
 from riverloom.sources import readers, tables
 from riverloom.streaming.metrics import stream_metrics
 
@@ -223,8 +223,9 @@ def _(spark, sf):
 
 def _served(spark, sf, name: str):
     """One of the serving tables after all have been rebuilt."""
-    swaths = fixture.swaths(spark, sf)
-    continuity = fixture.continuity(spark, sf)
+    # loaded tables are stored ones
+    swaths = saved(fixture.swaths(spark, sf), "swaths")
+    continuity = saved(fixture.continuity(spark, sf), "continuity")
     held = {
         "hydro_swaths": swaths,
         "hydro_axis": axis_summary(swaths, fixture.reaches(spark, sf)).withColumn(

@@ -142,6 +142,16 @@ def test_exploded_sides_are_never_broadcast(spark, tmp_path):
         assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
 
 
+def test_pivot_link_and_bank_sums_share_a_shuffle(spark, stored):
+    """The metric rows are shuffled once, and the swaths once."""
+    from riverloom.operators.link import link_swaths
+    from riverloom.plans.prepare import prepare_landcover_area
+
+    swaths = spark.createDataFrame([(1, 1, 200)], "gid long, axis long, measure_medial_axis long")
+    linked = link_swaths(prepare_landcover_area(stored["landcover"]).table, swaths)
+    assert shuffles(marts.full_side_area(linked, LANDCOVER_LABELS)) == 2
+
+
 def test_far_segments_make_few_cells(spark):
     """Cells grow with the segments: ten of 50 km pass a few each, not 500."""
     from unittest import mock
