@@ -171,3 +171,16 @@ def test_passing_passage_counts_though_another_matches_more(spark):
     bench = spark.createDataFrame([(1, " ".join(q), 1, " ".join(q[36:]))], ITEMS)
     (found,) = leaks.leaks(docs, bench).collect()
     assert (found.kind, found.answer, found.matched) == ("paraphrase", 1.0, 20) and found.at > 350
+
+
+def test_finds_do_not_depend_on_the_sample(spark):
+    """The space is fitted on a sample (or on none of the passages); counts, bounds and checks are not."""
+    rng = random.Random(21)
+    text = lambda n: [rng.choice(["the", "of", "and"]) if rng.random() < 0.3 else "".join(rng.choices("abcdefghij", k=5)) for _ in range(n)]
+    items = [text(rng.randrange(12, 30)) for _ in range(150)]
+    rows = [(d, " ".join(w for q in items[d::50] for w in text(70) + [w if rng.random() > 0.08 else "zz" for w in q])) for d in range(50)]
+    docs = spark.createDataFrame([(d, t, 1, 1, 1.0) for d, t in rows], DOCS).repartition(4)
+    bench = spark.createDataFrame([(i, " ".join(q), 1, None) for i, q in enumerate(items)], ITEMS)
+    columns = ["doc_id", "item_id", "at", "matched", "share", "weight", "answer", "kind"]
+    found = [sorted(map(tuple, leaks.leaks(docs, bench, fit_cells=n).select(*columns).collect())) for n in (leaks.FIT_CELLS, 60, 1)]
+    assert found[0] == found[1] == found[2] and len(found[0]) >= 0.9 * len(items)
