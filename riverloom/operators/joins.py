@@ -30,14 +30,18 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
     is 0 on both sides for complete keys and spreads the incomplete ones, over as
     many values as there are shuffle partitions. For complete keys that many
     rows of ``left`` may hold, see :func:`hot_join`.
+
+    The 0 of ``right`` is computed from its keys: Spark would put a constant into the
+    condition, and shuffle by the other keys alone.
     """
     width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     complete = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    names = ", ".join(f"`{k}`" for k in keys)
     spread = (
         f"CASE WHEN {complete} THEN 0 ELSE 1 + int(pmod(xxhash64({_row_columns(left)}), {width})) END AS __spread"
     )
     joined = left.selectExpr("*", spread).join(
-        grown(right.selectExpr("*", "0 AS __spread")), [*keys, "__spread"], how
+        grown(right.selectExpr("*", f"int(pmod(xxhash64({names}), 1)) AS __spread")), [*keys, "__spread"], how
     )
     return _without_spread(joined, left, right, keys, how)
 

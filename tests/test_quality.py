@@ -95,3 +95,17 @@ def test_keyed_join_spreads_incomplete_keys(spark, rows):
     assert out.count() == 2000 and out.filter("name is not null").count() == 0
     assert keyed_join(left, right, ["axis", "m"], "left_anti").count() == 2000
     assert keyed_join(left, right, ["axis", "m"], "left_semi").count() == 0
+
+
+def test_incomplete_keys_are_spread_over_the_tasks(spark, tmp_path):
+    spark.range(2000).selectExpr("if(id < 1, 5, null) AS p", "id").write.parquet(str(tmp_path / "left"))
+    spark.range(1).selectExpr("5 AS p", "'x' AS name").write.parquet(str(tmp_path / "right"))
+    left, right = (spark.read.parquet(str(tmp_path / n)) for n in ("left", "right"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for how in ("left", "left_anti"):
+            out = keyed_join(left, right, ["p"], how)
+            tasks = out.groupBy(F.spark_partition_id().alias("task")).count().collect()
+            assert max(r["count"] for r in tasks) < 1500
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
