@@ -5,27 +5,41 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riverloom.operators.joins import grown, keyed_join
-from riverloom.session import saved_and_counted
+from riverloom.session import saved
 
 # Joins between two writes; three of them multiply the hops covered by four.
 STEPS = 3
 
 
 def _step(rows: DataFrame, ahead: DataFrame) -> DataFrame:
-    """Move every pointer on by the hops that its target has covered."""
+    """Move every pointer on by the hops that its target has covered.
+
+    Rows before and after a target with the same smallest key hold that key twice, so the
+    row runs into a cycle, as does one whose target does: such a row has no ``last``.
+    """
+    again = (F.col("low") == F.col("low2")) | F.col("last").isNull() | F.col("last2").isNull()
+    turns = F.col("p2").isNotNull() & again
     return keyed_join(rows, ahead, ["p"], "left").select(
         "k",
         F.col("p2").alias("p"),
-        F.coalesce("last2", "last").alias("last"),
+        F.when(turns, None).otherwise(F.coalesce("last2", "last")).alias("last"),
         (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
         F.least("low", "low2").alias("low"),
     )
 
 
+def _saved(rows: DataFrame, moving: Column, turning: Column) -> tuple[DataFrame, int, int]:
+    """Written rows, with how many move and how many turn; never zero if there are any."""
+    seen = Observation()
+    counts = [F.count(F.when(c, 1)).alias(n) for n, c in (("moving", moving), ("turning", turning))]
+    state = saved(rows.observe(seen, *counts), "pointers")
+    return state, seen.get["moving"], seen.get["turning"]
+
+
 def follow_pointers(
     links: DataFrame, key: str, to: str, weight: str, cycles: str = "raise"
 ) -> DataFrame:
@@ -39,15 +53,18 @@ def follow_pointers(
     to the shared folder once a round, or the plan would grow with it; rows
     that have arrived are written once.
 
-    Rows that still move after the rounds a path of all rows would take run
-    into a cycle. By ``cycles`` that is an error ("raise"), or they get a null
+    Rows that pass one key twice, or still move after the rounds a path of all rows
+    would take, run into a cycle; the former are moved no more.
+    By ``cycles`` that is an error ("raise"), or they get a null
     last and total ("null"), or the smallest key of the cycle becomes its end
     ("break", for links where no two rows share a ``to``).
     """
     name, target = F.col(key).alias("k"), F.col(to).alias("p")
     base = links.select(name, target, F.col(weight).cast("double").alias("w"))
-    moving = F.col("p").isNotNull()
-    state, n = saved_and_counted(
+    arrives = F.col("p").isNull()
+    moving = ~arrives & F.col("last").isNotNull()
+    turning = ~arrives & F.col("last").isNull()
+    state, n, turned = _saved(
         base.select(
             "k",
             "p",
@@ -55,15 +72,15 @@ def follow_pointers(
             F.when(F.col("p").isNotNull(), F.col("w")).otherwise(0.0).alias("total"),
             F.col("k").alias("low"),
         ),
-        "pointers",
         moving,
+        turning,
     )
     rounds = math.ceil(math.log2(n + 2) / 2) + 1
-    arrived = []
+    settled = []
     while n and rounds:
-        # rows that have arrived are looked up, but neither shuffled as moving nor written again
-        arrived.append(state.filter(~moving))
-        ahead = reduce(DataFrame.unionByName, arrived, state.filter(moving)).select(
+        # rows that have arrived or turn are looked up, but neither shuffled as moving nor written again
+        settled.append(state.filter(~moving))
+        ahead = reduce(DataFrame.unionByName, settled, state.filter(moving)).select(
             F.col("k").alias("p"),
             F.col("p").alias("p2"),
             F.col("last").alias("last2"),
@@ -73,17 +90,18 @@ def follow_pointers(
         moved = state.filter(moving)
         for _ in range(STEPS):
             moved = _step(moved, ahead)
-        state, n = saved_and_counted(moved, "pointers", moving)
+        state, n, more = _saved(moved, moving, turning)
+        turned += more
         rounds -= 1
-    result = reduce(DataFrame.unionByName, arrived, state.filter(~moving)).select("k", "last", "total")
-    if n and cycles == "raise":
-        raise ValueError(f"{n} rows run into a cycle")
-    if n and cycles == "null":
-        nothing = [F.lit(None).cast(result.schema[c].dataType).alias(c) for c in ("last", "total")]
-        result = result.unionByName(state.filter(moving).select("k", *nothing))
-    elif n:
-        turning = state.filter(moving).select("k", "low")
-        opened = base.join(grown(turning), "k").select(
+    rows = reduce(DataFrame.unionByName, settled, state)
+    result = rows.filter(arrives).select("k", "last", "total")
+    left = n + turned
+    if left and cycles == "raise":
+        raise ValueError(f"{left} rows run into a cycle")
+    if left and cycles == "null":
+        result = rows.select("k", *[F.when(arrives, F.col(c)).alias(c) for c in ("last", "total")])
+    elif left:
+        opened = base.join(grown(rows.filter(~arrives).select("k", "low")), "k").select(
             "k", F.when(F.col("k") != F.col("low"), F.col("p")).alias("p"), "w"
         )
         result = result.unionByName(follow_pointers(opened, "k", "p", "w"))

@@ -8,6 +8,7 @@ from riverloom.functions.geometry import line_length
 from riverloom.operators import lines, network
 from riverloom.operators.pointers import follow_pointers
 from riverloom.plans import prepare
+from riverloom.session import saved
 
 REACH = "fid long, axis long, strahler int, toponyme string, geom array<struct<x:double,y:double>>"
 SWATH = "AXIS long, M double, VALUE int, DRAINAGE double, geom array<array<struct<x:double,y:double>>>"
@@ -47,6 +48,33 @@ def test_pointer_cycles(spark, rows):
     assert rows(out) == [(1, 1, 0.0), (2, 1, 2.0), (3, 1, 1.0), (4, 4, 0.0)]
 
 
+def test_rings_are_left_alone_early(spark, tmp_path, monkeypatch):
+    """Rings of three and of six, rows that run into them, and a path, in a few writes."""
+    from riverloom.operators import pointers
+
+    written = []
+    monkeypatch.setattr(pointers, "saved", lambda df, name: written.append(name) or saved(df, name))
+    step = {0: 4, 3: -2, 9: -5}  # rows that end in 0 run into a ring
+    rings = [(i, i + step.get(i % 10, 1)) for i in range(1, 2990)]
+    ends = [(-1, 4), (-2, -1), (-3, -4), (-4, None)]
+    df = spark.createDataFrame([(k, to, 1.0) for k, to in rings + ends], "k long, p long, w double")
+    out = {r["k"]: (r["last"], r["total"]) for r in pointers.follow_pointers(df, "k", "p", "w", cycles="null").collect()}
+    assert len(out) == len(rings + ends) and len(written) <= 5
+    assert {k: v for k, v in out.items() if v != (None, None)} == expected_ends(dict(rings + ends))
+
+
+def expected_ends(to):
+    found = {}
+    for k in to:
+        at, n, seen = k, 0, set()
+        while to.get(at) is not None and at not in seen:
+            seen.add(at)
+            at, n = to[at], n + 1
+        if at not in seen:
+            found[k] = (at, float(n))
+    return found
+
+
 def test_measure_forks_and_axes(spark, rows):
     edges = spark.createDataFrame(
         [(1, 1, "a", "b", 5.0), (2, 1, "b", "c", 7.0), (3, 1, "b", "d", 9.0), (4, 2, "x", "a", 1.0), (5, 1, "s", "s", 1.0)],
