@@ -91,8 +91,9 @@ def tally(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarra
     return [c[order[begin]] for c in columns], (np.add.reduceat(counts[order], begin) if len(key) else counts)
 
 
-def narrow(counts: np.ndarray) -> np.ndarray:
-    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+def narrow(counts: np.ndarray, most: int | None = None) -> np.ndarray:
+    """The same numbers in as few bytes as the largest needs."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0)) if most is None else most))
 
 
 def _unpack(blob: pa.Buffer, n: int, order: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -101,6 +102,32 @@ def _unpack(blob: pa.Buffer, n: int, order: int) -> tuple[list[np.ndarray], np.n
     return columns, np.frombuffer(blob, kind, n, 8 * n * order).astype(np.int64)
 
 
+_CODEC = pa.Codec("zstd", 3)
+
+
+def pack(columns: list[np.ndarray], counts: np.ndarray, folder: str | None = None) -> bytes:
+    """Tuples with their counts, in few bytes: tokens as their numbers among the words that
+    ``folder`` holds, if one is given, rows in order of the first two columns, all compressed
+    (behind the size before)."""
+    if folder:
+        columns = [numbers(folder, c) for c in columns]
+    order = np.lexsort(columns[1::-1])
+    # bytes of one rank together
+    planes = [np.ascontiguousarray(c[order]).view(np.uint8).reshape(-1, c.itemsize).T.tobytes() for c in columns]
+    raw = b"".join([*planes, narrow(counts[order]).tobytes()])
+    return len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True)
+
+
+def unpack(blob: pa.Buffer, n: int, order: int, folder: str | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """What :func:`pack` was given, rows in its order."""
+    raw = _CODEC.decompress(blob.slice(8), int.from_bytes(blob.slice(0, 8).to_pybytes(), "little"))
+    kind = _number_type(folder) if folder else np.dtype(np.uint64)
+    size = kind.itemsize * n
+    planes = [np.frombuffer(raw, np.uint8, size, k * size).reshape(kind.itemsize, n) for k in range(order)]
+    columns = [np.ascontiguousarray(p.T).view(kind).reshape(-1) for p in planes]
+    return [words_at(folder, c) if folder else c for c in columns], _unpack(raw.slice(order * size), n, 0)[1]
+
+
 #: n-grams on their way to a bucket (key: bucket, a: how many), or numbers of a bucket
 ROW = "kind string, key long, a long, b long, c long, d long, entries binary"
 _NAMES = ["kind", "key", "a", "b", "c", "d", "entries"]
@@ -115,8 +142,8 @@ def _rows(rows) -> pa.RecordBatch:
 class Sums:
     """Distinct tuples seen so far; hands them out by bucket when there are many."""
 
-    def __init__(self, bucket_of, flush: int):
-        self.bucket_of, self.flush = bucket_of, flush
+    def __init__(self, bucket_of, flush: int, folder: str | None = None):
+        self.bucket_of, self.flush, self.folder = bucket_of, flush, folder
         self.parts: list = []
         self.size = 0
 
@@ -143,14 +170,12 @@ class Sums:
         columns, counts = self.merged()
         self.parts, self.size = [], 0
         bucket = self.bucket_of(columns)
-        # by context within a bucket, so that equal contexts compress
-        order = np.lexsort((columns[0], bucket))
+        order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(int(bucket.max()) + 2))
         for b in range(len(cuts) - 1):
             own = order[cuts[b] : cuts[b + 1]]
             if len(own):
-                blob = b"".join(x.tobytes() for x in [*(c[own] for c in columns), narrow(counts[own])])
-                yield _rows([("entries", b, len(own), 0, 0, 0, blob)])
+                yield _rows([("entries", b, len(own), 0, 0, 0, pack([c[own] for c in columns], counts[own], self.folder))])
 
 
 def by_hash(buckets: int):
@@ -219,6 +244,44 @@ def seen(folder: str, words: np.ndarray) -> np.ndarray:
     return find(folder, "words", keys, by_hash(buckets)(keys), ["count"])[0][which]
 
 
+def _starts(folder: str) -> np.ndarray:
+    """Number of the first word of each bucket, and behind them how many words there are."""
+    return _mapped(f"{local(folder)}/words.0.starts.npy")
+
+
+def _number_type(folder: str) -> np.dtype:
+    return np.min_scalar_type(int(_starts(folder)[-1]))
+
+
+def numbers(folder: str, words: np.ndarray) -> np.ndarray:
+    """The place of each token among the words of the training texts; BEGIN comes last."""
+    starts = _starts(folder)
+    names, which = np.unique(words, return_inverse=True)
+    bucket, out = by_hash(len(starts) - 1)(names), np.zeros(len(names), _number_type(folder))
+    begin = names == BEGIN
+    out[begin] = starts[-1]
+    for b in np.unique(bucket[~begin]):
+        own = np.flatnonzero((bucket == b) & ~begin)
+        stored = _mapped(f"{local(folder)}/words.{b}.key.npy")
+        at = np.minimum(np.searchsorted(stored, names[own]), len(stored) - 1)
+        if (stored[at] != names[own]).any():
+            raise ValueError("the training texts have changed while they were counted")
+        out[own] = starts[b] + at
+    return out[which]
+
+
+def words_at(folder: str, places: np.ndarray) -> np.ndarray:
+    """The tokens with these numbers."""
+    starts = _starts(folder)
+    at, which = np.unique(places, return_inverse=True)
+    names = np.full(len(at), BEGIN)
+    bucket = np.searchsorted(starts, at, side="right") - 1
+    for b in np.unique(bucket[at < starts[-1]]):
+        own = bucket == b
+        names[own] = _mapped(f"{local(folder)}/words.{b}.key.npy")[at[own].astype(np.int64) - starts[b]]
+    return names[which]
+
+
 def _count_words(buckets: int, flush: int):
     def run(batches):
         sums = Sums(lambda c: by_hash(buckets)(c[0]), flush)
@@ -231,9 +294,9 @@ def _count_words(buckets: int, flush: int):
     return run
 
 
-def _count_ngrams(bucket_of, order: int, flush: int):
+def _count_ngrams(folder: str, bucket_of, order: int, flush: int):
     def run(batches):
-        sums = Sums(bucket_of, flush)
+        sums = Sums(bucket_of, flush, folder)
         for batch in batches:
             for _, _, texts in pieces(batch["text"], lower=True):
                 ids, first = tokens(texts)
@@ -243,7 +306,7 @@ def _count_ngrams(bucket_of, order: int, flush: int):
     return run
 
 
-def _buckets(batches, order: int):
+def _buckets(batches, order: int, folder: str | None):
     """(bucket, columns, counts) of each bucket; rows come sorted by bucket."""
     bucket, parts = None, []
 
@@ -257,19 +320,19 @@ def _buckets(batches, order: int):
                 yield merged()
                 parts = []
             bucket = b
-            parts.append(_unpack(e.as_buffer(), n, order))
+            parts.append(unpack(e.as_buffer(), n, order, folder))
     if parts:
         yield merged()
 
 
-def _store_tokens(folder: str, kind: str):
-    """Files of single tokens with their counts."""
+def _store_tokens(folder: str, kind: str, numbered: bool = False):
+    """Files of single tokens with their counts; ``numbered`` where the rows have their numbers."""
 
     def run(batches):
-        for bucket, (keys,), counts in _buckets(batches, 1):
+        for bucket, (keys,), counts in _buckets(batches, 1, folder if numbered else None):
             order = np.argsort(keys)
             store(folder, kind, bucket, {"key": keys[order], "count": narrow(counts[order])})
-            yield _rows([("sum", 0, len(keys), int(counts.sum())), _frequencies(counts)])
+            yield _rows([("sum", bucket, len(keys), int(counts.sum())), _frequencies(counts)])
 
     return run
 
@@ -286,8 +349,8 @@ def _store_ngrams(folder: str, order: int, hot: int, shorter_of, flush: int):
     that other buckets share, and for the next order the n-grams without their first word."""
 
     def run(batches):
-        shorter = Sums(shorter_of, flush)
-        for bucket, columns, counts in _buckets(batches, order):
+        shorter = Sums(shorter_of, flush, folder)
+        for bucket, columns, counts in _buckets(batches, order, folder):
             store(folder, f"grams{order}", bucket, {"key": fold(columns), "count": narrow(counts)})
             context = fold(columns[:-1])
             by = np.argsort(context, kind="stable")
@@ -389,13 +452,16 @@ def train(docs: DataFrame, order: int = ORDER, bucket_tokens: int = BUCKET_TOKEN
     store(folder, "words", 0, {"buckets": np.array([few])})
     counted = _in_buckets(map_arrow(texts, _count_words(few, flush), ROW), few)
     sums = map_arrow(counted, _store_tokens(folder, "words"), ROW).where("kind = 'sum'")
-    words, n_tokens = sums.agg(F.sum("a"), F.sum("b")).first()
-    words, n_tokens = words or 0, n_tokens or 0
+    sizes = np.zeros((few, 2), np.int64)
+    for r in sums.select("key", "a", "b").collect():  # one for each bucket
+        sizes[r.key] = r.a, r.b
+    words, n_tokens = sizes.sum(axis=0).tolist()
+    store(folder, "words", 0, {"starts": np.concatenate(([0], np.cumsum(sizes[:, 0])))})
 
     many = max(8, -(-n_tokens // bucket_tokens))
     by_word = lambda c: by_hash(few)(c[0])
     placed = [None, by_word] + [by_context(folder, many, bucket_tokens)] * order
-    rows = map_arrow(texts, _count_ngrams(placed[order], order, flush), ROW) if order > 1 else None
+    rows = map_arrow(texts, _count_ngrams(folder, placed[order], order, flush), ROW) if order > 1 else None
     frequencies = {}
     for k in range(order, 1, -1):
         job = _store_ngrams(folder, k, bucket_tokens, placed[k - 1], flush)
@@ -406,7 +472,7 @@ def train(docs: DataFrame, order: int = ORDER, bucket_tokens: int = BUCKET_TOKEN
         split = split.select("*", bucket).repartition("bucket").sortWithinPartitions("bucket")
         map_arrow(split, _store_split(folder, k, few), ROW).count()
     if order > 1:
-        lowest = map_arrow(_in_buckets(rows, few), _store_tokens(folder, "grams1"), ROW)
+        lowest = map_arrow(_in_buckets(rows, few), _store_tokens(folder, "grams1", numbered=True), ROW)
     else:
         lowest = map_arrow(counted, _store_tokens(folder, "grams1"), ROW)
     lowest = saved(lowest, "ngrams1")

@@ -125,3 +125,23 @@ def test_narrow_counts_come_back(most, size):
     assert len(blob) == 3 * (8 + size)
     (column,), back = lm._unpack(pa.py_buffer(blob), 3, 1)
     assert (column == grams).all() and (back == counts).all()
+
+
+def test_packed_ngrams_take_few_bytes_and_come_back(tmp_path):
+    rng = np.random.default_rng(3)
+    words = np.sort(rng.integers(1, 2**63, 5000).astype(np.uint64))
+    bucket = lm.by_hash(3)(words)
+    for b in range(3):
+        lm.store(str(tmp_path), "words", b, {"key": words[bucket == b]})
+    lm.store(str(tmp_path), "words", 0, {"starts": np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=3))))})
+    columns = [np.append(rng.choice(words, 20_000), lm.BEGIN) for _ in range(3)]
+    sums = lm.Sums(lambda c: np.zeros(len(c[0]), np.int64), 10**6, str(tmp_path))
+    assert not list(sums.add(columns, np.ones(20_001, np.int64)))
+    (batch,) = sums.rows()
+    n, blob = batch["a"][0].as_py(), batch["entries"][0].as_py()
+    # three hashes and a count have 25 bytes
+    assert len(blob) < 8 * n
+    back, counts = lm.unpack(pa.py_buffer(blob), n, 3, str(tmp_path))
+    assert sorted(zip(*(c.tolist() for c in back), counts.tolist())) == sorted((*t, k) for t, k in Counter(zip(*(c.tolist() for c in columns))).items())
+    with pytest.raises(ValueError, match="have changed"):
+        lm.numbers(str(tmp_path), np.array([5], np.uint64))
