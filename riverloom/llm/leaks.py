@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverloom.llm.pairs import whole_runs
-from riverloom.llm.words import Texts, pieces, range_hashes
+from riverloom.llm.words import Texts, distinct, pieces, range_hashes
 from riverloom.session import map_arrow, saved
 
 CELL = 32
@@ -84,7 +84,7 @@ def cell_numbers(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray, np.nd
 def cells(texts: Texts, hashes: np.ndarray, size: int = CELL) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(cell, feature) without repeats, in order; and row and first word of each cell."""
     number, row, first = cell_numbers(texts, size)
-    pair = np.unique(number * FEATURES + feature(hashes))
+    pair = distinct(number * FEATURES + feature(hashes))
     return pair // FEATURES, pair % FEATURES, row, first
 
 
@@ -234,7 +234,7 @@ def _products(column: np.ndarray, idf: np.ndarray, matrix: np.ndarray):
                 owner, found, rows, _ = cells(texts, word_hashes(texts))
                 keep = column[found] >= 0
                 owner, at, value = owner[keep], column[found[keep]], idf[found[keep]]
-                names = np.unique(owner)
+                names = distinct(owner)
                 for s in range(0, len(names), ROWS):
                     part = names[s : s + ROWS]
                     b, e = np.searchsorted(owner, [part[0], part[-1] + 1])
@@ -363,7 +363,7 @@ def passages_of(texts: Texts, hashes: np.ndarray, size: int, wanted: np.ndarray)
     keep = wanted[found]
     owner, found = owner[keep], found[keep]
     earlier = (owner > 0) & (row[np.maximum(owner - 1, 0)] == row[owner])
-    pair = np.unique(np.concatenate((owner * FEATURES + found, (owner[earlier] - 1) * FEATURES + found[earlier])))
+    pair = distinct(np.concatenate((owner * FEATURES + found, (owner[earlier] - 1) * FEATURES + found[earlier])))
     return pair // FEATURES, pair % FEATURES, row, first
 
 
@@ -456,7 +456,7 @@ def _norms(texts: Texts, hashes: np.ndarray, idf: np.ndarray, row: np.ndarray, f
     stop = np.minimum(begin + 2 * size, texts.first[row[names] + 1])
     of = np.repeat(np.arange(len(names)), stop - begin)
     at = np.arange(len(of)) + np.repeat(begin - (np.cumsum(stop - begin) - (stop - begin)), stop - begin)
-    pair = np.unique(of * FEATURES + feature(hashes[at]))
+    pair = distinct(of * FEATURES + feature(hashes[at]))
     return np.sqrt(np.maximum(np.bincount(pair // FEATURES, idf[pair % FEATURES].astype(float) ** 2, len(names)), 1e-9))[which]
 
 

@@ -44,6 +44,22 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def _fold(x: np.ndarray) -> np.ndarray:
+    """A number below 2**33 with the same remainder, 2**32 for x below 2**62; x is used up."""
+    high = x >> _BITS
+    x &= _PRIME
+    x += high
+    return x
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted values without repeats; ``np.unique`` takes several times as long for integers."""
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return values[new]
+
+
 def _mod(x: np.ndarray) -> np.ndarray:
     """x modulo the prime, for x below 2**62."""
     x = (x & _PRIME) + (x >> _BITS)
@@ -98,8 +114,8 @@ def range_hashes(values: np.ndarray | Bytes, starts: np.ndarray, ends: np.ndarra
         for lo in range(0, n, BLOCK):
             hi = min(n, lo + BLOCK)
             v = values.part(k, lo, hi) if isinstance(values, Bytes) else (values[lo:hi] * _SCALES[k]) >> _HIGH
-            v *= up[: hi - lo] if not lo else _mod(up[: hi - lo] * np.uint64(pow(base, lo, int(_PRIME))))
-            v = (v & _PRIME) + (v >> _BITS)
+            v *= up[: hi - lo] if not lo else _fold(up[: hi - lo] * np.uint64(pow(base, lo, int(_PRIME))))
+            v = _fold(v)
             np.cumsum(v, out=sums[lo + 1 : hi + 1], dtype=np.uint64)
             sums[lo + 1 : hi + 1] += sums[lo]
         back = down[starts % BLOCK]

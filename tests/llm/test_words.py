@@ -56,3 +56,8 @@ def test_runs_beyond_a_block(monkeypatch):
     monkeypatch.setattr(words, "BLOCK", 256)
     assert words.range_hashes(values, starts, ends).tolist() == want.tolist()
     words._powers.cache_clear()
+
+
+def test_distinct_as_unique():
+    for values in (np.array([], np.int64), np.array([3]), np.random.default_rng(1).integers(0, 50, 500)):
+        assert words.distinct(values).tolist() == sorted(set(values.tolist()))
