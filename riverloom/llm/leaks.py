@@ -63,6 +63,8 @@ SHORT = 8
 _SLICES = 16
 #: passages that are projected at a time, numbers that the checks compare at a time
 ROWS, COMPARED = 512, 1 << 22
+#: vectors that are written out at a time to be projected
+DENSE = 128
 
 
 def word_hashes(texts: Texts) -> np.ndarray:
@@ -212,17 +214,36 @@ class Space:
     #: orthonormal columns
     basis: np.ndarray
 
-    def project(self, owner: np.ndarray, found: np.ndarray, n: int) -> np.ndarray:
-        """Coordinates of n sparse vectors of weights."""
+    def _own(self, owner: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at = self.column[found]
         own = at >= 0
-        owner, at, weight = owner[own], at[own], self.idf[found[own]]
+        return owner[own], at[own], self.idf[found[own]]
+
+    def project(self, owner: np.ndarray, found: np.ndarray, n: int) -> np.ndarray:
+        """Coordinates of n sparse vectors of weights; those of equal vectors are equal."""
+        owner, at, weight = self._own(owner, found)
         out = np.zeros((n, self.basis.shape[1]), np.float32)
         begin = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else owner
         if len(owner):
             out[owner[begin]] = np.add.reduceat(self.basis[at] * weight[:, None], begin, axis=0)
         return out
 
+    def project_many(self, owner: np.ndarray, found: np.ndarray, n: int) -> np.ndarray:
+        """The same but for rounding, in less time, as products of small dense matrices; no
+        feature twice for one owner."""
+        owner, at, weight = self._own(owner, found)
+        out = np.zeros((n, self.basis.shape[1]), np.float32)
+        step = max(1, min(DENSE, COMPARED // max(1, len(self.basis))))
+        for lo in range(0, n, step):
+            b, e = np.searchsorted(owner, [lo, lo + step])
+            used = np.zeros(len(self.basis), bool)
+            used[at[b:e]] = True
+            names = np.flatnonzero(used)
+            part = np.zeros((min(step, n - lo), len(names)), np.float32)
+            part[owner[b:e] - lo, (np.cumsum(used) - 1)[at[b:e]]] = weight[b:e]
+            out[lo : lo + step] = part @ self.basis[names]
+        return out
+
 
 def _products(column: np.ndarray, idf: np.ndarray, matrix: np.ndarray):
     """A.T @ (A @ matrix) for the cells' rows A."""
@@ -336,15 +357,18 @@ class Block:
             slot = np.full(rows[-1] + 1 - rows[0], -1)
             slot[rows - rows[0]] = np.arange(len(rows))
             at = slot[passage[b:e] - rows[0]]
-            v = self.space.project(at[at >= 0], found[b:e][at >= 0], len(rows))
-            product = v @ self.query
-            i, q = np.nonzero(product + norm[rows][:, None] * self.outside >= self.need)
-            yield rows[i], q, product[i, q]
+            v = self.space.project_many(at[at >= 0], found[b:e][at >= 0], len(rows))
+            i, q = np.nonzero(v @ self.query + norm[rows][:, None] * self.outside >= self.need)
+            # of few pairs; equal passages have equal products
+            hits, which = np.unique(i, return_inverse=True)
+            own = np.isin(at, hits)
+            v = self.space.project(np.searchsorted(hits, at[own]), found[b:e][own], len(hits))
+            yield rows[i], q, (v[which].astype(float) * self.query.T[q]).sum(axis=1)
 
 
 def subsequences(windows: np.ndarray, items: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Greatest weight of a common subsequence of each window (words) and its item (words, weights)."""
-    best = np.zeros((len(windows), items.shape[1] + 1))
+    best = np.zeros((len(windows), items.shape[1] + 1), weights.dtype)
     for t in range(windows.shape[1]):
         longer = best[:, :-1] + weights * (windows[:, t, None] == items)
         np.maximum(best[:, 1:], longer, out=best[:, 1:])
@@ -394,9 +418,13 @@ def _search(blocks: list[tuple[int, Block]]):
                     there |= words[:, t, None] == items
                 some = np.flatnonzero(there.sum(axis=1) >= least)
                 part, words, items, least = part[some], words[some], items[some], least[some]
-                matched = subsequences(words, items, np.ones(items.shape))
-                weight = subsequences(words, items, np.stack([block.weights[i] for i in q[part]])) if len(part) else matched
-                good = np.flatnonzero((matched >= least) & ((weight >= WEIGHT) | (n < SHORT)))
+                matched = subsequences(words, items, np.ones(items.shape, np.float32))
+                enough = np.flatnonzero(matched >= least)
+                weight = np.zeros(len(part))
+                if len(enough):
+                    own_weights = np.stack([block.weights[i] for i in q[part[enough]]])
+                    weight[enough] = subsequences(words[enough], items[enough], own_weights)
+                good = enough[(weight[enough] >= WEIGHT) | (n < SHORT)]
                 for g in good.tolist():
                     i, item = part[g], int(q[part[g]])
                     b = base[some[g]]

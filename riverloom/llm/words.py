@@ -159,9 +159,16 @@ class Texts:
     def trimmed(self) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends without up to three ASCII signs at either side; never empty."""
         starts, ends = self.starts.copy(), self.ends.copy()
-        for _ in range(3 if len(starts) else 0):
-            starts += _OUTER[self.data[starts]] & (starts < ends - 1)
-            ends -= _OUTER[self.data[ends - 1]] & (starts < ends - 1)
+        open_ = slice(None)
+        for k in range(3 if len(starts) else 0):
+            begin, end = starts[open_], ends[open_]
+            head = _OUTER[self.data[begin]] & (begin < end - 1)
+            begin = begin + head
+            tail = _OUTER[self.data[end - 1]] & (begin < end - 1)
+            starts[open_], ends[open_] = begin, end - tail
+            # a word that has lost nothing is done
+            moved = np.flatnonzero(head | tail)
+            open_ = moved if k == 0 else open_[moved]
         return starts, ends
 
     def rows(self) -> np.ndarray:

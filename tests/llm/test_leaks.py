@@ -184,3 +184,63 @@ def test_finds_do_not_depend_on_the_sample(spark):
     columns = ["doc_id", "item_id", "at", "matched", "share", "weight", "answer", "kind"]
     found = [sorted(map(tuple, leaks.leaks(docs, bench, fit_cells=n).select(*columns).collect())) for n in (leaks.FIT_CELLS, 60, 1)]
     assert found[0] == found[1] == found[2] and len(found[0]) >= 0.9 * len(items)
+
+
+def test_projection_of_many_vectors():
+    """Coordinates are those of one sum for each vector."""
+    rng = np.random.default_rng(5)
+    basis = rng.standard_normal((1500, 140)).astype(np.float32)
+    column = np.full(leaks.FEATURES, -1, np.int32)
+    column[rng.choice(leaks.FEATURES, 1500, replace=False)] = np.arange(1500)
+    space = leaks.Space(rng.random(leaks.FEATURES, np.float32) + 1, column, basis)
+    n = 6000
+    known = np.flatnonzero(column >= 0)
+    pair = np.unique(np.repeat(np.arange(0, n, 2), 120) * leaks.FEATURES + np.tile(rng.choice(known, 60 * n), 1))
+    unknown = np.unique(np.arange(n) * leaks.FEATURES + rng.choice(np.flatnonzero(column < 0), n))
+    pair = np.union1d(pair, unknown)  # vectors of odd number have nothing in the space
+    owner, found = pair // leaks.FEATURES, pair % leaks.FEATURES
+
+    def one_by_one():
+        own = column[found] >= 0
+        at, who, out = column[found[own]], owner[own], np.zeros((n, 140), np.float32)
+        begin = np.flatnonzero(np.concatenate(([True], who[1:] != who[:-1])))
+        out[who[begin]] = np.add.reduceat(basis[at] * space.idf[found[own]][:, None], begin, axis=0)
+        return out
+
+    assert (space.project(owner, found, n) == one_by_one()).all()
+    out = space.project_many(owner, found, n)
+    assert np.abs(out - one_by_one()).max() < 1e-3 and not out[1::2].any()
+    assert space.project_many(owner[:0], found[:0], 3).tolist() == np.zeros((3, 140)).tolist()
+
+
+def test_weights_of_candidates_only(spark, monkeypatch):
+    """Weights are summed for windows that hold enough of the item's words in order."""
+    seen, whole = [], leaks.subsequences
+
+    def watched(windows, items, weights):
+        out = whole(windows, items, weights)
+        seen.append((weights.dtype, len(windows), out))
+        return out
+
+    monkeypatch.setattr(leaks, "subsequences", watched)
+    words = [f"w{i}" for i in range(12)]
+    item = leaks.Item(7, *(next(leaks.pieces(pa.array([" ".join(words)]), fold=True))[2].hashes for _ in range(2)))
+    texts = [" ".join(words), " ".join(reversed(words))]
+    idf = np.full(leaks.FEATURES, 2, np.float32)
+    column = np.full(leaks.FEATURES, -1, np.int32)
+    names = np.unique(leaks.feature(item.words))
+    column[names] = np.arange(len(names))
+    block = leaks.Block([item], leaks.Space(idf, column, np.eye(len(names), dtype=np.float32)), 100)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(texts)], ["doc_id", "text"])
+    found = [r for b in leaks._search([(leaks.SIZE, block)])([batch]) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["matched"]) for r in found] == [(1, 12)] and found[0]["weight"] > 0.99
+    counted, weighed = seen
+    assert counted[1] == 2 and weighed[1] == 1
+    # equal passages are alike whatever lies beside them, the first of them counts
+    filler = " ".join(f"x{i}" for i in range(116))
+    doubled = f"{texts[0]} {filler} {texts[0]} {filler}"
+    rows = [texts[0]] * 3 + [f"{texts[0]} {filler}", doubled] + [" ".join(words[:10])] * 150 + [doubled]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array(rows)], ["doc_id", "text"])
+    found = [r for b in leaks._search([(leaks.SIZE, block)])([batch]) for r in b.to_pylist()]
+    same = {r["doc_id"]: (r["at"], r["cosine"]) for r in found}
+    assert same[4] == same[len(rows) - 1] and same[4][0] == 0 and same[0] == same[1] == same[2]

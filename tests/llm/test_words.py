@@ -61,3 +61,21 @@ def test_runs_beyond_a_block(monkeypatch):
 def test_distinct_as_unique():
     for values in (np.array([], np.int64), np.array([3]), np.random.default_rng(1).integers(0, 50, 500)):
         assert words.distinct(values).tolist() == sorted(set(values.tolist()))
+
+
+def test_trimmed_words():
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("a.(),-é7 ", k=rng.randrange(40))) for _ in range(400)] + ["....", "(((((a)))))", ".a."]
+
+    def plain(word):
+        signs = lambda c: c < 127 and not chr(c).isalnum()
+        lo, hi = 0, len(word)
+        for _ in range(3):
+            lo += signs(word[lo]) and lo < hi - 1
+            hi -= signs(word[hi - 1]) and lo < hi - 1
+        return word[lo:hi]
+
+    for _, _, t in words.pieces(pa.array(texts), limit=500):
+        starts, ends = t.trimmed()
+        got = [t.data[s:e].tobytes() for s, e in zip(starts, ends)]
+        assert got == [plain(t.word(i)) for i in range(len(t.starts))]
