@@ -359,11 +359,12 @@ class Block:
             at = slot[passage[b:e] - rows[0]]
             v = self.space.project_many(at[at >= 0], found[b:e][at >= 0], len(rows))
             i, q = np.nonzero(v @ self.query + norm[rows][:, None] * self.outside >= self.need)
-            # of few pairs; equal passages have equal products
-            hits, which = np.unique(i, return_inverse=True)
-            own = np.isin(at, hits)
-            v = self.space.project(np.searchsorted(hits, at[own]), found[b:e][own], len(hits))
-            yield rows[i], q, (v[which].astype(float) * self.query.T[q]).sum(axis=1)
+            # for the few passages that have some: equal ones have equal products
+            hit = np.zeros(len(rows), bool)
+            hit[i] = True
+            own = (at >= 0) & hit[at]
+            v = self.space.project(at[own], found[b:e][own], len(rows))
+            yield rows[i], q, (v @ self.query)[i, q]
 
 
 def subsequences(windows: np.ndarray, items: np.ndarray, weights: np.ndarray) -> np.ndarray:
