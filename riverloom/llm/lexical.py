@@ -44,10 +44,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riverloom.llm.blobs import packed, unpacked
 from riverloom.llm.units import distinct
 from riverloom.session import map_arrow, saved
 
-SHARD = 8 << 20
+#: a shard passes through Spark as one row, of which executors hold several copies
+SHARD = 2 << 20
 #: bytes of text that are taken apart at a time
 CHUNK = 1 << 20
 LONG = 128
@@ -124,11 +126,10 @@ def build(ids: pa.Array, column: pa.Array) -> dict:
     chars = terms.buffers()[2]
     return {
         "n_docs": int((lengths > 0).sum()), "n_terms": int(lengths.sum()), "ids": number[order].tobytes(),
-        "missing": missing[order].tobytes(), "lengths": lengths.astype("<i8").tobytes(),
+        "missing": missing[order].tobytes(), "lengths": packed(lengths),
         "terms": chars.to_pybytes()[offsets[0] : offsets[-1]] if chars is not None else b"",
-        "term_ends": (offsets[1:] - offsets[0]).astype("<i8").tobytes(), "ends": ends.astype("<i8").tobytes(),
-        "docs": doc.astype("<i4").tobytes(), "tf": tf.astype("<i4").tobytes(),
-        "most": most.astype("<i4").tobytes(), "least": least.astype("<i8").tobytes(),
+        "term_ends": packed(offsets[1:] - offsets[0]), "ends": packed(ends), "docs": packed(doc), "tf": packed(tf),
+        "most": packed(most), "least": packed(least),
     }
 
 
@@ -180,11 +181,11 @@ def _build(shard: int):
 def index(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     """The index of all rows of docs (doc_id, text), written to the shared folder."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return saved(map_arrow(rows, _build(shard), INDEX), "lexical-index")
+    return saved(map_arrow(rows, _build(shard), INDEX), "lexical-index", together=1)
 
 
 def _strings(chars: bytes, ends: bytes) -> pa.Array:
-    stops = np.frombuffer(ends, "<i8")
+    stops = unpacked(ends)
     offsets = np.concatenate(([0], stops)).astype(np.int64)
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(stops), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(chars)])
 
@@ -193,13 +194,13 @@ class Shard:
     def __init__(self, row: dict, wanted: pa.Array):
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.missing = np.frombuffer(row["missing"], bool)
-        self.lengths = np.frombuffer(row["lengths"], "<i8")
-        self.docs = np.frombuffer(row["docs"], "<i4")
-        self.tf = np.frombuffer(row["tf"], "<i4")
-        self.bounds = np.concatenate(([0], np.frombuffer(row["ends"], "<i8")))
+        self.lengths = unpacked(row["lengths"])
+        self.docs = unpacked(row["docs"], "<i4")
+        self.tf = unpacked(row["tf"], "<i4")
+        self.bounds = np.concatenate(([0], unpacked(row["ends"])))
         self.width = -(-len(self.ids) // RANGE)
-        self.most = np.frombuffer(row["most"], "<i4").reshape(-1, max(1, self.width))
-        self.least = np.frombuffer(row["least"], "<i8").reshape(-1, max(1, self.width))
+        self.most = unpacked(row["most"], "<i4").reshape(-1, max(1, self.width))
+        self.least = unpacked(row["least"]).reshape(-1, max(1, self.width))
         self.long = np.cumsum(np.diff(self.bounds) >= LONG) - 1
         #: number of each wanted term's list here, -1 if it has none
         self.list_of = places(row, wanted)
@@ -328,7 +329,7 @@ def term_frequencies(shards: DataFrame, wanted: pa.Array) -> np.ndarray:
         for batch in batches:
             for row in batch.to_pylist():
                 at = places(row, wanted)
-                sizes = np.diff(np.frombuffer(row["ends"], "<i8"), prepend=0)
+                sizes = np.diff(unpacked(row["ends"]), prepend=0)
                 total[at >= 0] += sizes[at[at >= 0]]
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["term", "df"])

@@ -72,14 +72,17 @@ def drop_run_folder(spark: SparkSession) -> None:
     drop_folder(run_folder(spark))
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, together: int | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     For tables used several times with different columns: computed once, cut
-    from their lineage, and pruned to the columns each use needs.
+    from their lineage, and pruned to the columns each use needs. Spark holds up to
+    4096 rows of a row group at a time when it reads them; of a table of wide rows
+    (some MB each) ``together`` are a row group.
     """
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    options = {"parquet.block.row.count.limit": str(together)} if together else {}
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

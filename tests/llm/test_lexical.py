@@ -6,9 +6,10 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
-from riverloom.llm import lexical, queries
+from riverloom.llm import blobs, lexical, queries
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, score string, rank long, item_id long"
@@ -122,3 +123,25 @@ def test_documents(spark):
     items = con.execute(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
     got = queries.QUERIES["op12_hybrid_ranked_search"](spark, SF).collect()
     assert sorted((tuple(r) for r in got), key=repr) == brute(docs, items)
+
+
+def test_index_rows_are_narrow_and_read_one_at_a_time(spark):
+    """What an executor holds of the index at once does not grow with a task's text."""
+    docs, _ = corpus(300, 9)
+    docs = [(d, " ".join([t] * 400)[:40_000]) for d, t in docs]
+    df = spark.createDataFrame([(d, t, "s", 7, 3) for d, t in docs], SCHEMA).coalesce(1)
+    shards = lexical.index(df)
+    size = sum(len(t) for _, t in docs)
+    widths = [sum(len(row[c]) for c in lexical._BLOBS) for row in shards.collect()]
+    assert len(widths) >= size // (2 << 20) > 1 and max(widths) < 2 << 20
+    for path in shards.inputFiles():
+        meta = pq.ParquetFile(path.removeprefix("file:").replace("//", "/")).metadata
+        assert [meta.row_group(i).num_rows for i in range(meta.num_row_groups)] == [1] * meta.num_rows
+
+
+@pytest.mark.parametrize("most,size", [(0, 1), (255, 1), (256, 2), (2**16, 4), (2**40, 8)])
+def test_packed_numbers_come_back(most, size):
+    values = np.array([0, most, 1], np.int64)
+    blob = blobs.packed(values)
+    assert len(blob) == 1 + 3 * size and (blobs.unpacked(blob) == values).all()
+    assert blobs.unpacked(blobs.packed(values[:0])).tolist() == []
