@@ -30,6 +30,7 @@ empty results; other columns are not looked at.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from functools import lru_cache
 
@@ -40,11 +41,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverloom.llm.pairs import whole_runs
+from riverloom.llm.blobs import packed, unpacked
 from riverloom.llm.units import UnitCache, distinct, spread
 from riverloom.session import map_arrow, saved
 
-PIECE = 2 << 20
+#: a piece passes through Spark as one row, of which executors hold several copies
+PIECE = 1 << 20
 #: pieces that one copy of a bucket answers
 ASKING = 4096
 #: distinct pairs that a task holds before it hands them on
@@ -159,6 +161,12 @@ def pair_of(a_path: str, b_path: str) -> Pair:
     return Pair(a_path, b_path)
 
 
+def forget() -> None:
+    """Free the tokenizers and cached units of this worker; they refer to each other."""
+    pair_of.cache_clear()
+    gc.collect()
+
+
 #: first bytes of characters of which some are white space
 _UNSURE = np.zeros(256, bool)
 _UNSURE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -236,9 +244,20 @@ def one_piece(pair: Pair, ids: pa.Array, column: pa.Array, buckets: int) -> dict
     return per_row | {
         "ids": pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype("<i8").tobytes(),
         "missing": pc.is_null(ids).to_numpy(zero_copy_only=False).tobytes(), "groups": "".join(g.ljust(64) for g in groups),
-        "ends": ends.astype("<i8").tobytes(), "units": used.astype("<i4").tobytes(), "unit_links": n_links.astype("<i4").tobytes(),
-        "links": at.astype("<i4").tobytes(), "pairs": known[by].tobytes(), "counts": count.tobytes(),
-    } | {c: v.astype("<i8").tobytes() for c, v in per_row.items()}
+        "ends": packed(ends), "units": packed(used), "unit_links": packed(n_links),
+        "links": packed(at), "pairs": packed_pairs(known[by]), "counts": packed(count),
+    } | {c: packed(v) for c, v in per_row.items()}
+
+
+def packed_pairs(pairs: np.ndarray) -> bytes:
+    """A's ids, then B's."""
+    a = packed(pairs >> _WIDE)
+    return len(a).to_bytes(8, "little") + a + packed(pairs & ((1 << _WIDE) - 1))
+
+
+def pairs_of(blob: bytes) -> np.ndarray:
+    cut = 8 + int.from_bytes(blob[:8], "little")
+    return unpacked(blob[8:cut]) << _WIDE | unpacked(blob[cut:])
 
 
 def bucket_of(pairs: np.ndarray, buckets: int) -> np.ndarray:
@@ -287,22 +306,24 @@ def _added(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _partial(buckets: int):
-    """Counts of a task's pieces by bucket."""
+    """Counts of a task's pieces by bucket. All pieces are cut by now, so a worker that has
+    tokenizers and cached units is rid of them."""
     kind = pa.schema([("bucket", pa.int64()), ("pairs", pa.binary()), ("counts", pa.binary())])
 
     def run(batches):
+        forget()
         held, size = [], 0
 
         def out():
             pairs, counts = _added(*(np.concatenate(x) for x in zip(*held)))
             by = np.argsort(bucket_of(pairs, buckets), kind="stable")
             pairs, counts = pairs[by], counts[by]
-            rows = [{"bucket": k, "pairs": pairs[s:e].tobytes(), "counts": counts[s:e].tobytes()} for k, s, e in _runs(pairs, buckets)]
+            rows = [{"bucket": k, "pairs": packed_pairs(pairs[s:e]), "counts": packed(counts[s:e])} for k, s, e in _runs(pairs, buckets)]
             return pa.RecordBatch.from_pylist(rows, kind)
 
         for batch in batches:
             for row in batch.to_pylist():
-                held.append((np.frombuffer(row["pairs"], np.int64), np.frombuffer(row["counts"], np.int64)))
+                held.append((pairs_of(row["pairs"]), unpacked(row["counts"])))
                 size += len(held[-1][0])
                 if size > HELD:
                     held = [_added(*(np.concatenate(x) for x in zip(*held)))]
@@ -327,7 +348,7 @@ def _totals(batches):
         most = np.zeros(len(ids), np.int64)
         np.maximum.at(most, which, counts)
         best = counts == most[which]
-        return pa.RecordBatch.from_pylist([{"bucket": bucket, "pairs": pairs.tobytes(), "counts": counts.tobytes(), "best": best.tobytes()}], kind)
+        return pa.RecordBatch.from_pylist([{"bucket": bucket, "pairs": packed_pairs(pairs), "counts": packed(counts), "best": best.tobytes()}], kind)
 
     def fold():
         return _added(*(np.concatenate(x) for x in zip(*held)))
@@ -339,7 +360,7 @@ def _totals(batches):
                     pairs, counts = fold()
                     yield row()
                 bucket, held, size, least = r["bucket"], [], 0, HELD
-            held.append((np.frombuffer(r["pairs"], np.int64), np.frombuffer(r["counts"], np.int64)))
+            held.append((pairs_of(r["pairs"]), unpacked(r["counts"])))
             size += len(held[-1][0])
             if size > least:
                 held = [fold()]
@@ -356,9 +377,9 @@ def _ask(buckets: int, salts: int):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                pairs = np.frombuffer(row["pairs"], np.int64)
+                pairs = pairs_of(row["pairs"])
                 rows = [
-                    {"bucket": k, "salt": row["piece"] % salts, "piece": row["piece"], "pairs": pairs[s:e].tobytes()}
+                    {"bucket": k, "salt": row["piece"] % salts, "piece": row["piece"], "pairs": packed_pairs(pairs[s:e])}
                     for k, s, e in _runs(pairs, buckets)
                 ]
                 if rows:
@@ -377,12 +398,12 @@ def _answer(batches):
     for batch in batches:
         rows = []
         for r in batch.to_pylist():
-            own = np.frombuffer(r["pairs"], np.int64)
+            own = pairs_of(r["pairs"])
             if r["piece"] is None:
-                pairs, counts, best = own, np.frombuffer(r["counts"], np.int64), np.frombuffer(r["best"], bool)
+                pairs, counts, best = own, unpacked(r["counts"]), np.frombuffer(r["best"], bool)
                 continue
             at = np.searchsorted(pairs, own)
-            rows.append({"piece": r["piece"], "bucket": r["bucket"], "counts": counts[at].tobytes(), "best": best[at].tobytes()})
+            rows.append({"piece": r["piece"], "bucket": r["bucket"], "counts": packed(counts[at]), "best": best[at].tobytes()})
         if rows:
             yield pa.RecordBatch.from_pylist(rows, _ANSWERS)
 
@@ -395,15 +416,15 @@ def _finish(batches):
     for batch in batches:
         for r in batch.to_pylist():
             answers = r["answers"] or []  # in order of buckets, as the pairs are
-            counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x["counts"], np.int64) for x in answers)])
+            counts = np.concatenate([np.zeros(0, np.int64), *(unpacked(x["counts"]) for x in answers)])
             best = np.concatenate([np.zeros(0, bool), *(np.frombuffer(x["best"], bool) for x in answers)])
-            links = np.frombuffer(r["links"], "<i4")
-            ends_of_unit = np.cumsum(np.frombuffer(r["unit_links"], "<i4").astype(np.int64))
-            units, ends = np.frombuffer(r["units"], "<i4"), np.frombuffer(r["ends"], "<i8")
+            links = unpacked(r["links"])
+            ends_of_unit = np.cumsum(unpacked(r["unit_links"]))
+            units, ends = unpacked(r["units"]), unpacked(r["ends"])
             missing = np.frombuffer(r["missing"], bool)
             by_unit = [sums(v[links].astype(np.int64), ends_of_unit) for v in (best, counts)]
             columns = [pa.array(np.frombuffer(r["ids"], "<i8"), pa.int64(), mask=missing)]
-            columns += [pa.array(np.frombuffer(r[c], "<i8")) for c in ("n_a", "n_b", "n_groups", "n_links")]
+            columns += [pa.array(unpacked(r[c])) for c in ("n_a", "n_b", "n_groups", "n_links")]
             columns += [pa.array(sums(v[units], ends)) for v in by_unit]
             text = r["groups"]
             groups = pa.array([text[i : i + 64].rstrip() for i in range(0, len(text), 64)], pa.string())
@@ -416,7 +437,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, buckets: int | None = Non
     spark = docs.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = saved(map_arrow(rows, _pieces(a_path, b_path, buckets, piece), PIECES), "aligned-pieces")
+    pieces = saved(map_arrow(rows, _pieces(a_path, b_path, buckets, piece), PIECES), "aligned-pieces", together=1)
     partial = map_arrow(pieces.select("pairs", "counts"), _partial(buckets), "bucket long, pairs binary, counts binary")
     totals = map_arrow(
         partial.repartition(buckets, "bucket").sortWithinPartitions("bucket"), _totals, "bucket long, pairs binary, counts binary, best binary"

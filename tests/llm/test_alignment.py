@@ -1,11 +1,14 @@
 import hashlib
 import random
+import weakref
 
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
+from riverloom import session
 from riverloom.llm import alignment, queries, units
 
 SF = "/root/testdata/sf0.001"
@@ -152,3 +155,31 @@ def test_documents(spark):
     got = queries.QUERIES["op13_token_alignment"](spark, SF).collect()
     assert sorted((tuple(r) for r in got), key=repr) == brute(rows)
     assert any(r.n_a for r in got)
+
+
+def test_rows_are_narrow(spark, monkeypatch):
+    """Pieces are read back one at a time, and a pair of ids takes four bytes."""
+    seen = []
+
+    def watched(df, name, **options):
+        out = session.saved(df, name, **options)
+        seen.append((name, out))
+        return out
+
+    monkeypatch.setattr(alignment, "saved", watched)
+    rows = [(i, f"some words {i} here and {i * 7} there ") for i in range(40)]
+    assert found(spark, rows, piece=200) == brute(rows)
+    pieces = dict(seen)["aligned-pieces"]
+    for path in pieces.inputFiles():
+        meta = pq.ParquetFile(path.removeprefix("file:").replace("//", "/")).metadata
+        assert [meta.row_group(i).num_rows for i in range(meta.num_row_groups)] == [1] * meta.num_rows
+    for r in pieces.select("pairs", "counts").collect():
+        pairs = alignment.pairs_of(r.pairs)
+        assert len(r.pairs) <= 4 * len(pairs) + 10 and len(r.counts) == len(pairs) + 1
+    assert (alignment.pairs_of(alignment.packed_pairs(np.array([3 << 32 | 2**31, 70_000 << 32]))) == [3 << 32 | 2**31, 70_000 << 32]).all()
+
+
+def test_workers_forget_tokenizers_once_pieces_are_cut():
+    pair = weakref.ref(alignment.pair_of(*files()))
+    assert pair() is not None
+    assert list(alignment._partial(4)(iter([]))) == [] and pair() is None
