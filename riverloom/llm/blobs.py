@@ -7,6 +7,9 @@ row of some MB weighs many times as much in an executor.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+
+_CODEC = pa.Codec("zstd", 1)
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -17,3 +20,13 @@ def packed(values: np.ndarray) -> bytes:
 
 def unpacked(blob: bytes, kind: str = "<i8") -> np.ndarray:
     return np.frombuffer(blob, f"<u{blob[0]}", offset=1).astype(kind)
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """The same for many small numbers, compressed (behind the size before)."""
+    raw = packed(values)
+    return len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True)
+
+
+def unsqueezed(blob: bytes) -> np.ndarray:
+    return unpacked(_CODEC.decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True))

@@ -8,17 +8,20 @@ lies within one passage.
 1. Weights. A word's weight is log(cells / cells with it), from all cells of ``CELL`` words of
    all documents, by hashed word (``FEATURES`` numbers).
 2. Latent space. Items are dealt to blocks of about ``ITEMS`` items and ``BLOCK_WORDS`` words. A
-   block's weighted word vectors, and those of a sample of passages (documents of about
-   ``FIT_CELLS`` cells, chosen by a hash of the text), are factored by a distributed
-   randomised SVD: tasks multiply their rows with a random matrix and with the result's
-   basis, and only sums of words x rank numbers leave them. Only words of the block's items
-   need coordinates, others have no product with any of them. The rank is twice the number
-   of items, so the space can hold them; what it does not hold of one is known by its norm.
+   block's weighted word vectors, and those of all cells of all documents, are factored by a
+   distributed randomised SVD. Only words of the block's items need coordinates, others have
+   no product with any of them. One pass over the documents (that of step 1 for the first
+   group) counts for all blocks of a group how many cells each two words share, which is the
+   product of the cells' matrix with itself but for the weights; the counts stay in the shared
+   folder, cut into stripes. Tasks multiply stripes with a random matrix and with the result's
+   basis, and only words x rank numbers leave them. Of blocks of more than ``WIDE`` words,
+   which have few items, tasks multiply the cells themselves. The rank is twice the number of
+   items, so the space can hold them; what it does not hold of one is known by its norm.
 3. Search. Every passage of every document is projected and compared with all items. An item
    is a candidate where the latent product, and what the item's part outside the space may
    add at most, reach the share of the item's squared norm that a match needs: the least
    cosine is that share times the item's norm over the passage's. As this share follows from
-   the checks, the candidates hold all that pass them, whatever rank and sample are.
+   the checks, the candidates hold all that pass them, whatever the rank is.
 4. Checks. In windows of twice the item's words, every half window, the longest common
    subsequence must have a share of the item's words, ``COPY``, and of their squared weights,
    ``WEIGHT``. From ``PARAPHRASE`` words on, the item must also give its answer away: the share
@@ -36,9 +39,10 @@ each, and the best window of all of them counts. Empty tables give empty results
 
 from __future__ import annotations
 
+import functools
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -46,7 +50,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riverloom.llm.blobs import squeezed, unsqueezed
 from riverloom.llm.pairs import whole_runs
+from riverloom.llm.units import spread
 from riverloom.llm.words import Texts, distinct, pieces, range_hashes
 from riverloom.session import map_arrow, saved
 
@@ -54,13 +60,17 @@ CELL = 32
 #: words of a cell in the search, for items of up to half as many
 SIZE = 64
 FEATURES = 1 << 18
-FIT_CELLS = 20_000
+#: cells that the space is fitted on: all; fewer are a sample
+FIT_CELLS = math.inf
 ITEMS, BLOCK_WORDS, GROUP = 100, 8192, 8
 RANK = 2 * ITEMS
 COPY, PARAPHRASE, ANSWER = 0.75, 0.5, 0.7
 WEIGHT, HEAVY = 1 / 3, 3.0
 SHORT = 8
 _SLICES = 16
+#: words of a block whose pairs are counted; numbers of a stripe; words of cells that are held
+#: until their pairs are counted, pairs that are counted at a time
+WIDE, STRIPE, HELD, PAIRS = 8192, 1 << 20, 1 << 22, 1 << 21
 #: passages that are projected at a time, numbers that the checks compare at a time
 ROWS, COMPARED = 512, 1 << 22
 #: vectors that are written out at a time to be projected
@@ -90,18 +100,6 @@ def cells(texts: Texts, hashes: np.ndarray, size: int = CELL) -> tuple[np.ndarra
     return pair // FEATURES, pair % FEATURES, row, first
 
 
-def _count(batches):
-    """Numbers of cells with each feature, in slices."""
-    counts, n = np.zeros(FEATURES, np.int64), 0
-    for batch in batches:
-        for _, _, texts in pieces(batch["text"], fold=True):
-            _, found, rows, _ = cells(texts, word_hashes(texts))
-            counts += np.bincount(found, minlength=FEATURES)
-            n += len(rows)
-    if n:
-        yield _sliced(counts, n)
-
-
 def _sliced(values: np.ndarray, n: int) -> pa.RecordBatch:
     parts = [p.tobytes() for p in np.array_split(values, _SLICES)]
     return pa.RecordBatch.from_arrays(
@@ -137,8 +135,14 @@ def add_up(partial: DataFrame, kind: str) -> tuple[np.ndarray | None, int]:
 
 def weights(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Weight of every feature, and the number of cells."""
-    counts, n = add_up(map_arrow(docs.select("text"), _count, PARTIAL), "i8")
-    counts = np.zeros(FEATURES) if counts is None else counts
+    return weights_of(counted(docs, {}, True))
+
+
+def weights_of(stored: DataFrame) -> tuple[np.ndarray, int]:
+    """The same from what :func:`counted` has stored."""
+    parts = sorted(stored.where(F.col("block") == ALL).collect(), key=lambda r: r.stripe)
+    counts = np.concatenate([unsqueezed(r.counts) for r in parts]) if parts else np.zeros(FEATURES)
+    n = parts[0].n if parts else 0
     return np.log((1 + n) / (1 + counts)).astype(np.float32) + np.float32(1e-3), n
 
 
@@ -268,39 +272,181 @@ def _products(column: np.ndarray, idf: np.ndarray, matrix: np.ndarray):
     return run
 
 
-def fit_sample(docs: DataFrame, n_cells: int, fit_cells: int = FIT_CELLS) -> DataFrame:
-    """Texts of about so many cells, chosen by a hash of the text."""
-    share = int(2**20 * fit_cells / max(1, n_cells))
-    sample = docs.select("text").where("text IS NOT NULL")
-    if share >= 2**20:
-        return sample
-    return saved(sample.where(F.pmod(F.xxhash64("text"), F.lit(2**20)) < share), "leak-sample")
+def fit_sample(docs: DataFrame, n_cells: int, fit_cells: float = FIT_CELLS) -> DataFrame:
+    """The texts; of more than ``fit_cells`` cells those of about so many, chosen by a hash of the text."""
+    texts = docs.select("text").where("text IS NOT NULL")
+    if fit_cells >= n_cells:
+        return texts
+    share = int(2**20 * fit_cells / n_cells)
+    return saved(texts.where(F.pmod(F.xxhash64("text"), F.lit(2**20)) < share), "leak-sample")
+
+
+def stripes(at: np.ndarray, count: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """How many cells hold word i and word j, for all pairs of n words, in stripes of rows; cell k
+    holds the next ``count[k]`` of the words ``at``. Stripes of zeros are left out."""
+    height = max(1, STRIPE // n)
+    of = np.repeat(np.arange(len(count)), count)
+    begin = np.cumsum(count) - count
+    for stripe, lo in enumerate(range(0, n, height)):
+        rows = np.flatnonzero((at >= lo) & (at < lo + height))
+        sums = np.zeros(min(height, n - lo) * n, np.int64)
+        for k in range(0, len(rows), PAIRS // CELL):
+            own = rows[k : k + PAIRS // CELL]
+            size = count[of[own]]
+            first = np.repeat((at[own] - lo).astype(np.int64) * n, size)
+            sums += np.bincount(first + at[spread(begin[of[own]], size)], minlength=len(sums))
+        if len(rows):
+            yield stripe, sums
+
+
+#: of a block: how many cells each two of its words share; of ALL: how many each feature has, and of how many
+COUNTS = "block int, stripe int, n long, counts binary"
+_COUNTS = pa.schema([("block", pa.int32()), ("stripe", pa.int32()), ("n", pa.int64()), ("counts", pa.binary())])
+ALL = -1
+
+
+def _counts(columns: dict[int, np.ndarray], features: bool):
+    """Stripes of each block's pair counts, for its features' columns, and of all features' counts."""
+
+    def row(block: int, stripe: int, n: int, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([{"block": block, "stripe": stripe, "n": n, "counts": squeezed(counts)}], _COUNTS)
+
+    def run(batches):
+        held, size = {k: [] for k in columns}, 0
+        single, n = np.zeros(FEATURES, np.int64), 0
+
+        def out():
+            for k, own in held.items():
+                at, count = (np.concatenate(x) for x in zip(*own))
+                for stripe, sums in stripes(at, count, int(columns[k].max()) + 1):
+                    yield row(k, stripe, 0, sums)
+                own.clear()
+
+        for batch in batches:
+            for _, _, texts in pieces(batch["text"], fold=True):
+                owner, found, rows, _ = cells(texts, word_hashes(texts))
+                if features:
+                    single += np.bincount(found, minlength=FEATURES)
+                    n += len(rows)
+                for k, column in columns.items():
+                    at = column[found]
+                    mine = at >= 0
+                    count = np.bincount(owner[mine], minlength=len(rows))
+                    held[k].append((at[mine], count[count > 0]))
+                    size += len(held[k][-1][0])
+                if size >= HELD:
+                    yield from out()
+                    size = 0
+        if size:
+            yield from out()
+        if n:
+            for stripe, part in enumerate(np.array_split(single, _SLICES)):
+                yield row(ALL, stripe, n, part)
+
+    return run
+
+
+def _counts_summed(batches):
+    """Rows come sorted by block and stripe."""
+    key = total = None
+
+    def row():
+        return pa.RecordBatch.from_pylist([{"block": key[0], "stripe": key[1], "n": n, "counts": squeezed(total)}], _COUNTS)
+
+    for batch in batches:
+        for r in batch.to_pylist():
+            own = unsqueezed(r["counts"])
+            if (r["block"], r["stripe"]) == key:
+                total += own
+                n += r["n"]
+                continue
+            if key:
+                yield row()
+            key, n, total = (r["block"], r["stripe"]), r["n"], own
+    if key:
+        yield row()
+
+
+def counted(docs: DataFrame, columns: dict[int, np.ndarray], features: bool = False) -> DataFrame:
+    """Counts of all cells, stored: pairs of words for the columns of blocks, and features if wanted."""
+    partial = map_arrow(docs.select("text"), _counts(columns, features), COUNTS)
+    partial = partial.repartition("block", "stripe").sortWithinPartitions("block", "stripe")
+    return saved(map_arrow(partial, _counts_summed, COUNTS), "leak-counts", together=1)
+
+
+def _stripe_products(matrix: np.ndarray):
+    kind = pa.schema([("stripe", pa.int32()), ("sums", pa.binary())])
+
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                own = unsqueezed(r["counts"]).reshape(-1, len(matrix)) @ matrix
+                yield pa.RecordBatch.from_pylist([{"stripe": r["stripe"], "sums": own.tobytes()}], kind)
+
+    return run
+
+
+def narrow(columns: list[np.ndarray]) -> dict[int, np.ndarray]:
+    """Those of blocks whose pairs are counted."""
+    return {k: c for k, c in enumerate(columns) if int(c.max()) < WIDE}
+
+
+def multipliers(docs: DataFrame, columns: list[np.ndarray], idf: np.ndarray, stored: DataFrame | None = None) -> list[Callable]:
+    """For each block a function that gives A.T @ (A @ matrix) for the cells' rows A; ``stored`` if
+    pairs are counted already."""
+    size, own = [int(c.max()) + 1 for c in columns], narrow(columns)
+    if own and stored is None:
+        stored = counted(docs, own)
+
+    def of_counts(k: int, matrix: np.ndarray) -> np.ndarray:
+        weight = idf[columns[k] >= 0].astype(float)[:, None]
+        out, height = np.zeros(matrix.shape), max(1, STRIPE // size[k])
+        part = stored.where(F.col("block") == k).select("stripe", "counts")
+        for r in map_arrow(part, _stripe_products(weight * matrix), "stripe int, sums binary").collect():
+            out[r.stripe * height : (r.stripe + 1) * height] = np.frombuffer(r.sums).reshape(-1, matrix.shape[1])
+        return weight * out
+
+    def of_cells(k: int, matrix: np.ndarray) -> np.ndarray:
+        total, _ = add_up(map_arrow(docs, _products(columns[k], idf, matrix), PARTIAL), "f8")
+        return np.zeros(matrix.shape) if total is None else total.reshape(matrix.shape).copy()
+
+    return [functools.partial(of_counts if k in own else of_cells, k) for k in range(len(columns))]
 
 
-def fit(sample: DataFrame, items: list[Item], idf: np.ndarray, n_cells: int, rank: int | None = None, fit_cells: int = FIT_CELLS, seed: int = 9) -> Space:
-    """Latent space of the items' words."""
+def word_columns(items: list[Item]) -> np.ndarray:
+    """Feature -> number among those of the items' words, in order; -1 for others."""
+    names = np.unique(feature(np.concatenate([i.words for i in items])))
+    column = np.full(FEATURES, -1, np.int32)
+    column[names] = np.arange(len(names))
+    return column
+
+
+def fit(
+    docs: DataFrame, items: list[Item], idf: np.ndarray, n_cells: int, rank: int | None = None, fit_cells: float = FIT_CELLS, seed: int = 9,
+    multiply: Callable | None = None,
+) -> Space:
+    """Latent space of the items' words; ``multiply`` if it is known already (:func:`multipliers`)."""
     rank = rank or 2 * len(items)
     owner = np.repeat(np.arange(len(items)), [len(i.words) for i in items])
     pair = np.unique(owner * FEATURES + feature(np.concatenate([i.words for i in items])))
-    names = np.unique(pair % FEATURES)
-    column = np.full(FEATURES, -1, np.int32)
-    column[names] = np.arange(len(names))
-    rank = min(rank, len(names))
+    column = word_columns(items)
+    n = int(column.max()) + 1
+    rank = min(rank, n)
     own = pair // FEATURES, column[pair % FEATURES]
     value = idf[pair % FEATURES].astype(float)
-    # items weigh as much as the sample
+    # items weigh as much as the cells
     heavy = max(1.0, min(fit_cells, n_cells) / len(items))
+    multiply = multiply or multipliers(docs, [column], idf)[0]
 
     def product(matrix: np.ndarray) -> np.ndarray:
-        total, _ = add_up(map_arrow(sample, _products(column, idf, matrix), PARTIAL), "f8")
-        out = np.zeros(matrix.shape) if total is None else total.reshape(matrix.shape).copy()
+        out = multiply(matrix)
         begin = np.flatnonzero(np.concatenate(([True], own[0][1:] != own[0][:-1])))
         rows = np.add.reduceat(matrix[own[1]] * value[:, None], begin, axis=0)
-        spread = np.repeat(rows, np.diff(np.append(begin, len(value))), axis=0) * value[:, None]
-        np.add.at(out, own[1], heavy * spread)
+        alone = np.repeat(rows, np.diff(np.append(begin, len(value))), axis=0) * value[:, None]
+        np.add.at(out, own[1], heavy * alone)
         return out
 
-    random = np.random.Generator(np.random.PCG64(seed)).standard_normal((len(names), min(len(names), rank + 8)))
+    random = np.random.Generator(np.random.PCG64(seed)).standard_normal((n, min(n, rank + 8)))
     start = np.linalg.qr(product(random))[0]
     inner = start.T @ product(start)
     values, vectors = np.linalg.eigh((inner + inner.T) / 2)
@@ -510,21 +656,25 @@ def _leaked(matched: int, size: int, answer: float) -> bool:
     return share >= COPY or share >= PARAPHRASE and answer >= ANSWER
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, fit_cells: int = FIT_CELLS) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, fit_cells: float = FIT_CELLS) -> DataFrame:
     """Documents that hold items: doc_id, item_id, the word at which the best window begins,
     cosine (of the latent passage), matched (words of the subsequence), item_words, share,
     weight (share of the squared weights), answer, kind."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = docs.sparkSession.createDataFrame([], FOUND)
-    idf = sample = None
+    idf = None
     for group in item_groups(benchmark):
+        known = [(size, items) for size, rows in group if (items := read_items(rows))]
+        columns, stored = [word_columns(items) for _, items in known], None
         if idf is None:
-            idf, n = weights(docs)
-            sample = fit_sample(docs, n, fit_cells)
-        blocks = []
-        for size, rows in group:
-            if items := read_items(rows):
-                blocks.append((size, Block(items, fit(sample, items, idf, n, fit_cells=fit_cells), n)))
+            # the first group's pairs are counted in the same pass, if they are those of all cells
+            stored = counted(docs, narrow(columns) if fit_cells == math.inf else {}, True)
+            idf, n = weights_of(stored)
+            fitted = fit_sample(docs, n, fit_cells)
+        times = multipliers(fitted, columns, idf, stored if fit_cells == math.inf else None)
+        blocks = [
+            (size, Block(items, fit(fitted, items, idf, n, fit_cells=fit_cells, multiply=m), n)) for (size, items), m in zip(known, times)
+        ]
         if blocks:
             found = found.unionByName(map_arrow(docs, _search(blocks), FOUND))
     best = F.max(F.struct("matched", "answer", "cosine", -F.col("at"), "item_words", "share", "weight"))

@@ -244,3 +244,49 @@ def test_weights_of_candidates_only(spark, monkeypatch):
     found = [r for b in leaks._search([(leaks.SIZE, block)])([batch]) for r in b.to_pylist()]
     same = {r["doc_id"]: (r["at"], r["cosine"]) for r in found}
     assert same[4] == same[len(rows) - 1] and same[4][0] == 0 and same[0] == same[1] == same[2]
+
+
+def test_space_is_fitted_on_all_texts(spark):
+    """However many cells there are."""
+    docs = spark.createDataFrame([(i, f"text {i}" if i else None, 1, 1, 1.0) for i in range(200)], DOCS)
+    assert leaks.fit_sample(docs, 10**7).count() == 199
+    assert leaks.fit_sample(docs, 10**7, 20_000).count() < 20
+
+
+def test_pair_counts_of_all_cells(spark, monkeypatch):
+    """Products of the counted pairs are those of the cells themselves."""
+    rng = random.Random(4)
+    text = lambda n: " ".join(rng.choices([f"w{i}" for i in range(300)], [1 / (i + 1) for i in range(300)], k=n))
+    texts = [text(rng.randrange(300)) for _ in range(60)] + [None, "", "none of them"]
+    texts += texts[:3]
+    docs = spark.createDataFrame([(i, t, 1, 1, 1.0) for i, t in enumerate(texts)], DOCS).repartition(3)
+    items = [leaks.read_items(spark.createDataFrame([(i, text(30), 1, None) for i in range(n)], ITEMS)) for n in (3, 9)]
+    columns = [leaks.word_columns(i) for i in items]
+    idf, _ = leaks.weights(docs)
+    matrices = [np.random.default_rng(k).standard_normal((int(c.max()) + 1, 7)) for k, c in enumerate(columns)]
+    rows = [np.zeros((0, len(m))) for m in matrices]
+    for t in texts:
+        words = plain(t)
+        for lo in range(0, len(words), leaks.CELL):
+            (_, _, own), = pieces(pa.array([" ".join(words[lo : lo + leaks.CELL])]), fold=True)
+            found = np.unique(leaks.feature(leaks.word_hashes(own)))
+            for k, c in enumerate(columns):
+                row = np.zeros(len(matrices[k]))
+                row[c[found][c[found] >= 0]] = idf[found][c[found] >= 0]
+                rows[k] = np.vstack([rows[k], row])
+    want = [a.T @ (a @ m) for a, m in zip(rows, matrices)]
+    got = [f(m) for f, m in zip(leaks.multipliers(docs, columns, idf), matrices)]
+    monkeypatch.setattr(leaks, "WIDE", 0)
+    other = [f(m) for f, m in zip(leaks.multipliers(docs, columns, idf), matrices)]
+    for a, b, c in zip(want, got, other):
+        assert np.allclose(a, b, rtol=1e-9, atol=1e-6) and np.allclose(a, c, rtol=1e-3, atol=1e-2)
+    # whole counts, in stripes and parts of any size
+    at = np.concatenate([np.flatnonzero(r) for r in rows[1]])
+    count = np.count_nonzero(rows[1], axis=1)
+    n = len(matrices[1])
+    monkeypatch.setattr(leaks, "STRIPE", 5 * n)
+    monkeypatch.setattr(leaks, "PAIRS", 3 * leaks.CELL)
+    table = np.zeros((n, n), np.int64)
+    for stripe, sums in leaks.stripes(at, count[count > 0], n):
+        table[5 * stripe : 5 * stripe + 5] += sums.reshape(-1, n)
+    assert (table == (rows[1] > 0).T.astype(int) @ (rows[1] > 0)).all()
