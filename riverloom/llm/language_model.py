@@ -82,10 +82,27 @@ def fold(columns: list[np.ndarray]) -> np.ndarray:
     return h
 
 
+def by_bucket(bucket: np.ndarray) -> np.ndarray:
+    """Stable order of small numbers; those of two bytes need no comparisons."""
+    return np.argsort(bucket.astype(np.uint16) if bucket.max(initial=0) < 1 << 16 else bucket, kind="stable")
+
+
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, a place of each, and the number of each place's key. Quicker than
+    ``np.unique``, which sorts so that places are the first ones."""
+    order = np.argsort(keys)
+    sorted_ = keys[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(sorted_[1:], sorted_[:-1], out=new[1:])
+    which = np.empty(len(keys), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return sorted_[new], order[new], which
+
+
 def tally(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct tuples in order of their fold, with summed counts."""
     key = fold(columns)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key = key[order]
     begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else order
     return [c[order[begin]] for c in columns], (np.add.reduceat(counts[order], begin) if len(key) else counts)
@@ -105,13 +122,20 @@ def _unpack(blob: pa.Buffer, n: int, order: int) -> tuple[list[np.ndarray], np.n
 _CODEC = pa.Codec("zstd", 3)
 
 
+def _first_two(columns: list[np.ndarray]) -> np.ndarray:
+    """Places in order of the first two columns."""
+    if len(columns) > 1 and max(c.itemsize for c in columns[:2]) <= 4:
+        return np.argsort(columns[0].astype(np.uint64) << np.uint64(32) | columns[1].astype(np.uint64))
+    return np.lexsort(columns[1::-1])
+
+
 def pack(columns: list[np.ndarray], counts: np.ndarray, folder: str | None = None) -> bytes:
     """Tuples with their counts, in few bytes: tokens as their numbers among the words that
     ``folder`` holds, if one is given, rows in order of the first two columns, all compressed
     (behind the size before)."""
     if folder:
         columns = [numbers(folder, c) for c in columns]
-    order = np.lexsort(columns[1::-1])
+    order = _first_two(columns)
     # bytes of one rank together
     planes = [np.ascontiguousarray(c[order]).view(np.uint8).reshape(-1, c.itemsize).T.tobytes() for c in columns]
     raw = b"".join([*planes, narrow(counts[order]).tobytes()])
@@ -170,7 +194,7 @@ class Sums:
         columns, counts = self.merged()
         self.parts, self.size = [], 0
         bucket = self.bucket_of(columns)
-        order = np.argsort(bucket, kind="stable")
+        order = by_bucket(bucket)
         cuts = np.searchsorted(bucket[order], np.arange(int(bucket.max()) + 2))
         for b in range(len(cuts) - 1):
             own = order[cuts[b] : cuts[b + 1]]
@@ -187,12 +211,13 @@ def by_context(folder: str, buckets: int, hot: int):
     """Bucket of an n-gram. A context is as frequent as its last word at most; one that may
     occur ``hot`` times is spread by the n-gram's last word."""
 
-    def bucket_of(columns: list[np.ndarray]) -> np.ndarray:
-        spread = (seen(folder, columns[-2]) // hot + 1).astype(np.uint64)
-        where = fold(columns[:-1]) % np.uint64(buckets) + mix(columns[-1]) % spread
-        return (where % np.uint64(buckets)).astype(np.int64)
+    return lambda columns: place(fold(columns[:-1]), seen(folder, columns[-2]), columns[-1], buckets, hot)
+
 
-    return bucket_of
+def place(context: np.ndarray, times: np.ndarray, word: np.ndarray, buckets: int, hot: int) -> np.ndarray:
+    """The same for folded contexts whose last words occur so many times."""
+    where = context % np.uint64(buckets) + mix(word) % (times // hot + 1).astype(np.uint64)
+    return (where % np.uint64(buckets)).astype(np.int64)
 
 
 def local(folder: str) -> str:
@@ -202,10 +227,41 @@ def local(folder: str) -> str:
     return parts.path
 
 
+#: numbers of a context's statistics: total, n1, n2, n3
+STATISTICS = 4
+MOST = 255
+
+
+def thin(name: str, counts: np.ndarray) -> dict[str, np.ndarray]:
+    """Counts in one byte each; those of ``MOST`` and more, which are few, with their places beside them.
+    Of a table the rows lie together, so that a look at one meets one place of the file."""
+    large = np.flatnonzero(counts >= MOST)
+    out = {name: np.minimum(counts, MOST).astype(np.uint8)}
+    return out | {f"{name}-at": large, f"{name}-large": counts.reshape(-1)[large].astype(np.int64)} if len(large) else out
+
+
+def counts_at(path: str, name: str, at: np.ndarray) -> np.ndarray:
+    """The counts at these places of a stored array, or rows of a stored table."""
+    out = _mapped(f"{path}.{name}.npy")[at].astype(np.int64)
+    flat = out.reshape(-1)
+    large = np.flatnonzero(flat == MOST)
+    if len(large):
+        width = out[:1].size or 1
+        place = np.searchsorted(_mapped(f"{path}.{name}-at.npy"), at[large // width] * width + large % width)
+        flat[large] = _mapped(f"{path}.{name}-large.npy")[place]
+    return out
+
+
 def store(folder: str, kind: str, bucket: int, arrays: dict[str, np.ndarray]) -> None:
     """Whole files, each put in place at once: a task that runs again writes the same."""
     os.makedirs(local(folder), exist_ok=True)
+    files = {}
     for name, values in arrays.items():
+        if name in ("count", "statistics"):
+            files |= thin(name, values)
+        else:
+            files[name] = values
+    for name, values in files.items():
         target = f"{local(folder)}/{kind}.{bucket}.{name}.npy"
         part = f"{target}.{os.urandom(6).hex()}"
         with open(part, "wb") as out:
@@ -218,11 +274,17 @@ def _mapped(path: str) -> np.ndarray:
     return np.load(path, mmap_mode="r")
 
 
-def find(folder: str, kind: str, keys: np.ndarray, bucket: np.ndarray, names: list[str]) -> list[np.ndarray]:
-    """Stored values of sorted keys in their buckets; zero where a key is not there."""
-    out = [np.zeros(len(keys), np.int64) for _ in names]
-    order = np.argsort(bucket, kind="stable")
-    numbers, cuts = np.unique(bucket[order], return_index=True)
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of a sorted array, and where each begins."""
+    begin = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, np.int64)
+    return values[begin], begin
+
+
+def find(folder: str, kind: str, keys: np.ndarray, bucket: np.ndarray, name: str = "count") -> np.ndarray:
+    """Stored counts of sorted keys in their buckets, or rows of statistics; zero where a key is not there."""
+    out = np.zeros((len(keys), STATISTICS) if name == "statistics" else len(keys), np.int64)
+    order = by_bucket(bucket)
+    numbers, cuts = runs(bucket[order])
     for b, lo, hi in zip(numbers, cuts, [*cuts[1:], len(order)]):
         path = f"{local(folder)}/{kind}.{b}"
         if not os.path.exists(f"{path}.key.npy"):
@@ -232,8 +294,7 @@ def find(folder: str, kind: str, keys: np.ndarray, bucket: np.ndarray, names: li
         at = np.searchsorted(stored, keys[own])
         at[at == len(stored)] = 0
         hit = stored[at] == keys[own]
-        for values, name in zip(out, names):
-            values[own[hit]] = _mapped(f"{path}.{name}.npy")[at[hit]]
+        out[own[hit]] = counts_at(path, name, at[hit])
     return out
 
 
@@ -241,7 +302,7 @@ def seen(folder: str, words: np.ndarray) -> np.ndarray:
     """How often each token occurs in the training texts."""
     buckets = int(_mapped(f"{local(folder)}/words.0.buckets.npy")[0])
     keys, which = np.unique(words, return_inverse=True)
-    return find(folder, "words", keys, by_hash(buckets)(keys), ["count"])[0][which]
+    return find(folder, "words", keys, by_hash(buckets)(keys))[which]
 
 
 def _starts(folder: str) -> np.ndarray:
@@ -273,13 +334,13 @@ def numbers(folder: str, words: np.ndarray) -> np.ndarray:
 def words_at(folder: str, places: np.ndarray) -> np.ndarray:
     """The tokens with these numbers."""
     starts = _starts(folder)
-    at, which = np.unique(places, return_inverse=True)
-    names = np.full(len(at), BEGIN)
-    bucket = np.searchsorted(starts, at, side="right") - 1
-    for b in np.unique(bucket[at < starts[-1]]):
-        own = bucket == b
-        names[own] = _mapped(f"{local(folder)}/words.{b}.key.npy")[at[own].astype(np.int64) - starts[b]]
-    return names[which]
+    bucket = np.searchsorted(starts, places, side="right") - 1
+    order, names = by_bucket(bucket), np.full(len(places), BEGIN)
+    for b, lo, hi in zip(*(runs_ := runs(bucket[order])), [*runs_[1][1:], len(order)]):
+        if b < len(starts) - 1:  # the last number is BEGIN's
+            own = order[lo:hi]
+            names[own] = _mapped(f"{local(folder)}/words.{b}.key.npy")[places[own].astype(np.int64) - starts[b]]
+    return names
 
 
 def _count_words(buckets: int, flush: int):
@@ -331,7 +392,7 @@ def _store_tokens(folder: str, kind: str, numbered: bool = False):
     def run(batches):
         for bucket, (keys,), counts in _buckets(batches, 1, folder if numbered else None):
             order = np.argsort(keys)
-            store(folder, kind, bucket, {"key": keys[order], "count": narrow(counts[order])})
+            store(folder, kind, bucket, {"key": keys[order], "count": counts[order]})
             yield _rows([("sum", bucket, len(keys), int(counts.sum())), _frequencies(counts)])
 
     return run
@@ -341,9 +402,6 @@ def _frequencies(counts: np.ndarray) -> tuple:
     return ("frequency", 0, *(int((counts == k).sum()) for k in (1, 2, 3, 4)))
 
 
-STATISTICS = ["total", "n1", "n2", "n3"]
-
-
 def _store_ngrams(folder: str, order: int, hot: int, shorter_of, flush: int):
     """Files of n-grams and contexts. Gives the counts of counts, the statistics of contexts
     that other buckets share, and for the next order the n-grams without their first word."""
@@ -351,9 +409,9 @@ def _store_ngrams(folder: str, order: int, hot: int, shorter_of, flush: int):
     def run(batches):
         shorter = Sums(shorter_of, flush, folder)
         for bucket, columns, counts in _buckets(batches, order, folder):
-            store(folder, f"grams{order}", bucket, {"key": fold(columns), "count": narrow(counts)})
+            store(folder, f"grams{order}", bucket, {"key": fold(columns), "count": counts})
             context = fold(columns[:-1])
-            by = np.argsort(context, kind="stable")
+            by = np.argsort(context)
             context, own = context[by], counts[by]
             begin = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
             totals = [own, own == 1, own == 2, own > 2]
@@ -361,7 +419,7 @@ def _store_ngrams(folder: str, order: int, hot: int, shorter_of, flush: int):
             often = seen(folder, columns[-2][by][begin]) >= hot
             store(
                 folder, f"contexts{order}", bucket,
-                {"key": context[begin][~often]} | {n: narrow(v[~often]) for n, v in zip(STATISTICS, totals)},
+                {"key": context[begin][~often], "statistics": np.stack(totals, axis=1)[~often]},
             )
             split = [context[begin][often].view(np.int64), *(v[often] for v in totals)]
             yield _rows([_frequencies(counts), *(("context", *map(int, x)) for x in zip(*split))])
@@ -378,8 +436,8 @@ def _store_split(folder: str, order: int, buckets: int):
                 own = table.slice(s, e - s)
                 keys = own["key"].to_numpy().view(np.uint64)
                 sort = np.argsort(keys)
-                arrays = {n: own[c].to_numpy()[sort] for n, c in zip(STATISTICS, "abcd")}
-                store(folder, f"split{order}", own["bucket"][0].as_py(), {"key": keys[sort]} | arrays)
+                rows = np.stack([own[c].to_numpy() for c in "abcd"], axis=1)
+                store(folder, f"split{order}", own["bucket"][0].as_py(), {"key": keys[sort], "statistics": rows[sort]})
         yield _rows([("done",)])
 
     return run
@@ -407,34 +465,47 @@ class Model:
     #: of the lowest order: its sum of counts, and the probability left for unseen words
     lowest: tuple[int, float]
 
-    def log_probabilities(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """log10 of each token's probability."""
-        words, which = np.unique(ids, return_inverse=True)
-        (count,) = find(self.folder, "grams1", words, by_hash(self.buckets[0])(words), ["count"])
+    def log_probabilities(self, ids: np.ndarray, first: np.ndarray, times: np.ndarray | None = None) -> np.ndarray:
+        """log10 of each token's probability; ``times`` is how often each occurs (:func:`seen`), if known."""
+        words, _, which = grouped(ids)
+        count = find(self.folder, "grams1", words, by_hash(self.buckets[0])(words))
         total, left = self.lowest
         p = (np.maximum(count - self._discount(0, count), 0) / max(total, 1) + left / (self.words + 1))[which]
         columns = [*contexts(ids, first, self.order), ids]
+        begins, before = first[:-1], np.zeros(len(ids), np.int64)
+        before[1:] = (seen(self.folder, ids) if times is None else times)[:-1]
+        before[begins] = 0  # BEGIN is no word of the texts
+        names, _, own = grouped(fold([words]))
+        which = own[which]
         for order in range(2, self.order + 1):
-            p = self._interpolated(order, columns[-order:], p)
+            # a context is the shorter n-gram of the token before
+            start = fold([np.full(1, BEGIN)] * (order - 1))
+            at = int(np.searchsorted(names, start[0]))
+            context = np.insert(names, at, start)
+            whose = np.empty(len(ids), np.int64)
+            whose[1:] = which[:-1] + (which[:-1] >= at)
+            whose[begins] = at
+            p, names, which = self._interpolated(order, columns[-order:], before, context, whose, p)
         return np.log10(p)
 
     def _discount(self, k: int, counts: np.ndarray) -> np.ndarray:
         return np.asarray(self.discounts[k])[np.minimum(counts, 3)]
 
-    def _interpolated(self, order: int, columns: list[np.ndarray], lower: np.ndarray) -> np.ndarray:
-        key = fold(columns)
-        _, at, which = np.unique(key, return_index=True, return_inverse=True)
-        bucket = by_context(self.folder, self.buckets[1], self.hot)([c[at] for c in columns])
-        (count,) = find(self.folder, f"grams{order}", key[at], bucket, ["count"])
+    def _interpolated(
+        self, order: int, columns: list[np.ndarray], before: np.ndarray, context: np.ndarray, whose: np.ndarray, lower: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Probabilities; and the n-grams' keys in order, and the number of each token's."""
+        names, at, which = grouped(fold(columns))
+        bucket = place(context[whose[at]], before[at], columns[-1][at], self.buckets[1], self.hot)
+        count = find(self.folder, f"grams{order}", names, bucket)
         own = np.maximum(count - self._discount(order - 1, count), 0)[which]
-        context, whose = np.unique(fold(columns[:-1]), return_inverse=True)
         bucket = (context % np.uint64(self.buckets[1])).astype(np.int64)
-        stats = find(self.folder, f"contexts{order}", context, bucket, STATISTICS)
-        split = find(self.folder, f"split{order}", context, by_hash(self.buckets[0])(context), STATISTICS)
-        total, *seen_in = ((a + b)[whose] for a, b in zip(stats, split))
+        found = find(self.folder, f"contexts{order}", context, bucket, "statistics")
+        found += find(self.folder, f"split{order}", context, by_hash(self.buckets[0])(context), "statistics")
         _, d1, d2, d3 = self.discounts[order - 1]
-        left = d1 * seen_in[0] + d2 * seen_in[1] + d3 * seen_in[2]
-        return np.where(total > 0, (own + left * lower) / np.maximum(total, 1), lower)
+        total = found[:, 0][whose]
+        left = (d1 * found[:, 1] + d2 * found[:, 2] + d3 * found[:, 3])[whose]
+        return np.where(total > 0, (own + left * lower) / np.maximum(total, 1), lower), names, which
 
 
 def _in_buckets(rows: DataFrame, buckets: int) -> DataFrame:
@@ -511,7 +582,7 @@ def score(docs: DataFrame, model: Model, smoothing: float = 0.1) -> DataFrame:
                         pa.array(np.diff(first)),
                         pa.array(np.add.reduceat((count > 0).astype(np.int64), first[:-1])),
                         pa.array(np.add.reduceat(base, first[:-1])),
-                        pa.array(np.add.reduceat(model.log_probabilities(ids, first), first[:-1])),
+                        pa.array(np.add.reduceat(model.log_probabilities(ids, first, count), first[:-1])),
                     ],
                     ["doc_id", "n_tokens", "n_known", "base_score", "score"],
                 )

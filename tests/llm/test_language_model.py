@@ -145,3 +145,42 @@ def test_packed_ngrams_take_few_bytes_and_come_back(tmp_path):
     assert sorted(zip(*(c.tolist() for c in back), counts.tolist())) == sorted((*t, k) for t, k in Counter(zip(*(c.tolist() for c in columns))).items())
     with pytest.raises(ValueError, match="have changed"):
         lm.numbers(str(tmp_path), np.array([5], np.uint64))
+
+
+def test_scoring_looks_words_up_once(spark, monkeypatch):
+    """Buckets of n-grams follow from counts that the caller has; sums stay those of the model."""
+    texts = some_texts()
+    model = lm.train(spark.createDataFrame([(i, t, 1, 2, "k") for i, t in enumerate(texts[:140])], SCHEMA), 3, 300, 100)
+    plain = Plain(texts[:140], 3)
+    (_, _, words), = lm.pieces(pa.array(texts), lower=True, limit=1 << 30)
+    ids, first = lm.tokens(words)
+    times, whole = lm.seen(model.folder, ids), model.log_probabilities(ids, first)
+    monkeypatch.setattr(lm, "seen", None)
+    got = model.log_probabilities(ids, first, times)
+    assert (got == whole).all()
+    assert np.add.reduceat(got, first[:-1]) == pytest.approx([plain.score(t) for t in texts], rel=1e-9)
+
+
+def test_counts_are_stored_in_a_byte(tmp_path):
+    rng = np.random.default_rng(6)
+    keys = np.sort(rng.choice(10**6, 5000, replace=False)).astype(np.uint64)
+    counts = rng.choice([0, 1, 2, 254, 255, 256, 10**12], 5000, p=[0.05, 0.8, 0.1, 0.01, 0.01, 0.01, 0.02])
+    lm.store(str(tmp_path), "grams2", 3, {"key": keys, "count": counts})
+    assert np.load(tmp_path / "grams2.3.count.npy").dtype == np.uint8
+    wanted = np.sort(np.concatenate((keys[::3], [10**6 + 5]))).astype(np.uint64)
+    got = lm.find(str(tmp_path), "grams2", wanted, np.full(len(wanted), 3))
+    assert got.tolist() == [*counts[::3].tolist(), 0]
+    rows = np.stack([counts, counts[::-1], np.arange(5000), counts], axis=1)
+    lm.store(str(tmp_path), "contexts2", 3, {"key": keys, "statistics": rows})
+    got = lm.find(str(tmp_path), "contexts2", wanted, np.full(len(wanted), 3), "statistics")
+    assert got.tolist() == [*rows[::3].tolist(), [0, 0, 0, 0]]
+
+
+def test_quicker_sorts_give_the_same():
+    rng = np.random.default_rng(7)
+    keys = rng.integers(0, 900, 4000).astype(np.uint64)
+    names, at, which = lm.grouped(keys)
+    assert (names == np.unique(keys)).all() and (keys[at] == names).all() and (names[which] == keys).all()
+    for bucket in (rng.integers(0, 50, 3000), rng.integers(0, 1 << 20, 3000), np.zeros(0, np.int64)):
+        assert (lm.by_bucket(bucket) == np.argsort(bucket, kind="stable")).all()
+    assert [x.tolist() for x in lm.grouped(keys[:0])] == [[], [], []]
